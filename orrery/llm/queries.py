@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from .byte_bpe import op2_byte_bpe
+from .packing import op10_packing
+from .pii import op3_pii_anchors
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_pii_anchors": op3_pii_anchors,
+    "op10_packing": op10_packing,
 }
 
 #: SQL that returns the same rows, for the operators that SQL can express.
