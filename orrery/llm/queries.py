@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .byte_bpe import op2_byte_bpe
+from .iblt import op4_fingerprints
 from .media import op5_media_archives
 from .packing import op10_packing
 from .pii import op3_pii_anchors
@@ -11,6 +12,7 @@ from .quality_gam import op9_quality_gam
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_pii_anchors": op3_pii_anchors,
+    "op4_fingerprints": op4_fingerprints,
     "op5_media_archives": op5_media_archives,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
