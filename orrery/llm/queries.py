@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .byte_bpe import op2_byte_bpe
 from .iblt import op4_fingerprints
+from .jaccard_join import op7_jaccard_join
 from .media import op5_media_archives
 from .packing import op10_packing
 from .pii import op3_pii_anchors
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_pii_anchors": op3_pii_anchors,
     "op4_fingerprints": op4_fingerprints,
     "op5_media_archives": op5_media_archives,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
 }
