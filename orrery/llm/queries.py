@@ -9,12 +9,14 @@ from .media import op5_media_archives
 from .packing import op10_packing
 from .pii import op3_pii_anchors
 from .quality_gam import op9_quality_gam
+from .suffix_dedup import op6_suffix_dedup
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_pii_anchors": op3_pii_anchors,
     "op4_fingerprints": op4_fingerprints,
     "op5_media_archives": op5_media_archives,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
