@@ -5,6 +5,8 @@ from __future__ import annotations
 from .byte_bpe import op2_byte_bpe
 from .iblt import op4_fingerprints
 from .jaccard_join import op7_jaccard_join
+from .line_dedup import ORACLE as LINE_ORACLE
+from .line_dedup import op8_line_dedup
 from .media import op5_media_archives
 from .packing import op10_packing
 from .pii import op3_pii_anchors
@@ -18,9 +20,10 @@ QUERIES = {
     "op5_media_archives": op5_media_archives,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
 }
 
 #: SQL that returns the same rows, for the operators that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE}
