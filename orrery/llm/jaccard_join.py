@@ -5,9 +5,10 @@ distance, and the join wants all pairs within ``r = 1 - 0.75``.  Between documen
 with nothing in common every distance is 1, so sampled documents make useless
 pivots.  The first pivots are therefore single shingles: under a global order
 (rarest first) a document's nearest pivot is its first shingle, and the window in
-which a partner's nearest pivot can lie is its first ``n - ceil(0.75 n) + 1``
-shingles.  A document is replicated to the Voronoi regions of that window, so
-every linked pair meets in at least one region.
+which a partner's nearest pivots can lie is its first ``n - ceil(0.75 n) + 3``
+shingles: linked texts with different sets share three there.  A document is replicated to the Voronoi regions of that window, so
+every linked pair meets in three regions at least; a class that meets others in
+fewer links with nothing.
 
 Within the regions, pivots are documents.  Each region measures its members'
 distances to one pivot; members within ``r`` are linked to it, and what is linked
@@ -38,6 +39,9 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, checkpointed, documents, map_arrow
 
 WORDS, PER_CENT = 5, 75
+#: Linked texts with different sets share this many shingles at least (3 of 4 is the smallest case at 75 per cent), so
+#: windows are that much wider and a class that meets others in fewer regions is dropped.
+SHARED = 3
 SKETCH_BITS, SKETCH_BLOCKS = 20, 64
 #: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 20 bytes).
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
@@ -76,8 +80,8 @@ def class_of(s: np.ndarray) -> int:
 
 
 def window(n: int, per_cent: int = PER_CENT) -> int:
-    """How many of a set's first shingles a partner's first one can be among."""
-    return n - (per_cent * n + 99) // 100 + 1
+    """How many of a set's first shingles the first ``SHARED`` that a partner has can be among."""
+    return min(n, n - (per_cent * n + 99) // 100 + SHARED)
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -131,7 +135,7 @@ def regions(docs: DataFrame, levels: np.ndarray, total: int, per_cent: int = PER
     sorted block; a region task sees one share of the shingles.
     """
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * (101 - per_cent) // 100 // REGION_ENTRIES + 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * (102 - per_cent) // 100 // REGION_ENTRIES + 1)
     bounded_batches(spark)
     held = spark.sparkContext.broadcast(levels)  # SKETCH_BITS fix its size
 
@@ -342,7 +346,8 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``)."""
     every = checkpointed(sets(docs))
     levels, total = rarity(docs)
-    entries = checkpointed(regions(docs, levels, total, per_cent))
+    met = checkpointed(regions(docs, levels, total, per_cent))
+    entries = checkpointed(met.join(met.groupBy("class").count().where(F.col("count") >= SHARED), "class", "left_semi"))
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
     joined = components(links(entries, members(docs, entries), per_cent)).select(F.col("node").alias("class"), "component")
     of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
