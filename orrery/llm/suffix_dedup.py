@@ -477,7 +477,8 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     with_first = per_class.join(firsts, "class").select("class", F.col("first").alias("id"), "found")
     texts = tagged.join(with_first, ["class", "id"]).withColumnRenamed("id", "first")
     runs = removed_runs(texts, max(least, moved // PART_BYTES + 1), width)
-    gone = checkpointed(runs.groupBy("class").agg(F.collect_set(F.struct("start", "end")).alias("runs")))
+    # not cut off from what is above: both joins then share one shuffle of the texts
+    gone = runs.groupBy("class").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
 
     def cut(batch: pa.RecordBatch) -> dict[str, list]:
         out: dict[str, list] = {"class": batch.column("class"), "id": batch.column("id"), "n_removed": [], "n_spans": [], "kept": []}
