@@ -7,6 +7,7 @@ from .iblt import op4_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .line_dedup import ORACLE as LINE_ORACLE
 from .line_dedup import op8_line_dedup
+from .maxent_lm import op1_maxent_lm
 from .media import op5_media_archives
 from .packing import op10_packing
 from .pii import op3_pii_anchors
@@ -14,6 +15,7 @@ from .quality_gam import op9_quality_gam
 from .suffix_dedup import op6_suffix_dedup
 
 QUERIES = {
+    "op1_maxent_lm": op1_maxent_lm,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_pii_anchors": op3_pii_anchors,
     "op4_fingerprints": op4_fingerprints,
