@@ -1,15 +1,72 @@
-"""The training-data pipeline (stages are added below as their operators land)."""
+"""The training-data pipeline: quality, line dedup, near duplicates, personal data, packing.
+
+``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and
+returns a DataFrame, which is written as Parquet and read again as the next one's
+``docs``.  All but the last return the columns of ``documents``; a stage that
+changes ``text`` keeps ``n_chars`` in step.  Null texts pass every stage as they are
+(and are scored, compared and packed as empty ones).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orrery.llm import jaccard_join, line_dedup, packing, pii, quality_gam
+from orrery.llm.common import keyed_text, shared_folder, table
 
-STAGES: list = []
+#: SQL can't express the classifier, so ``run`` is tested against brute force instead.
 ORACLE_SQL = None
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.5 or more stay."""
+    model = quality_gam.train(keyed_text(docs), table(spark, sf_dir, "labels"), quality_gam.remainder(3) != 1)
+    return quality_gam.with_score(docs, model, name="_quality").where("_quality >= 0.5").drop("_quality")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that match an earlier line go; every document stays, if only with fewer lines."""
+    return _recounted(line_dedup.dedup_lines(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays; rows that repeat become one."""
+    found = jaccard_join.near_duplicates(keyed_text(docs))
+    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by the name of its kind."""
+    return _recounted(pii.redact(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of power-of-two length, one row each."""
+    return packing.pack(docs, packing.public_vocabulary(), with_ids=False)
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", lines),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("packing", pack),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over ``documents``; what lies between them is written to the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            path = shared_folder(spark, name)
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
