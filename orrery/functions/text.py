@@ -104,7 +104,7 @@ def crawl_url(url: Column) -> Column:
 
 
 def year(url: Column) -> Column:
-    last = F.try_element_at(F.split(F.trim(F.lit("/"), url), "/"), F.lit(-1))
+    last = F.try_element_at(F.split(F.trim(url, F.lit("/")), "/"), F.lit(-1))
     return F.when(last.rlike(r"^\d{4}$"), last).cast("int")
 
 

@@ -40,10 +40,10 @@ def truncated(tokens: Column, most: int = 4096) -> Column:
     return F.slice(tokens, 1, most)
 
 
-def masked_labels(ids: Column, prompt_length: Column) -> Column:
+def masked_labels(ids: Column, prompt_length: Column, ignored: int | str = IGNORED) -> Column:
     """The ids with the prompt's part ignored."""
     n = F.least(prompt_length, F.size(ids))
-    return F.concat(F.array_repeat(F.lit(IGNORED), n), F.slice(ids, n + 1, F.greatest(F.size(ids), F.lit(1))))
+    return F.concat(F.array_repeat(F.lit(ignored), n), F.slice(ids, n + 1, F.greatest(F.size(ids), F.lit(1))))
 
 
 def has_response(ids: Column, prompt_length: Column) -> Column:
