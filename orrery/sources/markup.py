@@ -48,8 +48,28 @@ def _local(tag: object) -> str:
     return tag.rpartition("}")[2] if isinstance(tag, str) else ""
 
 
-def _stripped(node: ET.Element) -> str:
-    return "".join(t.strip() for t in node.itertext())
+# Elements of a body that are left out.
+LEFT_OUT = ("fig", "table-wrap")
+
+
+def _texts(node: ET.Element, left_out: tuple[str, ...]) -> Iterator[str]:
+    yield node.text or ""
+    for child in node:
+        if _local(child.tag) not in left_out:
+            yield from _texts(child, left_out)
+        yield child.tail or ""
+
+
+def _stripped(node: ET.Element, left_out: tuple[str, ...] = ()) -> str:
+    return "".join(t.strip() for t in _texts(node, left_out))
+
+
+def _paragraphs(node: ET.Element) -> Iterator[ET.Element]:
+    for child in node:
+        if _local(child.tag) not in LEFT_OUT:
+            if _local(child.tag) == "p":
+                yield child
+            yield from _paragraphs(child)
 
 
 def xml_abstract(content: bytes) -> str:
@@ -72,23 +92,7 @@ def xml_body(content: bytes) -> str:
     body = next((e for e in root.iter() if _local(e.tag) == "body"), None)
     if body is None:
         return ""
-
-    def prune(node: ET.Element) -> None:
-        previous: ET.Element | None = None
-        for child in list(node):
-            if _local(child.tag) in ("fig", "table-wrap"):
-                tail = child.tail or ""
-                if previous is None:
-                    node.text = (node.text or "") + tail
-                else:
-                    previous.tail = (previous.tail or "") + tail
-                node.remove(child)
-            else:
-                prune(child)
-                previous = child
-
-    prune(body)
-    return "\n\n".join(_stripped(e) for e in body.iter() if e is not body and _local(e.tag) == "p")
+    return "\n\n".join(_stripped(p, LEFT_OUT) for p in _paragraphs(body))
 
 
 def xml_articles(files: DataFrame) -> DataFrame:
