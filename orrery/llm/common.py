@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -60,7 +61,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orrery-"))
-    return df.checkpoint(eager=True)
+    cut = df.checkpoint(eager=True)
+    # shuffles that only the cut lineage held can go now, not when the driver next happens to collect
+    gc.collect()
+    spark._jvm.System.gc()
+    return cut
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

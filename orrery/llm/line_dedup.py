@@ -6,11 +6,13 @@ more, and a line is removed when a line before it (by document id, then line)
 matches it.  All lines are judged on the input, not on what is left.  Lines of
 fewer than five words never match and always stay.
 
-Tokens are ordered by rarity, from a fixed-size sketch of all token counts (an
-order only: it can't change the result).  Lines with the same token set are one
-class.  A class is sent to the tokens of its prefix, ``n - ceil(0.75 n) + 1`` of the
-rarest; classes that meet pass the length and positional filters, and are then
-verified on their whole token sets.
+Tokens are ordered by the rarity of their rarest word, from a fixed-size sketch of
+all word counts (an order only: it can't change the result).  Lines with the same
+token set are one class.  A class is sent to the tokens of its prefix,
+``n - ceil(0.75 n) + 3`` of the rarest, of which matching classes share three;
+classes that meet pass the length and positional filters, and are then verified on
+their whole token sets: first against the earliest of each token, so that a group
+of copies isn't paired, then what found no match against all earlier ones.
 
 DataFrame functions only.  Null texts and ids are carried: a null text has no lines, a null id
 comes before all others.  Rows that repeat an id share its position, so neither
@@ -19,12 +21,14 @@ comes later than the other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, documents
 
 WORDS, PER_CENT = 5, 75
+#: Lines that match with different token sets share this many tokens at least (3 of 4 is the smallest case).
+SHARED = 3
 #: Counters of the rarity sketch; its levels travel as one literal of this many small numbers.
 SKETCH = 1 << 15
 HASH_BITS = 56
@@ -41,72 +45,97 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def shingles(line: Column) -> Column:
-    """Hashes (``HASH_BITS`` wide) of the distinct shingles; empty for lines of fewer words."""
-    words = F.filter(F.split(F.translate(F.lower(line), "\t\r\f\v", "    "), " "), lambda w: w != "")
+def _words(line: Column) -> Column:
+    return F.filter(F.split(F.translate(F.lower(line), "\t\r\f\v", "    "), " "), lambda w: w != "")
+
+
+def shingles(line: Column, levels: Column | None = None) -> Column:
+    """Hashes (``HASH_BITS`` wide) of the distinct shingles; empty for lines of fewer words.
+
+    With ``levels`` (of word buckets) each has the level of its rarest word in
+    the bits above, so that ascending order is rarest first.
+    """
     mask = F.lit((1 << HASH_BITS) - 1)
 
     def of(h: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(h) - (WORDS - 1)), lambda i: F.xxhash64(F.slice(h, i, WORDS)).bitwiseAND(mask))
-        return F.when(F.size(h) >= WORDS, F.array_distinct(grams)).otherwise(F.array().cast("array<bigint>"))
+        at = F.sequence(F.lit(1), F.size(h) - (WORDS - 1))
+        token = lambda i: F.xxhash64(F.slice(h, i, WORDS)).bitwiseAND(mask)
+        if levels is None:
+            found = F.transform(at, token)
+        else:
+            found = _let(F.transform(h, lambda x: F.get(levels, F.pmod(x, F.lit(SKETCH)).cast("int"))), lambda v: F.transform(at, lambda i: F.shiftleft(F.array_min(F.slice(v, i, WORDS)).cast("long"), HASH_BITS).bitwiseOR(token(i))))
+        return F.when(F.size(h) >= WORDS, F.array_distinct(found)).otherwise(F.array().cast("array<bigint>"))
 
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), of)
+    return _let(F.transform(_words(line), lambda w: F.xxhash64(w)), of)
 
 
 def rarity_levels(found: DataFrame) -> Column:
-    """An array literal: for each of ``SKETCH`` buckets of tokens, twice log2 of how many fell there."""
-    buckets = found.select(F.explode("tokens").alias("token")).groupBy(F.pmod("token", F.lit(SKETCH)).alias("bucket"))
-    rows = buckets.agg(F.floor(2 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level")).collect()  # SKETCH rows at most
+    """An array literal: for each of ``SKETCH`` buckets of words, four times log2 of how many fell there."""
+    words = found.select(F.explode(F.split(F.translate(F.lower("line"), "\t\r\f\v", "    "), " ")).alias("word"))
+    buckets = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(SKETCH)).alias("bucket"))
+    rows = buckets.agg(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level")).collect()  # SKETCH rows at most
     levels = [0] * SKETCH
     for r in rows:
         levels[r["bucket"]] = min(127, r["level"])
     return F.from_json(F.lit("[" + ",".join(map(str, levels)) + "]"), "array<int>")
 
 
-def _ordered(tokens: Column, levels: Column) -> Column:
-    """Tokens with their level in the top bits, rarest first."""
-    return F.sort_array(F.transform(tokens, lambda t: F.shiftleft(F.get(levels, F.pmod(t, F.lit(SKETCH)).cast("int")).cast("long"), HASH_BITS).bitwiseOR(t)))
+def _filters(per_cent: int, a: str, b: str) -> Column:
+    """The length and positional filters of two packed places (size above, position in order below)."""
+    na, nb = F.shiftright(a, 32), F.shiftright(b, 32)
+    i, j = F.col(a).bitwiseAND(F.lit(0xFFFFFFFF)), F.col(b).bitwiseAND(F.lit(0xFFFFFFFF))
+    length = 100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)
+    # common tokens up to this one number SHARED - 1 or fewer where the prefixes' first SHARED are concerned
+    return length & ((100 + per_cent) * (F.least(na - i, nb - j) + F.lit(SHARED - 1)) >= per_cent * (na + nb))
+
+
+def _verified(pairs: DataFrame, tokens: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs ``a, b`` whose whole token sets are alike enough."""
+    whole = pairs.join(tokens.select(F.col("class").alias("a"), F.col("tokens").alias("ta")), "a").join(tokens.select(F.col("class").alias("b"), F.col("tokens").alias("tb")), "b")
+    shared = F.size(F.array_intersect("ta", "tb"))
+    return whole.where(100 * shared >= per_cent * (F.size("ta") + F.size("tb") - shared)).select("a", "b")
 
 
 def matches(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
-    """``doc_id, line_no, first_doc_id, first_line_no`` of every line that an earlier line matches, with the earliest such line."""
+    """``doc_id, line_no`` of every line that an earlier line matches."""
     everything = lines(docs)
-    levels = rarity_levels(everything.select(shingles(F.col("line")).alias("tokens")))
+    levels = rarity_levels(everything)
     least = lambda n: F.floor((per_cent * n + 99) / 100)
-    ordered = everything.select("doc_id", "line_no", F.xxhash64("line").alias("line_hash"), _ordered(shingles(F.col("line")), levels).alias("tokens")).where(F.size("tokens") > 0)
+    ordered = everything.select("doc_id", "line_no", F.xxhash64("line").alias("line_hash"), F.sort_array(shingles(F.col("line"), levels)).alias("tokens")).where(F.size("tokens") > 0)
     n = F.size("tokens")
-    described = checkpointed(ordered.select("doc_id", "line_no", "line_hash", F.xxhash64("tokens").alias("class"), n.alias("n"), F.slice("tokens", F.lit(1), (n - least(n) + 1).cast("int")).alias("prefix")))
+    prefix = F.slice("tokens", F.lit(1), F.least(n, n - least(n) + SHARED).cast("int"))
+    described = checkpointed(ordered.select("doc_id", "line_no", "line_hash", F.xxhash64("tokens").alias("class"), n.alias("n"), prefix.alias("prefix")))
     place = F.struct("doc_id", "line_no")
-    classes = described.groupBy("class").agg(F.min(F.struct("doc_id", "line_no", "line_hash", "n", "prefix")).alias("first"), F.count(F.lit(1)).alias("copies"))
 
-    sent = classes.select(F.posexplode("first.prefix").alias("pos", "token"), "class", F.col("first.n").alias("n"))
+    # one row per class and prefix token; tokens of a single class go, and classes that share too few
+    classes = described.groupBy("class").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    sent = classes.select(F.posexplode("prefix").alias("pos", "token"), "class", "n")
     sent = sent.select("token", "class", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos")).alias("place"))
-    a, b = sent.select("token", F.col("class").alias("a"), F.col("place").alias("pa")), sent.select("token", F.col("class").alias("b"), F.col("place").alias("pb"))
-    na, nb = F.shiftright("pa", 32), F.shiftright("pb", 32)
-    i, j = F.col("pa").bitwiseAND(F.lit(0xFFFFFFFF)), F.col("pb").bitwiseAND(F.lit(0xFFFFFFFF))
-    length = 100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)
-    # of two matching lines' common tokens the first leaves enough on both sides
-    position = (100 + per_cent) * F.least(na - i, nb - j) >= per_cent * (na + nb)
-    pairs = checkpointed(a.join(b, "token").where((F.col("a") < F.col("b")) & length & position).select("a", "b").distinct())
+    met = checkpointed(sent.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1").drop("k"))
+    met = met.join(met.groupBy("class").count().where(F.col("count") >= SHARED).select("class"), "class", "left_semi")
+    ids = met.select("class").distinct()
+    own = checkpointed(described.join(ids, "class", "left_semi").groupBy("class").agg(F.min(place).alias("first"), F.min("line_hash").alias("line_hash")))
+    members = checkpointed(met.join(own.select("class", "first"), "class"))
 
-    met = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    firsts = checkpointed(described.join(met, "class", "left_semi").groupBy("class").agg(F.min("line_hash").alias("line_hash")))
-    hashes = firsts.select("line_hash").distinct()
+    hashes = own.select("line_hash").distinct()
     few = hashes.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     known = everything.select("line", F.xxhash64("line").alias("line_hash")).join(F.broadcast(hashes) if few else hashes, "line_hash", "left_semi")
-    tokens = known.groupBy("line_hash").agg(F.first("line").alias("line")).select("line_hash", shingles(F.col("line")).alias("tokens"))
-    tokens = checkpointed(firsts.join(tokens, "line_hash").select("class", "tokens"))
-    whole = pairs.join(tokens.select(F.col("class").alias("a"), F.col("tokens").alias("ta")), "a").join(tokens.select(F.col("class").alias("b"), F.col("tokens").alias("tb")), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    verified = checkpointed(whole.where(100 * shared >= per_cent * (F.size("ta") + F.size("tb") - shared)).select("a", "b"))
+    known = known.groupBy("line_hash").agg(F.first("line").alias("line")).select("line_hash", shingles(F.col("line")).alias("tokens"))
+    tokens = checkpointed(own.join(known, "line_hash").select("class", "tokens"))
+
+    # every class against the earliest of each of its tokens; then only what has found no match, against all earlier ones
+    earliest = members.groupBy("token").agg(F.min(F.struct("first", "class", "place")).alias("p"))
+    star = members.join(earliest, "token").select(F.col("p.class").alias("a"), F.col("class").alias("b"), F.col("p.first").alias("fa"), F.col("first").alias("fb"), F.col("p.place").alias("pa"), F.col("place").alias("pb"))
+    star = star.where((F.col("fa") < F.col("fb")) & _filters(per_cent, "pa", "pb")).select("a", "b").distinct()
+    found = checkpointed(_verified(star, tokens, per_cent).select(F.col("b").alias("class")).distinct())
+    open_ = members.join(found, "class", "left_anti").select("token", F.col("class").alias("b"), F.col("first").alias("fb"), F.col("place").alias("pb"))
+    before = members.select("token", F.col("class").alias("a"), F.col("first").alias("fa"), F.col("place").alias("pa"))
+    rest = open_.join(before, "token").where((F.col("fa") < F.col("fb")) & _filters(per_cent, "pa", "pb")).groupBy("a", "b").count().where(F.col("count") >= SHARED).select("a", "b")
+    found = found.union(_verified(rest, tokens, per_cent).select("b")).distinct().withColumn("near", F.lit(True))
 
-    either = verified.union(verified.select("b", "a")).toDF("class", "other")
-    own = described.join(either.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min(place).alias("first"))
-    near = either.join(own.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.min("first").alias("near"))
-    copied = described.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
-    earliest = copied.join(near, "class", "left").where((F.col("copies") > 1) | (F.col("near") < F.col("first"))).select("class", F.least("first", F.coalesce("near", "first")).alias("earliest"))
-    later = described.select("class", place.alias("place")).join(earliest, "class").where(F.col("earliest") < F.col("place"))
-    return later.select("place.doc_id", "place.line_no", F.col("earliest.doc_id").alias("first_doc_id"), F.col("earliest.line_no").alias("first_line_no")).distinct()
+    info = described.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")).join(found, "class", "left").where((F.col("copies") > 1) | F.col("near"))
+    later = described.select("class", "doc_id", "line_no").join(info, "class").where(F.coalesce("near", F.lit(False)) | (F.col("first") < place))
+    return later.select("doc_id", "line_no").distinct()
 
 
 def dedup_lines(df: DataFrame) -> DataFrame:
@@ -131,12 +160,9 @@ tokens as (
 sizes as (select doc_id, line_no, count(*) n from tokens group by all),
 pairs as (
   select b.doc_id, b.line_no, a.doc_id first_doc_id, a.line_no first_line_no, count(*) shared
-  from tokens a join tokens b on a.t = b.t and (a.doc_id < b.doc_id or (a.doc_id = b.doc_id and a.line_no < b.line_no)) group by all),
-found as (
-  select p.* from pairs p
-  join sizes x on x.doc_id = p.doc_id and x.line_no = p.line_no
-  join sizes y on y.doc_id = p.first_doc_id and y.line_no = p.first_line_no
-  where 100 * shared >= 75 * (x.n + y.n - shared))
-select doc_id, cast(line_no as int) line_no, first_doc_id, cast(first_line_no as int) first_line_no
-from found qualify row_number() over (partition by doc_id, line_no order by first_doc_id, first_line_no) = 1
+  from tokens a join tokens b on a.t = b.t and (a.doc_id < b.doc_id or (a.doc_id = b.doc_id and a.line_no < b.line_no)) group by all)
+select distinct p.doc_id, cast(p.line_no as int) line_no from pairs p
+join sizes x on x.doc_id = p.doc_id and x.line_no = p.line_no
+join sizes y on y.doc_id = p.first_doc_id and y.line_no = p.first_line_no
+where 100 * shared >= 75 * (x.n + y.n - shared)
 """
