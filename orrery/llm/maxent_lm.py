@@ -4,8 +4,8 @@ Tokens are lower-cased (A-Z) words and one end per text.  The ``SHORT`` most
 frequent words form classes of equal size; all others fall in tail classes by
 their shape.  ``P(w | h) = P(class | h) * P(w | class, h)``: both factors
 are softmaxes over sums of weight rows, one row for each feature of the history:
-the last word, the word before it (a skip), and the hashed pair of both.  In a
-tail class the second factor is the smoothed share of counts, and a token never
+the last word, the word before it (a skip), and, for the class, the hashed pair of
+both.  In a tail class the second factor is the smoothed share of counts, and a token never
 seen in training has the Good-Turing share, so that the probabilities of all words
 and of the unknown one add up to 1.  Weights start at the smoothed unigrams.
 
@@ -37,12 +37,12 @@ from .common import bounded_batches, checkpointed, documents
 from .suffix_dedup import _frame, _parts_of
 
 SMOOTH = 0.1
-CLASSES, PER_CLASS, TAILS = 32, 32, 16
+CLASSES, PER_CLASS, TAILS = 16, 32, 16
 SHORT = CLASSES * PER_CLASS
 #: Context symbols: short words, tail shapes, and what stands before a text.
 SYMBOLS = SHORT + TAILS + 1
 PAIR_ROWS, WORD_ROWS = 1 << 14, 1 << 14
-ROUNDS, RATE, MINI_BATCH = 3, 0.25, 4096
+ROUNDS, RATE, MINI_BATCH = 3, 0.25, 8192
 #: Bytes of text in a block, blocks a training task takes, and distinct words a counting task holds.
 BLOCK_BYTES, BLOCKS_A_TASK, PART_WORDS = 12 << 20, 4, 1 << 21
 CHUNKS = 16
@@ -181,7 +181,8 @@ class Model:
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return x
 
 
 def histories(symbol: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -211,21 +212,29 @@ def target_class(symbol: np.ndarray) -> np.ndarray:
 def log_probability(m: Model, symbol: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Natural log of the class and, for short words, the word within it; in sparse batches."""
     out = np.empty(len(symbol))
-    for a in range(0, len(symbol), MINI_BATCH * 4):
-        b = a + MINI_BATCH * 4
+    for a in range(0, len(symbol), MINI_BATCH):
+        b = a + MINI_BATCH
         s, r = symbol[a:b], rows[:, a:b]
         cls = target_class(s)
-        z = _log_softmax(m.class_prior + m.weights[r[0]] + m.weights[r[1]] + m.weights[r[2]])
+        z = _log_softmax(_summed(m.class_prior, m.weights, r))
         got = z[np.arange(len(s)), cls].astype(float)
         short = np.flatnonzero(s < SHORT)
         c = cls[short]
-        q = _inner_rows(r[:, short], c)
-        z = _log_softmax(m.word_prior[c] + m.inner[q[0]] + m.inner[q[1]] + m.inner[q[2]])
+        q = _inner_rows(r[:2, short], c)
+        z = _log_softmax(_summed(m.word_prior[c], m.inner, q))
         got[short] += z[np.arange(len(short)), s[short] % PER_CLASS]
         out[a:b] = got
     return out
 
 
+def _summed(prior: np.ndarray, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = table[rows[0]]
+    for r in rows[1:]:
+        z += table[r]
+    z += prior
+    return z
+
+
 def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
     """One Adagrad step of the rows that a mini-batch touches."""
     for r in rows:
@@ -244,13 +253,13 @@ def learn(m: Model, symbol: np.ndarray, rows: np.ndarray, squares: tuple[np.ndar
     for a in range(0, len(symbol), MINI_BATCH):
         s, r = symbol[a : a + MINI_BATCH], rows[:, a : a + MINI_BATCH]
         cls = target_class(s)
-        p = np.exp(_log_softmax(m.class_prior + m.weights[r[0]] + m.weights[r[1]] + m.weights[r[2]]))
+        p = np.exp(_log_softmax(_summed(m.class_prior, m.weights, r)))
         p[np.arange(len(s)), cls] -= 1
         short = np.flatnonzero(s < SHORT)
         if len(short):
             c = cls[short]
-            q = _inner_rows(r[:, short], c)
-            z = np.exp(_log_softmax(m.word_prior[c] + m.inner[q[0]] + m.inner[q[1]] + m.inner[q[2]]))
+            q = _inner_rows(r[:2, short], c)
+            z = np.exp(_log_softmax(_summed(m.word_prior[c], m.inner, q)))
             z[np.arange(len(short)), s[short] % PER_CLASS] -= 1
             _descend(m.inner, squares[1], q, z)
         _descend(m.weights, squares[0], r, p)
@@ -290,7 +299,8 @@ def train(sent: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     spark = sent.sparkSession
     source = sent.where("kind = 0").select("block", "payload")
     n = source.count()
-    source = source.repartition(max(1, min(n, 2 * spark.sparkContext.defaultParallelism), n // BLOCKS_A_TASK), "block")
+    # no shuffle: a task takes the blocks of neighbouring partitions
+    source = source.coalesce(max(1, min(n, spark.sparkContext.defaultParallelism), n // BLOCKS_A_TASK))
     for turn in range(rounds):
         held = spark.sparkContext.broadcast(model)
 
