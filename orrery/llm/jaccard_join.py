@@ -10,11 +10,12 @@ shingles: linked texts with different sets share three there.  A document is rep
 every linked pair meets in three regions at least; a class that meets others in
 fewer links with nothing.
 
-Within the regions, pivots are documents.  Each region measures its members'
-distances to one pivot; members within ``r`` are linked to it, and what is linked
-needs no further pair.  Regions whose members are still in several components
-recurse with new pivots, and what remains joins pair by pair inside
-triangle-inequality windows: ``|d(x, p) - d(y, p)| <= r``.  Nothing is capped.
+Within the regions, pivots are documents.  Every member is held against its
+region's two pivots; what is linked to one needs no further pair.  Regions whose
+members are then still in several components are joined pair by pair across those.
+The triangle inequality bounds both steps: through the empty set it gives the length
+filter, and through the windows the number of regions that two linked documents
+must share, so only few pairs have their whole sets measured.  Nothing is capped.
 
 The rarity order comes from a fixed-size sketch of all shingle counts (any fixed
 order gives the same links; a good one keeps common passages out of the
@@ -47,8 +48,6 @@ SKETCH_BITS, SKETCH_BLOCKS = 20, 64
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
 #: Bits of the filter that keeps texts without a candidate out of a shuffle; when it fills up it only filters less.
 FILTER_BITS = 23
-#: Rounds in which regions choose new pivots before the windows are joined.
-PIVOT_ROUNDS = 2
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -300,46 +299,47 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _may_link(a: str, b: str, per_cent: int) -> Column:
-    """The length filter."""
-    return 100 * F.least(a, b) >= per_cent * F.greatest(a, b)
+def _may_link(per_cent: int) -> Column:
+    """The length filter, and the least number of regions that two linked sets of these sizes share.
+
+    Of ``o`` common shingles at least (``o`` from the sizes) all but those behind the longer
+    window lie in both windows.
+    """
+    na, nb = F.col("na"), F.col("nb")
+    common = F.ceil(per_cent * (na + nb) / F.lit(100 + per_cent))
+    behind = F.greatest(*[n - F.least(n, n - F.ceil(per_cent * n / F.lit(100)) + SHARED) for n in (na, nb)])
+    return (100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)) & (F.col("regions") >= common - behind)
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
+    """``a, b`` of the pairs (``a, b, na, nb``) whose whole sets are near enough."""
+    both = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class")))
+    shared = measured(pairs.select("a", "b"), members(docs, both)).join(pairs, ["a", "b"])
+    return shared.where(100 * F.col("shared") >= per_cent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
+def links(entries: DataFrame, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """``a, b``: links between classes, enough of them to connect whatever the join connects."""
-    spark = entries.sparkSession
-    found = spark.createDataFrame([], "a long, b long")
-    entries = entries.withColumn("component", F.col("class")).withColumn("d", F.lit(None).cast("double"))
-    is_near = 100 * F.col("shared") >= per_cent * (F.col("na") + F.col("nb") - F.col("shared"))
-    for turn in range(PIVOT_ROUNDS):
-        # a region is done when its members are in one component
-        state = entries.groupBy("seed").agg(F.min(F.struct("component", "class", "n")).alias("lo"), F.max(F.struct("component", "class", "n")).alias("hi")).where("lo.component <> hi.component")
-        pivot = F.col("lo") if turn % 2 == 0 else F.col("hi")
-        pivots = state.select("seed", pivot["class"].alias("pivot"), pivot["n"].alias("np"), pivot["component"].alias("pc"))
-        active = checkpointed(entries.join(pivots, "seed"))
-        pairs = active.where((F.col("class") != F.col("pivot")) & _may_link("n", "np", per_cent)).select(F.col("class").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na"), F.col("np").alias("nb")).distinct()
-        distances = checkpointed(measured(pairs.select("a", "b"), known).join(pairs, ["a", "b"]).select("a", "b", "shared", (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("likeness"), is_near.alias("near")))
-        found = checkpointed(found.union(distances.where("near").select("a", "b")))
-        labels = components(found)
-        # the distance to this region's pivot makes the triangle window of the last join
-        at = active.join(distances.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "likeness"), ["class", "pivot"], "left")
-        at = at.select("seed", "class", "n", F.when(F.col("class") == F.col("pivot"), F.lit(0.0)).otherwise(1 - F.col("likeness")).alias("d"))
-        at = at.join(labels.select(F.col("node").alias("class"), F.col("component").alias("label")), "class", "left")
-        entries = checkpointed(at.select("seed", "class", "n", F.coalesce("label", "class").alias("component"), "d"))
-        if entries.isEmpty():
-            return found
-    # what remains: members of different components, within the windows
-    rest = entries.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
-    rest = checkpointed(entries.join(rest, "seed", "left_semi"))
-    if rest.isEmpty():
+    state = F.struct("class", "n")
+    pivots = entries.groupBy("seed").agg(F.min(state).alias("lo"), F.max(state).alias("hi")).where("lo.class <> hi.class")
+    pivots = pivots.select("seed", F.explode(F.array("lo", "hi")).alias("p")).select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"))
+    # first every member against its regions' two pivots ...
+    star = entries.join(pivots, "seed").where(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb")
+    star = checkpointed(star.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("regions")).where(_may_link(per_cent)))
+    found = checkpointed(_linked(star, docs, per_cent))
+    # ... then the regions whose members are still in several components, pair by pair across those
+    labels = components(found)
+    placed = entries.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    open_ = placed.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
+    placed = checkpointed(placed.join(open_, "seed", "left_semi"))
+    if placed.isEmpty():
         return found
-    x = rest.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("d").alias("da"))
-    y = rest.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("d").alias("db"))
-    radius = 1 - per_cent / 100 + 1e-9
-    in_window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= radius, F.lit(True))
-    pairs = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _may_link("na", "nb", per_cent) & in_window).select("a", "b", "na", "nb").distinct()
-    distances = measured(pairs.select("a", "b"), known).join(pairs, ["a", "b"]).where(is_near)
-    return checkpointed(found.union(distances.select("a", "b")))
+    x = placed.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = placed.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    alike = 100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb")
+    pairs = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
+    pairs = checkpointed(pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("regions")).where(_may_link(per_cent)).join(star.select("a", "b"), ["a", "b"], "left_anti").join(star.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    return found if pairs.isEmpty() else checkpointed(found.union(_linked(pairs, docs, per_cent)))
 
 
 def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -349,7 +349,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     met = checkpointed(regions(docs, levels, total, per_cent))
     entries = checkpointed(met.join(met.groupBy("class").count().where(F.col("count") >= SHARED), "class", "left_semi"))
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
-    joined = components(links(entries, members(docs, entries), per_cent)).select(F.col("node").alias("class"), "component")
+    joined = components(links(entries, docs, per_cent)).select(F.col("node").alias("class"), "component")
     of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
     lowest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     final = of_class.join(lowest, "component").select("class", "component_id")
