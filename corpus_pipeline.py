@@ -26,7 +26,7 @@ def _recounted(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more stay."""
     model = quality_gam.train(keyed_text(docs), table(spark, sf_dir, "labels"), quality_gam.remainder(3) != 1)
-    return quality_gam.with_score(docs, model, name="_quality").where("_quality >= 0.5").drop("_quality")
+    return quality_gam.with_score(docs, model, name="__quality").where("__quality >= 0.5").drop("__quality")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays; rows that repeat become one."""
     found = jaccard_join.near_duplicates(keyed_text(docs))
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_doc")).distinct()
+    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__kept_doc")), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

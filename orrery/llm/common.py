@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -57,10 +59,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     A folder of our own is set only where the session names none (tests).
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orrery-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orrery-"))
     cut = df.checkpoint(eager=True)
     # shuffles that only the cut lineage held can go now, not when the driver next happens to collect
     gc.collect()
@@ -70,8 +70,5 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir``, for files that all executors see."""
-    import tempfile
-    import uuid
-
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="orrery-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

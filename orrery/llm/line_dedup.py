@@ -139,11 +139,14 @@ def matches(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
 
 
 def dedup_lines(df: DataFrame) -> DataFrame:
-    """All rows and columns of ``df`` (``doc_id, text, ...``) without the lines that match an earlier one."""
-    gone = matches(df.select("doc_id", "text")).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = df.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).select(*df.columns)
+    """All rows and columns of ``df`` (``doc_id, text, ...``) without the lines that match an earlier one.
+
+    Columns whose names begin with ``__line_`` are reserved.
+    """
+    gone = matches(df.select("doc_id", "text")).groupBy(F.col("doc_id").alias("__line_doc")).agg(F.collect_set("line_no").alias("__line_gone"))
+    joined = df.join(gone, F.col("doc_id").eqNullSafe(F.col("__line_doc")), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__line_gone", i)), "\n")
+    return joined.withColumn("text", F.when(F.col("__line_gone").isNull(), F.col("text")).otherwise(kept)).select(*df.columns)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
