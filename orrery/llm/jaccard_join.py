@@ -11,8 +11,9 @@ every linked pair meets in three regions at least; a class that meets others in
 fewer links with nothing.
 
 Within the regions, pivots are documents.  Every member is held against its
-region's two pivots; what is linked to one needs no further pair.  Regions whose
-members are then still in several components are joined pair by pair across those.
+region's pivots, first two and then eight more; what is linked to one needs no
+further pair.  Regions whose members are then still in several components are joined
+pair by pair across those.
 The triangle inequality bounds both steps: through the empty set it gives the length
 filter, and through the windows the number of regions that two linked documents
 must share, so only few pairs have their whole sets measured.  Nothing is capped.
@@ -44,6 +45,8 @@ WORDS, PER_CENT = 5, 75
 #: windows are that much wider and a class that meets others in fewer regions is dropped.
 SHARED = 3
 SKETCH_BITS, SKETCH_BLOCKS = 20, 64
+#: Pivots that a region draws when its first two leave it in several components.
+PIVOTS = 8
 #: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 20 bytes).
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
 #: Bits of the filter that keeps texts without a candidate out of a shuffle; when it fills up it only filters less.
@@ -83,32 +86,31 @@ def window(n: int, per_cent: int = PER_CENT) -> int:
     return min(n, n - (per_cent * n + 99) // 100 + SHARED)
 
 
-def sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, class`` of every text (class null where the set is empty)."""
+def described(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
+    """One pass over the texts: their sets' sizes and classes, and how rare shingles are.
 
-    def rows(batch: pa.RecordBatch) -> dict[str, list]:
-        found = [shingles(t.as_py()) for t in batch.column("text")]
-        return {"doc_id": batch.column("doc_id"), "n": [len(s) for s in found], "class": [class_of(s) if len(s) else None for s in found]}
-
-    return map_arrow(docs, "doc_id long, n long, class long", rows)
-
-
-def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """A level for each of ``2**SKETCH_BITS`` buckets of shingles (log2 of their count over all texts), and the total.
-
-    Every task adds up its own counts; the sums are dealt by block and added
-    as they stream in.  A megabyte, at any size of input, reaches the driver.
+    The table has ``doc_id, n, class`` (null where the set is empty).  The array has a
+    level for each of ``2**SKETCH_BITS`` buckets of shingles (log2 of their count over all
+    texts); the number is their total.  Every task adds up its own counts, the sums are
+    dealt by block and added as they stream in: a megabyte, at any size of input,
+    reaches the driver.
     """
     size, width = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // SKETCH_BLOCKS
     bounded_batches(docs.sparkSession)
+    names = ["doc_id", "n", "class", "block", "counts"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            parts = [shingles(t.as_py()) >> np.uint64(64 - SKETCH_BITS) for t in batch.column("text")]
-            total += np.bincount(np.concatenate(parts).astype(np.int64), minlength=size) if parts else 0
+            found = [shingles(t.as_py()) for t in batch.column("text")]
+            if found:
+                total += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+            columns = [batch.column("doc_id"), [len(s) for s in found], [class_of(s) if len(s) else None for s in found], [None] * len(found), [None] * len(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c.cast(t) for c, t in zip(columns, types)], names=names)
         blocks = [zlib.compress(total[i * width : (i + 1) * width].tobytes(), 1) for i in range(SKETCH_BLOCKS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "counts"])
+        nothing = [pa.nulls(SKETCH_BLOCKS, t) for t in types[:3]]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], names=names)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -120,11 +122,12 @@ def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
             level = np.log2(total + 1).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([level], pa.binary()), pa.array([int(total.sum())], pa.int64())], names=["block", "level", "total"])
 
-    found = docs.select("text").mapInArrow(count, "block int, counts binary").repartition(SKETCH_BLOCKS, "block").mapInArrow(add, "block int, level binary, total long").collect()
+    both = checkpointed(docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n long, class long, block int, counts binary"))
+    sums = both.where("block is not null").select("block", "counts").repartition(SKETCH_BLOCKS, "block").mapInArrow(add, "block int, level binary, total long").collect()
     levels = np.zeros(size, np.uint8)
-    for row in found:
+    for row in sums:
         levels[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["level"], np.uint8)
-    return levels, sum(row["total"] for row in found)
+    return both.where("block is null").select("doc_id", "n", "class"), levels, sum(row["total"] for row in sums)
 
 
 def regions(docs: DataFrame, levels: np.ndarray, total: int, per_cent: int = PER_CENT) -> DataFrame:
@@ -318,34 +321,52 @@ def _linked(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
     return shared.where(100 * F.col("shared") >= per_cent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
+def _against_pivots(entries: DataFrame, pivots: list[Column], per_cent: int) -> DataFrame:
+    """Candidate pairs of every member with its region's pivots in other components.
+
+    ``pivots`` are aggregates of ``entries`` (``seed, class, n, component``), a struct
+    of those each.  A pair counts the regions in which one is the other's pivot.
+    """
+    chosen = entries.groupBy("seed").agg(F.array(*pivots).alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    chosen = chosen.select("seed", F.explode("p").alias("p")).select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"), F.col("p.component").alias("cb")).distinct()
+    met = entries.join(chosen, "seed").where((F.col("component") != F.col("cb")) & (100 * F.least("n", "nb") >= per_cent * F.greatest("n", "nb")))
+    pairs = met.groupBy(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb").agg(F.count(F.lit(1)).alias("regions"))
+    return checkpointed(pairs.where(_may_link(per_cent)))
+
+
+def _placed(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries with their components by the links found, of the regions that still hold several."""
+    labels = components(found).withColumnRenamed("node", "class").withColumnRenamed("component", "label")
+    placed = entries.join(labels, "class", "left").select("seed", "class", "n", F.coalesce("label", "class").alias("component"))
+    open_ = placed.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
+    return checkpointed(placed.join(open_, "seed", "left_semi"))
+
+
 def links(entries: DataFrame, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """``a, b``: links between classes, enough of them to connect whatever the join connects."""
-    state = F.struct("class", "n")
-    pivots = entries.groupBy("seed").agg(F.min(state).alias("lo"), F.max(state).alias("hi")).where("lo.class <> hi.class")
-    pivots = pivots.select("seed", F.explode(F.array("lo", "hi")).alias("p")).select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"))
-    # first every member against its regions' two pivots ...
-    star = entries.join(pivots, "seed").where(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb")
-    star = checkpointed(star.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("regions")).where(_may_link(per_cent)))
-    found = checkpointed(_linked(star, docs, per_cent))
-    # ... then the regions whose members are still in several components, pair by pair across those
-    labels = components(found)
-    placed = entries.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    open_ = placed.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
-    placed = checkpointed(placed.join(open_, "seed", "left_semi"))
-    if placed.isEmpty():
-        return found
-    x = placed.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = placed.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    entries = entries.withColumn("component", F.col("class"))
+    state = F.struct("class", "n", "component")
+    pairs = _against_pivots(entries, [F.min(state), F.max(state)], per_cent)
+    found = checkpointed(_linked(pairs, docs, per_cent))
+    # regions whose members are still in several components choose more pivots, at random ...
+    entries = _placed(entries, found)
+    drawn = [F.min_by(state, F.xxhash64("class", F.lit(i))) for i in range(PIVOTS)]
+    pairs = _against_pivots(entries, drawn, per_cent)
+    if not pairs.isEmpty():
+        found = checkpointed(found.union(_linked(pairs, docs, per_cent)))
+        entries = _placed(entries.drop("component"), found)
+    # ... and what is left after those is joined pair by pair across components
+    x = entries.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = entries.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     alike = 100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb")
-    pairs = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
-    pairs = checkpointed(pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("regions")).where(_may_link(per_cent)).join(star.select("a", "b"), ["a", "b"], "left_anti").join(star.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-    return found if pairs.isEmpty() else checkpointed(found.union(_linked(pairs, docs, per_cent)))
+    rest = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
+    rest = checkpointed(rest.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("regions")).where(_may_link(per_cent)))
+    return found if rest.isEmpty() else checkpointed(found.union(_linked(rest, docs, per_cent)))
 
 
 def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``)."""
-    every = checkpointed(sets(docs))
-    levels, total = rarity(docs)
+    every, levels, total = described(docs)
     met = checkpointed(regions(docs, levels, total, per_cent))
     entries = checkpointed(met.join(met.groupBy("class").count().where(F.col("count") >= SHARED), "class", "left_semi"))
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
