@@ -3,8 +3,10 @@
 A line's tokens are its distinct five-word shingles (A-Z and other letters in
 lower case).  Two lines match when the Jaccard likeness of their tokens is 0.75 or
 more, and a line is removed when a line before it (by document id, then line)
-matches it.  All lines are judged on the input, not on what is left.  Lines of
-fewer than five words never match and always stay.
+matches it.  All lines are judged on the input, not on what is left.  A line of one
+to four words has its whole word sequence as its single token, so equal ones match;
+with ``short=False``, as in the query's SQL, these lines never match and always stay.
+Lines without a word always stay.
 
 Tokens are ordered by the rarity of their rarest word, from a fixed-size sketch of
 all word counts (an order only: it can't change the result).  Lines with the same
@@ -49,8 +51,8 @@ def _words(line: Column) -> Column:
     return F.filter(F.split(F.translate(F.lower(line), "\t\r\f\v", "    "), " "), lambda w: w != "")
 
 
-def shingles(line: Column, levels: Column | None = None) -> Column:
-    """Hashes (``HASH_BITS`` wide) of the distinct shingles; empty for lines of fewer words.
+def shingles(line: Column, levels: Column | None = None, short: bool = True) -> Column:
+    """Hashes (``HASH_BITS`` wide) of the distinct shingles; lines of fewer words have one of all their words, or none unless ``short``.
 
     With ``levels`` (of word buckets) each has the level of its rarest word in
     the bits above, so that ascending order is rarest first.
@@ -58,13 +60,13 @@ def shingles(line: Column, levels: Column | None = None) -> Column:
     mask = F.lit((1 << HASH_BITS) - 1)
 
     def of(h: Column) -> Column:
-        at = F.sequence(F.lit(1), F.size(h) - (WORDS - 1))
+        at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(h) - (WORDS - 1)))
         token = lambda i: F.xxhash64(F.slice(h, i, WORDS)).bitwiseAND(mask)
         if levels is None:
             found = F.transform(at, token)
         else:
             found = _let(F.transform(h, lambda x: F.get(levels, F.pmod(x, F.lit(SKETCH)).cast("int"))), lambda v: F.transform(at, lambda i: F.shiftleft(F.array_min(F.slice(v, i, WORDS)).cast("long"), HASH_BITS).bitwiseOR(token(i))))
-        return F.when(F.size(h) >= WORDS, F.array_distinct(found)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(h) >= (1 if short else WORDS), F.array_distinct(found)).otherwise(F.array().cast("array<bigint>"))
 
     return _let(F.transform(_words(line), lambda w: F.xxhash64(w)), of)
 
@@ -96,12 +98,12 @@ def _verified(pairs: DataFrame, tokens: DataFrame, per_cent: int) -> DataFrame:
     return whole.where(100 * shared >= per_cent * (F.size("ta") + F.size("tb") - shared)).select("a", "b")
 
 
-def matches(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
+def matches(docs: DataFrame, per_cent: int = PER_CENT, short: bool = True) -> DataFrame:
     """``doc_id, line_no`` of every line that an earlier line matches."""
     everything = lines(docs)
     levels = rarity_levels(everything)
     least = lambda n: F.floor((per_cent * n + 99) / 100)
-    ordered = everything.select("doc_id", "line_no", F.xxhash64("line").alias("line_hash"), F.sort_array(shingles(F.col("line"), levels)).alias("tokens")).where(F.size("tokens") > 0)
+    ordered = everything.select("doc_id", "line_no", F.xxhash64("line").alias("line_hash"), F.sort_array(shingles(F.col("line"), levels, short)).alias("tokens")).where(F.size("tokens") > 0)
     n = F.size("tokens")
     prefix = F.slice("tokens", F.lit(1), F.least(n, n - least(n) + SHARED).cast("int"))
     described = checkpointed(ordered.select("doc_id", "line_no", "line_hash", F.xxhash64("tokens").alias("class"), n.alias("n"), prefix.alias("prefix")))
@@ -150,7 +152,7 @@ def dedup_lines(df: DataFrame) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches(documents(spark, sf_dir))
+    return matches(documents(spark, sf_dir), short=False)
 
 
 ORACLE = r"""

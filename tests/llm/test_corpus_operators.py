@@ -143,6 +143,14 @@ def test_line_dedup(spark, docs, tmp_path):
         assert texts[i] == (None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want))
 
 
+def test_line_dedup_short_lines(spark):
+    rows = [(1, "Chapter One\n\nx\na b c d"), (2, "chapter  one\n \nX\nA b c d e"), (3, "a b c d\nchapter two\n\nchapter one x"), (4, "a b c d e\nb a c d")]
+    got = {(r.doc_id, r.line_no) for r in line_dedup.matches(frame(spark, rows)).collect()}
+    assert got == {(2, 0), (2, 2), (3, 0), (4, 0)}
+    texts = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert texts == {1: rows[0][1], 2: " \nA b c d e", 3: "chapter two\n\nchapter one x", 4: "b a c d"}
+
+
 def test_language_model(spark, docs):
     df = keyed_text(frame(spark, docs)).withColumn("learn", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0)
     got = {r.doc_id: r for r in maxent_lm.score_texts(df).collect()}
