@@ -62,10 +62,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orrery-"))
     cut = df.checkpoint(eager=True)
-    # shuffles that only the cut lineage held can go now, not when the driver next happens to collect
+    free_shuffles(spark)
+    return cut
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffles that only lineage now cut or dropped held can go now, not when the driver next happens to collect."""
     gc.collect()
     spark._jvm.System.gc()
-    return cut
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -1,14 +1,19 @@
 """LM scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-Tokens are lower-cased (A-Z) words and one end per text.  The ``SHORT`` most
-frequent words form classes of equal size; all others fall in tail classes by
-their shape.  ``P(w | h) = P(class | h) * P(w | class, h)``: both factors
-are softmaxes over sums of weight rows, one row for each feature of the history:
-the last word, the word before it (a skip), and, for the class, the hashed pair of
-both.  In a tail class the second factor is the smoothed share of counts, and a token never
+Tokens are lower-cased (A-Z) words and one end per text.  The most frequent words
+form classes of equal size; all others fall in tail classes by their shape.
+``P(w | h) = P(class | h) * P(w | class, h)``: both factors are softmaxes over sums
+of weight rows, one row for each feature of the history: the last word, the word
+before it (a skip), and the hashed pair of both.  In a tail class the second factor
+is a softmax over hashed buckets of words, times the word's smoothed share of its
+bucket's counts; in histories tail words go by finer buckets of their shape.  A token never
 seen in training has the Good-Turing share, so that the probabilities of all words
 and of the unknown one add up to 1.  Weights start at the smoothed unigrams.
 
+Classes, buckets and hashed rows are the constants below times ``growth``, a power of
+two that follows the cube root of the number of distinct words (a word is found by
+three choices: class or shape, bucket or place, share).
+
 Training is distributed gradient descent: in every round each task runs sparse
 mini-batches (numpy, Adagrad) over its share of texts, all training texts are
 visited once over the rounds, and the tasks' changes are averaged row by row.
@@ -33,14 +38,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, checkpointed, documents
+from .common import bounded_batches, checkpointed, documents, free_shuffles
 from .suffix_dedup import _frame, _parts_of
 
 SMOOTH = 0.1
-CLASSES, PER_CLASS, TAILS = 16, 32, 16
+CLASSES, PER_CLASS, TAILS = 32, 32, 16
 SHORT = CLASSES * PER_CLASS
-#: Context symbols: short words, tail shapes, and what stands before a text.
-SYMBOLS = SHORT + TAILS + 1
+#: Hashed buckets of each tail class: as targets, in histories, and as counted (enough for the largest growth).
+BUCKETS, HISTORY, FINE = 32, 256, 512
+#: Context symbols: short words, tail words by bucket, and what stands before a text.
+SYMBOLS = SHORT + TAILS * HISTORY + 1
 PAIR_ROWS, WORD_ROWS = 1 << 14, 1 << 14
 ROUNDS, RATE, MINI_BATCH = 3, 0.25, 8192
 #: Bytes of text in a block, blocks a training task takes, and distinct words a counting task holds.
@@ -62,6 +69,19 @@ def _shape(word: bytes) -> int:
     return kind + 8 * (not word.isascii())
 
 
+def growth(types: int) -> int:
+    """How many times the constants the tables are for so many distinct words; 16 at most, from 2**27 words on."""
+    g = 1
+    while g * BUCKETS < FINE and types >= (2 * g) ** 3 << 15:
+        g *= 2
+    return g
+
+
+def _bucket(h: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` (a power of two) by bits of the hash; those of fewer buckets are the low bits of more."""
+    return (h >> np.uint64(40)).astype(np.int64) & (n - 1)
+
+
 def blocks(docs: DataFrame, parts: int) -> DataFrame:
     """``kind, block, part, payload``: tokenised blocks (kind 0) and, for each share, their distinct words with training counts (kind 1).
 
@@ -119,7 +139,7 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def counted(sent: DataFrame, parts: int) -> DataFrame:
-    """Per share: each block's counts (kind 1, in the block's order); its most frequent words (kind 2: ``word, seen, shape``); per tail shape the counted tokens, words and words seen once (kind 3)."""
+    """Per share: each block's counts (kind 1, in the block's order); its most frequent words (kind 2: ``word, seen, shape``); per tail shape and fine bucket (``shape * FINE + bucket``) the counted tokens, words and words seen once (kind 3)."""
     schema = "kind int, block long, part int, payload binary, word long, seen long, shape int, types long, once long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,35 +168,61 @@ def counted(sent: DataFrame, parts: int) -> DataFrame:
             own = total[inverse[at : at + len(h)]]
             at += len(h)
             yield rows(kind=[1], block=[block], part=[part], payload=[zlib.compress(own.tobytes(), 1)])
-        top = np.lexsort((distinct, -total))[:SHORT]
+        # the shares are dealt by hash, so this one's words times the shares is near the number of all
+        top = np.lexsort((distinct, -total))[: SHORT * growth(2 * parts * len(distinct))]
         top = top[total[top] > 0]
         yield rows(kind=[2] * len(top), word=distinct[top].view(np.int64), seen=total[top], shape=shape[top].astype(np.int32))
-        s = range(TAILS)
-        yield rows(kind=[3] * TAILS, shape=list(s), seen=np.bincount(shape, total, TAILS).astype(np.int64), types=np.bincount(shape[seen], minlength=TAILS), once=np.bincount(shape[total == 1], minlength=TAILS))
+        cell, n = shape.astype(np.int64) * FINE + _bucket(distinct, FINE), TAILS * FINE
+        tokens, types, once = np.bincount(cell, total, n).astype(np.int64), np.bincount(cell[seen], minlength=n), np.bincount(cell[total == 1], minlength=n)
+        full = np.flatnonzero(types)
+        yield rows(kind=[3] * len(full), shape=full.astype(np.int32), seen=tokens[full], types=types[full], once=once[full])
 
     return sent.where("kind = 1").select("block", "part", "payload").repartition(parts, "part").mapInArrow(run, schema)
 
 
 @dataclass
 class Model:
-    """Fixed-size tables: priors of classes and of words within them, and weight rows."""
+    """Tables of a size that follows ``growth``: priors of classes and of words or buckets within them, and weight rows."""
 
     short: np.ndarray  # sorted hashes of the short words
     rank: np.ndarray  # their ranks by frequency
-    class_prior: np.ndarray  # (CLASSES + TAILS)
-    word_prior: np.ndarray  # (CLASSES, PER_CLASS)
-    tail_mass: np.ndarray  # smoothed counts of each tail class
+    class_prior: np.ndarray  # (classes + TAILS)
+    word_prior: np.ndarray  # (classes, PER_CLASS)
+    tail_mass: np.ndarray  # smoothed counts of each tail class's buckets
     unknown: float  # share of tokens never seen
     total: int
     types: int
     weights: np.ndarray  # history rows by class
     inner: np.ndarray  # hashed (history, class) rows by word
+    tail_prior: np.ndarray | None = None  # (TAILS, buckets)
+    tail: np.ndarray | None = None  # hashed (history, tail class) rows by bucket
+
+    @property
+    def short_words(self) -> int:
+        return self.word_prior.size
+
+    @property
+    def history(self) -> int:
+        return HISTORY * len(self.word_prior) // CLASSES
+
+    @property
+    def context_symbols(self) -> int:
+        return self.short_words + TAILS * self.history + 1
 
     def symbols(self, h: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        """Rank of each word if it is short, else ``SHORT`` + its shape."""
+        """Rank of each word if it is short, else the number of short words + its shape."""
         at = np.minimum(np.searchsorted(self.short, h), max(0, len(self.short) - 1))
         hit = self.short[at] == h if len(self.short) else np.zeros(len(h), bool)
-        return np.where(hit, self.rank[at] if len(self.rank) else 0, SHORT + shape.astype(np.int64))
+        return np.where(hit, self.rank[at] if len(self.rank) else 0, self.short_words + shape.astype(np.int64))
+
+    def contexts(self, h: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """What each word is in a history: itself if it is short, else a bucket of its shape."""
+        k = self.short_words
+        return np.where(symbol < k, symbol, k + (symbol - k) * self.history + _bucket(h, self.history))
+
+    def buckets(self, h: np.ndarray) -> np.ndarray:
+        """The bucket each word has as a target, if it isn't short."""
+        return _bucket(h, self.tail_prior.shape[1])
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -185,44 +231,56 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def histories(symbol: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Weight rows (3 by tokens) of each token's history; texts begin at ``starts``."""
-    before = SYMBOLS - 1
-    last, skip = np.empty_like(symbol), np.empty_like(symbol)
-    last[1:], skip[2:] = symbol[:-1], symbol[:-2]
+def _hashed(x: np.ndarray, multiplier: int, rows: int) -> np.ndarray:
+    """One of ``rows`` (a power of two)."""
+    return (x.astype(np.uint64) * np.uint64(multiplier) >> np.uint64(65 - rows.bit_length())).astype(np.int64)
+
+
+def histories(m: Model, context: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Weight rows (3 by tokens) of each token's history (``Model.contexts``); texts begin at ``starts``."""
+    symbols = m.context_symbols
+    before = symbols - 1
+    last, skip = np.empty_like(context), np.empty_like(context)
+    last[1:], skip[2:] = context[:-1], context[:-2]
     last[starts] = before
     skip[:2] = before
     skip[starts] = before
     second = starts[:-1][np.diff(starts) > 1] + 1 if len(starts) else starts
     skip[second] = before
-    if len(starts) and starts[-1] + 1 < len(symbol):
+    if len(starts) and starts[-1] + 1 < len(context):
         skip[starts[-1] + 1] = before
-    pair = ((skip * SYMBOLS + last).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - 14)).astype(np.int64)
-    return np.stack([last, SYMBOLS + skip, 2 * SYMBOLS + pair])
+    pair = _hashed(skip * symbols + last, 0x9E3779B97F4A7C15, len(m.weights) - 2 * symbols)
+    return np.stack([last, symbols + skip, 2 * symbols + pair])
 
 
-def _inner_rows(rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    return ((rows * CLASSES + cls).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - 14)).astype(np.int64)
+def _inner_rows(m: Model, table: np.ndarray, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Rows of ``table`` for each history row within each class."""
+    return _hashed(rows * len(m.class_prior) + cls, 0xC2B2AE3D27D4EB4F, len(table))
 
 
-def target_class(symbol: np.ndarray) -> np.ndarray:
-    return np.where(symbol < SHORT, symbol // PER_CLASS, CLASSES + symbol - SHORT)
+def target_class(m: Model, symbol: np.ndarray) -> np.ndarray:
+    k = m.short_words
+    return np.where(symbol < k, symbol // PER_CLASS, len(m.word_prior) + symbol - k)
 
 
-def log_probability(m: Model, symbol: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural log of the class and, for short words, the word within it; in sparse batches."""
+def log_probability(m: Model, symbol: np.ndarray, rows: np.ndarray, bucket: np.ndarray | None = None) -> np.ndarray:
+    """Natural log of the class and of the word within it or, for tail words with a ``bucket``, of that; in sparse batches."""
     out = np.empty(len(symbol))
     for a in range(0, len(symbol), MINI_BATCH):
         b = a + MINI_BATCH
         s, r = symbol[a:b], rows[:, a:b]
-        cls = target_class(s)
+        cls = target_class(m, s)
         z = _log_softmax(_summed(m.class_prior, m.weights, r))
         got = z[np.arange(len(s)), cls].astype(float)
-        short = np.flatnonzero(s < SHORT)
+        short = np.flatnonzero(s < m.short_words)
         c = cls[short]
-        q = _inner_rows(r[:2, short], c)
-        z = _log_softmax(_summed(m.word_prior[c], m.inner, q))
+        z = _log_softmax(_summed(m.word_prior[c], m.inner, _inner_rows(m, m.inner, r[:, short], c)))
         got[short] += z[np.arange(len(short)), s[short] % PER_CLASS]
+        if bucket is not None:
+            tail = np.flatnonzero(s >= m.short_words)
+            c = cls[tail]
+            z = _log_softmax(_summed(m.tail_prior[c - len(m.word_prior)], m.tail, _inner_rows(m, m.tail, r[:, tail], c)))
+            got[tail] += z[np.arange(len(tail)), bucket[a:b][tail]]
         out[a:b] = got
     return out
 
@@ -248,20 +306,27 @@ def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient:
         table[at] -= RATE * g / np.sqrt(q)
 
 
-def learn(m: Model, symbol: np.ndarray, rows: np.ndarray, squares: tuple[np.ndarray, np.ndarray]) -> None:
+def learn(m: Model, symbol: np.ndarray, bucket: np.ndarray, rows: np.ndarray, squares: tuple[np.ndarray, ...]) -> None:
     """Mini-batch gradient steps on the model's weights, in place."""
     for a in range(0, len(symbol), MINI_BATCH):
-        s, r = symbol[a : a + MINI_BATCH], rows[:, a : a + MINI_BATCH]
-        cls = target_class(s)
+        s, t, r = symbol[a : a + MINI_BATCH], bucket[a : a + MINI_BATCH], rows[:, a : a + MINI_BATCH]
+        cls = target_class(m, s)
         p = np.exp(_log_softmax(_summed(m.class_prior, m.weights, r)))
         p[np.arange(len(s)), cls] -= 1
-        short = np.flatnonzero(s < SHORT)
+        known = s < m.short_words
+        short, tail = np.flatnonzero(known), np.flatnonzero(~known)
         if len(short):
             c = cls[short]
-            q = _inner_rows(r[:2, short], c)
+            q = _inner_rows(m, m.inner, r[:, short], c)
             z = np.exp(_log_softmax(_summed(m.word_prior[c], m.inner, q)))
             z[np.arange(len(short)), s[short] % PER_CLASS] -= 1
             _descend(m.inner, squares[1], q, z)
+        if len(tail):
+            c = cls[tail]
+            q = _inner_rows(m, m.tail, r[:, tail], c)
+            z = np.exp(_log_softmax(_summed(m.tail_prior[c - len(m.word_prior)], m.tail, q)))
+            z[np.arange(len(tail)), t[tail]] -= 1
+            _descend(m.tail, squares[2], q, z)
         _descend(m.weights, squares[0], r, p)
 
 
@@ -272,26 +337,35 @@ def _opened(payload: bytes) -> tuple[np.ndarray, ...]:
 
 
 def start_model(stats: DataFrame) -> Model:
-    """Priors from the counts: ``SHORT`` words and ``TAILS`` sums reach the driver."""
-    top = stats.where("kind = 2").select("word", "seen", "shape").orderBy(F.desc("seen"), "word").limit(SHORT).collect()
-    sums = {r["shape"]: r for r in stats.where("kind = 3").groupBy("shape").agg(F.sum("seen").alias("seen"), F.sum("types").alias("types"), F.sum("once").alias("once")).collect()}
+    """Priors from the counts: the short words and ``TAILS * FINE`` sums at most reach the driver."""
+    seen, types, once = (np.zeros(TAILS * FINE) for _ in range(3))
+    for r in stats.where("kind = 3").groupBy("shape").agg(F.sum("seen").alias("seen"), F.sum("types").alias("types"), F.sum("once").alias("once")).collect():
+        seen[r["shape"]], types[r["shape"]], once[r["shape"]] = r["seen"], r["types"], r["once"]
+    total, words_, single = int(seen.sum()), int(types.sum()), float(once.sum())
+    g = growth(words_)
+    classes, buckets, n = CLASSES * g, BUCKETS * g, SHORT * g
+    top = stats.where("kind = 2").select("word", "seen", "shape").orderBy(F.desc("seen"), "word").limit(n).collect()
     h = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    seen = np.array([r["seen"] for r in top], float)
-    mass = np.array([sums[s]["seen"] + SMOOTH * sums[s]["types"] if s in sums else 0.0 for s in range(TAILS)])
-    for r in top:
-        mass[r["shape"]] -= r["seen"] + SMOOTH
-    mass = np.maximum(mass, 1e-9)
-    total, types, once = (sum(r[k] for r in sums.values()) for k in ("seen", "types", "once"))
-    padded = np.full(SHORT, 1e-9)
-    padded[: len(seen)] = seen + SMOOTH
-    by_class = padded.reshape(CLASSES, PER_CLASS)
-    whole = np.concatenate([by_class.sum(axis=1), mass])
+    counts = np.array([r["seen"] for r in top], float)
+    mass = seen + SMOOTH * types
+    np.subtract.at(mass, np.array([r["shape"] for r in top], np.int64) * FINE + _bucket(h, FINE), counts + SMOOTH)
+    mass = np.maximum(mass.reshape(TAILS, FINE // buckets, buckets).sum(axis=1), 1e-9)
+    padded = np.full(n, 1e-9)
+    padded[: len(counts)] = counts + SMOOTH
+    by_class = padded.reshape(classes, PER_CLASS)
+    share = lambda x: np.log(x / x.sum(axis=-1, keepdims=True)).astype(np.float32)
     order = np.argsort(h)
-    return Model(
-        h[order], np.arange(len(h))[order], np.log(whole / whole.sum()).astype(np.float32), np.log(by_class / by_class.sum(axis=1, keepdims=True)).astype(np.float32),
-        mass, max(once, SMOOTH) / (total + max(once, SMOOTH)) if total else 1.0, total, types,
-        np.zeros((2 * SYMBOLS + PAIR_ROWS, CLASSES + TAILS), np.float32), np.zeros((WORD_ROWS, PER_CLASS), np.float32),
+    m = Model(
+        h[order], np.arange(len(h))[order], share(np.concatenate([by_class.sum(axis=1), mass.sum(axis=1)])), share(by_class),
+        mass, max(single, SMOOTH) / (total + max(single, SMOOTH)) if total else 1.0, total, words_,
+        np.zeros((0, 0)), np.zeros((WORD_ROWS * g, PER_CLASS), np.float32), share(mass), np.zeros((WORD_ROWS * g, buckets), np.float32),
     )
+    m.weights = np.zeros((2 * m.context_symbols + PAIR_ROWS * g, classes + TAILS), np.float32)
+    return m
+
+
+#: The tables that training changes.
+_LEARNED = ("weights", "inner", "tail")
 
 
 def train(sent: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
@@ -299,15 +373,16 @@ def train(sent: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     spark = sent.sparkSession
     source = sent.where("kind = 0").select("block", "payload")
     n = source.count()
-    # no shuffle: a task takes the blocks of neighbouring partitions
-    source = source.coalesce(max(1, min(n, spark.sparkContext.defaultParallelism), n // BLOCKS_A_TASK))
+    # no shuffle: a task takes the blocks of neighbouring partitions, more of them as the change that it sends grows
+    g = len(model.word_prior) // CLASSES
+    source = source.coalesce(max(1, min(n, spark.sparkContext.defaultParallelism), n // (BLOCKS_A_TASK * g * g)))
     for turn in range(rounds):
         held = spark.sparkContext.broadcast(model)
 
         def descend(batches: Iterable[pa.RecordBatch], turn: int = turn) -> Iterator[pa.RecordBatch]:
             m: Model = held.value
-            m = Model(**{**m.__dict__, "weights": m.weights.copy(), "inner": m.inner.copy()})
-            squares = (np.full_like(m.weights, 1e-2), np.full_like(m.inner, 1e-2))
+            m = Model(**{**m.__dict__, **{k: getattr(m, k).copy() for k in _LEARNED}})
+            squares = tuple(np.full_like(getattr(m, k), 1e-2) for k in _LEARNED)
             for batch in batches:
                 for payload in batch.column("payload"):
                     _, _, learns, sizes, h, shape, sequence = _opened(payload.as_py())
@@ -316,10 +391,10 @@ def train(sent: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
                     if not mine.any():
                         continue
                     chosen = np.repeat(mine, sizes)
-                    symbol = m.symbols(h, shape)[sequence[chosen]]
+                    symbol, tokens = m.symbols(h, shape), sequence[chosen]
                     own = sizes[mine]
-                    learn(m, symbol, histories(symbol, np.cumsum(own) - own), squares)
-            change = np.concatenate([(m.weights - held.value.weights).ravel(), (m.inner - held.value.inner).ravel()]).astype(np.float16)
+                    learn(m, symbol[tokens], m.buckets(h)[tokens], histories(m, m.contexts(h, symbol)[tokens], np.cumsum(own) - own), squares)
+            change = np.concatenate([(getattr(m, k) - getattr(held.value, k)).astype(np.float16).ravel() for k in _LEARNED])
             bounds = np.linspace(0, len(change), CHUNKS + 1).astype(int)
             blobs = [zlib.compress(change[a:b].tobytes(), 1) for a, b in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "change"])
@@ -339,9 +414,10 @@ def train(sent: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
         rows = source.select("payload").mapInArrow(descend, "chunk int, change binary").repartition(CHUNKS, "chunk").mapInArrow(average, "chunk int, change binary").collect()
         if rows:
             change = np.concatenate([np.frombuffer(zlib.decompress(r["change"]), np.float32) for r in sorted(rows, key=lambda r: r["chunk"])])
-            k = model.weights.size
-            model = Model(**{**model.__dict__, "weights": model.weights + change[:k].reshape(model.weights.shape), "inner": model.inner + change[k:].reshape(model.inner.shape)})
+            edges = np.cumsum([getattr(model, k).size for k in _LEARNED])[:-1]
+            model = Model(**{**model.__dict__, **{k: getattr(model, k) + c.reshape(getattr(model, k).shape) for k, c in zip(_LEARNED, np.split(change, edges))}})
         held.unpersist()
+        free_shuffles(spark)
     return model
 
 
@@ -373,12 +449,12 @@ def scored(sent: DataFrame, stats: DataFrame, model: Model) -> DataFrame:
         scale = m.total + SMOOTH * (m.types + 1)
         base = np.log10((seen + SMOOTH) / scale)[sequence]
         symbol = m.symbols(h, shape)
-        # a word outside the short list: its share of its tail class; one never seen: the unknown's share
-        tail = symbol >= SHORT
+        # a word outside the short list: its share of its bucket; one never seen: the unknown's share
+        tail = symbol >= m.short_words
+        bucket = m.buckets(h)
         extra = np.zeros(len(h))
-        extra[tail] = np.log((seen[tail] + SMOOTH) / m.tail_mass[symbol[tail] - SHORT])
-        s = symbol[sequence]
-        lp = log_probability(m, s, histories(s, starts)) + extra[sequence] + np.log1p(-min(m.unknown, 1 - 1e-9))
+        extra[tail] = np.log((seen[tail] + SMOOTH) / m.tail_mass[symbol[tail] - m.short_words, bucket[tail]])
+        lp = log_probability(m, symbol[sequence], histories(m, m.contexts(h, symbol)[sequence], starts), bucket[sequence]) + extra[sequence] + np.log1p(-min(m.unknown, 1 - 1e-9))
         lp[(seen == 0)[sequence]] = np.log(m.unknown)
         lp /= np.log(10)
         known = (seen > 0)[sequence]

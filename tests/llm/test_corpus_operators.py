@@ -175,6 +175,37 @@ def test_language_model_adds_up():
     assert np.exp(maxent_lm.log_probability(m, np.arange(n), rows)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_predicts_rare_words(spark):
+    rng = random.Random(5)
+    a, b = ([f"{k}{i:03}x" for i in range(100)] for k in "ab")
+    common = [f"c{i:04}x" for i in range(1200)] * 30
+    rng.shuffle(common)
+    texts = [" ".join(common[i : i + 60]) for i in range(0, len(common), 60)]
+    for _ in range(20):
+        order = rng.sample(range(100), 100)
+        texts += [" ".join(f"{a[i]} {b[i]}" for i in order[k : k + 20]) for k in range(0, 100, 20)]
+    held = [" ".join(f"{a[i]} {b[(i + turn) % 100]}" for i in range(100)) for turn in (0, 1)]
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(10_000 + i, t, False) for i, t in enumerate(held)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(2)
+    got = {r.doc_id: r for r in maxent_lm.score_texts(df).where("held_out").collect()}
+    assert got[10_000].base_score == pytest.approx(got[10_001].base_score)
+    assert got[10_000].score > got[10_001].score + 10
+
+
+def test_language_model_grows():
+    assert [maxent_lm.growth(n) for n in (0, 1 << 17, 409_488, 1 << 21, 1 << 40)] == [1, 1, 2, 4, 16]
+    rng = np.random.default_rng(2)
+    classes, buckets = 2 * maxent_lm.CLASSES, 2 * maxent_lm.BUCKETS
+    prior = lambda *s: np.log(rng.dirichlet(np.ones(s[-1]), s[:-1] or None)).astype(np.float32)
+    table = lambda *s: rng.normal(size=s).astype(np.float32)
+    m = maxent_lm.Model(None, None, prior(classes + maxent_lm.TAILS), prior(classes, maxent_lm.PER_CLASS), None, 0.1, 1, 1, None, table(2 * maxent_lm.WORD_ROWS, maxent_lm.PER_CLASS), prior(maxent_lm.TAILS, buckets), table(2 * maxent_lm.WORD_ROWS, buckets))
+    m.weights = table(2 * m.context_symbols + 2 * maxent_lm.PAIR_ROWS, classes + maxent_lm.TAILS)
+    symbol = np.concatenate([np.arange(m.short_words), np.repeat(m.short_words + np.arange(maxent_lm.TAILS), buckets)])
+    bucket = np.concatenate([np.zeros(m.short_words, int), np.tile(np.arange(buckets), maxent_lm.TAILS)])
+    rows = np.repeat(maxent_lm.histories(m, np.array([5, 9, 3]), np.array([0]))[:, -1:], len(symbol), axis=1)
+    assert np.exp(maxent_lm.log_probability(m, symbol, rows, bucket)).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_quality(spark):
     rng = random.Random(3)
     good = lambda: " ".join(rng.choice(["the", "cat", "sat", "well", "done"]) for _ in range(40)) + "."
