@@ -47,8 +47,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of power-of-two length, one row each."""
-    return packing.pack(docs, packing.public_vocabulary(), with_ids=False)
+    """Token pieces of power-of-two length with their ids, one row each."""
+    return packing.pack(docs, packing.public_vocabulary())
 
 
 STAGES = [

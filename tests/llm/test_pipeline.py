@@ -31,3 +31,13 @@ def test_stages(spark, sf_dir, tmp_path):
             assert {(r.doc_id, r.doc_tokens) for r in after} == {(i, len(tokens.encode(r.text)) + 1) for i, r in before.items()}
         before = {r.doc_id: r for r in after} if name != "packing" else before
     assert len(after) == corpus_pipeline.run(spark, sf_dir).count()
+
+
+def test_packing_stage_returns_the_ids(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    tokens, got = packing.WordTokenizer(packing.public_vocabulary()), {}
+    for r in corpus_pipeline.pack(spark, docs, sf_dir).orderBy("doc_id", "start").collect():
+        assert len(r.ids) == r.length
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert got == {i: tokens.encode(t or "") + [packing.END_ID] for i, t in texts.items()}
