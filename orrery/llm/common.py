@@ -72,6 +72,13 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def least_shared(per_cent: int, most: int) -> int:
+    """How many tokens two different sets this alike share at least, or ``most`` if that is less: ``o`` of ``o + 1`` is the smallest case."""
+    if not 1 <= per_cent <= 100:
+        raise ValueError("the likeness must be 1 to 100 per cent")
+    return next((o for o in range(1, most) if 100 * o >= per_cent * (o + 1)), most)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir``, for files that all executors see."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="orrery-")

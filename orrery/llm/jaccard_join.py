@@ -38,11 +38,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, checkpointed, documents, map_arrow
+from .common import bounded_batches, checkpointed, documents, least_shared, map_arrow
 
 WORDS, PER_CENT = 5, 75
-#: Linked texts with different sets share this many shingles at least (3 of 4 is the smallest case at 75 per cent), so
-#: windows are that much wider and a class that meets others in fewer regions is dropped.
+#: Linked texts with different sets share this many shingles at least (3 of 4 is the smallest case at 75 per cent, fewer below:
+#: ``least_shared``), so windows are that much wider and a class that meets others in fewer regions is dropped.
 SHARED = 3
 SKETCH_BITS, SKETCH_BLOCKS = 20, 64
 #: Pivots that a region draws when its first two leave it in several components.
@@ -82,8 +82,8 @@ def class_of(s: np.ndarray) -> int:
 
 
 def window(n: int, per_cent: int = PER_CENT) -> int:
-    """How many of a set's first shingles the first ``SHARED`` that a partner has can be among."""
-    return min(n, n - (per_cent * n + 99) // 100 + SHARED)
+    """How many of a set's first shingles the first ``least_shared`` that a partner has can be among."""
+    return min(n, n - (per_cent * n + 99) // 100 + least_shared(per_cent, SHARED))
 
 
 def described(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
@@ -310,7 +310,7 @@ def _may_link(per_cent: int) -> Column:
     """
     na, nb = F.col("na"), F.col("nb")
     common = F.ceil(per_cent * (na + nb) / F.lit(100 + per_cent))
-    behind = F.greatest(*[n - F.least(n, n - F.ceil(per_cent * n / F.lit(100)) + SHARED) for n in (na, nb)])
+    behind = F.greatest(*[n - F.least(n, n - F.ceil(per_cent * n / F.lit(100)) + least_shared(per_cent, SHARED)) for n in (na, nb)])
     return (100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)) & (F.col("regions") >= common - behind)
 
 
@@ -368,7 +368,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``)."""
     every, levels, total = described(docs)
     met = checkpointed(regions(docs, levels, total, per_cent))
-    entries = checkpointed(met.join(met.groupBy("class").count().where(F.col("count") >= SHARED), "class", "left_semi"))
+    entries = checkpointed(met.join(met.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)), "class", "left_semi"))
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
     joined = components(links(entries, docs, per_cent)).select(F.col("node").alias("class"), "component")
     of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))

@@ -26,10 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, documents
+from .common import checkpointed, documents, least_shared
 
 WORDS, PER_CENT = 5, 75
-#: Lines that match with different token sets share this many tokens at least (3 of 4 is the smallest case).
+#: Lines that match with different token sets share this many tokens at least (3 of 4 is the smallest case at 75 per cent, fewer below: ``least_shared``).
 SHARED = 3
 #: Counters of the rarity sketch; its levels travel as one literal of this many small numbers.
 SKETCH = 1 << 15
@@ -87,8 +87,8 @@ def _filters(per_cent: int, a: str, b: str) -> Column:
     na, nb = F.shiftright(a, 32), F.shiftright(b, 32)
     i, j = F.col(a).bitwiseAND(F.lit(0xFFFFFFFF)), F.col(b).bitwiseAND(F.lit(0xFFFFFFFF))
     length = 100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)
-    # common tokens up to this one number SHARED - 1 or fewer where the prefixes' first SHARED are concerned
-    return length & ((100 + per_cent) * (F.least(na - i, nb - j) + F.lit(SHARED - 1)) >= per_cent * (na + nb))
+    # common tokens up to this one number one less than the shared ones or fewer where the prefixes' first of those are concerned
+    return length & ((100 + per_cent) * (F.least(na - i, nb - j) + F.lit(least_shared(per_cent, SHARED) - 1)) >= per_cent * (na + nb))
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, per_cent: int) -> DataFrame:
@@ -100,12 +100,12 @@ def _verified(pairs: DataFrame, tokens: DataFrame, per_cent: int) -> DataFrame:
 
 def matches(docs: DataFrame, per_cent: int = PER_CENT, short: bool = True) -> DataFrame:
     """``doc_id, line_no`` of every line that an earlier line matches."""
-    everything = lines(docs)
+    everything, share = lines(docs), least_shared(per_cent, SHARED)
     levels = rarity_levels(everything)
     least = lambda n: F.floor((per_cent * n + 99) / 100)
     ordered = everything.select("doc_id", "line_no", F.xxhash64("line").alias("line_hash"), F.sort_array(shingles(F.col("line"), levels, short)).alias("tokens")).where(F.size("tokens") > 0)
     n = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), F.least(n, n - least(n) + SHARED).cast("int"))
+    prefix = F.slice("tokens", F.lit(1), F.least(n, n - least(n) + share).cast("int"))
     described = checkpointed(ordered.select("doc_id", "line_no", "line_hash", F.xxhash64("tokens").alias("class"), n.alias("n"), prefix.alias("prefix")))
     place = F.struct("doc_id", "line_no")
 
@@ -114,7 +114,7 @@ def matches(docs: DataFrame, per_cent: int = PER_CENT, short: bool = True) -> Da
     sent = classes.select(F.posexplode("prefix").alias("pos", "token"), "class", "n")
     sent = sent.select("token", "class", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos")).alias("place"))
     met = checkpointed(sent.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1").drop("k"))
-    met = met.join(met.groupBy("class").count().where(F.col("count") >= SHARED).select("class"), "class", "left_semi")
+    met = met.join(met.groupBy("class").count().where(F.col("count") >= share).select("class"), "class", "left_semi")
     ids = met.select("class").distinct()
     own = checkpointed(described.join(ids, "class", "left_semi").groupBy("class").agg(F.min(place).alias("first"), F.min("line_hash").alias("line_hash")))
     members = checkpointed(met.join(own.select("class", "first"), "class"))
@@ -132,7 +132,7 @@ def matches(docs: DataFrame, per_cent: int = PER_CENT, short: bool = True) -> Da
     found = checkpointed(_verified(star, tokens, per_cent).select(F.col("b").alias("class")).distinct())
     open_ = members.join(found, "class", "left_anti").select("token", F.col("class").alias("b"), F.col("first").alias("fb"), F.col("place").alias("pb"))
     before = members.select("token", F.col("class").alias("a"), F.col("first").alias("fa"), F.col("place").alias("pa"))
-    rest = open_.join(before, "token").where((F.col("fa") < F.col("fb")) & _filters(per_cent, "pa", "pb")).groupBy("a", "b").count().where(F.col("count") >= SHARED).select("a", "b")
+    rest = open_.join(before, "token").where((F.col("fa") < F.col("fb")) & _filters(per_cent, "pa", "pb")).groupBy("a", "b").count().where(F.col("count") >= share).select("a", "b")
     found = found.union(_verified(rest, tokens, per_cent).select("b")).distinct().withColumn("near", F.lit(True))
 
     info = described.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")).join(found, "class", "left").where((F.col("copies") > 1) | F.col("near"))

@@ -151,6 +151,17 @@ def test_line_dedup_short_lines(spark):
     assert texts == {1: rows[0][1], 2: " \nA b c d e", 3: "chapter two\n\nchapter one x", 4: "b a c d"}
 
 
+def test_thresholds_under_three_of_four(spark):
+    word = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    rows = [(1, word(0, 6)), (2, word(0, 7)), (3, word(20, 25)), (4, word(20, 26)), (5, word(40, 50))]
+    for per_cent, linked in ((75, []), (60, [(1, 2)]), (50, [(1, 2), (3, 4)])):
+        got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows), per_cent).collect()}
+        assert got == {i: i for i, _ in rows} | {b: a for a, b in linked}
+        assert {(r.doc_id, r.line_no) for r in line_dedup.matches(frame(spark, rows), per_cent).collect()} == {(b, 0) for _, b in linked}
+    with pytest.raises(ValueError):
+        line_dedup.matches(frame(spark, rows), 0)
+
+
 def test_language_model(spark, docs):
     df = keyed_text(frame(spark, docs)).withColumn("learn", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0)
     got = {r.doc_id: r for r in maxent_lm.score_texts(df).collect()}
