@@ -12,8 +12,9 @@ region.  Three passes keep what is moved small:
 3. A region task builds the suffix array of the stretches' strings with its
    common-prefix array, and a stack scan yields the prefix-interval tree's nodes
    of at least ``width`` bytes: each is a group of all occurrences of a
-   string, and is a maximal repeat where the bytes before its occurrences differ.
-   All but the earliest occurrence of a group are marked.
+   string.  All but the earliest occurrence of a group are marked.  Whether a group is
+   a maximal repeat (the bytes before its occurrences differ) doesn't change what is
+   covered, so only ``repeat_groups``, which no query uses, tells.
 
 Keys with very many stretches (boundaries of a passage that a large share
 of the texts hold) go by the hash of each whole string instead, dealt and
