@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,23 +54,43 @@ def map_arrow(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[
     return df.mapInArrow(run, schema)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through ``spark.checkpoint.dir`` (shared by all executors).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffles of the actions run inside go as soon as their action ends; the session's own setting comes back after."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
 
-    A folder of our own is set only where the session names none (tests).
-    """
+def _own_folder(spark: SparkSession) -> str:
+    """A folder of our own where the session names none, as in tests: only where driver and executors are one machine."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return Path(tempfile.mkdtemp(prefix="orrery-")).as_uri()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through ``spark.checkpoint.dir`` (shared by all executors)."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orrery-"))
-    cut = df.checkpoint(eager=True)
-    free_shuffles(spark)
-    return cut
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark))
+    with freed_shuffles(spark):
+        return df.checkpoint(eager=True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Shuffles that only lineage now cut or dropped held can go now, not when the driver next happens to collect."""
-    gc.collect()
-    spark._jvm.System.gc()
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage through a Parquet table in the shared folder, where later scans take only some of its columns."""
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def least_shared(per_cent: int, most: int) -> int:
@@ -80,6 +101,16 @@ def least_shared(per_cent: int, most: int) -> int:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, for files that all executors see."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="orrery-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under ``spark.checkpoint.dir``, for files that all executors see; it goes when the driver's JVM ends, or with ``removed_folder``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _own_folder(spark)
+    parent = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    files = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(parent)
+    files.deleteOnExit(parent)
+    return f"{parent.toString()}/data"
+
+
+def removed_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``shared_folder`` that nothing reads any more."""
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    parent.getFileSystem(spark._jsc.hadoopConfiguration()).delete(parent, True)

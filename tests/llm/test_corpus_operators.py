@@ -130,23 +130,67 @@ def test_suffix_array_groups():
     assert found[b"ana"][0] == [1, 3, 7, 9] and found[b"nan"][0] == [2, 8] and not found[b"nan"][1] and found[b"ana"][1]
 
 
-def test_line_dedup(spark, docs, tmp_path):
-    df = frame(spark, docs)
-    df.write.parquet(str(tmp_path / "documents.parquet"))
+def brute_lines(rows, per_cent=75):
+    """Per row: the numbers of its lines that a line at an earlier position matches, and what is left."""
+
+    def grams(line):
+        w = [x for x in re.split("[ \t\r\f\v]", line.lower()) if x]
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    low = -(1 << 63)
+    each = [(low if i is None else i, k, grams(x)) for i, t in rows for k, x in enumerate((t or "").split("\n"))]
+    out = []
+    for i, t in rows:
+        all_, gone = (t or "").split("\n"), []
+        for k, x in enumerate(all_):
+            g = grams(x)
+            if any((j, m) < (low if i is None else i, k) and 100 * len(g & h) >= per_cent * len(g | h) for j, m, h in each if g and h):
+                gone.append(k)
+        out.append((i, len(all_), len(gone), ",".join(map(str, gone)), hashlib.sha256("\n".join(x for k, x in enumerate(all_) if k not in gone).encode()).hexdigest()))
+    return out
+
+
+def key(rows):
+    return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def op8(spark, rows, folder):
+    frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
-    want = set(con.execute(line_dedup.ORACLE).fetchall())
-    got = {(r.doc_id, r.line_no) for r in line_dedup.matches(keyed_text(df)).collect()}
-    assert got == want and len(want) > 20
-    texts = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
-    for i, t in docs:
-        assert texts[i] == (None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in want))
+    con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    got = key(tuple(r) for r in line_dedup.op8_line_dedup(spark, str(folder)).collect())
+    assert got == key(con.execute(line_dedup.ORACLE).fetchall())
+    return got
+
+
+def test_line_dedup(spark, docs, tmp_path):
+    got = op8(spark, docs, tmp_path)
+    assert got == key(brute_lines(docs)) and sum(r[2] for r in got) > 20
+    df = frame(spark, docs).withColumn("row", F.lit(1)).withColumn("gone", F.lit(2))
+    texts = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect() if r.gone + r.row == 3}
+    digests = {i: sha for i, _, _, _, sha in got}
+    assert all(texts[i] is None if t is None else hashlib.sha256(texts[i].encode()).hexdigest() == digests[i] for i, t in docs)
+
+
+@pytest.mark.parametrize("few", [80, -1])
+def test_line_dedup_groups(spark, tmp_path, few, monkeypatch):
+    """Chains and large groups of near copies, common passages, repeated ids, null ids, ties, long and odd lines."""
+    monkeypatch.setattr(line_dedup, "FEW_LEVEL", few)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 6)))
+    base, passage = [word() for _ in range(30)], " ".join(word() for _ in range(20))
+    rows = [(None, "Subscribe now"), (None, "x y"), (5, "subscribe  now\nalone"), (5, "x\ty\nalone too"), (5, "x\ty\nalone too"), (7, None), (8, ""), (9, " \n\t"), (10, " ".join([word() for _ in range(3000)] * 2))]
+    for i in range(20, 80):
+        base[rng.randrange(30)] = word()  # each a near copy of the one before
+        rows.append((i, "\n".join([" ".join(base), word(), f"{passage} {' '.join(word() for _ in range(rng.randrange(12)))}", "a b c d", "a b c d"])))
+    rng.shuffle(rows)
+    got = op8(spark, rows, tmp_path)
+    assert got == key(brute_lines(rows))
+    assert {r[3] for r in got if r[0] == 5} == {"0"} and sum(r[2] for r in got) > 130
 
 
 def test_line_dedup_short_lines(spark):
     rows = [(1, "Chapter One\n\nx\na b c d"), (2, "chapter  one\n \nX\nA b c d e"), (3, "a b c d\nchapter two\n\nchapter one x"), (4, "a b c d e\nb a c d")]
-    got = {(r.doc_id, r.line_no) for r in line_dedup.matches(frame(spark, rows)).collect()}
-    assert got == {(2, 0), (2, 2), (3, 0), (4, 0)}
     texts = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
     assert texts == {1: rows[0][1], 2: " \nA b c d e", 3: "chapter two\n\nchapter one x", 4: "b a c d"}
 
@@ -157,9 +201,9 @@ def test_thresholds_under_three_of_four(spark):
     for per_cent, linked in ((75, []), (60, [(1, 2)]), (50, [(1, 2), (3, 4)])):
         got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows), per_cent).collect()}
         assert got == {i: i for i, _ in rows} | {b: a for a, b in linked}
-        assert {(r.doc_id, r.line_no) for r in line_dedup.matches(frame(spark, rows), per_cent).collect()} == {(b, 0) for _, b in linked}
+        assert {(r.doc_id, *r.gone) for r in line_dedup.removed(frame(spark, rows), per_cent).collect()} == {(b, 0) for _, b in linked}
     with pytest.raises(ValueError):
-        line_dedup.matches(frame(spark, rows), 0)
+        line_dedup.removed(frame(spark, rows), 0)
 
 
 def test_language_model(spark, docs):
@@ -244,9 +288,10 @@ def test_odd_and_empty_tables(spark, run):
 
 def test_line_dedup_odd_tables(spark):
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in ODD], "doc_id long, text string, line_no int, tokens string")
-    assert line_dedup.dedup_lines(df).count() == len(ODD)
+    kept = collections.Counter((r.doc_id, r.text, r.line_no, r.tokens) for r in line_dedup.dedup_lines(df).collect())
+    first = "a b c d e f g. x"
+    assert kept == {(1, None, 1, "x"): 1, (2, "", 1, "x"): 1, (None, first, 1, "x"): 1, (4, "", 1, "x"): 2, (6, "one", 1, "x"): 1}
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
-    assert line_dedup.matches(df.limit(0)).count() == 0
 
 
 def test_names():
