@@ -85,12 +85,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """Cut lineage through a Parquet table in the shared folder, where later scans take only some of its columns."""
+    """Cut lineage through a Parquet table in the shared folder, where later scans take only some of its columns; ``discarded`` removes it."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
     with freed_shuffles(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that nothing reads any more."""
+    for table in tables:
+        removed_folder(table.sparkSession, table.written_to)
 
 
 def least_shared(per_cent: int, most: int) -> int:

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import discarded, documents, written
 
 WORDS, PER_CENT = 5, 75
 #: Counters of the rarity sketch; its levels travel as one literal of this many small numbers.
@@ -101,11 +101,14 @@ def _size(place: str) -> Column:
 
 
 def _may_match(per_cent: int) -> Column:
-    """The length, positional and parity filters of two packed places (size above, position in order below) that share a token."""
+    """The length, positional and parity filters of two packed places (size above, position in order below) that share a token.
+
+    By its positions the token can be the first that a matching pair shares: from it on there are tokens enough.
+    """
     na, nb = _size("pa"), _size("pb")
     i, j = (F.col(p).bitwiseAND(F.lit(0xFFFFFFFF)) for p in ("pa", "pb"))
     length = 100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)
-    positions = (100 + per_cent) * (F.least(i, j) + F.least(na - i, nb - j)) >= per_cent * (na + nb)
+    positions = (100 + per_cent) * F.least(na - i, nb - j) >= per_cent * (na + nb)
     differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a.w{k}").bitwiseXOR(F.col(f"b.w{k}"))) for k in (0, 1)])
     parity = (100 + per_cent) * (na + nb - differ) >= 2 * per_cent * (na + nb)
     return length & positions & parity
@@ -165,24 +168,27 @@ def _pairs(before: DataFrame, after: DataFrame, per_cent: int) -> DataFrame:
     return met.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
 
 
-def _near(everything: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
+def _near(everything: DataFrame, met: DataFrame, spots: DataFrame, per_cent: int) -> DataFrame:
     """``class`` of every class whose first line a different, earlier class matches."""
-    met = written(_met(classes))
     tokens = _tokens_of(everything, met.select("class").distinct())
-    about = classes.select("class", "first").join(tokens.select("class", *[_parity(F.col("tokens"), k).alias(f"w{k}") for k in (0, 1)]), "class")
+    about = spots.select("class", "first").join(tokens.select("class", *[_parity(F.col("tokens"), k).alias(f"w{k}") for k in (0, 1)]), "class")
     entries = written(met.join(about, "class").select("token", "place", F.struct("first", "class", "w0", "w1").alias("me")))
-    found, open_ = None, entries
+    discarded(met)
+    found, open_ = [], entries
     left = open_.count()
     while left:
         earliest = open_.groupBy("token").agg(F.min(F.struct("me", "place")).alias("e")).select("token", "e.me", "e.place")
         new = written(_verified(_pairs(earliest, open_, per_cent), tokens, per_cent))
-        found = new if found is None else found.union(new)
-        open_ = written(open_.join(new, F.col("me.class") == new["class"], "left_anti"))
+        found.append(new)
+        was, open_ = open_, written(open_.join(new, F.col("me.class") == new["class"], "left_anti"))
+        if was is not entries:
+            discarded(was)
         before, left = left, open_.count()
         if left > WORTH * before:
             break
-    rest = _verified(_pairs(entries, open_, per_cent), tokens, per_cent)
-    return rest if found is None else found.union(rest)
+    near = written(reduce(DataFrame.union, found, _verified(_pairs(entries, open_, per_cent), tokens, per_cent)))
+    discarded(tokens, entries, *found, *([open_] if open_ is not entries else []))
+    return near
 
 
 def removed(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -194,11 +200,16 @@ def removed(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
         raise ValueError("the likeness must be 1 to 100 per cent")
     everything = lines(docs)
     classes = _classes(everything, per_cent)
-    near = _near(everything, classes, per_cent).withColumn("near", F.lit(True))
-    about = classes.select("class", "first", "last").join(near, "class", "left").where(F.col("near") | (F.col("first") < F.col("last")))
+    spots = written(classes.select("class", "first", "last"))
+    met = written(_met(classes))
+    discarded(classes)
+    near = _near(everything, met, spots, per_cent)
+    about = spots.join(near.withColumn("near", F.lit(True)), "class", "left").where(F.col("near") | (F.col("first") < F.col("last")))
     hashed = everything.select("doc_id", "row", "line_no", F.xxhash64("line").alias("class"))
     late = hashed.join(about, "class").where(F.coalesce("near", F.lit(False)) | (F.col("first") < F.struct("doc_id", "line_no")))
-    return late.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    gone = written(late.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line_no")).alias("gone")))
+    discarded(spots, near)
+    return gone
 
 
 def _without(text: Column, gone: Column) -> Column:
