@@ -3,28 +3,30 @@
 Documents are points (their sets of five-word shingles) under the Jaccard
 distance, and the join wants all pairs within ``r = 1 - 0.75``.  Between documents
 with nothing in common every distance is 1, so sampled documents make useless
-pivots.  The first pivots are therefore single shingles: under a global order
-(rarest first) a document's nearest pivot is its first shingle, and the window in
-which a partner's nearest pivots can lie is its first ``n - ceil(0.75 n) + 3``
-shingles: linked texts with different sets share three there.  A document is replicated to the Voronoi regions of that window, so
-every linked pair meets in three regions at least; a class that meets others in
-fewer links with nothing.
-
-Within the regions, pivots are documents.  Every member is held against its
-region's pivots, first two and then eight more; what is linked to one needs no
-further pair.  Regions whose members are then still in several components are joined
-pair by pair across those.
-The triangle inequality bounds both steps: through the empty set it gives the length
-filter, and through the windows the number of regions that two linked documents
-must share, so only few pairs have their whole sets measured.  Nothing is capped.
-
-The rarity order comes from a fixed-size sketch of all shingle counts (any fixed
-order gives the same links; a good one keeps common passages out of the
-windows).  Texts with equal sets are one class throughout, so copies are never
-paired.  Shingles are 64-bit hashes.
+pivots.  The first pivots are therefore single shingles: under a global order a
+document's nearest pivot is its first shingle, and the window in which a partner's
+nearest pivots can lie is its first ``n - ceil(0.75 n) + 3`` shingles: linked texts
+with different sets share three there.  A document is replicated to the Voronoi
+regions of that window, so every linked pair meets in three regions at least; a class
+that meets others in fewer links with nothing.  The triangle inequality through the
+empty set gives the length filter; with the places of a shingle in both windows it
+tells which region of a pair can be the first that it shares, and only that joins it.
+
+Regions join recursively, with documents as pivots.  Every open region draws one;
+each member is assigned to the pivot that it shares most regions with and held
+against it.  Links merge components, regions whose members are in one component are
+closed, and the others draw again, as long as a round closes a tenth of what is
+open.  What is then left is joined pair by pair across components.  Nothing is capped.
+
+The order puts shingles that many texts share last, each part by hash.  Only
+shingles with a low hash come early in a window, so only those (a quarter) are
+counted, exactly; the frequent ones are marked in a filter of fixed size, whose
+threshold rises with their number.  Any order gives the same links.
+Texts with equal sets are one class throughout, so copies are never paired.  Shingles are 64-bit hashes.
 
 Null and empty texts have no shingles and link with nothing; texts of fewer than
-five words are one shingle.  Rows that repeat belong to one class.
+five words are one shingle.  Rows that repeat belong to one class; rows of one id with different texts are different
+points, and a null id counts as none when the smallest id is sought.
 """
 
 from __future__ import annotations
@@ -38,19 +40,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, checkpointed, documents, least_shared, map_arrow
+from .common import bounded_batches, documents, least_shared, map_arrow, written
 
 WORDS, PER_CENT = 5, 75
 #: Linked texts with different sets share this many shingles at least (3 of 4 is the smallest case at 75 per cent, fewer below:
 #: ``least_shared``), so windows are that much wider and a class that meets others in fewer regions is dropped.
 SHARED = 3
-SKETCH_BITS, SKETCH_BLOCKS = 20, 64
-#: Pivots that a region draws when its first two leave it in several components.
-PIVOTS = 8
-#: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 20 bytes).
+#: Shingles are counted if their hash is below this (a quarter); one is frequent from this number of texts on, at least.
+COUNTED, FREQUENT = 1 << 62, 8
+#: Bits of the filters of frequent shingles and of wanted classes; one that fills up only filters less.
+FILTER_BITS, FILTER_BLOCKS = 23, 64
+#: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 24 bytes).
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
-#: Bits of the filter that keeps texts without a candidate out of a shuffle; when it fills up it only filters less.
-FILTER_BITS = 23
+#: Regions draw another pivot while a round leaves at most this share of the entries open.
+WORTH = 0.9
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -86,82 +89,139 @@ def window(n: int, per_cent: int = PER_CENT) -> int:
     return min(n, n - (per_cent * n + 99) // 100 + least_shared(per_cent, SHARED))
 
 
-def described(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
-    """One pass over the texts: their sets' sizes and classes, and how rare shingles are.
+def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
+    """One pass over the texts: ``doc_id, n, class`` (null where the set is empty), and ``key, seen`` of the counted shingles that are frequent.
 
-    The table has ``doc_id, n, class`` (null where the set is empty).  The array has a
-    level for each of ``2**SKETCH_BITS`` buckets of shingles (log2 of their count over all
-    texts); the number is their total.  Every task adds up its own counts, the sums are
-    dealt by block and added as they stream in: a megabyte, at any size of input,
-    reaches the driver.
+    A task hands on its counted shingles once per class, in one sorted block for each part.
     """
-    size, width = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // SKETCH_BLOCKS
     bounded_batches(docs.sparkSession)
-    names = ["doc_id", "n", "class", "block", "counts"]
+    names = ["doc_id", "n", "class", "part", "seeds"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        seen: set[int] = set()
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            seed = np.concatenate(held)
+            part = (seed % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((seed, part))
+            seed, part = seed[order], part[order]
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            filled = [p for p in range(parts) if edges[p] < edges[p + 1]]
+            blobs = [zlib.compress(np.diff(seed[edges[p] : edges[p + 1]], prepend=np.uint64(0)).tobytes(), 1) for p in filled]
+            return pa.RecordBatch.from_arrays([*(pa.nulls(len(filled), t) for t in types[:3]), pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], names=names)
+
         for batch in batches:
             found = [shingles(t.as_py()) for t in batch.column("text")]
-            if found:
-                total += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-            columns = [batch.column("doc_id"), [len(s) for s in found], [class_of(s) if len(s) else None for s in found], [None] * len(found), [None] * len(found)]
+            classes = [class_of(s) if len(s) else None for s in found]
+            for s, c in zip(found, classes):
+                if c is not None and c not in seen:
+                    seen.add(c)
+                    held.append(s[: np.searchsorted(s, np.uint64(COUNTED))])
+                    size += len(held[-1])
+            columns = [batch.column("doc_id"), [len(s) for s in found], classes, [None] * len(found), [None] * len(found)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c.cast(t) for c, t in zip(columns, types)], names=names)
-        blocks = [zlib.compress(total[i * width : (i + 1) * width].tobytes(), 1) for i in range(SKETCH_BLOCKS)]
-        nothing = [pa.nulls(SKETCH_BLOCKS, t) for t in types[:3]]
-        yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], names=names)
+            if size >= FLUSH:
+                yield flush()
+                held, size = [], 0
+                seen.clear()
+        if size:
+            yield flush()
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [np.cumsum(np.frombuffer(zlib.decompress(blob.as_py()), np.uint64), dtype=np.uint64) for batch in batches for blob in batch.column("seeds")]
+        if blobs:
+            seed, count = np.unique(np.concatenate(blobs), return_counts=True)
+            many = count > FREQUENT
+            yield pa.RecordBatch.from_arrays([pa.array(seed[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["key", "seen"])
+
+    both = written(docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, class long, part int, seeds binary"))
+    counted = both.where("part is not null").select("part", "seeds").repartition(parts, "part").mapInArrow(add, "key long, seen long")
+    return both.where("part is null").select("doc_id", "n", "class"), written(counted)
+
+
+def _bits_of(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) * _MULTIPLIERS[0] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Which of ``2**FILTER_BITS`` cells hold a ``key`` (packed), added up from tasks block by block."""
+    width = (1 << FILTER_BITS) // FILTER_BLOCKS
+
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            mask[_bits_of(batch.column("key").to_numpy())] = True
+        blocks = [(i, zlib.compress(np.packbits(mask[i * width : (i + 1) * width]).tobytes(), 1)) for i in range(FILTER_BLOCKS) if mask[i * width : (i + 1) * width].any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([b for _, b in blocks], pa.binary())], names=["block", "bits"])
+
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                part = np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
-                totals[block] = totals[block] + part if block in totals else part
+            for block, bits in zip(batch.column("block").to_pylist(), batch.column("bits")):
+                part = np.frombuffer(zlib.decompress(bits.as_py()), np.uint8)
+                totals[block] = totals[block] | part if block in totals else part
         for block, total in totals.items():
-            level = np.log2(total + 1).astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([level], pa.binary()), pa.array([int(total.sum())], pa.int64())], names=["block", "level", "total"])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "bits"])
 
-    both = checkpointed(docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n long, class long, block int, counts binary"))
-    sums = both.where("block is not null").select("block", "counts").repartition(SKETCH_BLOCKS, "block").mapInArrow(add, "block int, level binary, total long").collect()
-    levels = np.zeros(size, np.uint8)
-    for row in sums:
-        levels[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["level"], np.uint8)
-    return both.where("block is null").select("doc_id", "n", "class"), levels, sum(row["total"] for row in sums)
+    out = np.zeros((FILTER_BLOCKS, width // 8), np.uint8)
+    for row in keys.select("key").mapInArrow(mark, "block int, bits binary").repartition(FILTER_BLOCKS, "block").mapInArrow(join, "block int, bits binary").collect():
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
 
 
-def regions(docs: DataFrame, levels: np.ndarray, total: int, per_cent: int = PER_CENT) -> DataFrame:
-    """``seed, class, n``: the classes replicated to each shingle's region, where there are two or more.
+def frequent_filter(frequent: DataFrame) -> np.ndarray:
+    """The filter of the most frequent shingles, as many powers of two of their counts as fill an eighth of it."""
+    per_power = {r["power"]: r["n"] for r in frequent.groupBy(F.floor(F.log2("seen")).alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 64 rows at most
+    least, total = 63, 0
+    while least and total + per_power.get(least - 1, 0) <= 1 << (FILTER_BITS - 3):
+        least -= 1
+        total += per_power.get(least, 0)
+    return _filter(frequent.where(F.col("seen") >= float(1 << least)))
+
+
+def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = PER_CENT) -> DataFrame:
+    """``seed, class, n, pos``: the classes replicated to each shingle's region, where there may be two or more; ``pos`` is the shingle's place in the class's order.
 
     A task gathers the windows of its texts and sends each region task one
-    sorted block; a region task sees one share of the shingles.
+    sorted block; a region task sees one share of the shingles.  Frequent shingles need
+    no such meeting: they pass as they are, so no task gathers one of them.
     """
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * (102 - per_cent) // 100 // REGION_ENTRIES + 1)
     bounded_batches(spark)
-    held = spark.sparkContext.broadcast(levels)  # SKETCH_BITS fix its size
+    held = spark.sparkContext.broadcast(frequent)  # FILTER_BITS fix its size
+    names = ["part", "entries", "seed", "class", "n", "pos"]
 
     def replicate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = held.value
+        marked = np.unpackbits(held.value).view(bool)
         seeds: list[np.ndarray] = []
+        common: list[np.ndarray] = []
         owners: list[tuple[int, int]] = []
         gathered = 0
 
-        def flush() -> pa.RecordBatch:
-            seed = np.concatenate(seeds)
-            lengths = [len(s) for s in seeds]
+        def flush() -> Iterator[pa.RecordBatch]:
+            seed, many = np.concatenate(seeds), np.concatenate(common)
+            lengths = np.array([len(s) for s in seeds])
             owner = np.repeat(np.array([o for o, _ in owners], np.int64), lengths)
             n = np.repeat(np.array([k for _, k in owners], np.int32), lengths)
+            pos = (np.arange(len(seed)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+            at = np.flatnonzero(many)
+            for a in range(0, len(at), 65536):
+                x = at[a : a + 65536]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.binary()), pa.array(seed[x].view(np.int64)), pa.array(owner[x]), pa.array(n[x].astype(np.int64)), pa.array(pos[x].astype(np.int64))], names=names)
+            seed, owner, n, pos = (x[~many] for x in (seed, owner, n, pos))
             part = (seed % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((seed, part))
-            seed, owner, n, part = seed[order], owner[order], n[order], part[order]
+            seed, owner, n, pos, part = seed[order], owner[order], n[order], pos[order], part[order]
             edges = np.searchsorted(part, np.arange(parts + 1))
             filled = [p for p in range(parts) if edges[p] < edges[p + 1]]
             blobs = []
             for p in filled:
                 a, b = edges[p], edges[p + 1]
-                blobs.append(zlib.compress(np.diff(seed[a:b], prepend=np.uint64(0)).tobytes() + owner[a:b].tobytes() + n[a:b].tobytes(), 1))
-            return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "entries"])
+                blobs.append(zlib.compress(np.diff(seed[a:b], prepend=np.uint64(0)).tobytes() + owner[a:b].tobytes() + n[a:b].tobytes() + pos[a:b].tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary()), *(pa.nulls(len(filled), pa.int64()) for _ in range(4))], names=names)
 
         seen: set[int] = set()
         for batch in batches:
@@ -171,117 +231,95 @@ def regions(docs: DataFrame, levels: np.ndarray, total: int, per_cent: int = PER
                     continue
                 seen.add(c)
                 k = window(len(s), per_cent)
-                rank = level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8)
-                seeds.append(s[np.argpartition(rank, k - 1)[:k]] if k < len(s) else s)
+                low = int(np.searchsorted(s, np.uint64(COUNTED)))
+                many = np.zeros(len(s), bool)
+                many[:low] = marked[_bits_of(s[:low])]
+                first = np.flatnonzero(~many)[:k]  # sorted by hash already
+                if len(first) < k:
+                    first = np.concatenate([first, np.flatnonzero(many)[: k - len(first)]])
+                seeds.append(s[first])
+                common.append(many[first])
                 owners.append((c, len(s)))
                 gathered += k
                 if gathered >= FLUSH:
-                    yield flush()
-                    seeds, owners, gathered = [], [], 0
+                    yield from flush()
+                    seeds, common, owners, gathered = [], [], [], 0
                     seen.clear()
         if seeds:
-            yield flush()
+            yield from flush()
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, owners, ns = [], [], []
+        columns: list[list[np.ndarray]] = [[], [], [], []]
         for batch in batches:
-            for part, blob in zip(batch.column("part").to_pylist(), batch.column("entries")):
+            for blob in batch.column("entries"):
                 data = zlib.decompress(blob.as_py())
-                k = len(data) // 20
-                seeds.append(np.cumsum(np.frombuffer(data, np.uint64, k), dtype=np.uint64))
-                owners.append(np.frombuffer(data, np.int64, k, 8 * k))
-                ns.append(np.frombuffer(data, np.int32, k, 16 * k))
-        if not seeds:
+                k = len(data) // 24
+                columns[0].append(np.cumsum(np.frombuffer(data, np.uint64, k), dtype=np.uint64))
+                columns[1].append(np.frombuffer(data, np.int64, k, 8 * k))
+                columns[2].append(np.frombuffer(data, np.int32, k, 16 * k))
+                columns[3].append(np.frombuffer(data, np.int32, k, 20 * k))
+        if not columns[0]:
             return
-        seed, owner, n = np.concatenate(seeds), np.concatenate(owners), np.concatenate(ns)
-        del seeds, owners, ns
+        seed, owner, n, pos = (np.concatenate(x) for x in columns)
+        del columns
         order = np.lexsort((owner, seed))
-        seed, owner, n = seed[order], owner[order], n[order]
+        seed, owner, n, pos = seed[order], owner[order], n[order], pos[order]
         fresh = np.ones(len(seed), bool)
         fresh[1:] = (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])
-        seed, owner, n = seed[fresh], owner[fresh], n[fresh]
+        seed, owner, n, pos = seed[fresh], owner[fresh], n[fresh], pos[fresh]
         same = np.zeros(len(seed) + 1, bool)
         same[1:-1] = seed[1:] == seed[:-1]
         shared = same[:-1] | same[1:]
-        seed, owner, n = seed[shared].view(np.int64), owner[shared], n[shared].astype(np.int64)
+        seed, owner, n, pos = seed[shared].view(np.int64), owner[shared], n[shared].astype(np.int64), pos[shared].astype(np.int64)
         for a in range(0, len(seed), 65536):
-            yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 65536]) for x in (seed, owner, n)], names=["seed", "class", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 65536]) for x in (seed, owner, n, pos)], names=["seed", "class", "n", "pos"])
 
+    sent = written(docs.select("text").mapInArrow(replicate, "part int, entries binary, seed long, class long, n long, pos long"))
     # the blocks of one part go to one task; a part's blocks hold a bounded number of entries on average
-    return docs.select("text").mapInArrow(replicate, "part int, entries binary").repartition(parts, "part").mapInArrow(meet, "seed long, class long, n long")
-
-
-def _bit(c: int) -> int:
-    return xxhash.xxh3_64_intdigest(c.to_bytes(8, "little", signed=True)) >> (64 - FILTER_BITS)
-
-
-def _filter_bits(wanted: DataFrame) -> bytes:
-    """A bitmap of ``2**FILTER_BITS`` bits of the wanted classes, added up from tasks block by block."""
-    width = (1 << FILTER_BITS) // SKETCH_BLOCKS
-
-    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.zeros(1 << FILTER_BITS, bool)
-        for batch in batches:
-            mask[np.fromiter(map(_bit, batch.column("class").to_pylist()), np.int64, batch.num_rows)] = True
-        blocks = [(i, zlib.compress(np.packbits(mask[i * width : (i + 1) * width]).tobytes(), 1)) for i in range(SKETCH_BLOCKS) if mask[i * width : (i + 1) * width].any()]
-        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([b for _, b in blocks], pa.binary())], names=["block", "bits"])
-
-    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, bits in zip(batch.column("block").to_pylist(), batch.column("bits")):
-                part = np.frombuffer(zlib.decompress(bits.as_py()), np.uint8)
-                totals[block] = totals[block] | part if block in totals else part
-        for block, total in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "bits"])
-
-    out = np.zeros((SKETCH_BLOCKS, width // 8), np.uint8)
-    for row in wanted.select("class").mapInArrow(mark, "block int, bits binary").repartition(SKETCH_BLOCKS, "block").mapInArrow(join, "block int, bits binary").collect():
-        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.tobytes()
+    rare = sent.where("part is not null").select("part", "entries").repartition(parts, "part").mapInArrow(meet, "seed long, class long, n long, pos long")
+    return rare.union(sent.where("part is null").select("seed", "class", "n", "pos").distinct())
 
 
-def members(docs: DataFrame, entries: DataFrame) -> DataFrame:
-    """``class, shingles binary`` of the classes in ``entries``, one row each."""
-    wanted = checkpointed(entries.select("class").distinct())
-    held = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))  # FILTER_BITS fix its size
+def members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``class, shingles binary`` of the ``wanted`` classes, one row each."""
+    held = docs.sparkSession.sparkContext.broadcast(_filter(wanted.select(F.col("class").alias("key"))))  # FILTER_BITS fix its size
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
+        marked = np.unpackbits(held.value).view(bool)
         seen: set[int] = set()
         for batch in batches:
             classes, blobs = [], []
             for t in batch.column("text"):
                 s = shingles(t.as_py())
-                if len(s) and (c := class_of(s)) not in seen:
-                    b = _bit(c)
-                    if bits[b >> 3] >> (7 - (b & 7)) & 1:
-                        seen.add(c)
-                        classes.append(c)
-                        blobs.append(s.tobytes())
+                if len(s) and (c := class_of(s)) not in seen and marked[_bits_of(np.array([c]))[0]]:
+                    seen.add(c)
+                    classes.append(c)
+                    blobs.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(blobs, pa.binary())], names=["class", "shingles"])
 
     found = docs.select("text").mapInArrow(find, "class long, shingles binary")
-    return checkpointed(found.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles")))
+    return written(found.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles")))
 
 
-def measured(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """``a, b, shared``: exact intersection sizes of the pairs' sets."""
+def measured(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets are near enough."""
     left = known.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
     right = known.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
 
     def intersect(batch: pa.RecordBatch) -> dict[str, list]:
-        out = []
+        near = []
         for x, y in zip(batch.column("sa"), batch.column("sb")):
             s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             if len(s) > len(t):
                 s, t = t, s
             at = np.searchsorted(t, s)
             at[at == len(t)] = 0
-            out.append(int(np.count_nonzero(t[at] == s)))
-        return {"a": batch.column("a"), "b": batch.column("b"), "shared": out}
+            shared = int(np.count_nonzero(t[at] == s))
+            near.append(100 * shared >= per_cent * (len(s) + len(t) - shared))
+        return {"a": batch.column("a"), "b": batch.column("b"), "near": near}
 
-    return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), "a long, b long, shared long", intersect)
+    held = map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), "a long, b long, near boolean", intersect)
+    return held.where("near").select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -290,88 +328,87 @@ def components(links: DataFrame) -> DataFrame:
     Labels fall to the smallest neighbour's and then jump along labels, so a
     chain's length halves each round; lineage is cut every round.
     """
-    edges = checkpointed(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
+    edges = written(links.select("a", "b").union(links.select("b", "a")).distinct())
+    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
     while True:
         around = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(around, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = checkpointed(lower.join(jump, "component").select("node", "was", F.least("component", "further").alias("component")))
+        moved = written(lower.join(jump, "component").select("node", "was", F.least("component", "further").alias("component")))
         labels = moved.select("node", "component")
         if moved.where("was <> component").isEmpty():
             return labels
 
 
-def _may_link(per_cent: int) -> Column:
-    """The length filter, and the least number of regions that two linked sets of these sizes share.
-
-    Of ``o`` common shingles at least (``o`` from the sizes) all but those behind the longer
-    window lie in both windows.
-    """
-    na, nb = F.col("na"), F.col("nb")
-    common = F.ceil(per_cent * (na + nb) / F.lit(100 + per_cent))
-    behind = F.greatest(*[n - F.least(n, n - F.ceil(per_cent * n / F.lit(100)) + least_shared(per_cent, SHARED)) for n in (na, nb)])
-    return (100 * F.least(na, nb) >= per_cent * F.greatest(na, nb)) & (F.col("regions") >= common - behind)
+def _alike(per_cent: int) -> Column:
+    """The length filter."""
+    return 100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
-    """``a, b`` of the pairs (``a, b, na, nb``) whose whole sets are near enough."""
-    both = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class")))
-    shared = measured(pairs.select("a", "b"), members(docs, both)).join(pairs, ["a", "b"])
-    return shared.where(100 * F.col("shared") >= per_cent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+def _may_be_first(per_cent: int) -> Column:
+    """Whether the shingle can be the first that a linked pair shares: what comes from it on must do for the pair."""
+    return (100 + per_cent) * F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= per_cent * (F.col("na") + F.col("nb"))
 
 
-def _against_pivots(entries: DataFrame, pivots: list[Column], per_cent: int) -> DataFrame:
-    """Candidate pairs of every member with its region's pivots in other components.
-
-    ``pivots`` are aggregates of ``entries`` (``seed, class, n, component``), a struct
-    of those each.  A pair counts the regions in which one is the other's pivot.
-    """
-    chosen = entries.groupBy("seed").agg(F.array(*pivots).alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    chosen = chosen.select("seed", F.explode("p").alias("p")).select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"), F.col("p.component").alias("cb")).distinct()
-    met = entries.join(chosen, "seed").where((F.col("component") != F.col("cb")) & (100 * F.least("n", "nb") >= per_cent * F.greatest("n", "nb")))
-    pairs = met.groupBy(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb").agg(F.count(F.lit(1)).alias("regions"))
-    return checkpointed(pairs.where(_may_link(per_cent)))
+def _open(entries: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``entries`` with their components by the links found, of the regions that hold several."""
+    if found is None:
+        placed = entries.select("seed", "class", "n", "pos", F.col("class").alias("component"))
+    else:
+        labels = components(found).select(F.col("node").alias("class"), F.col("component").alias("label"))
+        placed = entries.join(labels, "class", "left").select("seed", "class", "n", "pos", F.coalesce("label", "class").alias("component"))
+    several = placed.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
+    return written(placed.join(several, "seed", "left_semi"))
 
 
-def _placed(entries: DataFrame, found: DataFrame) -> DataFrame:
-    """Entries with their components by the links found, of the regions that still hold several."""
-    labels = components(found).withColumnRenamed("node", "class").withColumnRenamed("component", "label")
-    placed = entries.join(labels, "class", "left").select("seed", "class", "n", F.coalesce("label", "class").alias("component"))
-    open_ = placed.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
-    return checkpointed(placed.join(open_, "seed", "left_semi"))
+def _assigned(entries: DataFrame, turn: int, per_cent: int) -> DataFrame:
+    """``a, b``: each class with the one pivot, of those its regions have drawn, that it shares most regions with; none in its own component."""
+    state = F.struct("class", "n", "component")
+    drawn = entries.groupBy("seed").agg(F.min_by(state, F.xxhash64("class", F.lit(turn))).alias("p"))
+    drawn = drawn.select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"), F.col("p.component").alias("cb"))
+    met = entries.withColumnRenamed("n", "na").join(drawn, "seed").where((F.col("component") != F.col("cb")) & _alike(per_cent))
+    shared = met.groupBy(F.col("class").alias("a"), "b").agg(F.count(F.lit(1)).alias("regions"))
+    nearest = shared.groupBy("a").agg(F.max(F.struct("regions", "b")).alias("nearest"))
+    return written(nearest.select("a", F.col("nearest.b").alias("b")))
 
 
-def links(entries: DataFrame, docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
+def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> DataFrame | None:
     """``a, b``: links between classes, enough of them to connect whatever the join connects."""
-    entries = entries.withColumn("component", F.col("class"))
-    state = F.struct("class", "n", "component")
-    pairs = _against_pivots(entries, [F.min(state), F.max(state)], per_cent)
-    found = checkpointed(_linked(pairs, docs, per_cent))
-    # regions whose members are still in several components choose more pivots, at random ...
-    entries = _placed(entries, found)
-    drawn = [F.min_by(state, F.xxhash64("class", F.lit(i))) for i in range(PIVOTS)]
-    pairs = _against_pivots(entries, drawn, per_cent)
-    if not pairs.isEmpty():
-        found = checkpointed(found.union(_linked(pairs, docs, per_cent)))
-        entries = _placed(entries.drop("component"), found)
-    # ... and what is left after those is joined pair by pair across components
-    x = entries.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = entries.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    alike = 100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb")
-    rest = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
-    rest = checkpointed(rest.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("regions")).where(_may_link(per_cent)))
-    return found if rest.isEmpty() else checkpointed(found.union(_linked(rest, docs, per_cent)))
+    found, turn = None, 0
+    open_ = _open(entries, found)
+    left = open_.count()
+    while left:
+        new = written(measured(_assigned(open_, turn, per_cent), known, per_cent))
+        found = new if found is None else written(found.union(new))
+        open_ = _open(open_.drop("component"), found)
+        before, left, turn = left, open_.count(), turn + 1
+        if left > WORTH * before:
+            break
+    if not left:
+        return found
+    # what the pivots have left in several components is joined pair by pair across those
+    x = open_.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("component").alias("ca"))
+    y = open_.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("component").alias("cb"))
+    rest = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike(per_cent) & _may_be_first(per_cent))
+    return written(found.union(measured(written(rest.select("a", "b").distinct()), known, per_cent)))
 
 
 def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``)."""
-    every, levels, total = described(docs)
-    met = checkpointed(regions(docs, levels, total, per_cent))
-    entries = checkpointed(met.join(met.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)), "class", "left_semi"))
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0  # more than four bytes a shingle
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 4 * (102 - per_cent) // 100 // REGION_ENTRIES + 1)
+    every, frequent = described(docs, parts)
+    met = written(regions(docs, frequent_filter(frequent), parts, per_cent))
+    wanted = written(met.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)).select("class"))
+    entries = written(met.join(wanted, "class", "left_semi"))
+    found = links(entries, members(docs, wanted), per_cent)
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
-    joined = components(links(entries, docs, per_cent)).select(F.col("node").alias("class"), "component")
-    of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
+    if found is None:
+        of_class = classes.select("class", "first", F.col("class").alias("component"))
+    else:
+        joined = components(found).select(F.col("node").alias("class"), "component")
+        of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
     lowest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     final = of_class.join(lowest, "component").select("class", "component_id")
     return every.join(final, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
