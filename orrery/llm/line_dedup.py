@@ -8,9 +8,9 @@ document's id and then its number; lines of different rows may share one, and th
 neither comes before the other.  All lines are judged on the input, not on what is
 left.  Lines without a word always stay.
 
-Equal lines are one class, told by their hash.  Tokens are ordered by rarity: by the
-rarest of a shingle's first, third and last word, from a fixed-size sketch of
-all word counts (any order gives the same result).  A class is sent to the tokens of
+Equal lines are one class, told by their hash.  Tokens are ordered by rarity, that of a
+shingle's first word, from a fixed-size sketch of all word counts (any order gives
+the same result).  A class is sent to the tokens of
 its prefix, ``n - ceil(0.75 n) + 1`` of the rarest, of which matching classes share
 one; tokens of one class only go.  Classes that meet pass a length filter, a
 positional filter and a parity filter: two sets differ by at least as many tokens as
@@ -18,7 +18,7 @@ their parity words differ in bits.  What is left is verified on whole token sets
 
 So that groups of copies aren't paired, every class first meets the earliest of
 each of its tokens, and those that find no match meet the earliest of those, as long as a
-round closes a tenth of them.  What is then still open meets all earlier classes.
+round closes a quarter of them.  What is then still open meets all earlier classes.
 
 DataFrame functions only.  A null text has no lines and stays null; a null id comes
 before all others; empty tables give empty results.  Rows are told apart by id and text, so rows
@@ -37,7 +37,7 @@ from .common import discarded, documents, written
 WORDS, PER_CENT = 5, 75
 #: Counters of the rarity sketch; its levels travel as one literal of this many small numbers.
 SKETCH = 1 << 15
-#: A token has the level of its rarest word above this many bits of its hash.
+#: A token has the level of its first word above this many bits of its hash.
 HASH_BITS = 56
 #: Levels are four times log2 of a count.  Tokens up to this one are in fewer than 2**20 lines, so a task can hold all of one.
 FEW_LEVEL = 80
@@ -45,7 +45,7 @@ FEW_LEVEL = 80
 BROADCAST_LINES = 1 << 19
 NO_ID = -(1 << 63)
 #: Rounds against the earliest go on while at most this share of the entries is left open by one.
-WORTH = 0.9
+WORTH = 0.75
 
 
 def _let(value: Column, body) -> Column:
@@ -77,18 +77,18 @@ def shingles(line: Column, levels: Column | None = None) -> Column:
         if levels is None:
             found = F.transform(words, token)
         else:
-            rarest = lambda v, i: F.least(F.get(v, i), F.get(v, i + 2), F.get(v, i + 4)).cast("long")
-            ranked = lambda v: F.transform(words, lambda w, i: F.shiftleft(rarest(v, i), HASH_BITS).bitwiseOR(token(w, i).bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
-            found = _let(F.transform(words, lambda w: F.get(levels, _bucket(w).cast("int"))), ranked)
+            level = lambda w: F.get(levels, _bucket(w).cast("int")).cast("long")
+            found = F.transform(words, lambda w, i: F.shiftleft(level(w), HASH_BITS).bitwiseOR(token(w, i).bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
         return F.array_distinct(F.slice(found, F.lit(1), F.greatest(F.lit(1), F.size(words) - (WORDS - 1))))
 
     distinct = _let(F.array_remove(_split(line), ""), of)
     return distinct if levels is None else F.sort_array(distinct)
 
 
-def rarity_levels(everything: DataFrame) -> Column:
+def rarity_levels(docs: DataFrame) -> Column:
     """An array literal: for each of ``SKETCH`` buckets of words, four times log2 of how many fell there."""
-    buckets = everything.select(F.explode(_split(F.col("line"))).alias("word")).groupBy(_bucket(F.col("word")).alias("bucket"))
+    spaced = F.lower(F.replace("text", F.lit("\n"), F.lit(" ")))
+    buckets = docs.select(F.explode(F.split(spaced, " ")).alias("word")).groupBy(_bucket(F.col("word")).alias("bucket"))
     rows = buckets.agg(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level")).collect()  # SKETCH rows at most
     levels = [0] * SKETCH
     for r in rows:
@@ -120,9 +120,8 @@ def _parity(tokens: Column, word: int) -> Column:
     return F.aggregate(own, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def _classes(everything: DataFrame, per_cent: int) -> DataFrame:
+def _classes(everything: DataFrame, levels: Column, per_cent: int) -> DataFrame:
     """``class, first, last, n, prefix`` of every class of lines with words: its earliest and latest position and its rarest tokens."""
-    levels = rarity_levels(everything)
     place = F.struct("doc_id", "line_no")
     made = everything.select(F.xxhash64("line").alias("class"), place.alias("place"), shingles(F.col("line"), levels).alias("tokens"))
     n = F.size("tokens")
@@ -134,7 +133,7 @@ def _classes(everything: DataFrame, per_cent: int) -> DataFrame:
 def _met(classes: DataFrame) -> DataFrame:
     """``token, class, place`` of the prefix tokens that several classes have.
 
-    A token whose rarest word is frequent may be in any share of the lines: those are counted after a map-side
+    A token whose first word is frequent may be in any share of the lines: those are counted after a map-side
     sum and joined, which splits skewed keys.  The others are counted in one window.
     """
     sent = classes.select("class", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -199,7 +198,7 @@ def removed(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     if not 1 <= per_cent <= 100:
         raise ValueError("the likeness must be 1 to 100 per cent")
     everything = lines(docs)
-    classes = _classes(everything, per_cent)
+    classes = _classes(everything, rarity_levels(docs), per_cent)
     spots = written(classes.select("class", "first", "last"))
     met = written(_met(classes))
     discarded(classes)
