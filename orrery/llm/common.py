@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import struct
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +40,8 @@ def keyed_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def map_arrow(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, list]]) -> DataFrame:
-    """``rows`` turns each Arrow batch into columns; a map without a shuffle."""
+def map_arrow(df: DataFrame, schema: str, rows: Callable[..., dict[str, list]], state: Callable[[], object] | None = None) -> DataFrame:
+    """``rows`` turns each Arrow batch into columns; a map without a shuffle.  With ``state`` it is also given what that makes for each task."""
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -46,9 +49,10 @@ def map_arrow(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[
     arrow_schema = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = () if state is None else (state(),)
         for batch in batches:
             if batch.num_rows:
-                columns = rows(batch)
+                columns = rows(batch, *held)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow_schema], schema=arrow_schema)
 
     return df.mapInArrow(run, schema)
@@ -101,6 +105,22 @@ def discarded(*tables: DataFrame) -> None:
         removed_folder(table.sparkSession, table.written_to)
 
 
+def framed(*arrays: np.ndarray | bytes) -> bytes:
+    """Arrays as one compressed blob."""
+    raw = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
+    return zlib.compress(struct.pack(f"<{len(raw)}Q", *map(len, raw)) + b"".join(raw), 1)
+
+
+def frames_of(blob: bytes, n: int) -> list[memoryview]:
+    """The ``n`` arrays of a blob of ``framed``."""
+    data = memoryview(zlib.decompress(blob))
+    at, out = 8 * n, []
+    for size in struct.unpack(f"<{n}Q", data[: 8 * n]):
+        out.append(data[at : at + size])
+        at += size
+    return out
+
+
 def least_shared(per_cent: int, most: int) -> int:
     """How many tokens two different sets this alike share at least, or ``most`` if that is less: ``o`` of ``o + 1`` is the smallest case."""
     if not 1 <= per_cent <= 100:

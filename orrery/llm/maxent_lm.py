@@ -1,26 +1,30 @@
 """LM scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-Tokens are lower-cased (A-Z) words and one end per text.  The most frequent words
-form classes of equal size; all others fall in tail classes by their shape.
-``P(w | h) = P(class | h) * P(w | class, h)``: both factors are softmaxes over sums
-of weight rows, one row for each feature of the history: the last word, the word
-before it (a skip), and the hashed pair of both.  In a tail class the second factor
-is a softmax over hashed buckets of words, times the word's smoothed share of its
-bucket's counts; in histories tail words go by finer buckets of their shape.  A token never
-seen in training has the Good-Turing share, so that the probabilities of all words
-and of the unknown one add up to 1.  Weights start at the smoothed unigrams.
-
-Classes, buckets and hashed rows are the constants below times ``growth``, a power of
-two that follows the cube root of the number of distinct words (a word is found by
-three choices: class or shape, bucket or place, share).
-
-Training is distributed gradient descent: in every round each task runs sparse
-mini-batches (numpy, Adagrad) over its share of texts, all training texts are
-visited once over the rounds, and the tasks' changes are averaged row by row.
-
-Counts are exact and never gathered anywhere whole: texts are cut into blocks,
-each block sends its distinct words to their shares, and gets their counts back.
-Null texts are empty (one end token); null ids count as held out.
+Tokens are lower-cased (A-Z) words and one end per text.  Every word of the training
+texts is modelled.  Words of like frequency (one power of two of their counts) form a class, and a class is
+split further by the word's hash, four bits at a time, until a leaf holds about one word:
+
+    P(w | h) = P(class | h) * P(digit 1 | class, h) * ... * P(digit d | digits before, h) * share of w in its leaf
+
+Each factor is a softmax over sums of weight rows: a prior from exact counts (of classes
+and of the first two digits; deeper ones start even), and one row for each feature
+of the history: the last word, the one before it (a skip; for classes only), and both
+together (an n-gram).  Rows are found by hash, those of digits also by the node they belong to; words seen
+less than ``RARE`` times are features by their class.  A leaf's words share it by their counts.  A token
+never seen in training has the Good-Turing share (words seen once) whatever it is; the
+probabilities of all words and of the unknown one add up to 1 at most (empty leaves keep a little).
+
+Training is distributed gradient descent.  Texts are dealt to shards by a hash, so a
+shard depends on the data and not on the cluster.  In every round each shard runs
+sparse mini-batches (numpy, Adagrad) over its share of texts from the round's model,
+all training texts are visited once over the rounds, and the shards' changes are
+averaged row by row.  The tables grow with the number of distinct words (``growth``).
+
+Counts are exact and never gathered anywhere whole: each shard sends its distinct words
+to the tasks of their hash ranges and gets their counts and leaf shares back.
+
+Null texts are empty (one end token); null ids count as held out; rows that repeat are learned and scored each
+on their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import count
 
 import numpy as np
@@ -38,56 +42,60 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, checkpointed, documents
-from .suffix_dedup import _frame, _parts_of
+from .common import bounded_batches, discarded, documents, framed, frames_of, freed_shuffles, written
 
 SMOOTH = 0.1
-CLASSES, PER_CLASS, TAILS = 32, 32, 16
-SHORT = CLASSES * PER_CLASS
-#: Hashed buckets of each tail class: as targets, in histories, and as counted (enough for the largest growth).
-BUCKETS, HISTORY, FINE = 32, 256, 512
-#: Context symbols: short words, tail words by bucket, and what stands before a text.
-SYMBOLS = SHORT + TAILS * HISTORY + 1
-PAIR_ROWS, WORD_ROWS = 1 << 14, 1 << 14
+#: Words seen fewer times are known by their class in histories.
+RARE = 4
+#: Classes at most (powers of two of a count), bits of a digit, digits at most.
+CLASSES, BITS, DIGITS = 48, 4, 6
+WAYS = 1 << BITS
+#: Hashed weight rows of classes and of digits, before growth.
+CLASS_ROWS, DIGIT_ROWS = 1 << 15, 1 << 17
 ROUNDS, RATE, MINI_BATCH = 3, 0.25, 8192
-#: Bytes of text in a block, blocks a training task takes, and distinct words a counting task holds.
-BLOCK_BYTES, BLOCKS_A_TASK, PART_WORDS = 12 << 20, 4, 1 << 21
+#: Bytes of text in a shard, shards a training task takes, distinct words a counting task holds, fewest counting tasks (a power of two).
+SHARD_BYTES, SHARDS_A_TASK, PART_WORDS, LEAST_PARTS = 8 << 20, 4, 1 << 21, 16
 CHUNKS = 16
 END = b""
+_MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
+_BEFORE = np.uint64(0x1B873593CC9E2D51)
 
 
 def words(text: str) -> list[bytes]:
     return text.encode().lower().split()  # ASCII only, both
 
 
-def _shape(word: bytes) -> int:
-    """A tail class from the word alone: beyond ASCII or not, and its last byte's kind."""
-    if not word:
-        return 0
-    last = word[-1]
-    kind = 0 if 48 <= last <= 57 else 1 if last in b".," else 2 if not 97 <= last <= 122 else 3 + b"esntrdhg".find(last) % 5
-    return kind + 8 * (not word.isascii())
-
-
 def growth(types: int) -> int:
-    """How many times the constants the tables are for so many distinct words; 16 at most, from 2**27 words on."""
+    """How many times the constants the tables have as rows for so many distinct words; 16 at most, from 2**27 words on."""
     g = 1
-    while g * BUCKETS < FINE and types >= (2 * g) ** 3 << 15:
+    while g < 16 and types >= (2 * g) ** 3 << 15:
         g *= 2
     return g
 
 
-def _bucket(h: np.ndarray, n: int) -> np.ndarray:
-    """One of ``n`` (a power of two) by bits of the hash; those of fewer buckets are the low bits of more."""
-    return (h >> np.uint64(40)).astype(np.int64) & (n - 1)
+def class_of(seen: np.ndarray) -> np.ndarray:
+    """The power of two of a count; -1 for words never seen."""
+    return np.minimum(np.frexp(seen.astype(float))[1] - 1, CLASSES - 1)
 
 
-def blocks(docs: DataFrame, parts: int) -> DataFrame:
-    """``kind, block, part, payload``: tokenised blocks (kind 0) and, for each share, their distinct words with training counts (kind 1).
+def depths(types: np.ndarray, parts: int) -> np.ndarray:
+    """Digits of each class: about one word a leaf, and no leaf in two counting tasks."""
+    least = -(-(parts.bit_length() - 1) // BITS)
+    natural = np.ceil(np.log2(np.maximum(types, 1)) / BITS).astype(int)
+    return np.where(types > 1, np.clip(natural, max(1, least), DIGITS), 0)
+
 
-    ``docs`` has ``doc_id, text, learn``.
-    """
+def dealt(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` (``doc_id, text, learn``) in shards by a hash of the row, each in order."""
+    shards = max(1, size // SHARD_BYTES)
+    rows = docs.select("doc_id", "text", "learn").withColumn("_at", F.xxhash64("doc_id", "text"))
+    return rows.repartition(shards, "_at").sortWithinPartitions("_at", "doc_id").drop("_at")
+
+
+def blocks(docs: DataFrame, parts: int) -> DataFrame:
+    """``kind, block, part, payload``: tokenised blocks (kind 0) and, for each counting task, their distinct words with training counts (kind 1)."""
     bounded_batches(docs.sparkSession)
+    shift = np.uint64(64 - (parts.bit_length() - 1))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = TaskContext.get().partitionId()
@@ -97,25 +105,20 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             block = partition << 24 | done
-            distinct = list(number)
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-            shape = np.fromiter(map(_shape, distinct), np.uint8, len(distinct))
-            part = (h % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((h, part))
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
+            order = np.argsort(h, kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            sequence = place[np.concatenate(tokens)]
-            h, shape, part = h[order], shape[order], part[order]
+            sequence, h = place[np.concatenate(tokens)], h[order]
             sizes = np.array(lengths, np.int64)
-            known = np.repeat(np.array(learn, bool), sizes)
-            counts = np.bincount(sequence[known], minlength=len(h))
+            counts = np.bincount(sequence[np.repeat(np.array(learn, bool), sizes)], minlength=len(h)).astype(np.uint32)
             none = np.array([i is None for i in ids])
-            rows = [(0, -1, _frame(np.array([i or 0 for i in ids], np.int64), none, np.array(learn, bool), sizes, h, shape, sequence))]
+            rows = [(0, -1, framed(np.array([i or 0 for i in ids], np.int64), none, np.array(learn, bool), sizes, h, sequence))]
+            part = (h >> shift).astype(np.int64)
             edges = np.searchsorted(part, np.arange(parts + 1))
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(edges)):
                 a, b = edges[p], edges[p + 1]
-                if a < b:
-                    rows.append((1, p, _frame(np.diff(h[a:b], prepend=np.uint64(0)), counts[a:b].astype(np.uint32), shape[a:b])))
+                rows.append((1, int(p), framed(np.diff(h[a:b], prepend=np.uint64(0)), counts[a:b])))
             return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([p for _, p, _ in rows], pa.int32()), pa.array([x for _, _, x in rows], pa.binary())], names=["kind", "block", "part", "payload"])
 
         for batch in batches:
@@ -126,8 +129,8 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
                 ids.append(doc_id)
                 learn.append(learns)
                 lengths.append(len(found))
-                size += len(found) * 8
-                if size >= BLOCK_BYTES:
+                size += len(found) * 6
+                if size >= 2 * SHARD_BYTES:
                     yield flush()
                     ids, learn, lengths, tokens = [], [], [], []
                     number = defaultdict(count().__next__)
@@ -138,346 +141,367 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
     return docs.mapInArrow(run, "kind int, block long, part int, payload binary")
 
 
-def counted(sent: DataFrame, parts: int) -> DataFrame:
-    """Per share: each block's counts (kind 1, in the block's order); its most frequent words (kind 2: ``word, seen, shape``); per tail shape and fine bucket (``shape * FINE + bucket``) the counted tokens, words and words seen once (kind 3)."""
-    schema = "kind int, block long, part int, payload binary, word long, seen long, shape int, types long, once long"
+def _gathered(batches: Iterable[pa.RecordBatch]) -> tuple[list[tuple[int, int]], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray] | None:
+    """Of one hash range: who sent words, which ones, the distinct words with their counts, and where the sent ones are among those."""
+    senders, hashes, counts = [], [], []
+    for batch in batches:
+        for block, part, blob in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("payload")):
+            f = frames_of(blob.as_py(), 2)
+            senders.append((block, part))
+            hashes.append(np.cumsum(np.frombuffer(f[0], np.uint64), dtype=np.uint64))
+            counts.append(np.frombuffer(f[1], np.uint32))
+    if not senders:
+        return None
+    distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
+    return senders, hashes, distinct, total, inverse
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        senders, hashes, counts, shapes = [], [], [], []
-        for batch in batches:
-            for block, part, blob in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("payload")):
-                f = _parts_of(blob.as_py(), 3)
-                senders.append((block, part))
-                hashes.append(np.cumsum(np.frombuffer(f[0], np.uint64), dtype=np.uint64))
-                counts.append(np.frombuffer(f[1], np.uint32))
-                shapes.append(np.frombuffer(f[2], np.uint8))
-        if not senders:
-            return
-        distinct, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-        shape = np.concatenate(shapes)[first]
-        seen = total > 0
-        at = 0
 
-        def rows(**columns: list) -> pa.RecordBatch:
-            n = len(next(iter(columns.values())))
-            types = {"kind": pa.int32(), "block": pa.int64(), "part": pa.int32(), "payload": pa.binary(), "word": pa.int64(), "seen": pa.int64(), "shape": pa.int32(), "types": pa.int64(), "once": pa.int64()}
-            return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in types.items()], names=list(types))
+def statistics(sent: DataFrame, parts: int) -> DataFrame:
+    """``class, digits, types, once, seen``: words, words seen once and tokens by class and first two digits."""
 
-        for (block, part), h in zip(senders, hashes):
-            own = total[inverse[at : at + len(h)]]
-            at += len(h)
-            yield rows(kind=[1], block=[block], part=[part], payload=[zlib.compress(own.tobytes(), 1)])
-        # the shares are dealt by hash, so this one's words times the shares is near the number of all
-        top = np.lexsort((distinct, -total))[: SHORT * growth(2 * parts * len(distinct))]
-        top = top[total[top] > 0]
-        yield rows(kind=[2] * len(top), word=distinct[top].view(np.int64), seen=total[top], shape=shape[top].astype(np.int32))
-        cell, n = shape.astype(np.int64) * FINE + _bucket(distinct, FINE), TAILS * FINE
-        tokens, types, once = np.bincount(cell, total, n).astype(np.int64), np.bincount(cell[seen], minlength=n), np.bincount(cell[total == 1], minlength=n)
-        full = np.flatnonzero(types)
-        yield rows(kind=[3] * len(full), shape=full.astype(np.int32), seen=tokens[full], types=types[full], once=once[full])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _gathered(batches)) is None:
+            return
+        _, _, distinct, total, _ = found
+        h, total = distinct[total > 0], total[total > 0]
+        cell = class_of(total) * WAYS**2 + (h >> np.uint64(64 - 2 * BITS)).astype(np.int64)
+        n = CLASSES * WAYS**2
+        types, once, seen = np.bincount(cell, minlength=n), np.bincount(cell[total == 1], minlength=n), np.bincount(cell, total, n).astype(np.int64)
+        at = np.flatnonzero(types)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (at // WAYS**2, at % WAYS**2, types[at], once[at], seen[at])], names=["class", "digits", "types", "once", "seen"])
 
-    return sent.where("kind = 1").select("block", "part", "payload").repartition(parts, "part").mapInArrow(run, schema)
+    found = sent.where("kind = 1").select("block", "part", "payload").repartition(parts, "part").mapInArrow(run, "class long, digits long, types long, once long, seen long")
+    return found.groupBy("class", "digits").agg(F.sum("types").alias("types"), F.sum("once").alias("once"), F.sum("seen").alias("seen"))
 
 
 @dataclass
 class Model:
-    """Tables of a size that follows ``growth``: priors of classes and of words or buckets within them, and weight rows."""
+    """Priors from the counts, and weight rows."""
 
-    short: np.ndarray  # sorted hashes of the short words
-    rank: np.ndarray  # their ranks by frequency
-    class_prior: np.ndarray  # (classes + TAILS)
-    word_prior: np.ndarray  # (classes, PER_CLASS)
-    tail_mass: np.ndarray  # smoothed counts of each tail class's buckets
+    depth: np.ndarray  # digits of each class
+    tokens: np.ndarray  # of each class
+    class_prior: np.ndarray  # log share of each class
+    digit_priors: tuple[np.ndarray, np.ndarray]  # log shares of the first digit by class, of the second by class and first
     unknown: float  # share of tokens never seen
     total: int
     types: int
-    weights: np.ndarray  # history rows by class
-    inner: np.ndarray  # hashed (history, class) rows by word
-    tail_prior: np.ndarray | None = None  # (TAILS, buckets)
-    tail: np.ndarray | None = None  # hashed (history, tail class) rows by bucket
-
-    @property
-    def short_words(self) -> int:
-        return self.word_prior.size
-
-    @property
-    def history(self) -> int:
-        return HISTORY * len(self.word_prior) // CLASSES
-
-    @property
-    def context_symbols(self) -> int:
-        return self.short_words + TAILS * self.history + 1
-
-    def symbols(self, h: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        """Rank of each word if it is short, else the number of short words + its shape."""
-        at = np.minimum(np.searchsorted(self.short, h), max(0, len(self.short) - 1))
-        hit = self.short[at] == h if len(self.short) else np.zeros(len(h), bool)
-        return np.where(hit, self.rank[at] if len(self.rank) else 0, self.short_words + shape.astype(np.int64))
-
-    def contexts(self, h: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """What each word is in a history: itself if it is short, else a bucket of its shape."""
-        k = self.short_words
-        return np.where(symbol < k, symbol, k + (symbol - k) * self.history + _bucket(h, self.history))
-
-    def buckets(self, h: np.ndarray) -> np.ndarray:
-        """The bucket each word has as a target, if it isn't short."""
-        return _bucket(h, self.tail_prior.shape[1])
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
-
-
-def _hashed(x: np.ndarray, multiplier: int, rows: int) -> np.ndarray:
-    """One of ``rows`` (a power of two)."""
-    return (x.astype(np.uint64) * np.uint64(multiplier) >> np.uint64(65 - rows.bit_length())).astype(np.int64)
-
-
-def histories(m: Model, context: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Weight rows (3 by tokens) of each token's history (``Model.contexts``); texts begin at ``starts``."""
-    symbols = m.context_symbols
-    before = symbols - 1
-    last, skip = np.empty_like(context), np.empty_like(context)
-    last[1:], skip[2:] = context[:-1], context[:-2]
-    last[starts] = before
-    skip[:2] = before
-    skip[starts] = before
-    second = starts[:-1][np.diff(starts) > 1] + 1 if len(starts) else starts
-    skip[second] = before
-    if len(starts) and starts[-1] + 1 < len(context):
-        skip[starts[-1] + 1] = before
-    pair = _hashed(skip * symbols + last, 0x9E3779B97F4A7C15, len(m.weights) - 2 * symbols)
-    return np.stack([last, symbols + skip, 2 * symbols + pair])
-
-
-def _inner_rows(m: Model, table: np.ndarray, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Rows of ``table`` for each history row within each class."""
-    return _hashed(rows * len(m.class_prior) + cls, 0xC2B2AE3D27D4EB4F, len(table))
-
-
-def target_class(m: Model, symbol: np.ndarray) -> np.ndarray:
-    k = m.short_words
-    return np.where(symbol < k, symbol // PER_CLASS, len(m.word_prior) + symbol - k)
-
-
-def log_probability(m: Model, symbol: np.ndarray, rows: np.ndarray, bucket: np.ndarray | None = None) -> np.ndarray:
-    """Natural log of the class and of the word within it or, for tail words with a ``bucket``, of that; in sparse batches."""
-    out = np.empty(len(symbol))
-    for a in range(0, len(symbol), MINI_BATCH):
-        b = a + MINI_BATCH
-        s, r = symbol[a:b], rows[:, a:b]
-        cls = target_class(m, s)
-        z = _log_softmax(_summed(m.class_prior, m.weights, r))
-        got = z[np.arange(len(s)), cls].astype(float)
-        short = np.flatnonzero(s < m.short_words)
-        c = cls[short]
-        z = _log_softmax(_summed(m.word_prior[c], m.inner, _inner_rows(m, m.inner, r[:, short], c)))
-        got[short] += z[np.arange(len(short)), s[short] % PER_CLASS]
-        if bucket is not None:
-            tail = np.flatnonzero(s >= m.short_words)
-            c = cls[tail]
-            z = _log_softmax(_summed(m.tail_prior[c - len(m.word_prior)], m.tail, _inner_rows(m, m.tail, r[:, tail], c)))
-            got[tail] += z[np.arange(len(tail)), bucket[a:b][tail]]
-        out[a:b] = got
-    return out
-
-
-def _summed(prior: np.ndarray, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = table[rows[0]]
-    for r in rows[1:]:
-        z += table[r]
-    z += prior
-    return z
+    weights: np.ndarray  # hashed history rows by class
+    digits: np.ndarray  # hashed (history, node) rows by digit
+
+
+def start_model(stats: DataFrame, parts: int) -> Model:
+    """Priors; ``CLASSES * 256`` sums at most reach the driver."""
+    types, once, seen = (np.zeros((CLASSES, WAYS, WAYS)) for _ in range(3))
+    with freed_shuffles(stats.sparkSession):
+        for r in stats.collect():
+            at = r["class"], r["digits"] // WAYS, r["digits"] % WAYS
+            types[at], once[at], seen[at] = r["types"], r["once"], r["seen"]
+    of_class = types.sum(axis=(1, 2))
+    total, single, g = int(seen.sum()), max(float(once.sum()), SMOOTH), growth(int(of_class.sum()))
+    width = int(np.flatnonzero(of_class).max(initial=0)) + 1
+    share = lambda x: np.log((x + 1e-3) / (x + 1e-3).sum(axis=-1, keepdims=True)).astype(np.float32)
+    tokens = seen.sum(axis=(1, 2))[:width]
+    return Model(
+        depths(of_class, parts)[:width], tokens, share(tokens), (share(seen.sum(axis=2)[:width]), share(seen[:width])), single / (total + single) if total else 1.0,
+        total, int(of_class.sum()), np.zeros((CLASS_ROWS * g, width), np.float32), np.zeros((DIGIT_ROWS * g, WAYS), np.float32),
+    )
 
 
-def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """One Adagrad step of the rows that a mini-batch touches."""
-    for r in rows:
-        order = np.argsort(r, kind="stable")
-        sorted_ = r[order]
-        first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        g = np.add.reduceat(gradient[order], first, axis=0)
-        at = sorted_[first]
-        q = squares[at] + g * g
-        squares[at] = q
-        table[at] -= RATE * g / np.sqrt(q)
-
-
-def learn(m: Model, symbol: np.ndarray, bucket: np.ndarray, rows: np.ndarray, squares: tuple[np.ndarray, ...]) -> None:
-    """Mini-batch gradient steps on the model's weights, in place."""
-    for a in range(0, len(symbol), MINI_BATCH):
-        s, t, r = symbol[a : a + MINI_BATCH], bucket[a : a + MINI_BATCH], rows[:, a : a + MINI_BATCH]
-        cls = target_class(m, s)
-        p = np.exp(_log_softmax(_summed(m.class_prior, m.weights, r)))
-        p[np.arange(len(s)), cls] -= 1
-        known = s < m.short_words
-        short, tail = np.flatnonzero(known), np.flatnonzero(~known)
-        if len(short):
-            c = cls[short]
-            q = _inner_rows(m, m.inner, r[:, short], c)
-            z = np.exp(_log_softmax(_summed(m.word_prior[c], m.inner, q)))
-            z[np.arange(len(short)), s[short] % PER_CLASS] -= 1
-            _descend(m.inner, squares[1], q, z)
-        if len(tail):
-            c = cls[tail]
-            q = _inner_rows(m, m.tail, r[:, tail], c)
-            z = np.exp(_log_softmax(_summed(m.tail_prior[c - len(m.word_prior)], m.tail, q)))
-            z[np.arange(len(tail)), t[tail]] -= 1
-            _descend(m.tail, squares[2], q, z)
-        _descend(m.weights, squares[0], r, p)
-
-
-def _opened(payload: bytes) -> tuple[np.ndarray, ...]:
-    f = _parts_of(payload, 7)
-    kinds = (np.int64, np.bool_, np.bool_, np.int64, np.uint64, np.uint8, np.uint32)
-    return tuple(np.frombuffer(x, k) for x, k in zip(f, kinds))
-
-
-def start_model(stats: DataFrame) -> Model:
-    """Priors from the counts: the short words and ``TAILS * FINE`` sums at most reach the driver."""
-    seen, types, once = (np.zeros(TAILS * FINE) for _ in range(3))
-    for r in stats.where("kind = 3").groupBy("shape").agg(F.sum("seen").alias("seen"), F.sum("types").alias("types"), F.sum("once").alias("once")).collect():
-        seen[r["shape"]], types[r["shape"]], once[r["shape"]] = r["seen"], r["types"], r["once"]
-    total, words_, single = int(seen.sum()), int(types.sum()), float(once.sum())
-    g = growth(words_)
-    classes, buckets, n = CLASSES * g, BUCKETS * g, SHORT * g
-    top = stats.where("kind = 2").select("word", "seen", "shape").orderBy(F.desc("seen"), "word").limit(n).collect()
-    h = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    counts = np.array([r["seen"] for r in top], float)
-    mass = seen + SMOOTH * types
-    np.subtract.at(mass, np.array([r["shape"] for r in top], np.int64) * FINE + _bucket(h, FINE), counts + SMOOTH)
-    mass = np.maximum(mass.reshape(TAILS, FINE // buckets, buckets).sum(axis=1), 1e-9)
-    padded = np.full(n, 1e-9)
-    padded[: len(counts)] = counts + SMOOTH
-    by_class = padded.reshape(classes, PER_CLASS)
-    share = lambda x: np.log(x / x.sum(axis=-1, keepdims=True)).astype(np.float32)
-    order = np.argsort(h)
-    m = Model(
-        h[order], np.arange(len(h))[order], share(np.concatenate([by_class.sum(axis=1), mass.sum(axis=1)])), share(by_class),
-        mass, max(single, SMOOTH) / (total + max(single, SMOOTH)) if total else 1.0, total, words_,
-        np.zeros((0, 0)), np.zeros((WORD_ROWS * g, PER_CLASS), np.float32), share(mass), np.zeros((WORD_ROWS * g, buckets), np.float32),
-    )
-    m.weights = np.zeros((2 * m.context_symbols + PAIR_ROWS * g, classes + TAILS), np.float32)
-    return m
+def replies(sent: DataFrame, model: Model, parts: int) -> DataFrame:
+    """``block, part, payload``: for the words that a block sent, their counts and the log share of each in its leaf."""
+    depth, tokens = model.depth, model.tokens
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _gathered(batches)) is None:
+            return
+        senders, hashes, distinct, total, inverse = found
+        share = np.zeros(len(distinct), np.float32)
+        at = np.flatnonzero(total)
+        k = class_of(total[at])
+        d = depth[k]
+        leaf = np.where(d > 0, (distinct[at] >> (64 - BITS * np.maximum(d, 1)).astype(np.uint64)).astype(np.int64), 0)
+        _, of = np.unique(k << (BITS * DIGITS) | leaf, return_inverse=True)
+        own = np.bincount(of, total[at])[of] if len(at) else np.zeros(0)
+        share[at] = np.log(total[at] / np.where(d > 0, own, tokens[k]))
+        a = 0
+        for (block, part), h in zip(senders, hashes):
+            i = inverse[a : a + len(h)]
+            a += len(h)
+            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([framed(total[i], share[i])], pa.binary())], names=["kind", "block", "part", "payload"])
 
-#: The tables that training changes.
-_LEARNED = ("weights", "inner", "tail")
+    return sent.where("kind = 1").select("block", "part", "payload").repartition(parts, "part").mapInArrow(run, "kind int, block long, part int, payload binary")
 
 
-def train(sent: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """Rounds of local descent and averaging; a change of fixed size reaches the driver from each."""
-    spark = sent.sparkSession
-    source = sent.where("kind = 0").select("block", "payload")
-    n = source.count()
-    # no shuffle: a task takes the blocks of neighbouring partitions, more of them as the change that it sends grows
-    g = len(model.word_prior) // CLASSES
-    source = source.coalesce(max(1, min(n, spark.sparkContext.defaultParallelism), n // (BLOCKS_A_TASK * g * g)))
+def assembled(sent: DataFrame, answers: DataFrame) -> DataFrame:
+    """``block, payload``: every block with its words' counts and shares."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, fields, counts, shares = None, [], [], []
+
+        def whole() -> pa.RecordBatch:
+            payload = framed(*fields, np.concatenate(counts), np.concatenate(shares))
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([payload], pa.binary())], names=["block", "payload"])
+
+        for batch in batches:
+            for kind, block, blob in zip(batch.column("kind").to_pylist(), batch.column("block").to_pylist(), batch.column("payload")):
+                if block != current:
+                    if current is not None:
+                        yield whole()
+                    current, fields, counts, shares = block, [], [], []
+                if kind == 0:
+                    fields = [bytes(x) for x in frames_of(blob.as_py(), 6)]
+                else:
+                    f = frames_of(blob.as_py(), 2)
+                    counts.append(np.frombuffer(f[0], np.int64))
+                    shares.append(np.frombuffer(f[1], np.float32))
+        if current is not None:
+            yield whole()
+
+    own = sent.where("kind = 0").select("kind", "block", "part", "payload")
+    n = max(1, own.count())
+    together = own.unionByName(answers).repartition(n, "block").sortWithinPartitions("block", "kind", "part").select("kind", "block", "payload")
+    return together.mapInArrow(run, "block long, payload binary")
+
+
+@dataclass
+class Block:
+    """A block with what the model needs of each distinct word."""
+
+    ids: np.ndarray
+    none: np.ndarray
+    learns: np.ndarray
+    sizes: np.ndarray
+    sequence: np.ndarray  # distinct words by token
+    seen: np.ndarray
+    share: np.ndarray
+    cls: np.ndarray
+    feature: np.ndarray  # what the word is in a history
+    first: np.ndarray  # its first entry below
+    depth: np.ndarray
+    node: np.ndarray  # by entry (word and digit): the node's hash, the digit, its place among the priors (-1: none)
+    digit: np.ndarray
+    prior: np.ndarray
+
+
+def _mixed(x: np.ndarray, by: np.uint64) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * by
+    return x ^ (x >> np.uint64(32))
+
+
+def opened(m: Model, payload: bytes) -> Block:
+    f = frames_of(payload, 8)
+    kinds = (np.int64, np.bool_, np.bool_, np.int64, np.uint64, np.uint32, np.int64, np.float32)
+    ids, none, learns, sizes, h, sequence, seen, share = (np.frombuffer(x, k) for x, k in zip(f, kinds))
+    cls = class_of(seen)
+    depth = np.where(cls >= 0, m.depth[cls], 0)
+    feature = _mixed(np.where(seen >= RARE, h, (cls + 2).astype(np.uint64)), _MIX[0])
+    first = np.cumsum(depth) - depth
+    owner = np.repeat(np.arange(len(h)), depth)
+    level = np.arange(len(owner)) - first[owner]
+    own, k = h[owner], cls[owner]
+    digit = (own >> (64 - BITS * (level + 1)).astype(np.uint64)).astype(np.int64) & (WAYS - 1)
+    before = np.where(level > 0, own >> (64 - BITS * np.maximum(level, 1)).astype(np.uint64), np.uint64(0))
+    node = _mixed(before + ((k * 8 + level).astype(np.uint64) << np.uint64(40)), _MIX[1])
+    prior = np.where(level == 0, k, np.where(level == 1, len(m.depth) + k * WAYS + before.astype(np.int64), -1))
+    return Block(ids, none, learns, sizes, sequence, seen, share, cls, feature, first, depth, node, digit, prior)
+
+
+def histories(feature: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each token's history: the word before, the one before that, and both; texts begin at ``starts``."""
+    last, skip = np.full_like(feature, _BEFORE), np.full_like(feature, _BEFORE)
+    last[1:], skip[2:] = feature[:-1], feature[:-2]
+    last[starts] = _BEFORE
+    skip[starts] = _BEFORE
+    second = starts + 1
+    skip[second[second < len(feature)]] = _BEFORE
+    return last, skip, _mixed(last + (skip << np.uint64(1)), _MIX[2])
+
+
+def _rows(x: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` (a power of two) by hash."""
+    return (x * _MIX[2] >> np.uint64(65 - n.bit_length())).astype(np.int64)
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Log probabilities, in place."""
+    z -= z.max(axis=1, keepdims=True)
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
+
+
+@dataclass
+class Batch:
+    """Rows, targets and log probabilities of some tokens: first of their classes, then of all their digits."""
+
+    token: np.ndarray  # of each digit
+    class_rows: list[np.ndarray]
+    digit_rows: list[np.ndarray]
+    cls: np.ndarray
+    digit: np.ndarray
+    class_z: np.ndarray
+    digit_z: np.ndarray
+
+    def log_probability(self) -> np.ndarray:
+        out = self.class_z[np.arange(len(self.cls)), self.cls].astype(float)
+        own = self.digit_z[np.arange(len(self.digit)), self.digit]
+        return out + np.bincount(self.token, own, len(out))
+
+
+def forward(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.ndarray, both: np.ndarray) -> Batch:
+    """The model's factors for known words and their histories."""
+    k = len(m.weights)
+    class_rows = [_rows(last, k), _rows(skip ^ _MIX[0], k), _rows(both ^ _MIX[1], k)]
+    z = m.weights[class_rows[0]]
+    z += m.weights[class_rows[1]]
+    z += m.weights[class_rows[2]]
+    z += m.class_prior
+    depth = b.depth[word]
+    token = np.repeat(np.arange(len(word)), depth)
+    entry = np.repeat(b.first[word] - np.cumsum(depth) + depth, depth) + np.arange(len(token))
+    node = b.node[entry]
+    k = len(m.digits)
+    digit_rows = [_rows(node, k), _rows(node ^ last[token], k), _rows(node ^ (both[token] + _MIX[0]), k)]
+    y = m.digits[digit_rows[0]]
+    y += m.digits[digit_rows[1]]
+    y += m.digits[digit_rows[2]]
+    prior = b.prior[entry]
+    known = np.flatnonzero(prior >= 0)
+    table = np.concatenate([m.digit_priors[0], m.digit_priors[1].reshape(-1, WAYS)])
+    y[known] += table[prior[known]]
+    return Batch(token, class_rows, digit_rows, b.cls[word], b.digit[entry], _softmax(z), _softmax(y))
+
+
+def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    """One Adagrad step of the rows that a mini-batch touches."""
+    order = np.argsort(rows)
+    sorted_ = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    g = np.add.reduceat(gradient[order], first, axis=0)
+    at = sorted_[first]
+    q = squares[at] + g * g
+    squares[at] = q
+    g *= RATE
+    g /= np.sqrt(q)
+    table[at] -= g
+
+
+def learn(m: Model, squares: tuple[np.ndarray, np.ndarray], batch: Batch) -> None:
+    """A gradient step on the model's weights, in place."""
+    for table, s, rows, z, target in ((m.weights, squares[0], batch.class_rows, batch.class_z, batch.cls), (m.digits, squares[1], batch.digit_rows, batch.digit_z, batch.digit)):
+        if len(z):
+            g = np.exp(z)
+            g[np.arange(len(z)), target] -= 1
+            for r in rows:
+                _descend(table, s, r, g)
+
+
+def descended(m: Model, payload: bytes, turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """What one shard's mini-batches of a round change in the weights."""
+    b = opened(m, payload)
+    mine = b.learns & (np.arange(len(b.sizes)) % rounds == turn)
+    if not mine.any():
+        return None
+    word = b.sequence[np.repeat(mine, b.sizes)]
+    own = b.sizes[mine]
+    last, skip, both = histories(b.feature[word], np.cumsum(own) - own)
+    local = replace(m, weights=m.weights.copy(), digits=m.digits.copy())
+    squares = np.full_like(m.weights, 1e-2), np.full_like(m.digits, 1e-2)
+    for a in range(0, len(word), MINI_BATCH):
+        i = slice(a, a + MINI_BATCH)
+        learn(local, squares, forward(local, b, word[i], last[i], skip[i], both[i]))
+    return local.weights - m.weights, local.digits - m.digits
+
+
+def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
+    """Rounds of local descent and averaging over shards; a change of the tables' size reaches the driver from each."""
+    spark = ready.sparkSession
+    n = ready.count()
+    source = ready.select("payload").coalesce(max(1, n // SHARDS_A_TASK))
     for turn in range(rounds):
-        held = spark.sparkContext.broadcast(model)
+        held = spark.sparkContext.broadcast(model)  # the tables' size follows growth, 103 MB at most
 
         def descend(batches: Iterable[pa.RecordBatch], turn: int = turn) -> Iterator[pa.RecordBatch]:
             m: Model = held.value
-            m = Model(**{**m.__dict__, **{k: getattr(m, k).copy() for k in _LEARNED}})
-            squares = tuple(np.full_like(getattr(m, k), 1e-2) for k in _LEARNED)
+            sums = [np.zeros_like(m.weights), np.zeros_like(m.digits)]
+            touched = [np.zeros(len(x), np.uint16) for x in sums]
             for batch in batches:
                 for payload in batch.column("payload"):
-                    _, _, learns, sizes, h, shape, sequence = _opened(payload.as_py())
-                    starts = np.cumsum(sizes) - sizes
-                    mine = learns & (np.arange(len(sizes)) % rounds == turn)
-                    if not mine.any():
-                        continue
-                    chosen = np.repeat(mine, sizes)
-                    symbol, tokens = m.symbols(h, shape), sequence[chosen]
-                    own = sizes[mine]
-                    learn(m, symbol[tokens], m.buckets(h)[tokens], histories(m, m.contexts(h, symbol)[tokens], np.cumsum(own) - own), squares)
-            change = np.concatenate([(getattr(m, k) - getattr(held.value, k)).astype(np.float16).ravel() for k in _LEARNED])
-            bounds = np.linspace(0, len(change), CHUNKS + 1).astype(int)
-            blobs = [zlib.compress(change[a:b].tobytes(), 1) for a, b in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "change"])
+                    for s, t, change in zip(sums, touched, descended(m, payload.as_py(), turn, rounds) or ()):
+                        s += change
+                        t += change.any(axis=1)
+            for table, (s, t) in enumerate(zip(sums, touched)):
+                bounds = np.linspace(0, len(s), CHUNKS + 1).astype(int)
+                blobs = [framed(s[a:b].astype(np.float16), t[a:b]) for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([table * CHUNKS + i for i in range(CHUNKS)], pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "change"])
 
         def average(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, np.ndarray] = {}
             touched: dict[int, np.ndarray] = {}
             for batch in batches:
                 for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("change")):
-                    x = np.frombuffer(zlib.decompress(blob.as_py()), np.float16).astype(np.float32)
-                    sums[chunk] = sums.get(chunk, 0) + x
-                    touched[chunk] = touched.get(chunk, 0) + (x != 0)
-            for chunk, x in sums.items():
-                blob = zlib.compress((x / np.maximum(touched[chunk], 1)).astype(np.float32).tobytes(), 1)
+                    f = frames_of(blob.as_py(), 2)
+                    t = np.frombuffer(f[1], np.uint16).astype(np.int64)
+                    sums[chunk] = sums.get(chunk, 0) + np.frombuffer(f[0], np.float16).astype(np.float32).reshape(len(t), -1)
+                    touched[chunk] = touched.get(chunk, 0) + t
+            for chunk, s in sums.items():
+                blob = framed((s / np.maximum(touched[chunk], 1)[:, None]).astype(np.float32))
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([blob], pa.binary())], names=["chunk", "change"])
 
-        rows = source.select("payload").mapInArrow(descend, "chunk int, change binary").repartition(CHUNKS, "chunk").mapInArrow(average, "chunk int, change binary").collect()
-        if rows:
-            change = np.concatenate([np.frombuffer(zlib.decompress(r["change"]), np.float32) for r in sorted(rows, key=lambda r: r["chunk"])])
-            edges = np.cumsum([getattr(model, k).size for k in _LEARNED])[:-1]
-            model = Model(**{**model.__dict__, **{k: getattr(model, k) + c.reshape(getattr(model, k).shape) for k, c in zip(_LEARNED, np.split(change, edges))}})
+        with freed_shuffles(spark):
+            rows = source.mapInArrow(descend, "chunk int, change binary").repartition(CHUNKS, "chunk").mapInArrow(average, "chunk int, change binary").collect()
+        found = {r["chunk"]: np.frombuffer(frames_of(r["change"], 1)[0], np.float32) for r in rows}
         held.unpersist()
+        if found:
+            changes = [np.concatenate([found[table * CHUNKS + i] for i in range(CHUNKS)]) for table in (0, 1)]
+            model = replace(model, weights=model.weights + changes[0].reshape(model.weights.shape), digits=model.digits + changes[1].reshape(model.digits.shape))
     return model
 
 
-def scored(sent: DataFrame, stats: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``: blocks meet their words' counts."""
-    spark = sent.sparkSession
-    held = spark.sparkContext.broadcast(model)
+def log10_probabilities(m: Model, b: Block) -> np.ndarray:
+    """Of every token of a block; in sparse batches."""
+    starts = np.cumsum(b.sizes) - b.sizes
+    last, skip, both = histories(b.feature[b.sequence], starts)
+    out = np.full(len(b.sequence), np.log(m.unknown))
+    known = np.flatnonzero(b.seen[b.sequence] > 0)
+    for a in range(0, len(known), MINI_BATCH):
+        i = known[a : a + MINI_BATCH]
+        word = b.sequence[i]
+        out[i] = forward(m, b, word, last[i], skip[i], both[i]).log_probability() + b.share[word] + np.log1p(-m.unknown)
+    return out / np.log(10)
+
+
+def scored(ready: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text."""
+    held = ready.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
-        current, payload, replies = None, None, []
-        for batch in batches:
-            for kind, block, blob in zip(batch.column("kind").to_pylist(), batch.column("block").to_pylist(), batch.column("payload")):
-                if block != current:
-                    if payload is not None:
-                        yield score(m, payload, replies)
-                    current, payload, replies = block, None, []
-                if kind == 0:
-                    payload = blob.as_py()
-                else:
-                    replies.append(np.frombuffer(zlib.decompress(blob.as_py()), np.int64))
-        if payload is not None:
-            yield score(m, payload, replies)
-
-    def score(m: Model, payload: bytes, replies: list[np.ndarray]) -> pa.RecordBatch:
-        ids, none, learns, sizes, h, shape, sequence = _opened(payload)
-        seen = np.concatenate(replies)
-        starts = np.cumsum(sizes) - sizes
         scale = m.total + SMOOTH * (m.types + 1)
-        base = np.log10((seen + SMOOTH) / scale)[sequence]
-        symbol = m.symbols(h, shape)
-        # a word outside the short list: its share of its bucket; one never seen: the unknown's share
-        tail = symbol >= m.short_words
-        bucket = m.buckets(h)
-        extra = np.zeros(len(h))
-        extra[tail] = np.log((seen[tail] + SMOOTH) / m.tail_mass[symbol[tail] - m.short_words, bucket[tail]])
-        lp = log_probability(m, symbol[sequence], histories(m, m.contexts(h, symbol)[sequence], starts), bucket[sequence]) + extra[sequence] + np.log1p(-min(m.unknown, 1 - 1e-9))
-        lp[(seen == 0)[sequence]] = np.log(m.unknown)
-        lp /= np.log(10)
-        known = (seen > 0)[sequence]
-        n = len(ids)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, mask=none), pa.array(~learns), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.full(n, m.total, np.int64)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(lp, starts))],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
-
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sent.where("kind = 0").count())
-    both = sent.where("kind = 0").unionByName(stats.where("kind = 1").select("kind", "block", "part", "payload"))
-    together = both.repartition(parts, "block").sortWithinPartitions("block", "kind", "part").select("kind", "block", "payload")
-    return together.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def score_texts(docs: DataFrame) -> DataFrame:
+        for batch in batches:
+            for payload in batch.column("payload"):
+                b = opened(m, payload.as_py())
+                starts, n = np.cumsum(b.sizes) - b.sizes, len(b.ids)
+                base = np.log10((b.seen + SMOOTH) / scale)[b.sequence]
+                known = (b.seen > 0)[b.sequence].astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(b.ids, mask=b.none), pa.array(~b.learns), pa.array(b.sizes), pa.array(np.add.reduceat(known, starts)), pa.array(np.full(n, m.total, np.int64)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log10_probabilities(m, b), starts))],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    return ready.select("payload").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Train on the rows of ``docs`` (``doc_id, text, learn``) that may be learned from; score all."""
-    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 24 // PART_WORDS + 1)
-    sent = checkpointed(blocks(docs, parts))
-    stats = checkpointed(counted(sent, parts))
-    model = train(sent, start_model(stats))
-    return scored(sent, stats, model)
+    parts = max(LEAST_PARTS, 1 << (size // 24 // PART_WORDS).bit_length())
+    sent = written(blocks(dealt(docs, size), parts))
+    model = start_model(statistics(sent, parts), parts)
+    answers = written(replies(sent, model, parts))
+    ready = written(assembled(sent, answers))
+    discarded(sent, answers)
+    return scored(ready, train(ready, model, rounds))
 
 
 def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

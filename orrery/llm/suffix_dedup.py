@@ -29,8 +29,6 @@ the same result; null ids count as the largest.
 from __future__ import annotations
 
 import hashlib
-import struct
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, checkpointed, documents, map_arrow
+from .common import bounded_batches, checkpointed, documents, framed, frames_of, map_arrow
 
 WIDTH, GRAM = 100, 16
 #: Strings of one stretch at most, so that periodic texts are cut too.
@@ -122,20 +120,6 @@ def class_of(data: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _frame(*arrays: np.ndarray | bytes) -> bytes:
-    raw = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
-    return zlib.compress(struct.pack(f"<{len(raw)}Q", *map(len, raw)) + b"".join(raw), 1)
-
-
-def _parts_of(blob: bytes, n: int) -> list[memoryview]:
-    data = memoryview(zlib.decompress(blob))
-    at, out = 8 * n, []
-    for size in struct.unpack(f"<{n}Q", data[: 8 * n]):
-        out.append(data[at : at + size])
-        at += size
-    return out
-
-
 def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
     """``class, key, start, strings`` of the stretches whose key repeats; and, with a null class, ``key`` and its number of stretches where that is over ``HOT``."""
     bounded_batches(docs.sparkSession)
@@ -167,7 +151,7 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
                 a, b = by[edges[p] : edges[p + 1]], back[back_edges[p] : back_edges[p + 1]]
                 if len(a) or len(b):
                     names, who = np.unique(owner[a], return_inverse=True)
-                    rows.append((p, _frame(np.diff(key[a], prepend=np.uint64(0)), names, who.astype(np.uint32), start[a].astype(np.uint32), count[a].astype(np.uint16), np.minimum(many[run[a]], 65535).astype(np.uint16), key[b], owner[b], start[b].astype(np.uint32), count[b].astype(np.uint16))))
+                    rows.append((p, framed(np.diff(key[a], prepend=np.uint64(0)), names, who.astype(np.uint32), start[a].astype(np.uint32), count[a].astype(np.uint16), np.minimum(many[run[a]], 65535).astype(np.uint16), key[b], owner[b], start[b].astype(np.uint32), count[b].astype(np.uint16))))
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "keys"])
 
         for batch in batches:
@@ -192,7 +176,7 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
         keys, owners, starts, counts, manys = [], [], [], [], []
         for batch in batches:
             for blob in batch.column("keys"):
-                f = _parts_of(blob.as_py(), 10)
+                f = frames_of(blob.as_py(), 10)
                 key = np.cumsum(np.frombuffer(f[0], np.uint64), dtype=np.uint64)
                 keys.append(key)
                 owners.append(np.frombuffer(f[1], np.int64)[np.frombuffer(f[2], np.uint32)])
@@ -325,7 +309,7 @@ def removed_runs(texts: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
                 bins.setdefault((run[0] + i) % parts, [[], [], [], []])[2].append(run)
             rows = []
             for p, (a, b, c, _) in bins.items():
-                rows.append((p, _frame(
+                rows.append((p, framed(
                     b"".join(s for s, _ in a), np.array([len(s) for s, _ in a], np.int64), np.array([q[:3] for _, q in a], np.int64),
                     np.array([h & ((1 << 64) - 1) for h, _ in b], np.uint64), np.array([h >> 64 for h, _ in b], np.uint64), np.array([q for _, q in b], np.int64),
                     np.array(c, np.int64),
@@ -373,7 +357,7 @@ def removed_runs(texts: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
         low, high, places = [], [], []
         for batch in batches:
             for blob in batch.column("bytes"):
-                f = _parts_of(blob.as_py(), 7)
+                f = frames_of(blob.as_py(), 7)
                 ends = np.cumsum(np.frombuffer(f[1], np.int64)).tolist()
                 a = 0
                 late = []

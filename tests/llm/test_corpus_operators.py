@@ -1,8 +1,10 @@
 """Operators over the whole corpus against brute force on small tables."""
 
 import collections
+import functools
 import hashlib
 import math
+import operator
 import random
 import re
 import zlib
@@ -42,6 +44,43 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
 
+def read_print(text):
+    """``n``, bits and blocks (three tables of cells each) of a fingerprint's text."""
+    n, bits, cells = text.split(":")
+    cells = [(int(c.split(".")[0]), int(c.split(".")[1], 16)) if c else (0, 0) for c in cells.split(",")]
+    size = 3 * iblt.CELLS
+    return int(n), int(bits), [cells[a : a + size] for a in range(0, len(cells), size)]
+
+
+def plain_likeness(a, b, digests):
+    """By subtracting and peeling the fingerprints' texts alone; None where a block doesn't peel.  ``digests`` knows each digest's cells."""
+    (n, k, x), (_, l, y) = read_print(a), read_print(b)
+    to = 1 << min(k, l)
+    fold = lambda blocks: [[(sum(blk[c][0] for blk in blocks[j::to]), functools.reduce(operator.xor, (blk[c][1] for blk in blocks[j::to]))) for c in range(len(blocks[0]))] for j in range(to)]
+    only_a = only_b = 0
+    for p, q in zip(fold(x), fold(y)):
+        cells = [[c - d, e ^ f] for (c, e), (d, f) in zip(p, q)]
+        while pure := next((c for c in cells if abs(c[0]) == 1 and c[1] in digests), None):
+            sign, digest = pure
+            only_a, only_b = only_a + (sign == 1), only_b + (sign == -1)
+            for i in digests[digest]:
+                cells[i] = [cells[i][0] - sign, cells[i][1] ^ digest]
+        if any(c != [0, 0] for c in cells):
+            return None
+    return (n - only_a) / (n + only_b) if n + only_b else 1.0
+
+
+def test_likeness_is_that_of_the_returned_fingerprints(spark, docs):
+    df = keyed_text(frame(spark, docs))
+    order = sorted(docs, key=lambda r: -r[0])
+    edits = [(t or "")[: len(t or "") - len(t or "") // 2] + (u or "")[: len(t or "") // 2] for (_, t), (_, u) in zip(order, order[1:] + order[:1])]
+    texts = spark.createDataFrame([(t or "",) for _, t in docs] + [(t,) for t in edits], "text string")
+    entries = texts.select(F.explode(iblt._entries(iblt.paragraph_digests(F.col("text")), iblt.CELLS, 1)).alias("e")).select("e.*").distinct().collect()
+    cells = {e.k & (1 << 64) - 1: (e.p, iblt.CELLS + e.q, 2 * iblt.CELLS + e.r) for e in entries}
+    found = [(plain_likeness(r.fingerprint, r.edited_fingerprint, cells), r.near_edited) for r in iblt.fingerprints(df).collect()]
+    assert all(p is None or p == pytest.approx(q) for p, q in found) and sum(p is not None for p, _ in found) > 0.8 * len(found)
+
+
 def test_fingerprints(spark, docs):
     got = {r.doc_id: r for r in iblt.fingerprints(keyed_text(frame(spark, docs))).collect()}
     order = sorted(docs, key=lambda r: -r[0])
@@ -220,14 +259,66 @@ def test_language_model(spark, docs):
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
 
 
-def test_language_model_adds_up():
-    rng = np.random.default_rng(1)
-    shape = (2 * maxent_lm.SYMBOLS + maxent_lm.PAIR_ROWS, maxent_lm.CLASSES + maxent_lm.TAILS)
-    prior = lambda *s: np.log(rng.dirichlet(np.ones(s[-1]), s[:-1] or None)).astype(np.float32)
-    m = maxent_lm.Model(None, None, prior(shape[1]), prior(maxent_lm.CLASSES, maxent_lm.PER_CLASS), None, 0.1, 1, 1, rng.normal(size=shape).astype(np.float32), rng.normal(size=(maxent_lm.WORD_ROWS, maxent_lm.PER_CLASS)).astype(np.float32))
-    n = maxent_lm.SHORT + maxent_lm.TAILS
-    rows = np.repeat(np.array([[3], [maxent_lm.SYMBOLS + 5], [2 * maxent_lm.SYMBOLS + 9]]), n, axis=1)
-    assert np.exp(maxent_lm.log_probability(m, np.arange(n), rows)).sum() == pytest.approx(1, abs=1e-4)
+def trained(docs):
+    """The model of ``score_texts`` and its blocks, opened."""
+    size, parts = 1, 16
+    sent = maxent_lm.written(maxent_lm.blocks(maxent_lm.dealt(docs, size), parts))
+    model = maxent_lm.start_model(maxent_lm.statistics(sent, parts), parts)
+    ready = maxent_lm.written(maxent_lm.assembled(sent, maxent_lm.replies(sent, model, parts)))
+    model = maxent_lm.train(ready, model)
+    return model, [maxent_lm.opened(model, r.payload) for r in ready.select("payload").collect()]
+
+
+def plain_log10(m, b, tokens):
+    """Token by token and factor by factor, with Python's own sums."""
+    soft = lambda z, i: z[i] - math.log(sum(math.exp(x) for x in z))
+    u = np.uint64
+    out, history = [], [maxent_lm._BEFORE] * 2
+    for w in tokens:
+        last, skip = np.array([history[-1]], u), np.array([history[-2]], u)
+        both = maxent_lm._mixed(last + (skip << u(1)), maxent_lm._MIX[2])
+        row = lambda table, x: table[maxent_lm._rows(x, len(table))[0]].astype(float)
+        if b.seen[w]:
+            z = row(m.weights, last) + row(m.weights, skip ^ maxent_lm._MIX[0]) + row(m.weights, both ^ maxent_lm._MIX[1]) + m.class_prior
+            p = soft(z.tolist(), b.cls[w]) + b.share[w] + math.log(1 - m.unknown)
+            table = np.concatenate([m.digit_priors[0], m.digit_priors[1].reshape(-1, 16)])
+            for e in range(b.first[w], b.first[w] + b.depth[w]):
+                node = b.node[e : e + 1]
+                y = row(m.digits, node) + row(m.digits, node ^ last) + row(m.digits, node ^ (both + maxent_lm._MIX[0])) + (table[b.prior[e]] if b.prior[e] >= 0 else 0)
+                p += soft(y.tolist(), b.digit[e])
+        else:
+            p = math.log(m.unknown)
+        out.append(p / math.log(10))
+        history.append(b.feature[w])
+    return out
+
+
+def test_language_model_equals_plain_sums(spark, docs):
+    df = keyed_text(frame(spark, docs)).withColumn("learn", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0)
+    model, opened = trained(df)
+    scores = collections.defaultdict(list)
+    for r in maxent_lm.score_texts(df).collect():
+        scores[r.doc_id].append(r.score)
+    for b in opened:
+        starts = np.cumsum(b.sizes) - b.sizes
+        for i, n, at in list(zip(b.ids.tolist(), b.sizes, starts))[:40]:
+            want = plain_log10(model, b, b.sequence[at : at + n])
+            assert np.allclose(maxent_lm.log10_probabilities(model, b)[at : at + n], want, atol=1e-4)
+            assert any(x == pytest.approx(sum(want), abs=1e-2) for x in scores[i])
+
+
+def test_language_model_adds_up_and_is_the_same_on_any_partitioning(spark, docs):
+    df = keyed_text(frame(spark, docs)).withColumn("learn", F.lit(True))
+    model, (b,) = trained(df)
+    words = np.arange(len(b.seen))
+    assert (b.seen > 0).all() and len(words) > 500
+    for pair in ((b.feature[3], b.feature[9]), (maxent_lm._BEFORE, maxent_lm._BEFORE)):
+        last, skip = (np.full(len(words), x) for x in pair)
+        both = maxent_lm._mixed(last + (skip << np.uint64(1)), maxent_lm._MIX[2])
+        p = np.exp(maxent_lm.forward(model, b, words, last, skip, both).log_probability() + b.share) * (1 - model.unknown)
+        assert 0.9 < p.sum() + model.unknown < 1 + 1e-3
+    other = {(r.doc_id, round(r.score, 6)) for r in maxent_lm.score_texts(df.repartition(1)).collect()}
+    assert {(r.doc_id, round(r.score, 6)) for r in maxent_lm.score_texts(df.repartition(7)).collect()} == other
 
 
 def test_language_model_predicts_rare_words(spark):
@@ -247,18 +338,11 @@ def test_language_model_predicts_rare_words(spark):
     assert got[10_000].score > got[10_001].score + 10
 
 
-def test_language_model_grows():
+def test_language_model_classes():
     assert [maxent_lm.growth(n) for n in (0, 1 << 17, 409_488, 1 << 21, 1 << 40)] == [1, 1, 2, 4, 16]
-    rng = np.random.default_rng(2)
-    classes, buckets = 2 * maxent_lm.CLASSES, 2 * maxent_lm.BUCKETS
-    prior = lambda *s: np.log(rng.dirichlet(np.ones(s[-1]), s[:-1] or None)).astype(np.float32)
-    table = lambda *s: rng.normal(size=s).astype(np.float32)
-    m = maxent_lm.Model(None, None, prior(classes + maxent_lm.TAILS), prior(classes, maxent_lm.PER_CLASS), None, 0.1, 1, 1, None, table(2 * maxent_lm.WORD_ROWS, maxent_lm.PER_CLASS), prior(maxent_lm.TAILS, buckets), table(2 * maxent_lm.WORD_ROWS, buckets))
-    m.weights = table(2 * m.context_symbols + 2 * maxent_lm.PAIR_ROWS, classes + maxent_lm.TAILS)
-    symbol = np.concatenate([np.arange(m.short_words), np.repeat(m.short_words + np.arange(maxent_lm.TAILS), buckets)])
-    bucket = np.concatenate([np.zeros(m.short_words, int), np.tile(np.arange(buckets), maxent_lm.TAILS)])
-    rows = np.repeat(maxent_lm.histories(m, np.array([5, 9, 3]), np.array([0]))[:, -1:], len(symbol), axis=1)
-    assert np.exp(maxent_lm.log_probability(m, symbol, rows, bucket)).sum() == pytest.approx(1, abs=1e-4)
+    assert maxent_lm.class_of(np.array([0, 1, 2, 3, 4, 1 << 40])).tolist() == [-1, 0, 1, 1, 2, 40]
+    assert maxent_lm.depths(np.array([0, 1, 2, 16, 17, 10**9]), 16).tolist() == [0, 0, 1, 1, 2, 6]
+    assert maxent_lm.depths(np.array([1, 2, 300]), 1 << 10).tolist() == [0, 3, 3]
 
 
 def test_quality(spark):

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orrery.llm import byte_bpe, media, packing, pii
 from orrery.llm.common import keyed_text
@@ -93,6 +94,18 @@ def test_word_tokenizer_equals_the_library():
         assert t.encode(s) == t.tokenizer.encode(s, add_special_tokens=False).ids, s
 
 
+def test_word_tokenizer_with_another_split_goes_to_the_library(tmp_path):
+    import json
+
+    settings = json.load(open(packing.public_vocabulary()))
+    settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[a-z]+ ?|\S"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(settings))
+    t = packing.WordTokenizer(str(path))
+    assert t.pieces is None and packing.WordTokenizer(packing.public_vocabulary()).pieces is not None
+    assert t.encode("ab cd, e") == t.tokenizer.encode("ab cd, e", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 2047, 2048, 2049, 6000])
 def test_cuts(n):
     lengths = packing.cuts(n)
@@ -111,8 +124,8 @@ def test_pack_rows(spark):
         assert r.ids == whole[r.start : r.start + r.length] and r.doc_tokens == len(whole)
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
     assert sorted(r.length for r in rows if r.doc_id == 3) == sorted(packing.cuts(len(ids)) * 2)
-    batches = packing.batches(packing.pack(df, path), 4096).groupBy("batch_id").agg({"length": "sum"}).collect()
-    assert max(r[1] for r in batches) <= 4096
+    batches = packing.pack(df.coalesce(1), path, batch_tokens=4096).groupBy("batch_id").agg(F.sum("length"), F.min("length"), F.max("length")).collect()
+    assert all(r[1] <= 4096 and r[2] == r[3] == int(r[0].split(":")[0]) for r in batches) and len(batches) < len(rows)
     assert packing.pack(df.limit(0), path).count() == 0
     with pytest.raises(ValueError):
         packing.pack(df, path, most=100)
@@ -132,6 +145,28 @@ def test_media_round_trip(spark, tmp_path):
     assert media.store(df.limit(0), f"{tmp_path.as_uri()}/b").count() == 0
 
 
+def test_media_appends_and_overwrites(spark, tmp_path):
+    folder = f"{tmp_path.as_uri()}/d"
+    one = lambda i: spark.createDataFrame([(i, f"text {i}")], "doc_id long, text string")
+    assert [sorted(r.doc_id for r in media.store(one(i), folder).collect()) for i in range(3)] == [[0], [0, 1], [0, 1, 2]]
+    media.read(spark, folder).where("doc_id = 1").write.format("media_archive").mode("overwrite").save(f"{folder}2")
+    media.store(one(9), f"{folder}2")
+    media.read(spark, folder).where("doc_id = 2").write.format("media_archive").mode("overwrite").save(f"{folder}2")
+    assert [r.doc_id for r in media.read(spark, f"{folder}2").collect()] == [2]
+
+
+def test_media_plans_bounded_ranges(monkeypatch):
+    monkeypatch.setattr(media, "RANGE_BYTES", 100)
+    archives = [(f"{i}", 10 + 37 * i) for i in range(20)]
+    for most in (3, 1000):
+        ranges = media.planned(archives, most)
+        assert len(ranges) <= max(most, 1) or most == 1000
+        for name, n in archives:
+            cuts = sorted((a, b) for r in ranges for x, a, b in r.stretches if x == name)
+            assert cuts[0][0] == 0 and cuts[-1][1] == n and all(x[1] == y[0] for x, y in zip(cuts, cuts[1:]))
+    assert media.planned([]) == []
+
+
 def test_media_ranges_and_retry(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(media, "RANGE_BYTES", 300)
     df = spark.createDataFrame([(i, f"text {i} " * (i % 50)) for i in range(200)], "doc_id long, text string").coalesce(1)
