@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, least_shared, map_arrow, written
+from .common import bounded_batches, discarded, documents, least_shared, map_arrow, written
 
 WORDS, PER_CENT = 5, 75
 #: Linked texts with different sets share this many shingles at least (3 of 4 is the smallest case at 75 per cent, fewer below:
@@ -138,8 +138,10 @@ def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(seed[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["key", "seen"])
 
     both = written(docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, class long, part int, seeds binary"))
-    counted = both.where("part is not null").select("part", "seeds").repartition(parts, "part").mapInArrow(add, "key long, seen long")
-    return both.where("part is null").select("doc_id", "n", "class"), written(counted)
+    counted = written(both.where("part is not null").select("part", "seeds").repartition(parts, "part").mapInArrow(add, "key long, seen long"))
+    every = written(both.where("part is null").select("doc_id", "n", "class"))
+    discarded(both)
+    return every, counted
 
 
 def _bits_of(keys: np.ndarray) -> np.ndarray:
@@ -277,7 +279,9 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
     sent = written(docs.select("text").mapInArrow(replicate, "part int, entries binary, seed long, class long, n long, pos long"))
     # the blocks of one part go to one task; a part's blocks hold a bounded number of entries on average
     rare = sent.where("part is not null").select("part", "entries").repartition(parts, "part").mapInArrow(meet, "seed long, class long, n long, pos long")
-    return rare.union(sent.where("part is null").select("seed", "class", "n", "pos").distinct())
+    met = written(rare.union(sent.where("part is null").select("seed", "class", "n", "pos").distinct()))
+    discarded(sent)
+    return met
 
 
 def members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -329,15 +333,17 @@ def components(links: DataFrame) -> DataFrame:
     chain's length halves each round; lineage is cut every round.
     """
     edges = written(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
+    moved = written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.col("node").alias("was"), F.least("node", "low").alias("component")))
     while True:
+        labels = moved.select("node", "component")
         around = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(around, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = written(lower.join(jump, "component").select("node", "was", F.least("component", "further").alias("component")))
-        labels = moved.select("node", "component")
+        before, moved = moved, written(lower.join(jump, "component").select("node", "was", F.least("component", "further").alias("component")))
+        discarded(before)
         if moved.where("was <> component").isEmpty():
-            return labels
+            discarded(edges)
+            return moved.drop("was")
 
 
 def _alike(per_cent: int) -> Column:
@@ -378,9 +384,11 @@ def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> Dat
     open_ = _open(entries, found)
     left = open_.count()
     while left:
-        new = written(measured(_assigned(open_, turn, per_cent), known, per_cent))
-        found = new if found is None else written(found.union(new))
-        open_ = _open(open_.drop("component"), found)
+        pairs = _assigned(open_, turn, per_cent)
+        new = written(measured(pairs, known, per_cent))
+        found = new if found is None else found.union(new)
+        was, open_ = open_, _open(open_.drop("component"), found)
+        discarded(was, pairs)
         before, left, turn = left, open_.count(), turn + 1
         if left > WORTH * before:
             break
@@ -390,7 +398,11 @@ def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> Dat
     x = open_.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("component").alias("ca"))
     y = open_.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("component").alias("cb"))
     rest = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike(per_cent) & _may_be_first(per_cent))
-    return written(found.union(measured(written(rest.select("a", "b").distinct()), known, per_cent)))
+    pairs = written(rest.select("a", "b").distinct())
+    discarded(open_)
+    found = found.union(written(measured(pairs, known, per_cent)))
+    discarded(pairs)
+    return found
 
 
 def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -399,10 +411,14 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0  # more than four bytes a shingle
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 4 * (102 - per_cent) // 100 // REGION_ENTRIES + 1)
     every, frequent = described(docs, parts)
-    met = written(regions(docs, frequent_filter(frequent), parts, per_cent))
+    met = regions(docs, frequent_filter(frequent), parts, per_cent)
+    discarded(frequent)
     wanted = written(met.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)).select("class"))
     entries = written(met.join(wanted, "class", "left_semi"))
-    found = links(entries, members(docs, wanted), per_cent)
+    discarded(met)
+    known = members(docs, wanted)
+    found = links(entries, known, per_cent)
+    discarded(known, entries, wanted)
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
     if found is None:
         of_class = classes.select("class", "first", F.col("class").alias("component"))
