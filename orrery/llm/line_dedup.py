@@ -41,8 +41,6 @@ SKETCH = 1 << 15
 HASH_BITS = 56
 #: Levels are four times log2 of a count.  Tokens up to this one are in fewer than 2**20 lines, so a task can hold all of one.
 FEW_LEVEL = 80
-#: Up to this many candidate lines are broadcast to the scan that fetches their tokens; beyond, they are joined by a shuffle.
-BROADCAST_LINES = 1 << 19
 NO_ID = -(1 << 63)
 #: Rounds against the earliest go on while at most this share of the entries is left open by one.
 WORTH = 0.75
@@ -146,9 +144,8 @@ def _met(classes: DataFrame) -> DataFrame:
 
 def _tokens_of(everything: DataFrame, wanted: DataFrame) -> DataFrame:
     """``class, tokens`` of the wanted classes."""
-    few = wanted.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     hashed = everything.select("line", F.xxhash64("line").alias("class"))
-    known = hashed.join(F.broadcast(wanted) if few else wanted, "class", "left_semi").groupBy("class").agg(F.first("line").alias("line"))
+    known = hashed.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("line").alias("line"))
     return written(known.select("class", shingles(F.col("line")).alias("tokens")))
 
 
