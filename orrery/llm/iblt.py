@@ -1,20 +1,23 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A document's paragraphs (lines, cut at some sentence ends so that an edit touches
-few of them) are hashed to 64-bit digests, each distinct digest counted once.  A
-sketch has three tables of ``s`` cells; a digest is added to one cell of each:
-``count`` and xor of digests, each of which carries check bits.  Subtracting the
-sketches of two versions cancels what they share; peeling cells that hold a single digest
-recovers the paragraphs that differ, and a sketch that doesn't peel is built
-again larger, twice the cells at first and then more.
-
-So that one sketch never grows with the document, digests are dealt to blocks of
-about four by their own value, the same number of blocks on both sides, and each
-block is sketched and peeled on its own.  The work is linear in the document.
-
-DataFrame functions only; the single shuffle puts neighbouring documents
-together.  Null texts count as empty.  Repeated rows keep their number: rows are
-ordered by id and then by a hash of their text; null ids come last.
+few of them) are hashed to 64-bit digests, each distinct digest counted once.  So
+that one sketch never grows with the document, digests are dealt to blocks by their own low
+bits, a power of two of them with about four each, and every block has a small sketch of its
+own: three tables of ``s`` cells, where a digest is added to one cell of each
+(``count`` and xor of digests, which carry check bits).  These sketches are the
+fingerprint, whose size so follows the number of paragraphs.
+
+To compare two versions the one with more blocks is folded to the other's number (blocks
+whose low bits agree are added up), and the sketches are subtracted, which cancels
+what both share.  Peeling cells that hold a single digest recovers the
+paragraphs that differ.  If a block doesn't peel, the pair is sketched again from the
+digests, in the larger number of blocks and with three times the cells and then more, block by block;
+a block that fails at the last size is compared by its digests, so the result is always whole.
+
+DataFrame functions only; the work is linear in the document, and the single shuffle puts neighbouring
+documents together.  Null texts count as empty; two texts without paragraphs are alike.  Repeated rows keep their number: rows are
+ordered by id and then by a hash of their text; null ids come last.  Rows of one id share a range.
 """
 
 from __future__ import annotations
@@ -26,11 +29,12 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Cells of one table of the sketch that is written out, and of the sketches that are tried on a block.
-BASE_CELLS, TRIES = 4, (6, 12, 36, 144)
+#: Cells of one table of a block's sketch in the fingerprint, and of the larger ones that are tried after it.
+CELLS, TRIES = 4, (12, 36, 144)
+#: Digests of a block on average, at most; rounds of peeling.
 BLOCK, ROUNDS = 4, 10
 #: At most this many ranges of ids; bounds are found on the driver from as many quantiles.
-MOST_RANGES = 16384
+MOST_RANGES = 1 << 16
 #: A paragraph ends at a line break, and within long lines after the sentences
 #: whose last letter is one of these: the text alone decides where it is cut.
 PARAGRAPH_END = r"\n+|(?<=[a-e][.!?]) +"
@@ -129,26 +133,59 @@ def difference(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.struct(a.alias("only_a"), b.alias("only_b"))).otherwise(F.coalesce(*[attempt(s) for s in TRIES], exact))
 
 
-def _blocks(digests: Column, n: Column) -> Column:
-    """Digests dealt to ``n * n`` blocks, in two steps of ``n``."""
-    of = lambda d: F.pmod(F.shiftrightunsigned(d, 25), n * n)
-    pick = lambda ds, test: F.filter(ds, test)
-    first = F.transform(F.sequence(F.lit(0), n - 1), lambda g: pick(digests, lambda d: F.floor(of(d) / n) == g))
-    return F.flatten(F.transform(first, lambda ds: F.transform(F.sequence(F.lit(0), n - 1), lambda g: pick(ds, lambda d: of(d) % n == g))))
+def _power(bits: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), bits)
+
+
+def _bits(n: Column) -> Column:
+    """How many bits tell the blocks of ``n`` digests apart."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1)) / F.lit(BLOCK)))).cast("int")
+
+
+def _blocks(digests: Column, bits: Column) -> Column:
+    """Digests dealt to ``2 ** bits`` blocks, in two steps: by the upper half of the block's number, then by the lower."""
+    low = F.floor((bits + 1) / 2).cast("int")
+    number = lambda d: F.shiftrightunsigned(d, 25).bitwiseAND(_power(bits) - 1)
+    upper = lambda d: F.call_function("shiftrightunsigned", number(d), low)
+    first = F.transform(F.sequence(F.lit(0), _power(bits - low) - 1), lambda g: F.filter(digests, lambda d: upper(d) == g))
+    return F.flatten(F.transform(first, lambda ds: F.transform(F.sequence(F.lit(0), _power(low) - 1), lambda g: F.filter(ds, lambda d: number(d).bitwiseAND(_power(low) - 1) == g))))
+
+
+def fingerprint(digests: Column) -> Column:
+    """``struct<n, bits, blocks>``: the number of digests and the sketches of their ``2 ** bits`` blocks."""
+    return _let(_bits(F.size(digests)), lambda k: F.struct(F.size(digests).alias("n"), k.alias("bits"), F.transform(_blocks(digests, k), lambda ds: sketch(ds, CELLS)).alias("blocks")))
+
+
+def folded(blocks: Column, bits: Column, to: Column) -> Column:
+    """The sketches of ``2 ** to`` blocks from those of more: the sums of those with the same low bits."""
+    added = lambda x, y: F.zip_with(x, y, lambda c, d: _cell(c["c"] + d["c"], c["k"].bitwiseXOR(d["k"])))
+    empty = F.array_repeat(_cell(F.lit(0), F.lit(0).cast("long")), 3 * CELLS)
+    sums = F.transform(F.sequence(F.lit(0), _power(to) - 1), lambda j: F.aggregate(F.sequence(j, _power(bits) - 1, _power(to)), empty, lambda x, i: added(x, F.get(blocks, i))))
+    return F.when(bits == to, blocks).otherwise(sums)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard likeness (0 to 1) of two digest lists, from the peeled differences; two empty lists are alike."""
-    n = F.ceil(F.sqrt(F.greatest(F.size(a), F.size(b), F.lit(1)) / F.lit(BLOCK))).cast("int")
-    found = _let(n, lambda k: F.zip_with(_blocks(a, k), _blocks(b, k), lambda x, y: _let(difference(x, y), lambda d: F.struct(F.size(d["only_a"]).alias("x"), F.size(d["only_b"]).alias("y")))))
-    totals = F.aggregate(found, F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")), lambda t, d: F.struct((t["x"] + d["x"]).alias("x"), (t["y"] + d["y"]).alias("y")))
-    return _let(totals, lambda t: F.when(F.size(a) + t["y"] == 0, F.lit(1.0)).otherwise((F.size(a) - t["x"]) / (F.size(a) + t["y"])))
+    """Jaccard likeness (0 to 1) of two ``struct<digests, print>``, from the difference of their fingerprints; two without digests are alike."""
+    sizes = lambda d: F.struct(F.size(d["only_a"]).alias("x"), F.size(d["only_b"]).alias("y"))
+
+    def small(p: Column, q: Column) -> Column:
+        to = F.least(p["bits"], q["bits"])
+        return F.zip_with(folded(p["blocks"], p["bits"], to), folded(q["blocks"], q["bits"], to), lambda x, y: _let(peeled(subtracted(x, y), CELLS), lambda d: F.when(d.isNotNull(), sizes(d))))
+
+    def larger(bits: Column) -> Column:
+        return F.zip_with(_blocks(a["digests"], bits), _blocks(b["digests"], bits), lambda x, y: _let(difference(x, y), sizes))
+
+    whole = lambda found: F.when(F.forall(found, lambda d: d.isNotNull()), found).otherwise(_let(F.greatest(a["print"]["bits"], b["print"]["bits"]), larger))
+    found = _let(small(a["print"], b["print"]), whole)
+    total = F.aggregate(found, F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")), lambda t, d: F.struct((t["x"] + d["x"]).alias("x"), (t["y"] + d["y"]).alias("y")))
+    n = a["print"]["n"]
+    return _let(total, lambda t: F.when(n + t["y"] == 0, F.lit(1.0)).otherwise((n - t["x"]) / (n + t["y"])))
 
 
-def written(digests: Column) -> Column:
-    """The base sketch as text: number of digests, then count and digest xor of each cell."""
-    cells = sketch(digests, BASE_CELLS)
-    return F.concat_ws("-", F.size(digests).cast("string"), F.array_join(F.transform(cells, lambda c: F.concat(c["c"].cast("string"), F.lit("."), F.lower(F.hex(c["k"])))), "-"))
+def written(print_: Column) -> Column:
+    """A fingerprint as text: ``n:bits:`` and its cells, joined by commas; an empty cell is empty, others are ``count.xor`` (hex)."""
+    cell = lambda c: F.when((c["c"] == 0) & (c["k"] == 0), F.lit("")).otherwise(F.concat(c["c"].cast("string"), F.lit("."), F.lower(F.hex(c["k"]))))
+    return F.concat_ws(":", print_["n"].cast("string"), print_["bits"].cast("string"), F.array_join(F.transform(F.flatten(print_["blocks"]), cell), ","))
 
 
 def _range_of(bounds: list[int], key: Column) -> Column:
@@ -202,10 +239,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
     made = paired.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "digests", F.col("next.digests").alias("next_digests"))
     made = made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "digests", "next_digests", paragraph_digests(F.col("edited")).alias("edited_digests"))
+    sides = {"own": "digests", "edit": "edited_digests", "after": "next_digests"}
+    made = made.select("doc_id", "n_chars", "edited_sha256", *[F.struct(F.col(c).alias("digests"), fingerprint(F.col(c)).alias("print")).alias(k) for k, c in sides.items()])
     return made.select(
         "doc_id", "n_chars", "edited_sha256",
-        written(F.col("digests")).alias("fingerprint"), written(F.col("edited_digests")).alias("edited_fingerprint"),
-        likeness(F.col("digests"), F.col("edited_digests")).alias("near_edited"), likeness(F.col("digests"), F.col("next_digests")).alias("near_next"),
+        written(F.col("own.print")).alias("fingerprint"), written(F.col("edit.print")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("edit")).alias("near_edited"), likeness(F.col("own"), F.col("after")).alias("near_next"),
     )
 
 
