@@ -1,7 +1,7 @@
 """Media columns: a data source over archives of members.
 
-A folder holds archives (ZIP files of bounded size) and a list of those whose
-write was committed.  Reading plans byte ranges over the archives: a task takes
+A folder holds archives (ZIP files of bounded size) and a list for each committed
+write of those it made.  Reading plans byte ranges over the archives: a task takes
 the members whose header starts in its range, looks each up in the archive's
 directory, and streams payloads in Arrow batches of bounded size.  A
 member whose read fails is read again by its own offset, from a newly opened
@@ -35,8 +35,11 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from .common import BATCH_BYTES, BATCH_ROWS, bounded_batches, documents, keyed_text, map_arrow, shared_folder
 
 ARCHIVE_BYTES, RANGE_BYTES, TRIES = 32 << 20, 8 << 20, 4
+#: Partitions of a read at most; their ranges grow with the input beyond that.
+MOST_RANGES = 1 << 16
 PAD, RATE = 64, 8000
-MANIFEST = "_archives.json"
+#: Each write adds a list of its archives under this name.
+MANIFEST = "_archives-"
 SCHEMA = "doc_id long, n_bytes long, media binary"
 
 
@@ -76,16 +79,42 @@ class Written(WriterCommitMessage):
 
 @dataclass
 class ByteRange(InputPartition):
-    archive: str
-    low: int
-    high: int
+    """Stretches ``(archive, low, high)`` of archives; a stretch takes the members whose header starts in it."""
+
+    stretches: list[tuple[str, int, int]]
+
+
+def manifests(store: fs.FileSystem, root: str) -> list[str]:
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    return sorted(f.path for f in found if f.base_name.startswith(MANIFEST))
+
+
+def planned(archives: list[tuple[str, int]], most: int | None = None) -> list[ByteRange]:
+    """Ranges of about equal bytes over all archives, in order, ``most`` at most: large archives are cut, small ones share a range."""
+    size = max(RANGE_BYTES, -(-sum(n for _, n in archives) // (most or MOST_RANGES)))
+    out: list[ByteRange] = []
+    room = 0
+    for name, n in archives:
+        low = 0
+        while low < n:
+            if not room:
+                out.append(ByteRange([]))
+                room = size
+            high = min(n, low + room)
+            out[-1].stretches.append((name, low, high))
+            room -= high - low
+            low = high
+    return out
 
 
 class ArchiveWriter(DataSourceArrowWriter):
-    """Rows of ``doc_id, n_bytes, media`` to archives; a task buffers one archive at most."""
+    """Rows of ``doc_id, n_bytes, media`` to archives; a task buffers one archive at most.
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    The archives of a committed write join those that are there, or take their place if it overwrites.
+    """
+
+    def __init__(self, folder: str, overwrite: bool = False):
+        self.folder, self.overwrite = folder, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = _filesystem(self.folder)
@@ -120,8 +149,11 @@ class ArchiveWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         store, root = _filesystem(self.folder)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{MANIFEST}") as out:
+        before = manifests(store, root) if self.overwrite else []
+        with store.open_output_stream(f"{root}/{MANIFEST}{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps([x for m in messages if m for x in m.archives]).encode())
+        for path in before:
+            store.delete_file(path)
 
     def abort(self, messages: list[Written | None]) -> None:
         store, root = _filesystem(self.folder)
@@ -136,28 +168,29 @@ class ArchiveReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         store, root = _filesystem(self.folder)
-        with store.open_input_stream(f"{root}/{MANIFEST}") as f:
-            archives = json.loads(f.read())
-        return [ByteRange(name, low, low + RANGE_BYTES) for name, size in archives for low in range(0, size, RANGE_BYTES)]
+        archives: list[tuple[str, int]] = []
+        for path in manifests(store, root):
+            with store.open_input_stream(path) as f:
+                archives += map(tuple, json.loads(f.read()))
+        return planned(archives)
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        if partition is None:  # an empty folder
-            return
-        members = retried(lambda: directory(self.folder, partition.archive))
         columns: list[list] = [[], [], []]
         size = 0
-        with zipfile.ZipFile(opened(self.folder, partition.archive)) as archive:
-            for info in members:
-                if not partition.low <= info.header_offset < partition.high:
-                    continue
-                doc_id, n_bytes = json.loads(info.comment)
-                media = member(self.folder, partition.archive, archive, info)
-                for column, value in zip(columns, (doc_id, n_bytes, media)):
-                    column.append(value)
-                size += len(media)
-                if size >= BATCH_BYTES or len(columns[0]) >= BATCH_ROWS:
-                    yield _batch(columns)
-                    columns, size = [[], [], []], 0
+        for name, low, high in partition.stretches if partition else []:  # no partition: an empty folder
+            members = retried(lambda: directory(self.folder, name))
+            with zipfile.ZipFile(opened(self.folder, name)) as archive:
+                for info in members:
+                    if not low <= info.header_offset < high:
+                        continue
+                    doc_id, n_bytes = json.loads(info.comment)
+                    media = member(self.folder, name, archive, info)
+                    for column, value in zip(columns, (doc_id, n_bytes, media)):
+                        column.append(value)
+                    size += len(media)
+                    if size >= BATCH_BYTES or len(columns[0]) >= BATCH_ROWS:
+                        yield _batch(columns)
+                        columns, size = [[], [], []], 0
         if columns[0]:
             yield _batch(columns)
 
@@ -213,7 +246,7 @@ class ArchiveSource(DataSource):
         return ArchiveReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> ArchiveWriter:
-        return ArchiveWriter(self.options["path"])
+        return ArchiveWriter(self.options["path"], overwrite)
 
 
 def store(df: DataFrame, folder: str, key: str = "doc_id", text: str = "text") -> DataFrame:
