@@ -11,30 +11,36 @@ each on their own; ``sequence_id`` is unique over all rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from collections import Counter
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, keyed_text, map_arrow
 
-MAX_LENGTH, END_ID = 2048, 1
+MAX_LENGTH, END_ID, BATCH_TOKENS = 2048, 1, 65536
 MEMO = 250_000
 #: In this range normalisation composes nothing and both sides agree on white space, so a text can be taken word by word.
 _BEYOND = re.compile(r"[^\x00-\x1b\x20-\u024f]")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The normaliser and the split that word by word encoding holds for.
+_NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
 class WordTokenizer:
     """A tokenizer whose pieces never cross white space, with words memoised.
 
     Texts outside the range that was checked against the library, or with a
-    special token's string, go to the library whole.
+    special token's string, go to the library whole; so does every text where the file's
+    normaliser or pre-tokenizer is another than the one that words were checked for.
     """
 
     def __init__(self, path: str):
@@ -45,17 +51,31 @@ class WordTokenizer:
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
+        self.pieces = self._split(json.loads(self.tokenizer.to_str()))
+
+    @staticmethod
+    def _split(settings: dict) -> regex.Pattern | None:
+        """The pattern of the pieces within words; None if words can't be taken one by one."""
+        normalisers = (settings.get("normalizer") or {}).get("normalizers")
+        steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        if normalisers != _NORMALISERS or len(steps) != 2 or steps[1] != _BYTES or settings["model"]["type"] != "BPE" or settings["model"].get("dropout"):
+            return None
+        split = steps[0]
+        if (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True) or "Regex" not in split["pattern"]:
+            return None
+        pattern = regex.compile(split["pattern"]["Regex"])
+        return None if any(pattern.search(f"a{s}b") and pattern.search(f"a{s}b").group() != "a" for s in " \n\t") else pattern
 
     def _word(self, word: str) -> tuple[int, ...]:
         ids: list[int] = []
-        for piece in _PIECES.findall(word):
+        for piece in self.pieces.findall(word):
             if not (piece.isascii() and piece.isprintable()):
                 piece = self.byte_level.pre_tokenize_str(piece)[0][0]
             ids += [t.id for t in self.tokenizer.model.tokenize(piece)]
         return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
-        if _BEYOND.search(text) or any(s in text for s in self.specials):
+        if self.pieces is None or _BEYOND.search(text) or any(s in text for s in self.specials):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         words = text.lower().split()
         parts = list(map(self.young.get, words))
@@ -98,25 +118,30 @@ def cuts(n: int, most: int = MAX_LENGTH) -> list[int]:
     return out + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(df: DataFrame, path: str, most: int = MAX_LENGTH, end_id: int = END_ID, with_ids: bool = True, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(df: DataFrame, path: str, most: int = MAX_LENGTH, end_id: int = END_ID, with_ids: bool = True, key: str = "doc_id", text: str = "text", batch_tokens: int = BATCH_TOKENS) -> DataFrame:
     """One row per piece: its place in the document, its sequence and its ``ids``.
 
-    ``length`` is also the bucket; ``sequence_id`` numbers the sequences (one
-    piece each, at ``offset`` 0), by input partition and row, without a shuffle.
+    ``length`` is also the bucket: ``batch_id`` (``bucket:partition:k``) puts
+    ``batch_tokens`` of one bucket together at most, counted per input partition, so only
+    the last batch of each partition's bucket can be short.  ``sequence_id`` numbers the sequences (one
+    piece each, at ``offset`` 0), by input partition and row.  There is no shuffle.
     """
     if most < 1 or most & (most - 1):
         raise ValueError("the maximum length must be a power of two")
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, batch_id string" + ", ids array<int>" * with_ids
 
-    def rows(batch: pa.RecordBatch) -> dict[str, list]:
+    def rows(batch: pa.RecordBatch, filled: Counter) -> dict[str, list]:
         t = tokenizer(path)
-        out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
+        out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "batch_id", "ids")}
+        part = TaskContext.get().partitionId()
         for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             ids = np.array([*t.encode(value.as_py()), end_id], dtype="<u4")
             lengths = cuts(len(ids), most)
             at = 0
             for n in lengths:
                 out["start"].append(at)
+                out["batch_id"].append(f"{n}:{part}:{filled[n] // max(1, batch_tokens // n)}")
+                filled[n] += 1
                 out["ids_crc32"].append(zlib.crc32(ids[at : at + n].tobytes()))
                 if with_ids:
                     out["ids"].append(ids[at : at + n].astype("i4"))
@@ -126,23 +151,9 @@ def pack(df: DataFrame, path: str, most: int = MAX_LENGTH, end_id: int = END_ID,
             out["doc_tokens"] += [len(ids)] * len(lengths)
         return out
 
-    pieces = map_arrow(keyed_text(df, key, text), schema, rows)
+    pieces = map_arrow(keyed_text(df, key, text), schema, rows, Counter)
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 
-def batches(pieces: DataFrame, batch_tokens: int = 65536) -> DataFrame:
-    """``pieces`` with the batch of each: equal lengths, ``batch_tokens`` at most.
-
-    Rows are counted per input partition and bucket, so only the last batch of
-    each partition's bucket can be short.  ``batch_id`` is ``bucket:partition:k``.
-    """
-    from pyspark.sql import Window
-
-    part = F.shiftright(F.col("sequence_id"), 33)
-    within = Window.partitionBy("_part", "length").orderBy("sequence_id")
-    number = F.floor((F.row_number().over(within) - 1) / F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.col("length"))))
-    return pieces.withColumn("_part", part).withColumn("batch_id", F.concat_ws(":", "length", "_part", number)).drop("_part")
-
-
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_vocabulary(), with_ids=False)
