@@ -2,8 +2,8 @@
 
 ``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and
 returns a DataFrame, which is written as Parquet and read again as the next one's
-``docs``.  All but the last return the columns of ``documents``; a stage that
-changes ``text`` keeps ``n_chars`` in step.  Null texts pass every stage as they are
+``docs``.  All but the last return the columns of ``documents``, whatever others there are among them; a stage that
+changes ``text`` keeps ``n_chars`` in step.  Columns whose names begin with two underscores are reserved.  Null texts pass every stage as they are
 (and are scored, compared and packed as empty ones).
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import jaccard_join, line_dedup, packing, pii, quality_gam
-from orrery.llm.common import keyed_text, shared_folder, table
+from orrery.llm.common import discarded, keyed_text, table, written
 
 #: SQL can't express the classifier, so ``run`` is tested against brute force instead.
 ORACLE_SQL = None
@@ -35,10 +35,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; rows that repeat become one."""
-    found = jaccard_join.near_duplicates(keyed_text(docs))
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_doc")).distinct()
-    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__kept_doc")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """Of each group of linked rows the one with the smallest id stays (a null id is the smallest); of rows with one id and text, the one whose columns' hash is smallest.
+
+    Rows without words are linked with nothing and stay, one for each id.
+    """
+    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = jaccard_join.near_duplicates(keyed_text(keyed, "__row")).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    first = keyed.select("__row", "doc_id").join(found, "__row").groupBy("__group").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    one = keyed.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").groupBy("__row")
+    return one.agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("kept")).select("kept.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,12 +66,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is written to the shared folder."""
+    """All stages over ``documents``; what lies between them is written to the shared folder, and removed when the next stage has read it."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            path = shared_folder(spark, name)
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    before = None
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discarded(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
