@@ -7,8 +7,11 @@ room for one new piece.  A piece of ``size`` characters or more is cut by charac
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+_SPACE = re.compile(" ")
+
 
 def _grouped(starts: list[int], end: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
     """Spans over pieces that begin at ``starts``, the last ending at ``end``."""
@@ -30,7 +33,7 @@ def _grouped(starts: list[int], end: int, size: int, overlap: int) -> Iterator[t
 def spans(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be smaller than the size")
-    starts = [i for i, c in enumerate(text) if c == " "]
+    starts = [m.start() for m in _SPACE.finditer(text)]
     if text and text[0] != " ":
         starts.insert(0, 0)
     ends = [*starts[1:], len(text)]

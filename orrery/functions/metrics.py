@@ -5,6 +5,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable, Sequence
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    from ..operators.providers import TokenVectors
 
 # The mteval-13a tokenizer's rules, applied in order.
 RULES_13A = (
@@ -77,3 +82,21 @@ def rouge_l(prediction: str, reference: str) -> float:
         hits = row & where.get(t, 0)
         row = (row + hits | row - hits) & full
     return _f1(len(p) - row.bit_count(), len(p), len(r))
+
+
+def greedy_match(model: TokenVectors) -> Callable[[Sequence[str], Sequence[str]], list[float]]:
+    """F1 of pairs by greedy matching: each token goes with the most similar one of the other text."""
+
+    def score(predictions: Sequence[str], references: Sequence[str]) -> list[float]:
+        out = []
+        for p, r in zip(predictions, references):
+            a, b = model.vectors([p, r])
+            if not len(a) or not len(b):
+                out.append(0.0)
+                continue
+            alike = a @ b.T
+            precision, recall = float(alike.max(axis=1).mean()), float(alike.max(axis=0).mean())
+            out.append(2 * precision * recall / (precision + recall) if precision + recall else 0.0)
+        return out
+
+    return score

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .providers import Tokenizer
+
 IGNORED = -100
 
 
@@ -30,12 +35,29 @@ def split(df: DataFrame, key: str, seed: int = 42, share: float = 0.1) -> DataFr
         before[name] = at
         at += counts[name]
     starts = F.create_map(*[x for name, n in before.items() for x in (F.lit(name), F.lit(n))]) if before else F.create_map().cast("map<string,int>")
-    own = F.row_number().over(Window.partitionBy("_bin").orderBy("_h", key))
-    ranked = hashed.withColumn("_bin", F.substring("_h", 1, 3)).withColumn("_rank", own + F.coalesce(F.try_element_at(starts, F.col("_bin")), F.lit(0)))
+    binned = hashed.withColumn("_bin", F.substring("_h", 1, 3)).withColumn("_rank", F.coalesce(F.try_element_at(starts, F.col("_bin")), F.lit(0)) + 1)
     name = F.when(F.col("_rank") <= train, "train").when(F.col("_rank") <= train + val, "validation").otherwise("test")
+    # a bin that holds a cut is ranked within; all others are on one side
+    cut = [b for b, n in counts.items() if any(before[b] < c < before[b] + n for c in (train, train + val))]
+    own = F.row_number().over(Window.partitionBy("_bin").orderBy("_h", key)) - 1
+    inside = F.col("_bin").isin(cut) if cut else F.lit(False)
+    ranked = binned.where(~inside).unionByName(binned.where(inside).withColumn("_rank", F.col("_rank") + own))
     return ranked.withColumn("split", name).drop("_h", "_bin", "_rank")
 
 
+def tokenised(df: DataFrame, full: str, prompt: str, tokenizer: Tokenizer, most: int = 4096) -> DataFrame:
+    """``df`` with ``input_ids`` of the full text, cut at ``most``, their ``attention_mask`` and ``prompt_length``, the prompt's ids cut alike."""
+    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids = [tokenizer.encode(t or "")[:most] for t in pdf[full]]
+            yield pdf.assign(input_ids=ids, attention_mask=[[1] * len(x) for x in ids], prompt_length=[min(most, len(tokenizer.encode(t or ""))) for t in pdf[prompt]])
+
+    ints = ArrayType(IntegerType())
+    return df.mapInPandas(run, StructType([*df.schema.fields, StructField("input_ids", ints), StructField("attention_mask", ints), StructField("prompt_length", IntegerType())]))
+
+
 def truncated(tokens: Column, most: int = 4096) -> Column:
     return F.slice(tokens, 1, most)
 
@@ -51,6 +73,16 @@ def has_response(ids: Column, prompt_length: Column) -> Column:
     return prompt_length < F.size(ids)
 
 
+def has_label(labels: Column, ignored: int = IGNORED) -> Column:
+    """Some label isn't ignored."""
+    return F.exists(labels, lambda x: x != ignored)
+
+
+def of_one_length(ids: Column, labels: Column) -> Column:
+    """The labels; an error where there aren't as many as ids."""
+    return F.when(F.size(ids) == F.size(labels), labels).otherwise(F.raise_error(F.lit("ids and labels differ in length")).cast("array<int>"))
+
+
 def padded_length(batch_longest: Column, multiple: int = 8) -> Column:
     return (F.ceil(batch_longest / multiple) * multiple).cast("int")
 

@@ -10,15 +10,47 @@ from pyspark.sql import functions as F
 
 from ..functions import pages as P
 from ..functions import text as T
+from .providers import PdfReader
+
+#: Points clipped at the top of the first page, at the top of the others, and at the foot.
+HEADER_FIRST, HEADER, FOOTER = 100.0, 50.0, 50.0
+
+
+def paths_per_stem(files: DataFrame) -> DataFrame:
+    """``stem, paths``: the files (``path``) of each stem, in order."""
+    return files.groupBy(T.stem(F.col("path")).alias("stem")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
 
 
 def file_groups(pdf: DataFrame, xml: DataFrame) -> DataFrame:
-    """``stem, pdf_path, xml_path``: all files of a stem, from either listing (``path``)."""
-    left = pdf.select(T.stem(F.col("path")).alias("stem"), F.col("path").alias("pdf_path"))
-    right = xml.select(T.stem(F.col("path")).alias("stem"), F.col("path").alias("xml_path"))
+    """``stem, pdf_path, xml_path``: one row for each stem of either listing (``path``); of several files of a kind the first by name."""
+    left = pdf.groupBy(T.stem(F.col("path")).alias("stem")).agg(F.min("path").alias("pdf_path"))
+    right = xml.groupBy(T.stem(F.col("path")).alias("stem")).agg(F.min("path").alias("xml_path"))
     return left.join(right, "stem", "full_outer")
 
 
+def pdf_pages(files: DataFrame, reader: PdfReader) -> DataFrame:
+    """``stem, page_num, text, error`` of PDF files (``path, content``): the lines between header and footer.
+
+    A file that can't be read has one row with its error and no text.
+    """
+
+    def body(number: int, height: float, lines: list[tuple[float, str]]) -> str:
+        top = HEADER_FIRST if number == 0 else HEADER
+        return "\n".join(x for y, x in lines if top <= y <= height - FOOTER)
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple] = []
+            for stem, content in zip(pdf["stem"], pdf["content"]):
+                try:
+                    rows += [(stem, i, body(i, h, lines), None) for i, (h, lines) in enumerate(reader.pages(bytes(content)))]
+                except Exception as e:  # a reader's own errors are unknown here
+                    rows.append((stem, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["stem", "page_num", "text", "error"]).astype({"page_num": "Int32"})
+
+    return files.select(T.stem(F.col("path")).alias("stem"), "content").mapInPandas(run, "stem string, page_num int, text string, error string")
+
+
 def chosen_source(groups: DataFrame) -> DataFrame:
     """``stem, abstract_text, text, text_source`` from ``pdf_path, xml_path, pdf_text, xml_text, xml_abstract``.
 
@@ -49,6 +81,16 @@ def document_texts(pages: DataFrame, keep_prefix: bool = False) -> DataFrame:
     return pages.groupBy("stem").applyInPandas(one, "stem string, text string")
 
 
+def with_document_text(df: DataFrame, pages: str, to: str = "text", keep_prefix: bool = False) -> DataFrame:
+    """``df`` with the text of the document whose pages, in order, are in the array column; no shuffle."""
+
+    @F.pandas_udf("string")
+    def text(column: pd.Series) -> pd.Series:
+        return column.map(lambda p: P.document_text([x or "" for x in p], keep_prefix) if p is not None else "")
+
+    return df.withColumn(to, text(pages))
+
+
 def without_tables(pages: DataFrame, keep_prefix: bool = False) -> DataFrame:
     """``pages`` with the tables removed from ``text``."""
 

@@ -37,6 +37,11 @@ def in_years(counts: DataFrame, first: int, last: int, least: int) -> DataFrame:
     return counts.where(F.col("year").between(first, last) & (F.col("articles") >= least))
 
 
+def sorted_values(counts: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a column, in order."""
+    return counts.select(column).distinct().orderBy(column)
+
+
 def bounds(counts: DataFrame) -> DataFrame:
     return counts.agg(*[f(c).alias(f"{n}_{c}") for c in ("year", "articles") for n, f in (("min", F.min), ("max", F.max))])
 

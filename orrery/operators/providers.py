@@ -18,29 +18,43 @@ class EmbeddingProvider(Protocol):
 
 
 class ChatProvider(Protocol):
-    def reply(self, conversations: Sequence[list[dict[str, str]]]) -> list[str]: ...
+    """One reply per conversation; ``settings`` are the model's own (temperature, max_tokens, json_object)."""
+
+    def reply(self, conversations: Sequence[list[dict[str, str]]], **settings: object) -> list[str]: ...
 
 
 class Tokenizer(Protocol):
     def encode(self, text: str) -> list[int]: ...
 
 
+class TokenVectors(Protocol):
+    """A vector of unit norm for each token of each text."""
+
+    def vectors(self, texts: Sequence[str]) -> list[np.ndarray]: ...
+
+
 class TokenScorer(Protocol):
-    """Learned metrics of a pair (for example greedy matching of token vectors)."""
+    """A learned metric of pairs."""
 
     def score(self, predictions: Sequence[str], references: Sequence[str]) -> list[float]: ...
 
 
 class PageFetcher(Protocol):
-    """The page of a URL, or None once the tries are used up."""
+    """The page of a URL; raises when it can't be had."""
+
+    def fetch(self, url: str) -> str: ...
+
 
-    def fetch(self, url: str) -> str | None: ...
+class FileFetcher(Protocol):
+    """The bytes of a file; raises when they can't be had."""
+
+    def content(self, url: str) -> bytes: ...
 
 
 class PdfReader(Protocol):
-    """Body text of each page, headers and footers clipped."""
+    """Height of each page, and its lines with the distance of each from the top."""
 
-    def pages(self, content: bytes) -> list[str]: ...
+    def pages(self, content: bytes) -> list[tuple[float, list[tuple[float, str]]]]: ...
 
 
 class StubEmbedder:
@@ -63,16 +77,61 @@ class StubEmbedder:
 class StubChat:
     """Echoes the last message's first line as a JSON question; a stand-in for a chat model."""
 
-    def reply(self, conversations: Sequence[list[dict[str, str]]]) -> list[str]:
+    def reply(self, conversations: Sequence[list[dict[str, str]]], **settings: object) -> list[str]:
         import json
 
+        if not settings.get("json_object"):
+            return ["Reply to: " + c[-1]["content"].split("\n")[-1] for c in conversations]
         return [json.dumps({"question": c[-1]["content"].split("\n")[0][:80] + "?"}) for c in conversations]
 
 
 class StubTokenizer:
-    """White-space words as hashed ids; a stand-in for a model's tokenizer."""
+    """Characters as their code points; a stand-in for a model's tokenizer."""
 
     def encode(self, text: str) -> list[int]:
-        import zlib
+        return list(map(ord, text))
+
+
+class StubVectors:
+    """One axis for each distinct word of the pair being compared; a stand-in for a model's token vectors."""
+
+    def vectors(self, texts: Sequence[str]) -> list[np.ndarray]:
+        words = [t.split() for t in texts]
+        axis = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
+        return [np.eye(len(axis))[[axis[w] for w in ws]] if ws else np.zeros((0, len(axis))) for ws in words]
+
+
+class StubScorer:
+    """F1 of the sets of words; a stand-in for a learned metric."""
+
+    def score(self, predictions: Sequence[str], references: Sequence[str]) -> list[float]:
+        sets = [(set(p.split()), set(r.split())) for p, r in zip(predictions, references)]
+        return [2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0 for a, b in sets]
+
+
+class StubFetcher:
+    """Fails as many times as the URL's length modulo seven, then has a page; a stand-in for the network."""
+
+    def __init__(self) -> None:
+        self.failed: dict[str, int] = {}
+
+    def fetch(self, url: str) -> str:
+        seen = self.failed.get(url, 0)
+        if seen < len(url) % 7:
+            self.failed[url] = seen + 1
+            raise OSError("no answer")
+        self.failed.pop(url, None)
+        return f"<html>{url}</html>"
+
+    def content(self, url: str) -> bytes:
+        if len(url) % 7 == 6:
+            raise OSError("404")
+        return url.encode()
+
+
+class StubPdfReader:
+    """UTF-8 text in pages of 50 lines, 15 points apart; a stand-in for a PDF library."""
 
-        return [zlib.crc32(w.encode()) & 0x7FFFFFFF for w in text.split()]
+    def pages(self, content: bytes) -> list[tuple[float, list[tuple[float, str]]]]:
+        lines = content.decode().split("\n")
+        return [(792.0, [(30.0 + 15 * i, x) for i, x in enumerate(lines[a : a + 50])]) for a in range(0, len(lines), 50)]

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .fetch import in_threads
 from .providers import ChatProvider
 
 MESSAGES = "array<struct<role string, content string>>"
@@ -52,22 +53,43 @@ def answer_prompt(context: Column, question: Column) -> Column:
     return F.array(message("system", F.lit(rules)), message("user", F.concat(F.lit("Context:\n"), context, F.lit("\n\nQuestion: "), question)))
 
 
-def replied(df: DataFrame, prompt: str, provider: ChatProvider, to: str = "reply", batch: int = 64) -> DataFrame:
-    """``df`` with the provider's replies; a batch that fails leaves null replies behind, not missing rows."""
+def plain_prompt(question: Column) -> Column:
+    """The question alone, as a fine-tuned model is asked."""
+    return F.array(message("user", question))
+
+
+def question_or_empty(qa: str = "qa") -> Column:
+    """The question of a ``qa`` struct; empty without one."""
+    return F.coalesce(F.col(f"{qa}.question"), F.lit(""))
+
+
+def replied(df: DataFrame, prompt: str, provider: ChatProvider, to: str = "reply", batch: int = 64, width: int = 4, **settings: object) -> DataFrame:
+    """``df`` with the provider's replies, and ``<to>_error`` for those of a batch that failed; no row is dropped.
+
+    Rows without a prompt aren't asked.  Batches of a task go ``width`` at a time; ``settings`` go to the provider.
+    """
     from pyspark.sql.types import StringType, StructField, StructType
 
+    def ask(conversations: list[list[dict[str, str]]]) -> list[tuple[str | None, str | None]]:
+        try:
+            found = provider.reply(conversations, **settings)
+            if len(found) != len(conversations):
+                raise ValueError(f"{len(found)} replies to {len(conversations)} prompts")
+            return [(x, None) for x in found]
+        except Exception as e:  # the provider's own errors are unknown here
+            return [(None, f"{type(e).__name__}: {e}")] * len(conversations)
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out: list[str | None] = []
-            for a in range(0, len(pdf), batch):
-                asked = [[dict(m) if isinstance(m, dict) else m.asDict() for m in messages] for messages in pdf[prompt].iloc[a : a + batch]]
-                try:
-                    out += provider.reply(asked)
-                except Exception:  # the provider's own errors are unknown here
-                    out += [None] * len(asked)
-            yield pdf.assign(**{to: out})
+            rows = [i for i, p in enumerate(pdf[prompt]) if p is not None]
+            asked = [[dict(m) if isinstance(m, dict) else m.asDict() for m in pdf[prompt].iloc[i]] for i in rows]
+            out: list[tuple[str | None, str | None]] = [(None, None)] * len(pdf)
+            answers = in_threads([asked[a : a + batch] for a in range(0, len(asked), batch)], ask, width)
+            for i, x in zip(rows, (x for part in answers for x in part)):
+                out[i] = x
+            yield pdf.assign(**{to: [x for x, _ in out], f"{to}_error": [e for _, e in out]})
 
-    return df.mapInPandas(run, StructType([*df.schema.fields, StructField(to, StringType())]))
+    return df.mapInPandas(run, StructType([*df.schema.fields, StructField(to, StringType()), StructField(f"{to}_error", StringType())]))
 
 
 def kept_or(existing: Column, generated: Column) -> Column:
@@ -76,8 +98,51 @@ def kept_or(existing: Column, generated: Column) -> Column:
 
 
 def answered(df: DataFrame, answer: Column) -> DataFrame:
-    """``qa.answer`` set where there is a ``qa``; other rows stay without."""
-    return df.withColumn("qa", F.when(F.col("qa").isNotNull(), F.struct(F.col("qa.question").alias("question"), F.trim(answer).alias("answer"))))
+    """``qa.answer`` set where there is a ``qa``, whose other fields stay; other rows stay without."""
+    return df.withColumn("qa", F.when(F.col("qa").isNotNull(), F.col("qa").withField("answer", F.trim(answer))))
+
+
+def context_text(context: Column, amount: int = 6) -> Column:
+    """The first contexts, joined by a blank line."""
+    return F.array_join(F.slice(context, 1, amount), "\n\n")
+
+
+def with_generated_questions(articles: DataFrame, provider: ChatProvider, batch: int = 16) -> DataFrame:
+    """``articles`` (``abstract_text, ...``) with ``qa.question``, null where there is no abstract or no usable reply, and ``error`` (in place of an earlier one)."""
+    asked = articles.drop("error").withColumn("_prompt", F.when(F.coalesce("abstract_text", F.lit("")) != "", question_prompt(F.col("abstract_text"))))
+    found = with_questions(replied(asked, "_prompt", provider, "_reply", batch, temperature=0.6, json_object=True), "_reply")
+    error = F.when(F.col("_prompt").isNull(), F.lit("no abstract")).otherwise(F.coalesce("_reply_error", "error"))
+    return found.withColumn("error", error).withColumn("qa", F.when(F.col("question").isNotNull(), F.struct("question"))).drop("_prompt", "_reply", "_reply_error", "question")
+
+
+def with_generated_answers(articles: DataFrame, provider: ChatProvider, amount: int = 6, most: int = 1024, batch: int = 16) -> DataFrame:
+    """``articles`` (``qa, context, ...``) with ``qa.answer`` from the first contexts and ``error`` (in place of an earlier one).
+
+    Answers that are there already stay and aren't asked for again; rows without a ``qa`` pass as they are.
+    """
+    fields = articles.schema["qa"].dataType.fieldNames()
+    old = F.col("qa.answer") if "answer" in fields else F.lit(None).cast("string")
+    open_ = F.col("qa").isNotNull() & (F.coalesce(F.trim(old), F.lit("")) == "")
+    asked = articles.drop("error").withColumn("_prompt", F.when(open_, answer_prompt(context_text(F.coalesce("context", F.array().cast("array<string>")), amount), question_or_empty())))
+    found = replied(asked, "_prompt", provider, "_reply", batch, temperature=0.6, max_tokens=most)
+    return answered(found, kept_or(old, F.col("_reply"))).withColumnRenamed("_reply_error", "error").drop("_prompt", "_reply")
+
+
+def model_answers(pairs: DataFrame, provider: ChatProvider, model: str, most: int = 512, batch: int = 16) -> DataFrame:
+    """``question, reference_answer, model_answer, model, error``: the held-out questions (``question, answer``) put to a model as they are."""
+    found = replied(pairs.select("question", "answer", plain_prompt(F.col("question")).alias("_prompt")), "_prompt", provider, "_reply", batch, temperature=0.0, max_tokens=most)
+    return found.select("question", F.col("answer").alias("reference_answer"), F.col("_reply").alias("model_answer"), F.lit(model).alias("model"), F.col("_reply_error").alias("error"))
+
+
+def rendered(question: Column, answer: Column | None = None, template: str = "user: {}\nassistant: ") -> Column:
+    """The pair as chat text, or without an ``answer`` its prompt alone; ``template`` has one place, for the question."""
+    before, after = template.split("{}")
+    prompt = F.concat(F.lit(before), question, F.lit(after))
+    return prompt if answer is None else F.concat(prompt, answer)
+
+
+def not_blank(df: DataFrame, column: str) -> DataFrame:
+    return df.where(F.trim(column) != "")
 
 
 def chat_pairs(conversations: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,26 @@ def zipped(left: DataFrame, right: DataFrame, position: str) -> DataFrame:
     return left.join(right, position)
 
 
+def numbered(df: DataFrame, order: Sequence[str], position: str = "pos", bins: int = 256) -> DataFrame:
+    """``df`` with its rows' numbers (from 1) in this order, by ranges of the first column.
+
+    Each range is numbered by itself and moved by the rows before it, so no task sees
+    the whole order; rows with one value of the first column stay in one range.
+    """
+    first = F.col(order[0])
+    cuts = sorted(set(df.agg(F.percentile_approx(first, [i / bins for i in range(1, bins)], 8 * bins).alias("c")).first()["c"] or []))
+    marked = df.withColumn("_bin", F.coalesce(F.size(F.filter(F.lit(cuts), lambda c: c < first)), F.lit(-1)) if cuts else F.lit(0))
+    at, before = 1, {}
+    for r in marked.groupBy("_bin").count().orderBy("_bin").collect():  # bins + 1 rows
+        before[r["_bin"]] = at
+        at += r["count"]
+    if not before:
+        return marked.drop("_bin").withColumn(position, F.lit(0))
+    starts = F.create_map(*[x for b, n in before.items() for x in (F.lit(b), F.lit(n))])
+    own = F.row_number().over(Window.partitionBy("_bin").orderBy(*order)) - 1
+    return marked.withColumn(position, (F.element_at(starts, F.col("_bin")) + own).cast("int" if at < 1 << 31 else "long")).drop("_bin")
+
+
 def last_per_key(df: DataFrame, key: str, position: str) -> DataFrame:
     """Of rows with one key the last value, at the first one's position."""
     rest = [c for c in df.columns if c not in (key, position)]
@@ -24,8 +45,46 @@ def last_per_key(df: DataFrame, key: str, position: str) -> DataFrame:
 
 def described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``metric, n, mean, std, min, q25, q50, q75, max`` of each column; exact, linearly interpolated quartiles."""
-    stats = [F.struct(F.lit(c).alias("metric"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), *[F.percentile(c, q).alias(n) for q, n in QUARTILES], F.max(c).cast("double").alias("max")) for c in columns]
-    return df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
+    quartiles = F.array(*[F.lit(q) for q, _ in QUARTILES])
+    totals = df.agg(*[x for i, c in enumerate(columns) for x in (F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(f"s{i}"), F.percentile(c, quartiles).alias(f"q{i}"))])
+    rows = [F.struct(F.lit(c).alias("metric"), *[F.col(f"s{i}.{k}").alias(k) for k in ("n", "mean", "std", "min")], *[F.get(f"q{i}", F.lit(k)).alias(n) for k, (_, n) in enumerate(QUARTILES)], F.col(f"s{i}.max").alias("max")) for i, c in enumerate(columns)]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def described_frame(df: DataFrame) -> DataFrame:
+    """``statistic`` and a column for every numeric column of the whole frame, as ``described`` has them."""
+    from pyspark.sql.types import NumericType
+
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    if not numeric:
+        raise ValueError("no numeric column to describe")
+    return by_statistic(described(df, numeric))
+
+
+def by_statistic(stats: DataFrame) -> DataFrame:
+    """``described`` turned around: one row per statistic, one column per metric."""
+    names = stats.columns[1:]
+    long = stats.select("metric", F.inline(F.array(*[F.struct(F.lit(c).alias("statistic"), F.col(c).cast("double").alias("value")) for c in names])))
+    return long.groupBy("statistic").pivot("metric").agg(F.first("value"))
+
+
+def side_by_side(frames: dict[str, DataFrame]) -> DataFrame:
+    """Statistics of several frames (``statistic, ...``) as columns ``<frame>_<column>`` of one."""
+    out = None
+    for name, frame in frames.items():
+        named = frame.select("statistic", *[F.col(c).alias(f"{name}_{c}") for c in frame.columns if c != "statistic"])
+        out = named if out is None else out.join(named, "statistic", "full_outer")
+    return out
+
+
+def scored(df: DataFrame, prediction: str, reference: str, score: Callable[[Sequence[str], Sequence[str]], Sequence[float]], to: str) -> DataFrame:
+    """``df`` with a metric of its pairs, batch by batch (a ``TokenScorer``'s ``score``, or ``metrics.greedy_match`` of ``TokenVectors``); null counts as empty."""
+
+    @F.pandas_udf("double")
+    def column(predictions: pd.Series, references: pd.Series) -> pd.Series:
+        return pd.Series(score(predictions.fillna("").tolist(), references.fillna("").tolist()), dtype="float64")
+
+    return df.withColumn(to, column(prediction, reference))
 
 
 def pooled_minmax(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -75,7 +134,8 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 
 def box(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles and whiskers (the furthest values within 1.5 ranges of the quartiles) of each group."""
-    q = df.groupBy(*by).agg(*[F.percentile(value, p).alias(n) for p, n in QUARTILES])
+    q = df.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(p) for p, _ in QUARTILES])).alias("_q"))
+    q = q.select(*by, *[F.get("_q", F.lit(i)).alias(n) for i, (_, n) in enumerate(QUARTILES)])
     inside = (F.col(value) >= F.col("q25") - 1.5 * (F.col("q75") - F.col("q25"))) & (F.col(value) <= F.col("q75") + 1.5 * (F.col("q75") - F.col("q25")))
     return df.join(q, list(by)).where(inside).groupBy(*by, "q25", "q50", "q75").agg(F.min(value).alias("low"), F.max(value).alias("high"))
 

@@ -14,8 +14,8 @@ from ..functions import chunking
 from ..functions import text as T
 from .providers import EmbeddingProvider
 
-#: Query vectors that are broadcast at once; more are taken block by block.
-QUERY_BLOCK = 4096
+#: Query vectors that are broadcast, or that a block holds; rows that a block holds; distances held at once.
+QUERY_BLOCK, ROW_BLOCK, CELLS = 4096, 1 << 16, 1 << 22
 
 
 def chunked(docs: DataFrame, size: int = 4096, overlap: int = 500) -> DataFrame:
@@ -45,44 +45,66 @@ def embedded(df: DataFrame, text: str, provider: EmbeddingProvider) -> DataFrame
     return df.mapInPandas(run, StructType([*df.schema.fields, StructField("embedding", ArrayType(FloatType()))]))
 
 
-def _nearest_to(base: DataFrame, queries: pd.DataFrame, k: int) -> DataFrame:
-    """Each batch's nearest ``k`` of every query of one block."""
-    ids = queries["query_id"].to_numpy(np.int64)
-    vectors = np.array(queries["embedding"].tolist(), float)
-    held = base.sparkSession.sparkContext.broadcast((ids, vectors))
+def nearest_pairs(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query id, row id and squared distance of the nearest ``k`` rows of each query; ties go to the smaller id.
+
+    A matrix product finds who can be among them, whose distances are then taken exactly.
+    """
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    own = (rows**2).sum(axis=1)[:, None]
+    width = max(1, CELLS // max(1, len(rows)))
+    for a in range(0, len(queries), width):
+        q = queries[a : a + width]
+        far = own + (q**2).sum(axis=1) - 2 * rows @ q.T
+        limit = np.partition(far, k - 1, axis=0)[k - 1] if len(rows) > k else far.max(axis=0)
+        at, of = np.nonzero(far <= limit + 1e-9 * (1 + np.abs(limit)))
+        d = ((rows[at] - q[of]) ** 2).sum(axis=1)
+        order = np.lexsort((ids[at], d, of))
+        at, of, d = at[order], of[order], d[order]
+        begins = np.searchsorted(of, np.arange(len(q)))
+        kept = np.arange(len(of)) - begins[of] < k
+        found.append((query_ids[a + of[kept]], ids[at[kept]], d[kept]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _vectors(pdf: pd.DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
+    return pdf[key].to_numpy(np.int64), np.array(pdf["embedding"].tolist(), float)
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own_ids, own = held.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            rows = np.array(pdf["embedding"].tolist(), float)
-            names = pdf["id"].to_numpy(np.int64)
-            out = []
-            for q, v in zip(own_ids, own):
-                d = ((rows - v) ** 2).sum(axis=1)
-                best = np.arange(len(d)) if len(d) <= k else np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
-                best = best[np.lexsort((names[best], d[best]))[:k]]
-                out.append(pd.DataFrame({"query_id": q, "id": names[best], "distance": d[best]}))
-            yield pd.concat(out)
 
-    return base.mapInPandas(run, "query_id long, id long, distance double")
+_FOUND = "query_id long, id long, distance double"
+
+
+def _among(base: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+    if not len(base) or not len(queries):
+        return pd.DataFrame({"query_id": [], "id": [], "distance": []}).astype({"query_id": "int64", "id": "int64", "distance": "float64"})
+    return pd.DataFrame(dict(zip(("query_id", "id", "distance"), nearest_pairs(*_vectors(base, "id"), *_vectors(queries, "query_id"), k))))
 
 
 def nearest(base: DataFrame, queries: DataFrame, k: int = 6) -> DataFrame:
     """``query_id, rank, id, distance``: the exact ``k`` nearest rows (squared L2, ties by id).
 
-    ``base`` has ``id, embedding``, ``queries`` ``query_id, embedding``.  Queries are
-    broadcast in blocks of bounded size, and every task keeps ``k`` rows per query
-    and batch, so only those are shuffled.  Fewer rows than ``k`` give fewer results.
+    ``base`` has ``id, embedding``, ``queries`` ``query_id, embedding``.  Few queries
+    are broadcast, after a count; more of them and the rows are both dealt to blocks of
+    bounded size by a hash, and every pair of blocks is one task's.  Each block keeps ``k`` rows per
+    query, so only those are shuffled again.  Fewer rows than ``k`` give fewer results.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // QUERY_BLOCK) * (2 if n > QUERY_BLOCK else 1))
-    found = None
-    for i in range(blocks):
-        mine = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)
-        part = _nearest_to(base.select("id", "embedding"), mine.select("query_id", "embedding").toPandas(), k)
-        found = part if found is None else found.unionByName(part)
+    base, queries = base.select("id", "embedding"), queries.select("query_id", "embedding")
+    few = queries.limit(QUERY_BLOCK + 1).toPandas()
+    if len(few) <= QUERY_BLOCK:
+        held = base.sparkSession.sparkContext.broadcast(few)
+
+        def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield _among(pdf, held.value, k)
+
+        found = base.mapInPandas(run, _FOUND)
+    else:
+        query_blocks, row_blocks = -(-queries.count() // QUERY_BLOCK), -(-base.count() // ROW_BLOCK) or 1
+        dealt = lambda df, key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+        all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        rows = base.withColumn("row_block", dealt(base, "id", row_blocks)).withColumn("query_block", all_of(query_blocks))
+        asked = queries.withColumn("query_block", dealt(queries, "query_id", query_blocks)).withColumn("row_block", all_of(row_blocks))
+        found = rows.groupBy("row_block", "query_block").cogroup(asked.groupBy("row_block", "query_block")).applyInPandas(lambda b, q: _among(b, q, k), _FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
 
@@ -92,3 +114,10 @@ def contexts(found: DataFrame, texts: DataFrame, amount: int = 6) -> DataFrame:
     kept = found.where(F.col("rank") <= amount).join(texts, "id")
     ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
     return kept.groupBy("query_id").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n\n").alias("context"))
+
+
+def with_contexts(rows: DataFrame, found: DataFrame, texts: DataFrame, amount: int = 6) -> DataFrame:
+    """``rows`` (``query_id, ...``) with ``context``, the texts of the nearest rows in order; rows that asked nothing stay without."""
+    kept = found.where(F.col("rank") <= amount).join(texts, "id")
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
+    return rows.join(kept.groupBy("query_id").agg(F.transform(ordered, lambda x: x["text"]).alias("context")), "query_id", "left")

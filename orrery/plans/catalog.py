@@ -28,4 +28,4 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import evaluation, harvest, retrieval, texts  # noqa: E402, F401  (they register their queries)
+from . import evaluation, harvest, retrieval, steps, texts  # noqa: E402, F401  (they register their queries)

@@ -28,10 +28,10 @@ def knn_top6(spark, sf_dir):
     return _knn(spark, sf_dir).select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
 
 
-@query(KNN_SQL + "select query_id, string_agg(coalesce(substring(text, 1, 200), ''), chr(10) || chr(10) order by rank) context from r join documents on doc_id = id where rank <= 6 group by query_id")
+@query(KNN_SQL + "select query_id, string_agg(coalesce(text, ''), chr(10) || chr(10) order by rank) context from r join documents on doc_id = id where rank <= 6 group by query_id")
 def context_concat(spark, sf_dir):
-    """The nearest rows' texts (their first 200 characters) in order."""
-    texts = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 200).alias("text"))
+    """The nearest rows' texts in order."""
+    texts = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     return retrieve.contexts(_knn(spark, sf_dir), texts)
 
 
@@ -50,8 +50,8 @@ def shard_merge(spark, sf_dir):
 def retrieve_contexts(spark, sf_dir):
     """Documents cleaned, chunked and embedded; six contexts for every user turn (with a stand-in for the embedding model)."""
     stub = StubEmbedder()
-    chunks = retrieve.chunked(load(spark, sf_dir, "documents")).withColumn("id", F.col("doc_id") * 100_000 + F.col("chunk_index"))
-    turns = load(spark, sf_dir, "conversations").where("role = 'user' and text <> ''").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+    chunks = retrieve.chunked(load(spark, sf_dir, "documents")).withColumn("id", F.shiftleft("doc_id", 24) + F.col("chunk_index"))  # a text has fewer chunks than that
+    turns = load(spark, sf_dir, "conversations").where("role = 'user' and text <> ''").select((F.shiftleft("conv_id", 24) + F.col("turn")).alias("query_id"), "text")
     base = retrieve.embedded(chunks.select("id", "chunk"), "chunk", stub).select("id", "embedding")
     found = retrieve.nearest(base, retrieve.embedded(turns, "text", stub).select("query_id", "embedding"))
     return retrieve.contexts(found, chunks.select("id", F.col("chunk").alias("text")))
@@ -104,12 +104,12 @@ def split_90_9_1(spark, sf_dir):
     return dataset.split(load(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
-TOKENS_SQL = PAIRS_SQL + """, t as (select conv_id, turn, string_split(question || ' ' || answer, ' ')[1:64] ids, len(string_split(question, ' ')) prompt from pairs),
+TOKENS_SQL = PAIRS_SQL + """, t as (select conv_id, turn, string_split(question || ' ' || answer, ' ')[1:4096] ids, len(string_split(question, ' ')) prompt from pairs),
 u as (select *, least(prompt, len(ids)) p from t)"""
 
 
 def _tokens(spark, sf_dir):
-    ids = dataset.truncated(F.split(F.concat_ws(" ", "question", "answer"), " "), 64)
+    ids = dataset.truncated(F.split(F.concat_ws(" ", "question", "answer"), " "))
     return _pairs(spark, sf_dir).select("conv_id", "turn", ids.alias("ids"), F.size(F.split("question", " ")).alias("prompt"))
 
 
@@ -142,7 +142,7 @@ select question, min(pos)::int pos, arg_max(base, pos) base, arg_max(finetuned,
 def answers_zip_dedupe(spark, sf_dir):
     """Two answer sets by position, the last value of each question at its first position."""
     pairs = _pairs(spark, sf_dir)
-    numbered = lambda df: df.withColumn("pos", F.row_number().over(Window.orderBy("conv_id", "turn")))  # noqa: E731  (the position is the data's own order)
+    numbered = lambda df: report.numbered(df, ["conv_id", "turn"])  # noqa: E731  (the position is the data's own order)
     left = numbered(pairs).select("pos", "question", F.col("answer").alias("base"))
     right = numbered(pairs.where("turn % 3 <> 2")).select("pos", F.concat(F.lit("tuned "), "answer").alias("finetuned"))
     both = report.zipped(left, right, "pos").where("base is not null or finetuned is not null")

@@ -100,7 +100,8 @@ def l2_normalize(spark, sf_dir):
 def page_automaton(spark, sf_dir):
     """G7, F13 to F15 on documents as pages of 40 lines, with an abstract heading and a table put in (state from line to line: no SQL)."""
     docs = load(spark, sf_dir, "documents")
-    lines = docs.select("doc_id", F.posexplode(F.split(F.concat(F.lit("Title\nAbstract. "), F.regexp_replace("text", r"\. ", ".\n"), F.lit("\nTable 1. Values\n1 2\n3 4\n5 6\n7 8\nReferences\nA")), "\n")).alias("n", "line"))
-    pages = lines.groupBy(F.col("doc_id").cast("string").alias("stem"), F.floor(F.col("n") / 40).cast("int").alias("page_num")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n").alias("text"))
-    found = extract.document_texts(pages)
-    return found.select(F.col("stem").cast("long").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+    lines = docs.select("doc_id", F.split(F.concat(F.lit("Title\nAbstract. "), F.regexp_replace("text", r"\. ", ".\n"), F.lit("\nTable 1. Values\n1 2\n3 4\n5 6\n7 8\nReferences\nA")), "\n").alias("lines"))
+    number = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / 40).cast("int"))
+    pages = lines.select("doc_id", F.transform(number, lambda k: F.array_join(F.slice("lines", k * 40 + 1, F.lit(40)), "\n")).alias("pages"))
+    found = extract.with_document_text(pages, "pages")
+    return found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))

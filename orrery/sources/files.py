@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import json
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +57,28 @@ def suffixed(path: str, suffix: str) -> str:
     return f"{folder}{slash}{base}_{suffix}.{extension}" if dot else f"{path}_{suffix}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _folder(spark, path)
+    return files.exists(where)
+
+
+def removed(spark: SparkSession, path: str, really: bool = False) -> bool:
+    """Remove a folder of temporary files, only when asked to; whether it went."""
+    files, where = _folder(spark, path)
+    return bool(really and files.delete(where, True))
+
+
 class Versioned:
     """A table under ``root`` that is updated by writing a new version beside the one being read.
 
-    The versions are listed in a small log table; readers take the last one.
+    A version counts once its number's file is in the log; a number is taken by creating
+    that file, which one writer only can do, and readers take the last one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -64,20 +87,33 @@ class Versioned:
     def write(self, df: DataFrame) -> str:
         path = f"{self.root}/v-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        n = (self._log().agg(F.max("n").alias("n")).first()["n"] or 0) + 1 if self._exists() else 1
-        self.spark.createDataFrame([(n, path)], "n long, path string").write.mode("append").parquet(f"{self.root}/log")
-        return path
+        n = max(self._versions(), default=0)
+        while True:
+            n += 1
+            files, where = _folder(self.spark, f"{self.root}/log/{n:012d}")
+            if files.exists(where):
+                continue
+            try:
+                out = files.create(where, False)
+            except Exception:
+                if not files.exists(where):
+                    raise
+                continue  # another writer was first
+            out.write(path.encode())
+            out.close()
+            return path
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self._log().orderBy(F.desc("n")).first()["path"])
-
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema("n long, path string").parquet(f"{self.root}/log")
+        """The last version; one whose writer hasn't finished naming it is passed over."""
+        for n in sorted(self._versions(), reverse=True):
+            path = "".join(r["value"] for r in self.spark.read.text(f"{self.root}/log/{n:012d}").collect())
+            if path:
+                return self.spark.read.parquet(path)
+        raise FileNotFoundError(f"no version under {self.root}")
 
-    def _exists(self) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/log")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def _versions(self) -> list[int]:
+        files, where = _folder(self.spark, f"{self.root}/log")
+        return [int(s.getPath().getName()) for s in files.listStatus(where)] if files.exists(where) else []
 
 
 def write_split(df: DataFrame, path: str) -> None:
@@ -85,6 +121,81 @@ def write_split(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
+def cached(df: DataFrame, root: str, key: str) -> DataFrame:
+    """``df`` from the table under ``root`` named by ``key`` (of the input and the step); computed and written the first time only."""
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/{key}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+INDEX = CHUNKS + ", chunk_id BIGINT, embedding ARRAY<FLOAT>"
+
+
 def write_index(chunks: DataFrame, path: str) -> None:
-    """Vectors stored with their chunk: ``chunk_id, filename, chunk_index, text, embedding``."""
-    chunks.write.mode("overwrite").parquet(path)
+    """Vectors stored with their chunk: the columns of ``INDEX``, which must all be there; a new folder only."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    wanted = _parse_datatype_string(INDEX)
+    chunks.select(*[F.col(f.name).cast(f.dataType) for f in wanted]).write.mode("errorifexists").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(INDEX).parquet(path)
+
+
+def write_shards(df: DataFrame, path: str, shards: int, key: str) -> None:
+    """``df`` dealt to ``shards`` folders by a hash of the key, vectors and metadata side by side."""
+    df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")).repartition(shards, "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """All shards put together, without the shard's number."""
+    return spark.read.parquet(path).drop("shard")
+
+
+def read_array_shards(spark: SparkSession, folder: str, pattern: str = "data_*.npy") -> DataFrame:
+    """``shard, row, embedding`` of NumPy files, the shards numbered by the order of their names."""
+    return _sharded(spark, folder, pattern, _array_rows, "embedding array<float>")
+
+
+def read_metadata_shards(spark: SparkSession, folder: str, schema: str = CHUNKS, pattern: str = "metadata_rank_*.json") -> DataFrame:
+    """``shard, row`` and the columns of ``schema`` of files with one JSON array each, numbered like the vectors' files."""
+    return _sharded(spark, folder, pattern, _json_rows, schema)
+
+
+def merged_shards(vectors: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Vectors with their metadata by shard and row, and ``chunk_id`` in that order (from 0)."""
+    sizes = {r["shard"]: r["count"] for r in vectors.groupBy("shard").count().collect()}  # one row a file
+    at, before = 0, {}
+    for shard in sorted(sizes):
+        before[shard] = at
+        at += sizes[shard]
+    both = vectors.join(metadata, ["shard", "row"])
+    starts = F.create_map(*[x for s, n in before.items() for x in (F.lit(s), F.lit(n).cast("long"))]) if before else F.create_map().cast("map<int,bigint>")
+    return both.withColumn("chunk_id", F.element_at(starts, F.col("shard")) + F.col("row")).drop("shard", "row")
+
+
+def _array_rows(content: bytes) -> Iterator[dict]:
+    for v in np.load(io.BytesIO(content), allow_pickle=False):
+        yield {"embedding": v.astype("float32").tolist()}
+
+
+def _json_rows(content: bytes) -> Iterator[dict]:
+    yield from json.loads(content)
+
+
+def _sharded(spark: SparkSession, folder: str, pattern: str, rows: Callable[[bytes], Iterator[dict]], schema: str) -> DataFrame:
+    from pyspark.sql.types import _parse_datatype_string
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    number = {p: i for i, p in enumerate(sorted(r["path"] for r in files.select("path").collect()))}  # one name a file
+    names = [f.name for f in _parse_datatype_string(schema)]
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                found = list(rows(bytes(content)))
+                yield pd.DataFrame({"shard": number[path], "row": np.arange(len(found)), **{n: [x.get(n) for x in found] for n in names}})
+
+    return files.select("path", "content").mapInPandas(run, f"shard int, row long, {schema}")

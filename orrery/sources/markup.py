@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 class _Anchors(HTMLParser):
     def __init__(self) -> None:
         super().__init__()
@@ -72,12 +71,49 @@ def _paragraphs(node: ET.Element) -> Iterator[ET.Element]:
             yield from _paragraphs(child)
 
 
-def xml_abstract(content: bytes) -> str:
-    """First paragraph of the first abstract, each text node stripped; empty if there is none or on any error."""
+class _Lenient(HTMLParser):
+    """Elements of XML that isn't well-formed: stray ampersands are text, what is left open ends with its parent."""
+
+    CDATA_CONTENT_ELEMENTS = ()
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.root = ET.Element("document")
+        self.open = [self.root]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.open.append(ET.SubElement(self.open[-1], tag))
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        ET.SubElement(self.open[-1], tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].tag == tag), None)
+        if at is not None:
+            del self.open[at:]
+
+    def handle_data(self, data: str) -> None:
+        node = self.open[-1]
+        if len(node):
+            node[-1].tail = (node[-1].tail or "") + data
+        else:
+            node.text = (node.text or "") + data
+
+
+def parsed(content: bytes) -> ET.Element:
+    """The root of an XML document; one that isn't well-formed is read as far as it makes sense."""
     try:
-        root = ET.fromstring(content)
+        return ET.fromstring(content)
     except (ET.ParseError, ValueError):
-        return ""
+        parser = _Lenient()
+        parser.feed(content.decode("utf-8", "replace"))
+        parser.close()
+        return parser.root
+
+
+def xml_abstract(content: bytes) -> str:
+    """First paragraph of the first abstract, each text node stripped; empty if there is none."""
+    root = parsed(content)
     abstract = next((e for e in root.iter() if _local(e.tag) == "abstract"), None)
     paragraph = next((e for e in abstract.iter() if _local(e.tag) == "p"), None) if abstract is not None else None
     return "" if paragraph is None else _stripped(paragraph)
@@ -85,10 +121,7 @@ def xml_abstract(content: bytes) -> str:
 
 def xml_body(content: bytes) -> str:
     """Paragraphs of the first body without figures and table wrappers, joined by blank lines; a nested one counts again."""
-    try:
-        root = ET.fromstring(content)
-    except (ET.ParseError, ValueError):
-        return ""
+    root = parsed(content)
     body = next((e for e in root.iter() if _local(e.tag) == "body"), None)
     if body is None:
         return ""
