@@ -2,14 +2,15 @@
 
 Tokens are lower-cased (A-Z) words and one end per text.  Every word of the training
 texts is modelled.  Words of like frequency (one power of two of their counts) form a class, and a class is
-split further by the word's hash, four bits at a time, until a leaf holds about one word:
+split further by the word's hash, four bits at a time, until a leaf holds a few words at most (words
+seen once or a few times have shorter paths, as there is little to learn them from):
 
     P(w | h) = P(class | h) * P(digit 1 | class, h) * ... * P(digit d | digits before, h) * share of w in its leaf
 
 Each factor is a softmax over sums of weight rows: a prior from exact counts (of classes
 and of the first two digits; deeper ones start even), and one row for each feature
-of the history: the last word, the one before it (a skip; for classes only), and both
-together (an n-gram).  Rows are found by hash, those of digits also by the node they belong to; words seen
+of the history: the last word and, for classes, the one before it (a skip) and both
+together (an n-gram); digits after the second have a row of their own, too.  Rows are found by hash, those of digits also by the node they belong to; words seen
 less than ``RARE`` times are features by their class.  A leaf's words share it by their counts.  A token
 never seen in training has the Good-Turing share (words seen once) whatever it is; the
 probabilities of all words and of the unknown one add up to 1 at most (empty leaves keep a little).
@@ -52,7 +53,7 @@ CLASSES, BITS, DIGITS = 48, 4, 6
 WAYS = 1 << BITS
 #: Hashed weight rows of classes and of digits, before growth.
 CLASS_ROWS, DIGIT_ROWS = 1 << 15, 1 << 17
-ROUNDS, RATE, MINI_BATCH = 3, 0.25, 8192
+ROUNDS, RATE, MINI_BATCH = 3, 0.25, 16384
 #: Bytes of text in a shard, shards a training task takes, distinct words a counting task holds, fewest counting tasks (a power of two).
 SHARD_BYTES, SHARDS_A_TASK, PART_WORDS, LEAST_PARTS = 8 << 20, 4, 1 << 21, 16
 CHUNKS = 16
@@ -79,10 +80,11 @@ def class_of(seen: np.ndarray) -> np.ndarray:
 
 
 def depths(types: np.ndarray, parts: int) -> np.ndarray:
-    """Digits of each class: about one word a leaf, and no leaf in two counting tasks."""
-    least = -(-(parts.bit_length() - 1) // BITS)
-    natural = np.ceil(np.log2(np.maximum(types, 1)) / BITS).astype(int)
-    return np.where(types > 1, np.clip(natural, max(1, least), DIGITS), 0)
+    """Digits of each class: a few words a leaf, no more than the words' counts can teach, and no leaf in two counting tasks."""
+    least = max(1, -(-(parts.bit_length() - 1) // BITS))
+    natural = np.round(np.log2(np.maximum(types, 1)) / BITS).astype(int)
+    taught = np.maximum(1, np.arange(len(types)))
+    return np.where(types > 1, np.clip(np.minimum(natural, taught), least, DIGITS), 0)
 
 
 def dealt(docs: DataFrame, size: int) -> DataFrame:
@@ -189,6 +191,10 @@ class Model:
     weights: np.ndarray  # hashed history rows by class
     digits: np.ndarray  # hashed (history, node) rows by digit
 
+    def priors(self) -> np.ndarray:
+        """Those of digits, one after the other, and an even one at the end."""
+        return np.concatenate([self.digit_priors[0], self.digit_priors[1].reshape(-1, WAYS), np.zeros((1, WAYS), np.float32)])
+
 
 def start_model(stats: DataFrame, parts: int) -> Model:
     """Priors; ``CLASSES * 256`` sums at most reach the driver."""
@@ -279,7 +285,7 @@ class Block:
     feature: np.ndarray  # what the word is in a history
     first: np.ndarray  # its first entry below
     depth: np.ndarray
-    node: np.ndarray  # by entry (word and digit): the node's hash, the digit, its place among the priors (-1: none)
+    node: np.ndarray  # by entry (word and digit): the node's hash, the digit, its place among the priors
     digit: np.ndarray
     prior: np.ndarray
 
@@ -303,7 +309,7 @@ def opened(m: Model, payload: bytes) -> Block:
     digit = (own >> (64 - BITS * (level + 1)).astype(np.uint64)).astype(np.int64) & (WAYS - 1)
     before = np.where(level > 0, own >> (64 - BITS * np.maximum(level, 1)).astype(np.uint64), np.uint64(0))
     node = _mixed(before + ((k * 8 + level).astype(np.uint64) << np.uint64(40)), _MIX[1])
-    prior = np.where(level == 0, k, np.where(level == 1, len(m.depth) + k * WAYS + before.astype(np.int64), -1))
+    prior = np.where(level == 0, k, np.where(level == 1, len(m.depth) + k * WAYS + before.astype(np.int64), len(m.depth) * (1 + WAYS)))
     return Block(ids, none, learns, sizes, sequence, seen, share, cls, feature, first, depth, node, digit, prior)
 
 
@@ -323,53 +329,63 @@ def _rows(x: np.ndarray, n: int) -> np.ndarray:
     return (x * _MIX[2] >> np.uint64(65 - n.bit_length())).astype(np.int64)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """Log probabilities, in place."""
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _sum_of(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    z = np.take(table, rows[0], axis=0)
+    more = np.empty_like(z)
+    for r in rows[1:]:
+        z += np.take(table, r, axis=0, out=more, mode="clip")
     return z
 
 
 @dataclass
-class Batch:
-    """Rows, targets and log probabilities of some tokens: first of their classes, then of all their digits."""
-
-    token: np.ndarray  # of each digit
-    class_rows: list[np.ndarray]
-    digit_rows: list[np.ndarray]
-    cls: np.ndarray
-    digit: np.ndarray
-    class_z: np.ndarray
-    digit_z: np.ndarray
-
-    def log_probability(self) -> np.ndarray:
-        out = self.class_z[np.arange(len(self.cls)), self.cls].astype(float)
-        own = self.digit_z[np.arange(len(self.digit)), self.digit]
-        return out + np.bincount(self.token, own, len(out))
-
-
-def forward(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.ndarray, both: np.ndarray) -> Batch:
-    """The model's factors for known words and their histories."""
+class Factor:
+    """Softmaxes of some tokens' classes or digits: rows of features (with the places they are for, or None for all), targets and shares before division."""
+
+    rows: list[tuple[np.ndarray, np.ndarray | None]]
+    target: np.ndarray
+    shares: np.ndarray
+    total: np.ndarray
+    log: np.ndarray  # log probability of each target
+
+    @staticmethod
+    def of(z: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray | None]], target: np.ndarray) -> Factor:
+        own = z[np.arange(len(z)), target]
+        np.clip(z, -60, 60, out=z)
+        np.exp(z, out=z)
+        total = z @ np.ones(z.shape[1], z.dtype)
+        return Factor(rows, target, z, total, np.clip(own, -60, 60).astype(float) - np.log(total))
+
+    def descend(self, table: np.ndarray, squares: np.ndarray) -> None:
+        """A gradient step on the weights, in place."""
+        g = self.shares / self.total[:, None]
+        g[np.arange(len(g)), self.target] -= 1
+        for rows, places in self.rows:
+            if len(rows):
+                _descend(table, squares, rows, g if places is None else np.take(g, places, axis=0))
+
+
+def forward(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.ndarray, both: np.ndarray) -> tuple[Factor, Factor, np.ndarray]:
+    """The model's factors for known words and their histories: classes, digits, and the token of each digit."""
     k = len(m.weights)
-    class_rows = [_rows(last, k), _rows(skip ^ _MIX[0], k), _rows(both ^ _MIX[1], k)]
-    z = m.weights[class_rows[0]]
-    z += m.weights[class_rows[1]]
-    z += m.weights[class_rows[2]]
+    rows = [_rows(last, k), _rows(skip ^ _MIX[0], k), _rows(both ^ _MIX[1], k)]
+    z = _sum_of(m.weights, rows)
     z += m.class_prior
+    classes = Factor.of(z, [(x, None) for x in rows], b.cls[word])
     depth = b.depth[word]
     token = np.repeat(np.arange(len(word)), depth)
     entry = np.repeat(b.first[word] - np.cumsum(depth) + depth, depth) + np.arange(len(token))
-    node = b.node[entry]
-    k = len(m.digits)
-    digit_rows = [_rows(node, k), _rows(node ^ last[token], k), _rows(node ^ (both[token] + _MIX[0]), k)]
-    y = m.digits[digit_rows[0]]
-    y += m.digits[digit_rows[1]]
-    y += m.digits[digit_rows[2]]
-    prior = b.prior[entry]
-    known = np.flatnonzero(prior >= 0)
-    table = np.concatenate([m.digit_priors[0], m.digit_priors[1].reshape(-1, WAYS)])
-    y[known] += table[prior[known]]
-    return Batch(token, class_rows, digit_rows, b.cls[word], b.digit[entry], _softmax(z), _softmax(y))
+    node, prior, k = b.node[entry], b.prior[entry], len(m.digits)
+    from_last = _rows(node ^ last[token], k)
+    deep = np.flatnonzero(prior == len(m.depth) * (1 + WAYS))  # these have no prior of their own, but a row
+    own = _rows(node[deep], k)
+    y = np.take(m.digits, from_last, axis=0)
+    y += np.take(m.priors(), prior, axis=0)
+    y[deep] += np.take(m.digits, own, axis=0)
+    return classes, Factor.of(y, [(from_last, None), (own, deep)], b.digit[entry]), token
+
+
+def log_probability(classes: Factor, digits: Factor, token: np.ndarray) -> np.ndarray:
+    return classes.log + np.bincount(token, digits.log, len(classes.log))
 
 
 def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
@@ -377,23 +393,16 @@ def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient:
     order = np.argsort(rows)
     sorted_ = rows[order]
     first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    g = np.add.reduceat(gradient[order], first, axis=0)
+    g = np.add.reduceat(np.take(gradient, order, axis=0), first, axis=0)
     at = sorted_[first]
-    q = squares[at] + g * g
+    q = np.take(squares, at, axis=0)
+    q += g * g
     squares[at] = q
-    g *= RATE
-    g /= np.sqrt(q)
-    table[at] -= g
-
-
-def learn(m: Model, squares: tuple[np.ndarray, np.ndarray], batch: Batch) -> None:
-    """A gradient step on the model's weights, in place."""
-    for table, s, rows, z, target in ((m.weights, squares[0], batch.class_rows, batch.class_z, batch.cls), (m.digits, squares[1], batch.digit_rows, batch.digit_z, batch.digit)):
-        if len(z):
-            g = np.exp(z)
-            g[np.arange(len(z)), target] -= 1
-            for r in rows:
-                _descend(table, s, r, g)
+    np.sqrt(q, out=q)
+    g *= -RATE
+    g /= q
+    g += np.take(table, at, axis=0)
+    table[at] = g
 
 
 def descended(m: Model, payload: bytes, turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray] | None:
@@ -409,7 +418,9 @@ def descended(m: Model, payload: bytes, turn: int, rounds: int) -> tuple[np.ndar
     squares = np.full_like(m.weights, 1e-2), np.full_like(m.digits, 1e-2)
     for a in range(0, len(word), MINI_BATCH):
         i = slice(a, a + MINI_BATCH)
-        learn(local, squares, forward(local, b, word[i], last[i], skip[i], both[i]))
+        classes, digits, _ = forward(local, b, word[i], last[i], skip[i], both[i])
+        classes.descend(local.weights, squares[0])
+        digits.descend(local.digits, squares[1])
     return local.weights - m.weights, local.digits - m.digits
 
 
@@ -467,7 +478,7 @@ def log10_probabilities(m: Model, b: Block) -> np.ndarray:
     for a in range(0, len(known), MINI_BATCH):
         i = known[a : a + MINI_BATCH]
         word = b.sequence[i]
-        out[i] = forward(m, b, word, last[i], skip[i], both[i]).log_probability() + b.share[word] + np.log1p(-m.unknown)
+        out[i] = log_probability(*forward(m, b, word, last[i], skip[i], both[i])) + b.share[word] + np.log1p(-m.unknown)
     return out / np.log(10)
 
 

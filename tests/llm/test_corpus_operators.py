@@ -161,12 +161,30 @@ def test_suffix_dedup(spark, docs, hot, monkeypatch):
     assert got == brute_removed(docs, 100)
 
 
-def test_suffix_array_groups():
-    text = np.frombuffer(b"banana$ananas$", np.uint8)
-    windows = np.lib.stride_tricks.sliding_window_view(text, 3)
-    groups = suffix_dedup.repeat_groups(windows, np.concatenate([[-1], text[: len(windows) - 1]]).astype(int), 3)
-    found = {bytes(windows[rows[0]]): (sorted(rows.tolist()), maximal) for rows, maximal in groups}
-    assert found[b"ana"][0] == [1, 3, 7, 9] and found[b"nan"][0] == [2, 8] and not found[b"nan"][1] and found[b"ana"][1]
+def brute_repeats(texts, width):
+    """Length and places of every string of at least ``width`` that repeats and whose occurrences differ on both sides."""
+    places = collections.defaultdict(list)
+    for t, text in enumerate(texts):
+        for a in range(len(text)):
+            for b in range(a + width, len(text) + 1):
+                places[text[a:b]].append((t, a))
+    ends = lambda p, i: {(q, a) if not 0 <= a + i < len(texts[q]) else texts[q][a + i] for q, a in p}  # noqa: E731  an end is like no other
+    return {(len(s), tuple(p)) for s, p in places.items() if len(p) > 1 and len(ends(p, -1)) > 1 and len(ends(p, len(s))) > 1}
+
+
+def test_maximal_repeats():
+    rng = random.Random(9)
+    for texts in [[b"banana", b"ananas"], [b"aaaaaaaa"], [b"abcabcabc", b"xabcabcy", b"bcab"], *[[bytes(rng.choice(b"ab") for _ in range(rng.randrange(3, 14))) for _ in range(rng.randrange(1, 6))] for _ in range(60)]]:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        count = np.array([max(0, len(t) - 2) for t in texts])
+        begins = np.cumsum([0] + [len(t) for t in texts[:-1]])
+        step = np.concatenate([np.arange(c) for c in count])
+        at = np.repeat(begins, count) + step
+        before = np.where(step > 0, data[np.maximum(at - 1, 0)].astype(int), -1)
+        groups = suffix_dedup.repeat_groups(np.lib.stride_tricks.sliding_window_view(data, 3)[at], before, np.repeat(np.cumsum(count) - 1, count))
+        owner = np.repeat(np.arange(len(texts)), count)
+        got = {(d, tuple(sorted((int(owner[i]), int(step[i])) for i in rows))) for rows, d in groups}
+        assert got == brute_repeats(texts, 3), texts
 
 
 def brute_lines(rows, per_cent=75):
@@ -281,10 +299,10 @@ def plain_log10(m, b, tokens):
         if b.seen[w]:
             z = row(m.weights, last) + row(m.weights, skip ^ maxent_lm._MIX[0]) + row(m.weights, both ^ maxent_lm._MIX[1]) + m.class_prior
             p = soft(z.tolist(), b.cls[w]) + b.share[w] + math.log(1 - m.unknown)
-            table = np.concatenate([m.digit_priors[0], m.digit_priors[1].reshape(-1, 16)])
+            table = np.concatenate([m.digit_priors[0], m.digit_priors[1].reshape(-1, 16), np.zeros((1, 16))])
             for e in range(b.first[w], b.first[w] + b.depth[w]):
                 node = b.node[e : e + 1]
-                y = row(m.digits, node) + row(m.digits, node ^ last) + row(m.digits, node ^ (both + maxent_lm._MIX[0])) + (table[b.prior[e]] if b.prior[e] >= 0 else 0)
+                y = (row(m.digits, node) if b.prior[e] == len(table) - 1 else 0) + row(m.digits, node ^ last) + table[b.prior[e]]
                 p += soft(y.tolist(), b.digit[e])
         else:
             p = math.log(m.unknown)
@@ -315,7 +333,7 @@ def test_language_model_adds_up_and_is_the_same_on_any_partitioning(spark, docs)
     for pair in ((b.feature[3], b.feature[9]), (maxent_lm._BEFORE, maxent_lm._BEFORE)):
         last, skip = (np.full(len(words), x) for x in pair)
         both = maxent_lm._mixed(last + (skip << np.uint64(1)), maxent_lm._MIX[2])
-        p = np.exp(maxent_lm.forward(model, b, words, last, skip, both).log_probability() + b.share) * (1 - model.unknown)
+        p = np.exp(maxent_lm.log_probability(*maxent_lm.forward(model, b, words, last, skip, both)) + b.share) * (1 - model.unknown)
         assert 0.9 < p.sum() + model.unknown < 1 + 1e-3
     other = {(r.doc_id, round(r.score, 6)) for r in maxent_lm.score_texts(df.repartition(1)).collect()}
     assert {(r.doc_id, round(r.score, 6)) for r in maxent_lm.score_texts(df.repartition(7)).collect()} == other
@@ -341,7 +359,7 @@ def test_language_model_predicts_rare_words(spark):
 def test_language_model_classes():
     assert [maxent_lm.growth(n) for n in (0, 1 << 17, 409_488, 1 << 21, 1 << 40)] == [1, 1, 2, 4, 16]
     assert maxent_lm.class_of(np.array([0, 1, 2, 3, 4, 1 << 40])).tolist() == [-1, 0, 1, 1, 2, 40]
-    assert maxent_lm.depths(np.array([0, 1, 2, 16, 17, 10**9]), 16).tolist() == [0, 0, 1, 1, 2, 6]
+    assert maxent_lm.depths(np.array([10**9, 1, 2, 16, 70, 10**9]), 16).tolist() == [1, 0, 1, 1, 2, 5]
     assert maxent_lm.depths(np.array([1, 2, 300]), 1 << 10).tolist() == [0, 3, 3]
 
 
