@@ -12,15 +12,15 @@ that meets others in fewer links with nothing.  The triangle inequality through
 empty set gives the length filter; with the places of a shingle in both windows it
 tells which region of a pair can be the first that it shares, and only that joins it.
 
-Regions join recursively, with documents as pivots.  Every open region draws one;
+Regions join recursively, with documents as pivots.  Every open region draws one, the
+member that meets most others and hasn't been drawn before;
 each member is assigned to the pivot that it shares most regions with and held
 against it.  Links merge components, regions whose members are in one component are
 closed, and the others draw again, as long as a round closes a tenth of what is
 open.  What is then left is joined pair by pair across components.  Nothing is capped.
 
-The order puts shingles that many texts share last, each part by hash.  Only
-shingles with a low hash come early in a window, so only those (a quarter) are
-counted, exactly; the frequent ones are marked in a filter of fixed size, whose
+The order puts shingles that several texts share last, each part by hash.  All
+shingles are counted, exactly; the shared ones are marked in a filter of fixed size, whose
 threshold rises with their number.  Any order gives the same links.
 Texts with equal sets are one class throughout, so copies are never paired.  Shingles are 64-bit hashes.
 
@@ -36,6 +36,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +47,10 @@ WORDS, PER_CENT = 5, 75
 #: Linked texts with different sets share this many shingles at least (3 of 4 is the smallest case at 75 per cent, fewer below:
 #: ``least_shared``), so windows are that much wider and a class that meets others in fewer regions is dropped.
 SHARED = 3
-#: Shingles are counted if their hash is below this (a quarter); one is frequent from this number of texts on, at least.
-COUNTED, FREQUENT = 1 << 62, 8
-#: Bits of the filters of frequent shingles and of wanted classes; one that fills up only filters less.
-FILTER_BITS, FILTER_BLOCKS = 23, 64
+#: A shingle is frequent from this number of texts on, at least.
+FREQUENT = 2
+#: Bits of the filters of frequent shingles and of wanted classes (8 MB); one that fills up only filters less.
+FILTER_BITS, FILTER_BLOCKS = 26, 64
 #: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 24 bytes).
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
 #: Regions draw another pivot while a round leaves at most this share of the entries open.
@@ -90,9 +91,9 @@ def window(n: int, per_cent: int = PER_CENT) -> int:
 
 
 def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """One pass over the texts: ``doc_id, n, class`` (null where the set is empty), and ``key, seen`` of the counted shingles that are frequent.
+    """One pass over the texts: ``doc_id, n, class`` (null where the set is empty), and ``key, seen`` of the shingles that are frequent.
 
-    A task hands on its counted shingles once per class, in one sorted block for each part.
+    A task hands on its shingles once per class, in one sorted block for each part.
     """
     bounded_batches(docs.sparkSession)
     names = ["doc_id", "n", "class", "part", "seeds"]
@@ -119,8 +120,8 @@ def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             for s, c in zip(found, classes):
                 if c is not None and c not in seen:
                     seen.add(c)
-                    held.append(s[: np.searchsorted(s, np.uint64(COUNTED))])
-                    size += len(held[-1])
+                    held.append(s)
+                    size += len(s)
             columns = [batch.column("doc_id"), [len(s) for s in found], classes, [None] * len(found), [None] * len(found)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c.cast(t) for c, t in zip(columns, types)], names=names)
             if size >= FLUSH:
@@ -134,7 +135,7 @@ def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         blobs = [np.cumsum(np.frombuffer(zlib.decompress(blob.as_py()), np.uint64), dtype=np.uint64) for batch in batches for blob in batch.column("seeds")]
         if blobs:
             seed, count = np.unique(np.concatenate(blobs), return_counts=True)
-            many = count > FREQUENT
+            many = count >= FREQUENT
             yield pa.RecordBatch.from_arrays([pa.array(seed[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["key", "seen"])
 
     both = written(docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, class long, part int, seeds binary"))
@@ -148,6 +149,11 @@ def _bits_of(keys: np.ndarray) -> np.ndarray:
     return (keys.view(np.uint64) * _MULTIPLIERS[0] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
+def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _bits_of(keys)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _filter(keys: DataFrame) -> np.ndarray:
     """Which of ``2**FILTER_BITS`` cells hold a ``key`` (packed), added up from tasks block by block."""
     width = (1 << FILTER_BITS) // FILTER_BLOCKS
@@ -189,7 +195,7 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
 
     A task gathers the windows of its texts and sends each region task one
     sorted block; a region task sees one share of the shingles.  Frequent shingles need
-    no such meeting: they pass as they are, so no task gathers one of them.
+    no such meeting: they are dealt by class and pass as they are, so no task gathers one of them.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -197,7 +203,6 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
     names = ["part", "entries", "seed", "class", "n", "pos"]
 
     def replicate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(held.value).view(bool)
         seeds: list[np.ndarray] = []
         common: list[np.ndarray] = []
         owners: list[tuple[int, int]] = []
@@ -212,7 +217,8 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
             at = np.flatnonzero(many)
             for a in range(0, len(at), 65536):
                 x = at[a : a + 65536]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.binary()), pa.array(seed[x].view(np.int64)), pa.array(owner[x]), pa.array(n[x].astype(np.int64)), pa.array(pos[x].astype(np.int64))], names=names)
+                to = (owner[x].view(np.uint64) % np.uint64(parts)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(to), pa.nulls(len(x), pa.binary()), pa.array(seed[x].view(np.int64)), pa.array(owner[x]), pa.array(n[x].astype(np.int64)), pa.array(pos[x].astype(np.int64))], names=names)
             seed, owner, n, pos = (x[~many] for x in (seed, owner, n, pos))
             part = (seed % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((seed, part))
@@ -233,9 +239,7 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
                     continue
                 seen.add(c)
                 k = window(len(s), per_cent)
-                low = int(np.searchsorted(s, np.uint64(COUNTED)))
-                many = np.zeros(len(s), bool)
-                many[:low] = marked[_bits_of(s[:low])]
+                many = _marked(held.value, s)
                 first = np.flatnonzero(~many)[:k]  # sorted by hash already
                 if len(first) < k:
                     first = np.concatenate([first, np.flatnonzero(many)[: k - len(first)]])
@@ -253,7 +257,10 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list[np.ndarray]] = [[], [], [], []]
         for batch in batches:
-            for blob in batch.column("entries"):
+            passed = batch.filter(pc.is_null(batch.column("entries")))
+            if passed.num_rows:
+                yield passed.select(["seed", "class", "n", "pos"])
+            for blob in batch.column("entries").drop_null():
                 data = zlib.decompress(blob.as_py())
                 k = len(data) // 24
                 columns[0].append(np.cumsum(np.frombuffer(data, np.uint64, k), dtype=np.uint64))
@@ -276,12 +283,9 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
         for a in range(0, len(seed), 65536):
             yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 65536]) for x in (seed, owner, n, pos)], names=["seed", "class", "n", "pos"])
 
-    sent = written(docs.select("text").mapInArrow(replicate, "part int, entries binary, seed long, class long, n long, pos long"))
+    sent = docs.select("text").mapInArrow(replicate, "part int, entries binary, seed long, class long, n long, pos long")
     # the blocks of one part go to one task; a part's blocks hold a bounded number of entries on average
-    rare = sent.where("part is not null").select("part", "entries").repartition(parts, "part").mapInArrow(meet, "seed long, class long, n long, pos long")
-    met = written(rare.union(sent.where("part is null").select("seed", "class", "n", "pos").distinct()))
-    discarded(sent)
-    return met
+    return written(sent.repartition(parts, "part").mapInArrow(meet, "seed long, class long, n long, pos long"))
 
 
 def members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -289,13 +293,12 @@ def members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(_filter(wanted.select(F.col("class").alias("key"))))  # FILTER_BITS fix its size
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(held.value).view(bool)
         seen: set[int] = set()
         for batch in batches:
             classes, blobs = [], []
             for t in batch.column("text"):
                 s = shingles(t.as_py())
-                if len(s) and (c := class_of(s)) not in seen and marked[_bits_of(np.array([c]))[0]]:
+                if len(s) and (c := class_of(s)) not in seen and _marked(held.value, np.array([c]))[0]:
                     seen.add(c)
                     classes.append(c)
                     blobs.append(s.tobytes())
@@ -367,12 +370,19 @@ def _open(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     return written(placed.join(several, "seed", "left_semi"))
 
 
-def _assigned(entries: DataFrame, turn: int, per_cent: int) -> DataFrame:
-    """``a, b``: each class with the one pivot, of those its regions have drawn, that it shares most regions with; none in its own component."""
+def _assigned(entries: DataFrame, drawn: DataFrame | None, per_cent: int) -> DataFrame:
+    """``a, b``: each class with the one pivot, of those its regions draw, that it shares most regions with; none in its own component.
+
+    A region draws the class that has most members in all its regions together and isn't among the ``drawn`` (``b``).
+    """
+    sizes = entries.groupBy("seed").agg(F.count(F.lit(1)).alias("size"))
+    weights = entries.join(sizes, "seed").groupBy("class", "n", "component").agg(F.sum("size").alias("weight"))
+    if drawn is not None:
+        weights = weights.join(drawn, F.col("class") == F.col("b"), "left_anti")
     state = F.struct("class", "n", "component")
-    drawn = entries.groupBy("seed").agg(F.min_by(state, F.xxhash64("class", F.lit(turn))).alias("p"))
-    drawn = drawn.select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"), F.col("p.component").alias("cb"))
-    met = entries.withColumnRenamed("n", "na").join(drawn, "seed").where((F.col("component") != F.col("cb")) & _alike(per_cent))
+    pivots = entries.select("seed", "class").join(weights, "class").groupBy("seed").agg(F.max_by(state, F.struct("weight", "class")).alias("p"))
+    pivots = pivots.select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"), F.col("p.component").alias("cb"))
+    met = entries.withColumnRenamed("n", "na").join(pivots, "seed").where((F.col("component") != F.col("cb")) & _alike(per_cent))
     shared = met.groupBy(F.col("class").alias("a"), "b").agg(F.count(F.lit(1)).alias("regions"))
     nearest = shared.groupBy("a").agg(F.max(F.struct("regions", "b")).alias("nearest"))
     return written(nearest.select("a", F.col("nearest.b").alias("b")))
@@ -380,16 +390,17 @@ def _assigned(entries: DataFrame, turn: int, per_cent: int) -> DataFrame:
 
 def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> DataFrame | None:
     """``a, b``: links between classes, enough of them to connect whatever the join connects."""
-    found, turn = None, 0
+    found = drawn = None
     open_ = _open(entries, found)
     left = open_.count()
     while left:
-        pairs = _assigned(open_, turn, per_cent)
+        pairs = _assigned(open_, drawn, per_cent)
         new = written(measured(pairs, known, per_cent))
         found = new if found is None else found.union(new)
         was, open_ = open_, _open(open_.drop("component"), found)
-        discarded(was, pairs)
-        before, left, turn = left, open_.count(), turn + 1
+        drawn = pairs.select("b") if drawn is None else drawn.union(pairs.select("b"))
+        discarded(was)
+        before, left = left, open_.count()
         if left > WORTH * before:
             break
     if not left:
@@ -413,9 +424,12 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     every, frequent = described(docs, parts)
     met = regions(docs, frequent_filter(frequent), parts, per_cent)
     discarded(frequent)
-    wanted = written(met.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)).select("class"))
-    entries = written(met.join(wanted, "class", "left_semi"))
+    several = met.groupBy("seed").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("seed")
+    meeting = written(met.join(several, "seed", "left_semi").distinct())
     discarded(met)
+    wanted = written(meeting.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)).select("class"))
+    entries = written(meeting.join(wanted, "class", "left_semi"))
+    discarded(meeting)
     known = members(docs, wanted)
     found = links(entries, known, per_cent)
     discarded(known, entries, wanted)
