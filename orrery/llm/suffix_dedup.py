@@ -9,12 +9,12 @@ region.  Three passes keep what is moved small:
    per task and share of the keys).  A key seen once can't hold a repeat.
 2. Texts send the bytes of the stretches whose key repeats.  A task first
    drops stretches that equal one it has sent, since those are known to repeat.
-3. A region task builds the suffix array of the stretches' strings with its
-   common-prefix array, and a stack scan yields the prefix-interval tree's nodes
-   of at least ``width`` bytes: each is a group of all occurrences of a
-   string.  All but the earliest occurrence of a group are marked.  Whether a group is
-   a maximal repeat (the bytes before its occurrences differ) doesn't change what is
-   covered, so only ``repeat_groups``, which no query uses, tells.
+3. A region task builds the suffix array of its stretches, by doubling the number of
+   neighbouring strings that are told apart, and with it the common-prefix array.  A stack scan yields the
+   prefix-interval tree's nodes of at least ``width`` bytes: each is a group of all occurrences
+   of a string.  Nodes whose left extensions are all the same are dropped, since a longer string
+   stands for them; the others are the maximal repeats.  All occurrences of one but the
+   earliest are removed, at its whole length.
 
 Keys with very many stretches (boundaries of a passage that a large share
 of the texts hold) go by the hash of each whole string instead, dealt and
@@ -213,70 +213,116 @@ def _stretch_rows(key: np.ndarray, owner: np.ndarray, start: np.ndarray, count:
     return pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.ascontiguousarray(key).view(np.int64)), pa.array(start.astype(np.int64)), pa.array(count.astype(np.int64))], names=["class", "key", "start", "strings"])
 
 
-def suffix_array(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of fixed-width rows of bytes, and the common prefix of each with the one before (0 for the first)."""
+def suffix_array(strings: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes that begin at rows of bytes, and the common prefix of each with the one before (0 where under a row's width).
+
+    Row ``i + 1`` begins one byte after row ``i``, up to row ``last[i]``, where the text ends.
+    A rank is the place where a row's group of equals begins; each round tells twice as many rows on apart.
+    """
     n, width = strings.shape
     order = np.argsort(np.ascontiguousarray(strings).view(f"V{width}").ravel(), kind="stable")
-    common = np.zeros(n, np.int64)
+    sorted_ = strings[order]
+    fresh = np.ones(n, bool)
+    fresh[1:] = (sorted_[1:] != sorted_[:-1]).any(axis=1)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    ranks = [rank]
+    while True:
+        rank = ranks[-1]
+        step = 1 << (len(ranks) - 1)
+        tied = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+        inside = tied + step <= last[tied]
+        if not inside.any():
+            break
+        then = np.where(inside, rank[np.minimum(tied + step, n - 1)], -1 - tied)  # where the text ends first, like no other
+        by = np.lexsort((then, rank[tied]))
+        tied, then = tied[by], then[by]
+        own = rank[tied]
+        group = np.concatenate([[True], own[1:] != own[:-1]])
+        begins = np.maximum.accumulate(np.where(group, np.arange(len(tied)), 0))
+        split = group | np.concatenate([[True], then[1:] != then[:-1]])
+        deeper = rank.copy()
+        deeper[tied] = own + np.maximum.accumulate(np.where(split, np.arange(len(tied)), 0)) - begins
+        ranks.append(deeper)
+    order = np.argsort(ranks[-1], kind="stable")
+    same = np.zeros(n, np.int64)  # rows from each on that equal those of the one before
     if n > 1:
-        sorted_ = strings[order]
-        differs = sorted_[1:] != sorted_[:-1]
-        common[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
-    return order, common
+        a, b = order[:-1], order[1:]
+        m = np.zeros(n - 1, np.int64)
+        for k in range(len(ranks) - 1, -1, -1):
+            x, y = a + m, b + m
+            both = (x <= last[a]) & (y <= last[b])
+            m += np.where(both & (ranks[k][np.minimum(x, n - 1)] == ranks[k][np.minimum(y, n - 1)]), 1 << k, 0)
+        same[1:] = m
+    return order, np.where(same > 0, same + width - 1, 0)
 
 
 def prefix_intervals(common: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Nodes ``(depth, first, last)`` of the common-prefix interval tree of at least ``least``, by a stack scan."""
+    deep = common >= least
+    at = np.flatnonzero(deep | np.append(deep[1:], False))  # all others are alone
     out: list[tuple[int, int, int]] = []
     stack: list[tuple[int, int]] = []  # depth and left end of the open intervals
-    values = common.tolist()
-    for i in range(1, len(values) + 1):
-        depth = values[i] if i < len(values) else -1
+    values, places = np.append(np.where(deep, common, 0)[at], -1).tolist(), at.tolist()
+    for i in range(1, len(values)):
+        depth = values[i]
         left = i - 1
         while stack and stack[-1][0] > depth:
             d, left = stack.pop()
-            out.append((d, left, i - 1))
+            out.append((d, places[left], places[i - 1]))
         if depth >= least and (not stack or stack[-1][0] < depth):
             stack.append((depth, left))
     return out
 
 
-def repeat_groups(strings: np.ndarray, before: np.ndarray, least: int) -> list[tuple[np.ndarray, bool]]:
-    """Groups of all occurrences (rows) of each string that repeats; whether it is a maximal repeat, that is, its left extensions differ.
+def repeat_groups(strings: np.ndarray, before: np.ndarray, last: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Maximal repeats of at least a row's width: all occurrences (rows) of each string whose left extensions differ, and its length.
 
-    ``before`` has the byte before each row, or -1 where a text begins (which differs from everything).
+    ``before`` has the byte before each row, or -1 where that isn't known (which differs from everything).
     """
-    order, common = suffix_array(strings)
-    groups = []
-    for _, a, b in prefix_intervals(common, least):
-        rows = order[a : b + 1]
-        left = before[rows]
-        groups.append((rows, bool((left == -1).any() or (left != left[0]).any())))
-    return groups
-
-
-def _marked(order_keys: tuple[np.ndarray, ...], strings: np.ndarray, width: int) -> np.ndarray:
-    """Which rows aren't the earliest of their group."""
-    order, common = suffix_array(strings)
-    marks = np.zeros(len(strings), bool)
-    rank = np.empty(len(strings), np.int64)
-    rank[np.lexsort(order_keys[::-1])] = np.arange(len(strings))
-    for _, a, b in prefix_intervals(common, width):
-        rows = order[a : b + 1]
-        marks[rows] = True
-        marks[rows[np.argmin(rank[rows])]] = False
-    return marks
-
-
-def _covered(owner: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marked strings as merged runs of bytes: owner, start, end."""
+    order, common = suffix_array(strings, last)
+    nodes = prefix_intervals(common, strings.shape[1])
+    if not nodes:
+        return []
+    depth, first, end = np.array(nodes).T
+    left = before[order]
+    differs = np.zeros(len(order), np.int64)
+    differs[1:] = left[1:] != left[:-1]
+    changes, unknown = np.cumsum(differs), np.concatenate([[0], np.cumsum(left == -1)])
+    maximal = (changes[end] > changes[first]) | (unknown[end + 1] > unknown[first])
+    return [(order[a : b + 1], d) for d, a, b in zip(depth[maximal].tolist(), first[maximal].tolist(), end[maximal].tolist())]
+
+
+def _later(order_keys: tuple[np.ndarray, ...], groups: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that aren't the earliest of their group, and their groups' lengths."""
+    n = len(order_keys[0])
+    rank = np.empty(n, np.int64)
+    rank[np.lexsort(order_keys[::-1])] = np.arange(n)
+    length = np.zeros(n, np.int64)
+    for rows, depth in groups:
+        earliest = rows[np.argmin(rank[rows])]
+        kept = length[earliest]
+        length[rows] = np.maximum(length[rows], depth)
+        length[earliest] = kept
+    at = np.flatnonzero(length)
+    return at, length[at]
+
+
+def _covered(owner: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes from ``start`` on as merged runs: owner, start, end."""
     order = np.lexsort((start, owner))
     owner, start = owner[order], start[order]
+    end = start + (length[order] if isinstance(length, np.ndarray) else length)
+    other = np.ones(len(start), bool)
+    other[1:] = owner[1:] != owner[:-1]
+    far = np.int64(1) << 40  # beyond any text's end
+    base = np.cumsum(other) * far
+    reach = np.maximum.accumulate(end + base)
     fresh = np.ones(len(start), bool)
-    fresh[1:] = (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + width)
+    fresh[1:] = (start + base)[1:] > reach[:-1]
     a = np.flatnonzero(fresh)
     b = np.append(a[1:], len(start)) - 1
-    return owner[a], start[a], start[b] + width
+    return owner[a], start[a], (reach - base)[b]
 
 
 _RUNS = ["class", "start", "end"]
@@ -409,9 +455,12 @@ def removed_runs(texts: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
         at = np.repeat(begins, count) + step
         place = np.array([p for _, _, p in group], np.int64)
         first, owner, start = np.repeat(place[:, 0], count), np.repeat(place[:, 1], count), np.repeat(place[:, 2], count) + step
-        marks = _marked((first, owner, start), np.lib.stride_tricks.sliding_window_view(data, width)[at], width)
-        if marks.any():
-            yield _runs(*_covered(owner[marks], start[marks], width))
+        before = np.where(step > 0, data[np.maximum(at - 1, 0)].astype(np.int64), -1)
+        last = np.repeat(np.cumsum(count) - 1, count)
+        groups = repeat_groups(np.lib.stride_tricks.sliding_window_view(data, width)[at], before, last)
+        if groups:
+            rows, length = _later((first, owner, start), groups)
+            yield _runs(*_covered(owner[rows], start[rows], length))
 
     bounded_batches(texts.sparkSession)
     sent = texts.select("class", "first", "text", "found").mapInArrow(send, "part int, bytes binary")
