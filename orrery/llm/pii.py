@@ -8,7 +8,8 @@ Kinds, in the order of the digests: ``email``, ``ip``, ``card``, ``phone`` (the
 base kinds, leftmost and non-overlapping per kind, failing matches dropped),
 then the added kinds ``account`` (a cued IBAN, social-security or account
 number) and ``url`` (a URL that carries user:password).  Spans are code-point
-offsets, end exclusive.  Null and empty texts have no spans.
+offsets, end exclusive.  Null and empty texts have no spans; rows that repeat are searched each on their own;
+other columns of the table are kept by ``redact`` and not carried by ``spans``.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ one table lookup per term over whole batches.
 
 Training is on a bounded sample (``max_rows`` labelled rows, the first by a hash
 of the id), so the driver holds that many feature rows at most; scoring covers
-every row.  Null and empty texts have the features of the empty text.  Ids,
+every row.  Null and empty texts have the features of the empty text; rows that repeat get equal scores; a tie in
+the sample's hash goes to the smaller id, then label; without labels every score is 0.5.  Ids,
 languages, sources and labels are never inputs of a score.
 """
 
@@ -227,9 +228,10 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "qualit
 
 
 def with_score(df: DataFrame, model: Gam, text: str = "text", name: str = "score") -> DataFrame:
-    """All rows and columns of ``df`` and the score; one map, no shuffle."""
+    """All rows and columns of ``df`` and the score, in place of a column of that name; one map, no shuffle."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
+    df = df.drop(name)
     bounded_batches(df.sparkSession)
 
     def run(batches):
