@@ -57,10 +57,7 @@ def bleu(prediction: str, reference: str, order: int = 4) -> float:
 
 
 def _f1(hit: int, predicted: int, wanted: int) -> float:
-    if not hit:
-        return 0.0
-    precision, recall = hit / predicted, hit / wanted
-    return 2 * precision * recall / (precision + recall)
+    return 2 * hit / (predicted + wanted) if hit else 0.0
 
 
 def rouge_2(prediction: str, reference: str) -> float:
