@@ -17,7 +17,8 @@ member that meets most others and hasn't been drawn before;
 each member is assigned to the pivot that it shares most regions with and held
 against it.  Links merge components, regions whose members are in one component are
 closed, and the others draw again, as long as a round closes a tenth of what is
-open.  What is then left is joined pair by pair across components.  Nothing is capped.
+open.  What is then left is joined pair by pair across components, where the parities of
+both sets leave a link possible.  Nothing is capped.
 
 The order puts shingles that several texts share last, each part by hash.  All
 shingles are counted, exactly; the shared ones are marked in a filter of fixed size, whose
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,8 @@ SHARED = 3
 FREQUENT = 2
 #: Bits of the filters of frequent shingles and of wanted classes (8 MB); one that fills up only filters less.
 FILTER_BITS, FILTER_BLOCKS = 26, 64
+#: Words of parities by which pairs are told apart before their sets are fetched.
+PARITY_WORDS = 16
 #: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 24 bytes).
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
 #: Regions draw another pivot while a round leaves at most this share of the entries open.
@@ -288,24 +292,31 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
     return written(sent.repartition(parts, "part").mapInArrow(meet, "seed long, class long, n long, pos long"))
 
 
+def parities(s: np.ndarray) -> list[int]:
+    """For each of ``64 * PARITY_WORDS`` low parts of hashes whether an odd number of shingles have it, as signed words."""
+    odd = np.bincount((s & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``class, shingles binary`` of the ``wanted`` classes, one row each."""
+    """``class, shingles binary, odd array<long>`` (their parities) of the ``wanted`` classes, one row each."""
     held = docs.sparkSession.sparkContext.broadcast(_filter(wanted.select(F.col("class").alias("key"))))  # FILTER_BITS fix its size
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            classes, blobs = [], []
+            classes, blobs, odd = [], [], []
             for t in batch.column("text"):
                 s = shingles(t.as_py())
                 if len(s) and (c := class_of(s)) not in seen and _marked(held.value, np.array([c]))[0]:
                     seen.add(c)
                     classes.append(c)
                     blobs.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(blobs, pa.binary())], names=["class", "shingles"])
+                    odd.append(parities(s))
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(blobs, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], names=["class", "shingles", "odd"])
 
-    found = docs.select("text").mapInArrow(find, "class long, shingles binary")
-    return written(found.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles")))
+    found = docs.select("text").mapInArrow(find, "class long, shingles binary, odd array<long>")
+    return written(found.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles"), F.first("odd").alias("odd")))
 
 
 def measured(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
@@ -359,6 +370,12 @@ def _may_be_first(per_cent: int) -> Column:
     return (100 + per_cent) * F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= per_cent * (F.col("na") + F.col("nb"))
 
 
+def _few_differ(per_cent: int) -> Column:
+    """Whether the parities leave it possible: two sets differ in as many shingles, at least, as their parities do."""
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.get("oa", F.lit(k)).bitwiseXOR(F.get("ob", F.lit(k)))) for k in range(PARITY_WORDS)])
+    return (100 + per_cent) * (F.col("na") + F.col("nb") - differ) >= 2 * per_cent * (F.col("na") + F.col("nb"))
+
+
 def _open(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     """``entries`` with their components by the links found, of the regions that hold several."""
     if found is None:
@@ -406,9 +423,9 @@ def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> Dat
     if not left:
         return found
     # what the pivots have left in several components is joined pair by pair across those
-    x = open_.select("seed", F.col("class").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("component").alias("ca"))
-    y = open_.select("seed", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("component").alias("cb"))
-    rest = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike(per_cent) & _may_be_first(per_cent))
+    rows = open_.join(known.select("class", "odd"), "class")
+    x, y = (rows.select("seed", *[F.col(c).alias(k + side) for c, k in (("class", ""), ("n", "n"), ("pos", "i"), ("component", "c"), ("odd", "o"))]) for side in "ab")
+    rest = x.join(y, "seed").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike(per_cent) & _may_be_first(per_cent) & _few_differ(per_cent))
     pairs = written(rest.select("a", "b").distinct())
     discarded(open_)
     found = found.union(written(measured(pairs, known, per_cent)))
