@@ -8,21 +8,16 @@ entry whose pair has changed since it was queued is stale and is skipped.
 Within a bucket the leftmost position comes first, as byte-pair merging by
 ranks prescribes.
 
-Words are remembered with their ids, the text of those and the bytes that they
-decode to, so both digests of a text are joined from its words' entries.
-
-Nulls encode as the empty text; every text is encoded whole; rows that repeat or tie are encoded each on
-their own; an empty table gives an empty result.
+Nulls encode as the empty text; every text is encoded whole; rows that repeat are encoded
+each on their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterable
 from heapq import heappop, heappush
 from itertools import chain
-from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -30,36 +25,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, keyed_text, map_arrow
 
-#: Entries kept in a worker's memo before it starts a new generation; longer words aren't kept.
-MEMO, LONGEST = 200_000, 64
+#: Entries kept in a worker's memo before it starts a new generation.
+MEMO = 250_000
 _TWO_SPACES = regex.compile(r"[\s\x1c-\x1f]{2}")
 
-#: What is known of a piece or word: its ids, their text, and the bytes that they decode to.
-Entry = tuple[tuple[int, ...], str, bytes]
-_IDS, _TEXT, _BYTES = itemgetter(0), itemgetter(1), itemgetter(2)
-
 
 class Memo:
-    """Entries by word in two generations: what is still in use outlives a turnover."""
+    """Piece to ids in two generations: what is still in use outlives a turnover."""
 
-    def __init__(self, make: Callable[[str], Entry], size: int = MEMO):
-        self.make, self.size = make, size
-        self.young: dict[str, Entry] = {}
-        self.old: dict[str, Entry] = {}
+    def __init__(self, size: int = MEMO):
+        self.size = size
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
-    def missing(self, word: str) -> Entry:
-        entry = self.young.get(word) or self.old.get(word) or self.make(word)
-        if len(word) <= LONGEST:
-            if len(self.young) >= self.size:
-                self.old, self.young = self.young, {}
-            self.young[word] = entry
-        return entry
-
-    def all(self, words: list[str]) -> list[Entry]:
-        found = list(map(self.young.get, words))
-        if None in found:
-            found = [self.missing(words[i]) if entry is None else entry for i, entry in enumerate(found)]
-        return found
+    def put(self, key: str, ids: tuple[int, ...]) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = ids
 
 
 class RankQueue:
@@ -124,9 +106,8 @@ class Codec:
         self.names = {v: k for k, v in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(self.n_ranks)
-        self.pieces = Memo(lambda piece: self._entry(self.merge(piece.encode())))
-        self.heads = Memo(lambda word: self._joined(word))
-        self.words = Memo(lambda word: self._joined(" " + word))
+        self.pieces, self.words = Memo(), Memo()
+        self.text_of = {i: str(i) for i in self.names}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one piece, by repeated merging of its lowest-ranked pair."""
@@ -170,37 +151,43 @@ class Codec:
             i = j
         return tuple(ids)
 
-    def _entry(self, ids: tuple[int, ...]) -> Entry:
-        return ids, ",".join(map(str, ids)), self.decode(ids)
-
-    def _joined(self, text: str) -> Entry:
-        return self._entry(tuple(chain.from_iterable(map(_IDS, self.pieces.all(self.pattern.findall(text))))))
+    def _pieces(self, text: str) -> list[int]:
+        memo, out = self.pieces, []
+        young, old = memo.young.get, memo.old.get
+        for piece in self.pattern.findall(text):
+            ids = young(piece)
+            if ids is None:
+                ids = old(piece) or self.merge(piece.encode())
+                if len(piece) <= 64:
+                    memo.put(piece, ids)
+                    young, old = memo.young.get, memo.old.get
+            out.extend(ids)
+        return out
 
-    def entries(self, text: str, spaced: bool = True) -> list[Entry]:
-        """Entries of a whole text, in order.
+    def encode(self, text: str, spaced: bool = True) -> list[int]:
+        """Ids of a whole text.
 
         ``spaced`` tells that the pattern always starts a new piece at a
-        single space or line break between two other characters, as the public patterns do;
+        single space between two other characters, as the public patterns do;
         then words are memoised whole.
         """
         if not spaced or _TWO_SPACES.search(text):
-            return self.pieces.all(self.pattern.findall(text))
-        out: list[Entry] = []
-        lines = text.split("\n")
-        for i, line in enumerate(lines):
-            if i:
-                out += self.pieces.all(["\n"])
-            head, *rest = line.split(" ")
-            if head:
-                out += self.heads.all([head])
-            out += self.words.all(rest)
+            return self._pieces(text)
+        head, *rest = text.split(" ")
+        memo = self.words
+        out = self._pieces(head)
+        parts = list(map(memo.young.get, rest))
+        if None in parts:
+            for i, ids in enumerate(parts):
+                if ids is None:
+                    word = rest[i]
+                    parts[i] = ids = memo.old.get(word) or tuple(self._pieces(" " + word))
+                    if len(word) <= 64:
+                        memo.put(word, ids)
+        out.extend(chain.from_iterable(parts))
         return out
 
-    def encode(self, text: str, spaced: bool = True) -> list[int]:
-        """Ids of a whole text."""
-        return list(chain.from_iterable(map(_IDS, self.entries(text, spaced))))
-
-    def decode(self, ids: Iterable[int]) -> bytes:
+    def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.names.__getitem__, ids))
 
 
@@ -242,16 +229,16 @@ def decode(df: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def digest(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode, then decode the ids, and keep digests of both; other columns of ``df`` aren't carried."""
+    """Encode, then decode the ids, and keep digests of both."""
 
     def rows(batch: pa.RecordBatch) -> dict[str, list]:
         c = codec(path, pattern)
         counts, ids_sha, bytes_sha = [], [], []
-        for text in batch.column("text").to_pylist():
-            entries = c.entries(text)
-            counts.append(sum(map(len, map(_IDS, entries))))
-            ids_sha.append(hashlib.sha256(",".join(map(_TEXT, entries)).encode()).hexdigest())
-            bytes_sha.append(hashlib.sha256(b"".join(map(_BYTES, entries))).hexdigest())
+        for value in batch.column("text"):
+            ids = c.encode(value.as_py())
+            counts.append(len(ids))
+            ids_sha.append(hashlib.sha256(",".join(map(c.text_of.__getitem__, ids)).encode()).hexdigest())
+            bytes_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
         return {"doc_id": batch.column("doc_id"), "n_tokens": counts, "ids_sha256": ids_sha, "decoded_sha256": bytes_sha}
 
     return map_arrow(df, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
