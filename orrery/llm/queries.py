@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .byte_bpe import op2_byte_bpe
+from .collocations import ORACLE as PHRASE_ORACLE
+from .collocations import op12_phrases
 from .iblt import op4_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .line_dedup import ORACLE as LINE_ORACLE
@@ -25,7 +27,8 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
+    "op12_phrases": op12_phrases,
 }
 
 #: SQL that returns the same rows, for the operators that SQL can express.
-ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE}
+ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE, "op12_phrases": PHRASE_ORACLE}
