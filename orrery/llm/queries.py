@@ -9,6 +9,8 @@ from .iblt import op4_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .line_dedup import ORACLE as LINE_ORACLE
 from .line_dedup import op8_line_dedup
+from .link_trust import ORACLE as TRUST_ORACLE
+from .link_trust import op13_link_trust
 from .maxent_lm import op1_maxent_lm
 from .media import op5_media_archives
 from .packing import op10_packing
@@ -28,7 +30,8 @@ QUERIES = {
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
     "op12_phrases": op12_phrases,
+    "op13_link_trust": op13_link_trust,
 }
 
 #: SQL that returns the same rows, for the operators that SQL can express.
-ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE, "op12_phrases": PHRASE_ORACLE}
+ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE, "op12_phrases": PHRASE_ORACLE, "op13_link_trust": TRUST_ORACLE}
