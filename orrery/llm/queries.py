@@ -5,6 +5,8 @@ from __future__ import annotations
 from .byte_bpe import op2_byte_bpe
 from .collocations import ORACLE as PHRASE_ORACLE
 from .collocations import op12_phrases
+from .conversation_trie import ORACLE as TRIE_ORACLE
+from .conversation_trie import op11_conversation_trie
 from .iblt import op4_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .line_dedup import ORACLE as LINE_ORACLE
@@ -29,9 +31,10 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_gam": op9_quality_gam,
     "op10_packing": op10_packing,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_phrases": op12_phrases,
     "op13_link_trust": op13_link_trust,
 }
 
 #: SQL that returns the same rows, for the operators that SQL can express.
-ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE, "op12_phrases": PHRASE_ORACLE, "op13_link_trust": TRUST_ORACLE}
+ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE, "op11_conversation_trie": TRIE_ORACLE, "op12_phrases": PHRASE_ORACLE, "op13_link_trust": TRUST_ORACLE}
