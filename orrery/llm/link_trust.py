@@ -33,7 +33,7 @@ from .common import discarded, table, written
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING, ROUNDS, THRESHOLD = 0.85, 20, 0.5
 #: Host of a link to elsewhere; ``[^<>]`` ends a broken tag at the next one.
-HREF_HOST = r"""(?i)<a\s[^<>]*?\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
+HREF_HOST = r"""(?i)<a\s(?:[^<>]*?\s)?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 Rule = tuple[str, str, str]
@@ -136,7 +136,7 @@ j as (
 v as (select *, case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block' end told from j),
 e as (
   select distinct host a, b from (
-    select host, translate(unnest(regexp_extract_all(html, '(?i)<a\s[^<>]*?\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') b from v)
+    select host, translate(unnest(regexp_extract_all(html, '(?i)<a\s(?:[^<>]*?\s)?href\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') b from v)
   where host <> '' and host <> b),
 shares as (
   select 'trust' kind, a source, b target, 1.0::double / count(*) over (partition by a) share from e union all
