@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 QUARTILES = ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
 
 
@@ -45,10 +47,12 @@ def last_per_key(df: DataFrame, key: str, position: str) -> DataFrame:
 
 def described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``metric, n, mean, std, min, q25, q50, q75, max`` of each column; exact, linearly interpolated quartiles."""
-    quartiles = F.array(*[F.lit(q) for q, _ in QUARTILES])
-    totals = df.agg(*[x for i, c in enumerate(columns) for x in (F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(f"s{i}"), F.percentile(c, quartiles).alias(f"q{i}"))])
-    rows = [F.struct(F.lit(c).alias("metric"), *[F.col(f"s{i}.{k}").alias(k) for k in ("n", "mean", "std", "min")], *[F.get(f"q{i}", F.lit(k)).alias(n) for k, (_, n) in enumerate(QUARTILES)], F.col(f"s{i}.max").alias("max")) for i, c in enumerate(columns)]
-    return totals.select(F.inline(F.array(*rows)))
+    totals = df.agg(*[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(f"s{i}") for i, c in enumerate(columns)])
+    rows = [F.struct(F.lit(c).alias("metric"), *[F.col(f"s{i}.{k}").alias(k) for k in ("n", "mean", "std", "min", "max")]) for i, c in enumerate(columns)]
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns])))
+    quartiles = exact_quantiles(values, ["metric"], "value", [q for q, _ in QUARTILES], "_q")
+    both = totals.select(F.inline(F.array(*rows))).join(quartiles, "metric", "left")
+    return both.select("metric", "n", "mean", "std", "min", *[F.get("_q", F.lit(i)).alias(n) for i, (_, n) in enumerate(QUARTILES)], "max")
 
 
 def described_frame(df: DataFrame) -> DataFrame:
@@ -134,7 +138,7 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 
 def box(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles and whiskers (the furthest values within 1.5 ranges of the quartiles) of each group."""
-    q = df.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(p) for p, _ in QUARTILES])).alias("_q"))
+    q = exact_quantiles(df, by, value, [p for p, _ in QUARTILES], "_q")
     q = q.select(*by, *[F.get("_q", F.lit(i)).alias(n) for i, (_, n) in enumerate(QUARTILES)])
     inside = (F.col(value) >= F.col("q25") - 1.5 * (F.col("q75") - F.col("q25"))) & (F.col(value) <= F.col("q75") + 1.5 * (F.col("q75") - F.col("q25")))
     return df.join(q, list(by)).where(inside).groupBy(*by, "q25", "q50", "q75").agg(F.min(value).alias("low"), F.max(value).alias("high"))

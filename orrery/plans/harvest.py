@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import extract, links
+from ..operators import crawl, extract, links
+from ..sources import shared
 from .catalog import load, query
 
 HREFS = r'(?is)<a\s[^>]*?href="([^"]*)"'
@@ -143,3 +144,72 @@ def abstract_enrich(spark, sf_dir):
     articles = load(spark, sf_dir, "documents").select(name.alias("filename"))
     labels = load(spark, sf_dir, "labels").select(F.concat(name, F.lit(".xml")).alias("filename"), F.concat(F.lit("q"), "quality", F.lit("t"), "toxic").alias("abstract"), F.lit(0).alias("pos"))
     return extract.with_abstracts(articles, labels)
+
+
+#: Anchors of the ``pages`` table as links of a site that has one address per page.
+SITE_SQL = LINKS_SQL + """, n as (select max(page_id) + 1 n from pages),
+site as (select page_id, pos, cast((page_id * 3 + pos * 7 + length(url)) % n as bigint) target from links cross join n),
+"""
+
+
+def _site(spark, sf_dir):
+    """The pages table as a site: each page's anchors point to pages that follow from their place and length."""
+    p = load(spark, sf_dir, "pages")
+    n = p.agg((F.max("page_id") + 1).alias("n"))
+    found = links.hrefs(p, exclude_images=False).crossJoin(F.broadcast(n))  # one row
+    at = lambda k: F.concat(F.lit("https://site.example.org/p/"), k.cast("string"))
+    each = found.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("pos", ((F.col("page_id") * 3 + F.col("pos") * 7 + F.length("url")) % F.col("n")).alias("target")))).alias("l"))
+    html = F.concat(F.lit("<html><body>"), F.array_join(F.transform("l", lambda x: F.concat(F.lit('<p><a class="x" href="'), at(x["target"]), F.lit('">go</a><img src="a.png">'))), ""), F.lit("</body></html>"))
+    return p.select("page_id").join(each, "page_id", "left").select(at(F.col("page_id")).alias("url"), F.coalesce(html, F.lit("<html></html>")).alias("html"))
+
+
+@query(SITE_SQL.replace("with found", "with recursive found", 1) + """w as (
+  select page_id, 0 as level from pages where page_id % 100 = 7 union
+  select target, level + 1 from w join site using (page_id) where level < 4),
+s as (select page_id, min(level)::int as level from w group by page_id),
+k as (select page_id, count(*) n from site group by page_id)
+select 'https://site.example.org/p/' || page_id url, level, coalesce(n, 0)::int n_links from s left join k using (page_id)""")
+def crawl_levels(spark, sf_dir):
+    """Four steps from every hundredth page; each page at the first level that reaches it."""
+    site = _site(spark, sf_dir)
+    roots = load(spark, sf_dir, "pages").where("page_id % 100 = 7").select(F.concat(F.lit("https://site.example.org/p/"), F.col("page_id").cast("string")).alias("url"))
+    folder = shared.shared_folder(spark, "walk")
+    known = shared.written(site, "site")
+    n = crawl.walked(roots, crawl.from_table(known), [crawl.Level()] * 4, folder)
+    shared.discarded(known)
+    return crawl.seen(spark, folder, n).select("url", "level", F.size("links").alias("n_links"))
+
+
+PRESS = "https://www.example.org/press/"
+
+
+def _press(spark, sf_dir):
+    """A publisher's site from the pages table: front pages of 50 journals, journals of 50 issues, an issue's articles from a page's anchors."""
+    k = F.col("page_id")
+    whole = lambda n: F.floor(k / n).cast("string")
+    journal = F.concat(F.lit("https://j"), whole(50), F.lit(".example.org"))
+    issue = F.concat(journal, F.lit("/articles/issue"), k.cast("string"), F.lit(".html"))
+    front = F.concat(F.lit(PRESS), whole(2500))
+    p = load(spark, sf_dir, "pages").select("page_id", journal.alias("journal"), issue.alias("issue"), front.alias("front"))
+    a = lambda url: F.concat(F.lit('<a href="'), url, F.lit('">x</a>'))
+    page = lambda urls: F.concat(F.lit('<html><a href="/about">a</a><a href="javascript:void(0)">b</a><a href="https://www.j1.example.org">c</a>'), F.array_join(F.transform(F.sort_array(urls), a), " "), F.lit("</html>"))
+    fronts = p.select("front", "journal").distinct().groupBy("front").agg(F.collect_list("journal").alias("l")).select(F.col("front").alias("url"), page(F.col("l")).alias("html"))
+    lists = p.groupBy("journal").agg(F.collect_list("issue").alias("l")).select(F.concat("journal", F.lit("/articles/")).alias("url"), page(F.concat("l", F.transform("l", lambda x: F.concat(x, F.lit(".pdf"))))).alias("html"))
+    found = links.hrefs(load(spark, sf_dir, "pages"), exclude_images=False).groupBy("page_id").agg(F.collect_list(F.struct("pos", F.length("url").alias("n"))).alias("l"))
+    url = lambda x: F.concat(F.col("journal"), F.lit("/articles/"), x["n"].cast("string"), F.lit("/"), x["pos"].cast("string"), F.lit("/"), (1990 + k % 10).cast("string"), F.lit("/"))
+    issues = p.join(found, "page_id").select(F.col("issue").alias("url"), page(F.transform("l", url)).alias("html"))
+    return fronts.unionByName(lists).unionByName(issues), fronts.select("url")
+
+
+@query(LINKS_SQL + """, a as (
+  select 'j' || (page_id // 50) journal, 'https://j' || (page_id // 50) || '.example.org/articles/' i, page_id, pos, length(url) n from links)
+select journal, i || 'issue' || page_id || '.html' issue, i || n || '/' || pos || '/' || (1990 + page_id % 10) || '/' url, cast(1990 + page_id % 10 as int) as year from a""")
+def crawl_articles(spark, sf_dir):
+    """The walk from front pages over journals and issues to articles."""
+    site, roots = _press(spark, sf_dir)
+    folder = shared.shared_folder(spark, "walk")
+    known = shared.written(site, "site")
+    crawl.walked(roots, crawl.from_table(known), crawl.journal_levels(".example.org"), folder)
+    shared.discarded(known)
+    found = crawl.article_links(spark, folder, roots, ".example.org")
+    return found.select("journal", "issue", "url", T.year(F.col("url")).alias("year"))
