@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, discarded, table, written
 
 LEAST, WORDS, TOP, HELD = 100, 5, 2000, 100
-#: Positions of a block; rows of an Arrow batch that leaves a task.
-BLOCK, ROWS = 1 << 20, 1 << 16
+#: Positions of a block; rows of an Arrow batch that leaves a task; names that are broadcast, after a count, when there are no more.
+BLOCK, ROWS, FEW = 1 << 22, 1 << 16, 1 << 18
 #: Bytes of a text that are split at once.
 CHUNK = 1 << 20
 
@@ -101,6 +101,7 @@ def _rows(block: int, lang: str, seq: np.ndarray, counts: np.ndarray, keys: dict
     k = len(counts)
     head = {"block": pa.array([block]), "lang": pa.array([lang]), "at": pa.array([-1], pa.int32()), "n": pa.array([0]), "seq": pa.array([zlib.compress(seq.astype("<i4").tobytes(), 1)], pa.binary())}
     body = {"block": pa.array(np.full(k, block)), "lang": pa.array([lang] * k, pa.string()), "at": pa.array(np.arange(k, dtype=np.int32)), "n": pa.array(counts.astype(np.int64)), "seq": pa.nulls(k, pa.binary())}
+    body["lang"] = body["lang"] if "word" in keys else pa.nulls(k, pa.string())  # pairs are told apart by their parents
     return _sliced(head | {n: pa.nulls(1, a.type) for n, a in keys.items()}, schema) + _sliced(body | keys, schema)
 
 
@@ -169,15 +170,15 @@ def _longer(group: pa.Table, schema: pa.Schema) -> pa.Table:
 
 
 def _named(grams: DataFrame, key: list[str], least: int) -> DataFrame:
-    """``id, lang, <key>, a`` of the k-grams that the language has often enough."""
-    counted = grams.where("at >= 0").groupBy("lang", *key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    """``id, <key>, a`` of the k-grams that their language (in the key, or told by the parents) has often enough."""
+    counted = grams.where("at >= 0").groupBy(*key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     return written(counted.withColumn("id", F.monotonically_increasing_id()), "names")
 
 
 def _paired(grams: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
     """The blocks one level up."""
-    own = names.select("lang", *key, "id")
-    found = grams.where("at >= 0").select("block", "lang", "at", *key).join(own, ["lang", *key])
+    own = names.select(*key, "id")
+    found = grams.where("at >= 0").select("block", "at", *key).join(F.broadcast(own) if own.limit(FEW + 1).count() <= FEW else own, key)
     heads = grams.where("at < 0").select("block", "lang", "at", "seq", F.lit(None).cast("long").alias("id"))
     both = heads.unionByName(found.select("block", F.lit(None).cast("string").alias("lang"), "at", F.lit(None).cast("binary").alias("seq"), "id"))
     schema = _arrow(PAIR_SCHEMA)
@@ -186,7 +187,7 @@ def _paired(grams: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
 
 def _described(names: DataFrame, before: DataFrame) -> DataFrame:
     """Phrases with the counts of their first and last 1, 2, ... words, through the parent pointers."""
-    first = before.select(F.col("id").alias("left"), F.col("phrase").alias("_phrase"), F.col("firsts").alias("_firsts"))
+    first = before.select("lang", F.col("id").alias("left"), F.col("phrase").alias("_phrase"), F.col("firsts").alias("_firsts"))
     last = before.select(F.col("id").alias("right"), F.col("last"), F.col("lasts").alias("_lasts"))
     joined = names.join(first, "left").join(last, "right")
     more = lambda c: F.concat(c, F.array("a"))
@@ -217,7 +218,7 @@ def phrases(docs: DataFrame, least: int = LEAST, words: int = WORDS, held: int =
     grams = written(words_of(docs), "words")
     totals = grams.where("at >= 0").groupBy("lang").agg(F.sum("n").alias("n"))
     sizes = written(totals, "sizes")
-    key, infos = ["word"], []
+    key, infos = ["lang", "word"], []
     names = _named(grams, key, least)
     infos.append(written(names.select("id", "lang", "a", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("a").alias("firsts"), F.array("a").alias("lasts")), "phrases"))
     for _ in range(2, words + 1):
