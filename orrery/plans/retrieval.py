@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics
-from ..operators import dataset, qa, report, retrieve
+from ..operators import dataset, qa, report, retrieve, vector_index
 from ..operators.providers import StubEmbedder
+from ..sources import shared
 from .catalog import load, query
 
 KNN_SQL = """
@@ -28,6 +29,16 @@ def knn_top6(spark, sf_dir):
     return _knn(spark, sf_dir).select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
 
 
+@query(KNN_SQL + "select query_id, cast(rank as int) as rank, id, round(distance, 6) distance from r where rank <= 6")
+def knn_indexed(spark, sf_dir):
+    """The same neighbours from an index of cells, read where the triangle inequality leaves a chance."""
+    e = load(spark, sf_dir, "embeddings")
+    folder = shared.shared_folder(spark, "index")
+    vector_index.build(e.withColumnRenamed("vec_id", "id"), folder)
+    found = vector_index.search(spark, folder, e.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"))
+    return found.select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
+
+
 @query(KNN_SQL + "select query_id, string_agg(coalesce(text, ''), chr(10) || chr(10) order by rank) context from r join documents on doc_id = id where rank <= 6 group by query_id")
 def context_concat(spark, sf_dir):
     """The nearest rows' texts in order."""
@@ -52,9 +63,10 @@ def retrieve_contexts(spark, sf_dir):
     stub = StubEmbedder()
     chunks = retrieve.chunked(load(spark, sf_dir, "documents")).withColumn("id", F.shiftleft("doc_id", 24) + F.col("chunk_index"))  # a text has fewer chunks than that
     turns = load(spark, sf_dir, "conversations").where("role = 'user' and text <> ''").select((F.shiftleft("conv_id", 24) + F.col("turn")).alias("query_id"), "text")
-    base = retrieve.embedded(chunks.select("id", "chunk"), "chunk", stub).select("id", "embedding")
-    found = retrieve.nearest(base, retrieve.embedded(turns, "text", stub).select("query_id", "embedding"))
-    return retrieve.contexts(found, chunks.select("id", F.col("chunk").alias("text")))
+    base = shared.written(retrieve.embedded(chunks.select("id", "chunk"), "chunk", stub), "chunks")
+    asked = shared.written(retrieve.embedded(turns, "text", stub).select("query_id", "embedding"), "questions")
+    found = retrieve.nearest(base.select("id", "embedding"), asked)
+    return retrieve.contexts(found, base.select("id", F.col("chunk").alias("text")))
 
 
 @query(r"""
@@ -157,21 +169,13 @@ s as (select conv_id, turn, sum(least(a, b)) hit, sum(a) a, sum(b) b from c grou
 select conv_id, turn, case when coalesce(hit, 0) = 0 then 0.0::double else round(2.0 * hit / (a + b), 6)::double end rouge2 from t left join s using (conv_id, turn)"""
 
 
-def _metric(name):
-    from pyspark.sql.functions import pandas_udf
-
-    f = getattr(metrics, name)
-
-    @pandas_udf("double")
-    def score(p, r):
-        return p.combine(r, lambda x, y: round(f(x or "", y or ""), 6))
-
-    return score
+def _scored(spark, sf_dir, metric, name):
+    return _pairs(spark, sf_dir).select("conv_id", "turn", F.round(metric(F.col("question"), F.col("answer")), 6).alias(name))
 
 
 @query(ROUGE_SQL)
 def rouge2(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("conv_id", "turn", _metric("rouge_2")("question", "answer").alias("rouge2"))
+    return _scored(spark, sf_dir, metrics.rouge_2, "rouge2")
 
 
 ROUGE_L_SQL = PAIRS_SQL.replace("with pairs", "with recursive pairs") + """, t as (select conv_id, turn, list_filter(regexp_split_to_array(lower(question), '[^a-z0-9]+'), lambda x: x <> '') p, list_filter(regexp_split_to_array(lower(answer), '[^a-z0-9]+'), lambda x: x <> '') r from pairs),
@@ -183,18 +187,14 @@ select conv_id, turn, case when hit = 0 then 0.0::double else round(2.0::double
 
 @query(ROUGE_L_SQL)
 def rouge_l(spark, sf_dir):
-    """By rows of the longest common subsequence's table in SQL, by bits here."""
-    return _pairs(spark, sf_dir).select("conv_id", "turn", _metric("rouge_l")("question", "answer").alias("rougeL"))
+    """By rows of the longest common subsequence's table in SQL, by a fold over words of bits here."""
+    return _scored(spark, sf_dir, metrics.rouge_l, "rougeL")
 
 
 def _tokens_13a_sql(text: str) -> str:
-    out = f"replace(replace(replace({text}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
-    for name, char in metrics.ENTITIES:
-        out = f"replace({out}, '{name}', '{char}')"
-    out = f"' ' || {out} || ' '"
-    for rule, to in metrics.RULES_13A:
-        out = f"regexp_replace({out}, '{rule.pattern}', '{to}', 'g')"
-    return rf"list_filter(regexp_split_to_array({out}, '\s+'), lambda x: x <> '')"
+    return rf"""list_filter(regexp_split_to_array(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      ' ' || replace(replace(replace(replace(replace(replace(replace({text}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' '), '&quot;', '"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>') || ' ',
+      '([\x21-\x26\x28-\x2b\x2f\x3a-\x40\x5b-\x60\x7b-\x7e])', ' \1 ', 'g'), '([^0-9])([.,])', '\1 \2 ', 'g'), '([.,])([^0-9])', ' \1 \2', 'g'), '([0-9])(-)', '\1 \2 ', 'g'), '\s+'), lambda x: x <> '')"""
 
 
 BLEU_SQL = PAIRS_SQL + f""", t as (select conv_id, turn, {_tokens_13a_sql("question")} p, {_tokens_13a_sql("answer")} r from pairs),
@@ -211,4 +211,4 @@ from t left join m using (conv_id, turn)"""
 @query(BLEU_SQL)
 def bleu(spark, sf_dir):
     """G13."""
-    return _pairs(spark, sf_dir).select("conv_id", "turn", _metric("bleu")("question", "answer").alias("bleu"))
+    return _scored(spark, sf_dir, metrics.bleu, "bleu")

@@ -1,13 +1,11 @@
 """Hand-computed cases and properties of the kernels."""
 
-import random
-
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orrery.functions import chunking, metrics, pages
+from orrery.functions import chunking, pages
 from orrery.functions import text as T
 from orrery.operators import dataset, qa, report
 from orrery.sources import files, markup
@@ -92,22 +90,6 @@ def test_tables_and_automaton():
     assert text == "We show." + body + "\n" + body
 
 
-def test_metrics():
-    assert metrics.bleu("the cat sat on the mat.", "the cat sat on the mat .") == pytest.approx(1)
-    assert metrics.bleu("the cat", "the cat sat") == 0
-    assert metrics.rouge_2("a b c", "a b d") == pytest.approx(0.5)
-    assert metrics.rouge_l("", "a") == 0
-    rng = random.Random(1)
-    for _ in range(300):
-        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(9))] for _ in range(2))
-        row = [0] * (len(b) + 1)
-        for x in a:
-            last = 0
-            for j, y in enumerate(b):
-                row[j + 1], last = (last + 1 if x == y else max(row[j + 1], row[j])), row[j + 1]
-        assert metrics.rouge_l(" ".join(a), " ".join(b)) == pytest.approx(metrics._f1(row[-1], len(a), len(b)))
-
-
 def test_markup():
     xml = b"<article><front><abstract><p>We <i>show</i> CO<sub>2</sub> rises.</p><p>no</p></abstract></front><body><sec><p>One <fig><p>gone</p></fig>tail</p><table-wrap><p>x</p></table-wrap><p>Two</p></sec></body></article>"
     assert markup.xml_abstract(xml) == "WeshowCO2rises."
