@@ -37,7 +37,7 @@ from .common import bounded_batches, discarded, table, written
 
 LEAST, WORDS, TOP, HELD = 100, 5, 2000, 100
 #: Positions of a block; rows of an Arrow batch that leaves a task; names that are broadcast, after a count, when there are no more.
-BLOCK, ROWS, FEW = 1 << 22, 1 << 16, 1 << 18
+BLOCK, ROWS, FEW = 1 << 21, 1 << 16, 1 << 18
 #: Bytes of a text that are split at once.
 CHUNK = 1 << 20
 
