@@ -1,6 +1,7 @@
 """One command per stage: ``python -m orrery STAGE --input PATH --output PATH ...``.
 
-Model-bound stages take ``--provider module:name``, a class of ``operators.providers`` (without it, a stand-in).
+Model-bound stages need ``--provider module:name``, a class of ``operators.providers``, or ``--stand-in`` for one that only looks like a model.
+Tables are Parquet; with ``--json`` the output, and an input that ends in ``.json``, is one JSON array.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from pyspark.sql import functions as F
 
 from .operators import dataset, extract, fetch, links, qa, report, retrieve
 from .operators import providers as P
-from .sources import files, markup
+from .sources import array_shards, files, json_arrays, markup
 
 Stage = Callable[[SparkSession, argparse.Namespace], DataFrame]
 
 
 def _provider(a: argparse.Namespace, stand_in: type) -> Any:
     if not a.provider:
+        if not a.stand_in:
+            raise SystemExit(f"{a.stage} needs --provider module:name, or --stand-in")
         return stand_in()
     module, _, name = a.provider.partition(":")
     return getattr(importlib.import_module(module), name)()
@@ -49,6 +52,8 @@ def articles(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def _articles(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    if a.input.endswith(".json"):
+        return json_arrays.read_json_array(spark, a.input, a.schema)
     return spark.read.parquet(a.input)
 
 
@@ -62,7 +67,7 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def merge(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """The vector and metadata shards under --input in one table."""
-    return files.merged_shards(files.read_array_shards(spark, a.input), files.read_metadata_shards(spark, a.input))
+    return files.merged_shards(array_shards.read_array_shards(spark, a.input), array_shards.read_metadata_shards(spark, a.input))
 
 
 def questions(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -120,6 +125,9 @@ def parser() -> argparse.ArgumentParser:
         own.add_argument("--input", required=True)
         own.add_argument("--output", required=True)
         own.add_argument("--provider")
+        own.add_argument("--stand-in", action="store_true", help="a deterministic stand-in for the model or the network")
+        own.add_argument("--json", action="store_true", help="write one JSON array")
+        own.add_argument("--schema", default=files.ARTICLES_QA, help="columns of a JSON input")
         own.add_argument("--existing", help="CSV of links that are known")
         own.add_argument("--index", help="folder of the index")
         own.add_argument("--model", default="model")
@@ -138,6 +146,10 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         files.write_split(found, a.output)
     elif a.stage == "ingest":
         files.write_index(found, a.output)
+    elif a.json:
+        json_arrays.write_json_array(found, f"{a.output}.parts")
+        json_arrays.merged_file(spark, f"{a.output}.parts", a.output)
+        files.removed(spark, f"{a.output}.parts", really=True)
     else:
         found.write.mode("errorifexists").parquet(a.output)
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .providers import Tokenizer
+from .report import numbered
 
 IGNORED = -100
 
@@ -49,6 +50,8 @@ def tokenised(df: DataFrame, full: str, prompt: str, tokenizer: Tokenizer, most:
     """``df`` with ``input_ids`` of the full text, cut at ``most``, their ``attention_mask`` and ``prompt_length``, the prompt's ids cut alike."""
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+    df = df.drop("input_ids", "attention_mask", "prompt_length")
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids = [tokenizer.encode(t or "")[:most] for t in pdf[full]]
@@ -89,3 +92,18 @@ def padded_length(batch_longest: Column, multiple: int = 8) -> Column:
 
 def padded(ids: Column, length: Column, with_: int) -> Column:
     return F.concat(ids, F.array_repeat(F.lit(with_), length - F.size(ids)))
+
+
+def in_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
+    """``df`` with ``batch`` (from 0) and ``place`` in it (from 0): rows of this order in batches of ``size``, but for the last.
+
+    Rows are numbered by ranges of the first column, so no task sees the whole order.
+    """
+    at = F.col("_pos") - 1
+    return numbered(df, order, "_pos").withColumns({"batch": F.floor(at / size), "place": (at % size).cast("int")}).drop("_pos")
+
+
+def padded_batches(batches: DataFrame, ids: str = "input_ids", with_: int = 0, multiple: int = 8) -> DataFrame:
+    """Rows of ``in_batches`` with their ids filled up to the batch's longest, rounded up; a task holds whole batches, not all rows."""
+    longest = F.max(F.size(ids)).over(Window.partitionBy("batch"))
+    return batches.withColumn("_length", padded_length(longest, multiple)).withColumn(ids, padded(F.col(ids), F.col("_length"), with_)).drop("_length")

@@ -42,6 +42,8 @@ def attempted(call: Callable[[], Any], tries: int, wait: tuple[float, float]) ->
 
 
 def _fetched(df: DataFrame, get: Callable[[str], Any], to: StructField, tries: int, wait: tuple[float, float], width: int) -> DataFrame:
+    df = df.drop(to.name, "attempts", "error")  # those of an earlier try
+
     def one(url: str | None) -> tuple[Any, int, str | None]:
         return (None, 0, "no url") if url is None else attempted(lambda: get(url), tries, wait)
 

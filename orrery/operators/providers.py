@@ -27,6 +27,12 @@ class Tokenizer(Protocol):
     def encode(self, text: str) -> list[int]: ...
 
 
+class TextTokenizer(Tokenizer, Protocol):
+    """One that also gives the text of tokens."""
+
+    def decode(self, ids: list[int]) -> str: ...
+
+
 class TokenVectors(Protocol):
     """A vector of unit norm for each token of each text."""
 
@@ -91,6 +97,9 @@ class StubTokenizer:
     def encode(self, text: str) -> list[int]:
         return list(map(ord, text))
 
+    def decode(self, ids: list[int]) -> str:
+        return "".join(map(chr, ids))
+
 
 class StubVectors:
     """One axis for each distinct word of the pair being compared; a stand-in for a model's token vectors."""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import files
 from .fetch import in_threads
 from .providers import ChatProvider
 
@@ -70,6 +72,8 @@ def replied(df: DataFrame, prompt: str, provider: ChatProvider, to: str = "reply
     """
     from pyspark.sql.types import StringType, StructField, StructType
 
+    df = df.drop(to, f"{to}_error")
+
     def ask(conversations: list[list[dict[str, str]]]) -> list[tuple[str | None, str | None]]:
         try:
             found = provider.reply(conversations, **settings)
@@ -92,6 +96,34 @@ def replied(df: DataFrame, prompt: str, provider: ChatProvider, to: str = "reply
     return df.mapInPandas(run, StructType([*df.schema.fields, StructField(to, StringType()), StructField(f"{to}_error", StringType())]))
 
 
+LOG = "digest string, reply string, error string, run string"
+
+
+def replied_once(df: DataFrame, prompt: str, provider: ChatProvider, log: str, to: str = "reply", model: str = "", per_task: int = 512, **options: object) -> DataFrame:
+    """``replied`` by way of a log of replies: a prompt that has one isn't asked again, whoever asked it, and equal prompts are asked once.
+
+    The log is a folder of Parquet files.  Prompts are told apart by a digest of themselves, the ``model`` and the settings; those without a
+    reply are dealt to tasks of about ``per_task``, and each task commits its replies when it ends, so a run that breaks off, or an
+    executor that is lost, costs the prompts of its open tasks only.  What failed has its error and is asked in the next run.
+    """
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    told = json.dumps({"model": model} | {k: v for k, v in options.items() if k not in ("batch", "width")}, sort_keys=True, default=str)
+    digest = F.sha2(F.concat(F.lit(told + "\0"), F.to_json(prompt)), 256)
+    keyed = df.drop(to, f"{to}_error").withColumn("_digest", F.when(F.col(prompt).isNotNull(), digest))
+    known = spark.read.schema(LOG).parquet(log) if files.exists(spark, log) else spark.createDataFrame([], LOG)
+    open_ = keyed.where("_digest is not null").select(F.col("_digest").alias("digest"), prompt).dropDuplicates(["digest"]).join(known.where("reply is not null").select("digest"), "digest", "left_anti")
+    tasks = -(-open_.count() // per_task)
+    if tasks:
+        asked = replied(open_.repartition(tasks, "digest"), prompt, provider, "reply", **options)
+        rows = asked.select("digest", "reply", F.col("reply_error").alias("error"), F.lit(run).alias("run"))
+        # version 2 of the committer: a task's file is there for good when the task ends
+        rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode("append").parquet(log)
+    have = spark.read.schema(LOG).parquet(log) if tasks or files.exists(spark, log) else known
+    replies = have.groupBy("digest").agg(F.max("reply").alias(to), F.max(F.when(F.col("run") == run, F.col("error"))).alias(f"{to}_error"))
+    joined = keyed.join(replies, keyed["_digest"] == replies["digest"], "left").drop("digest", "_digest")
+    return joined.withColumn(f"{to}_error", F.when(F.col(to).isNull(), F.col(f"{to}_error")))
+
+
 def kept_or(existing: Column, generated: Column) -> Column:
     """The answer that is there already, else the generated one (resume)."""
     return F.when(F.coalesce(F.trim(existing), F.lit("")) != "", existing).otherwise(F.trim(generated))

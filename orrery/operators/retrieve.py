@@ -12,7 +12,7 @@ from pyspark.sql import Window
 
 from ..functions import chunking
 from ..functions import text as T
-from .providers import EmbeddingProvider
+from .providers import EmbeddingProvider, TextTokenizer
 
 #: Query vectors that are broadcast, or that a block holds; rows that a block holds; distances held at once.
 QUERY_BLOCK, ROW_BLOCK, CELLS = 4096, 1 << 16, 1 << 22
@@ -34,13 +34,19 @@ def chunked(docs: DataFrame, size: int = 4096, overlap: int = 500) -> DataFrame:
     return cleaned.mapInPandas(run, "doc_id long, chunk_index int, chunk string")
 
 
-def embedded(df: DataFrame, text: str, provider: EmbeddingProvider) -> DataFrame:
-    """``df`` with the unit-norm ``embedding`` of its text column; mark real models' results by writing them out."""
+def embedded(df: DataFrame, text: str, provider: EmbeddingProvider, tokenizer: TextTokenizer | None = None, most: int = 512) -> DataFrame:
+    """``df`` with the unit-norm ``embedding`` of its text column (in place of an earlier one); mark real models' results by writing them out.
+
+    With a ``tokenizer`` the provider gets the text of the first ``most`` tokens.
+    """
     from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
+    df = df.drop("embedding")
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(embedding=list(provider.embed(pdf[text].fillna("").tolist())))
+            texts = pdf[text].fillna("").tolist()
+            yield pdf.assign(embedding=list(provider.embed([tokenizer.decode(tokenizer.encode(t)[:most]) for t in texts] if tokenizer else texts)))
 
     return df.mapInPandas(run, StructType([*df.schema.fields, StructField("embedding", ArrayType(FloatType()))]))
 

