@@ -7,9 +7,9 @@ a candidate when its language (null: ``und``) has it ``LEAST`` times or more, ov
 Level by level, adjacent frequent (k-1)-grams make a k-gram, so a k-gram is the pair of
 the ids of its first and its last k - 1 words.  Words are dealt to blocks of about ``BLOCK``
 positions of one language; a block counts its distinct pairs by itself, the counts are summed over
-all blocks, the frequent pairs get an id each (a name, in a table of all of them), and the names are
-joined back to each block's distinct pairs, not to the positions.  A pair's two ids are its
-parent pointers: by them the counts of all its first and last parts, which the cuts
+all blocks, the frequent pairs get an id each (a name, in a table of all of them), and the names go
+back to each block's distinct pairs, not to the positions: up to ``FEW`` of them as a broadcast, more by a
+shuffled join.  A pair's two ids are its parent pointers: by them the counts of all its first and last parts, which the cuts
 need, come from the level before, and so does the test of what a longer candidate holds.
 
 A candidate's score is that of its lowest-scoring cut into two parts with counts ``l`` and ``r``:
@@ -25,15 +25,14 @@ pieces; a piece longer than a block makes a longer block.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, discarded, table, written
+from .common import bounded_batches, discarded, framed, frames_of, table, written
 
 LEAST, WORDS, TOP, HELD = 100, 5, 2000, 100
 #: Positions of a block; rows of an Arrow batch that leaves a task; names that are broadcast, after a count, when there are no more.
@@ -42,9 +41,8 @@ BLOCK, ROWS, FEW = 1 << 21, 1 << 16, 1 << 18
 CHUNK = 1 << 20
 
 _BETWEEN = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
-_KEYED = "block long, lang string, at int, n long, seq binary"
-WORD_SCHEMA = f"{_KEYED}, word string"
-PAIR_SCHEMA = f"{_KEYED}, left long, right long"
+#: A block: its sequence of numbers of words or pairs (-1: none), those words or pairs, and how often it has each.
+BLOCKS = "block long, lang string, data binary"
 
 
 class _Locals(dict):
@@ -91,30 +89,8 @@ class _Open:
         return seq[: last + 1], words
 
 
-def _sliced(columns: dict[str, pa.Array], schema: pa.Schema) -> list[pa.RecordBatch]:
-    whole = pa.Table.from_arrays([columns[f.name] for f in schema], schema=schema)
-    return whole.to_batches(max_chunksize=ROWS)
-
-
-def _rows(block: int, lang: str, seq: np.ndarray, counts: np.ndarray, keys: dict[str, pa.Array], schema: pa.Schema) -> list[pa.RecordBatch]:
-    """A row with the block's sequence (``at`` is -1), then one for each of its distinct keys."""
-    k = len(counts)
-    head = {"block": pa.array([block]), "lang": pa.array([lang]), "at": pa.array([-1], pa.int32()), "n": pa.array([0]), "seq": pa.array([zlib.compress(seq.astype("<i4").tobytes(), 1)], pa.binary())}
-    body = {"block": pa.array(np.full(k, block)), "lang": pa.array([lang] * k, pa.string()), "at": pa.array(np.arange(k, dtype=np.int32)), "n": pa.array(counts.astype(np.int64)), "seq": pa.nulls(k, pa.binary())}
-    body["lang"] = body["lang"] if "word" in keys else pa.nulls(k, pa.string())  # pairs are told apart by their parents
-    return _sliced(head | {n: pa.nulls(1, a.type) for n, a in keys.items()}, schema) + _sliced(body | keys, schema)
-
-
-def _arrow(schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    return to_arrow_schema(_parse_datatype_string(schema))
-
-
 def words_of(docs: DataFrame) -> DataFrame:
-    """Blocks of word positions: ``WORD_SCHEMA``, with the number of each word in its block (-1 in ``seq``: none)."""
-    schema = _arrow(WORD_SCHEMA)
+    """``BLOCKS`` of words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -125,12 +101,12 @@ def words_of(docs: DataFrame) -> DataFrame:
         def closed(lang: str) -> Iterator[pa.RecordBatch]:
             nonlocal block
             seq, words = opened[lang].closed()
-            if len(words) > 1:
-                counts = np.bincount(seq, minlength=len(words))[1:]
-                used = np.flatnonzero(counts)  # words after the last piece's end may be none of this block's
+            counts = np.bincount(seq, minlength=len(words))[1:]
+            used = np.flatnonzero(counts)  # words after the last piece's end may be none of this block's
+            if len(used):
                 number = np.full(len(words), -1, np.int32)
                 number[used + 1] = np.arange(len(used))
-                yield from _rows(block, lang, number[seq], counts[used], {"word": pa.array([words[i + 1] for i in used], pa.binary()).cast(pa.string())}, schema)
+                yield _block(block, lang, number[seq], b"\n".join(words[i + 1] for i in used), counts[used])
                 block += 1
 
         for batch in batches:
@@ -147,42 +123,137 @@ def words_of(docs: DataFrame) -> DataFrame:
             yield from closed(lang)
 
     bounded_batches(docs.sparkSession)
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, WORD_SCHEMA)
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, BLOCKS)
+
+
+def _block(block: int, lang: str, seq: np.ndarray, *keys_and_counts: np.ndarray | bytes) -> pa.RecordBatch:
+    data = framed(seq.astype("<i4"), *(x if isinstance(x, bytes) else x.astype("<i8") for x in keys_and_counts))
+    return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([lang], pa.string()), pa.array([data], pa.binary())], names=["block", "lang", "data"])
+
+
+def _words_in(data: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """A block's sequence, words and counts."""
+    seq, words, counts = frames_of(data, 3)
+    return np.frombuffer(seq, "<i4"), bytes(words).split(b"\n"), np.frombuffer(counts, "<i8")
+
+
+def _pairs_in(data: bytes) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """A block's sequence, pairs and counts."""
+    seq, *rest = frames_of(data, 4)
+    left, right, counts = (np.frombuffer(x, "<i8") for x in rest)
+    return np.frombuffer(seq, "<i4"), (left, right), counts
+
 
+def _listed(blocks: DataFrame, level: int) -> DataFrame:
+    """``block, at, <key>, n``: each block's distinct words (``lang, word``) or pairs (``left, right``), numbered."""
 
-def _longer(group: pa.Table, schema: pa.Schema) -> pa.Table:
-    """A block's sequence of k-grams and the names of its frequent ones, as its sequence of (k+1)-grams and their counts."""
-    at, ids = group.column("at").to_numpy(), group.column("id")
-    head = int(np.flatnonzero(at < 0)[0])
-    seq = np.frombuffer(zlib.decompress(group.column("seq")[head].as_py()), "<i4")
-    frequent = at >= 0
-    name = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # its last entry is that of -1
-    name[at[frequent]] = ids.filter(pa.array(frequent)).to_numpy()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, lang, data in zip(*[c.to_pylist() for c in batch.columns]):
+                _, keys, counts = _words_in(data) if level == 1 else _pairs_in(data)
+                for a in range(0, len(counts), ROWS):
+                    k = len(counts[a : a + ROWS])
+                    own = [pa.array([lang] * k), pa.array(keys[a : a + ROWS], pa.binary()).cast(pa.string())] if level == 1 else [pa.array(x[a : a + ROWS]) for x in keys]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, block)), pa.array(np.arange(a, a + k, dtype=np.int32)), *own, pa.array(counts[a : a + ROWS])], names=["block", "at", *_key(level), "n"])
+
+    return blocks.mapInArrow(run, f"block long, at int, {'lang string, word string' if level == 1 else 'left long, right long'}, n long")
+
+
+def _arrow(schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
+def _key(level: int) -> list[str]:
+    return ["lang", "word"] if level == 1 else ["left", "right"]
+
+
+def _longer(block: int, lang: str, seq: np.ndarray, name: np.ndarray) -> pa.RecordBatch | None:
+    """The block one level up, from its sequence and the names of what is frequent (by number; -1 for others)."""
+    name = np.append(name, -1)  # the last entry is that of -1
     known = name[seq] >= 0
     both = np.flatnonzero(known[:-1] & known[1:])
     if not len(both):
-        return schema.empty_table()
+        return None
     pairs, own, counts = np.unique(seq[both].astype(np.int64) * len(name) + seq[both + 1], return_inverse=True, return_counts=True)
     new = np.full(len(seq), -1, np.int32)
     new[both] = own
-    keys = {"left": pa.array(name[pairs // len(name)]), "right": pa.array(name[pairs % len(name)])}
-    return pa.Table.from_batches(_rows(group.column("block")[head].as_py(), group.column("lang")[head].as_py(), new, counts, keys, schema), schema)
-
-
-def _named(grams: DataFrame, key: list[str], least: int) -> DataFrame:
-    """``id, <key>, a`` of the k-grams that their language (in the key, or told by the parents) has often enough."""
-    counted = grams.where("at >= 0").groupBy(*key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return written(counted.withColumn("id", F.monotonically_increasing_id()), "names")
-
-
-def _paired(grams: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
+    return _block(block, lang, new, name[pairs // len(name)], name[pairs % len(name)], counts)
+
+
+def _named(blocks: DataFrame, level: int, least: int) -> DataFrame:
+    """``id, <key>, a`` of what its language (in the key, or told by the parents) has often enough; ids are numbers from 0."""
+    counted = _listed(blocks, level).groupBy(*_key(level)).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    names = written(counted.withColumn("at", F.monotonically_increasing_id()), "names")
+    task = F.shiftright("at", 33)
+    sizes = names.groupBy(task.alias("task")).count().orderBy("task").collect()  # a row a task
+    begins, n = [], 0
+    for r in sizes:
+        begins.append((r["task"], n))
+        n += r["count"]
+    starts = names.sparkSession.createDataFrame(begins, "task long, start long")
+    numbered = names.join(F.broadcast(starts), task == F.col("task")).select((F.col("at") - F.shiftleft("task", 33) + F.col("start")).alias("id"), *_key(level), "a")
+    numbered.few, numbered.written_to = n <= FEW, names.written_to
+    return numbered
+
+
+def _lookup(names: pa.Table, level: int) -> Callable[[str, object], np.ndarray]:
+    """The names of a block's keys, from a table of ``FEW`` at most."""
+    rows = names.to_pandas()
+    if level == 1:
+        by_lang: dict[str, dict[bytes, int]] = {}
+        for i, lang, word in zip(rows["id"], rows["lang"], rows["word"]):
+            by_lang.setdefault(lang, {})[word.encode()] = i
+        return lambda lang, words: np.fromiter((by_lang.get(lang, {}).get(w, -1) for w in words), np.int64, len(words))
+    order = np.lexsort((rows["right"], rows["left"]))
+    left, right, ids = (rows[c].to_numpy(np.int64)[order] for c in ("left", "right", "id"))
+    firsts, begins = np.unique(left, return_index=True)
+    right_of, own = np.unique(right, return_inverse=True)
+    packed = np.repeat(np.arange(len(firsts)), np.diff([*begins, len(left)])) * (len(right_of) + 1) + own  # ascending, as left and right are
+
+    def find(_: str, pair: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        places = []
+        for known, wanted in zip((firsts, right_of), pair):
+            at = np.searchsorted(known, wanted)
+            places.append(np.where((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == wanted), at, -1) if len(known) else np.full(len(wanted), -1))
+        key = places[0] * (len(right_of) + 1) + places[1]
+        at = np.minimum(np.searchsorted(packed, key), max(0, len(packed) - 1))
+        return np.where((places[0] >= 0) & (places[1] >= 0) & (packed[at] == key), ids[at], -1) if len(packed) else np.full(len(key), -1)
+
+    return find
+
+
+def _paired(blocks: DataFrame, names: DataFrame, level: int) -> DataFrame:
     """The blocks one level up."""
-    own = names.select(*key, "id")
-    found = grams.where("at >= 0").select("block", "at", *key).join(F.broadcast(own) if own.limit(FEW + 1).count() <= FEW else own, key)
-    heads = grams.where("at < 0").select("block", "lang", "at", "seq", F.lit(None).cast("long").alias("id"))
-    both = heads.unionByName(found.select("block", F.lit(None).cast("string").alias("lang"), "at", F.lit(None).cast("binary").alias("seq"), "id"))
-    schema = _arrow(PAIR_SCHEMA)
-    return written(both.groupBy("block").applyInArrow(lambda group: _longer(group, schema), PAIR_SCHEMA), "pairs")
+    read = _words_in if level == 1 else _pairs_in
+    if names.few:
+        held = blocks.sparkSession.sparkContext.broadcast(names.select("id", *_key(level)).toArrow())
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            find = _lookup(held.value, level)
+            for batch in batches:
+                for block, lang, data in zip(*[c.to_pylist() for c in batch.columns]):
+                    seq, keys, _ = read(data)
+                    if (up := _longer(block, lang, seq, find(lang, keys))) is not None:
+                        yield up
+
+        return written(blocks.mapInArrow(run, BLOCKS), "blocks")
+    found = _listed(blocks, level).join(names.select(*_key(level), "id"), _key(level)).select("block", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("data"), "at", "id")
+    heads = blocks.select("*", F.lit(None).cast("int").alias("at"), F.lit(None).cast("long").alias("id"))
+    empty = _arrow(BLOCKS).empty_table()
+
+    def up(group: pa.Table) -> pa.Table:
+        head = int(np.flatnonzero(group.column("data").is_valid().to_numpy())[0])
+        seq, _, counts = read(group.column("data")[head].as_py())
+        name = np.full(len(counts), -1, np.int64)
+        own = group.filter(group.column("at").is_valid())
+        name[own.column("at").to_numpy()] = own.column("id").to_numpy()
+        made = _longer(group.column("block")[head].as_py(), group.column("lang")[head].as_py(), seq, name)
+        return empty if made is None else pa.Table.from_batches([made])
+
+    return written(heads.unionByName(found).groupBy("block").applyInArrow(up, BLOCKS), "blocks")
 
 
 def _described(names: DataFrame, before: DataFrame) -> DataFrame:
@@ -215,20 +286,17 @@ def phrases(docs: DataFrame, least: int = LEAST, words: int = WORDS, held: int =
     """
     if words < 2 or least < 1 or not 1 <= held <= 100:
         raise ValueError("phrases have two words or more, are there once or more, and are held to 1 to 100 per cent")
-    grams = written(words_of(docs), "words")
-    totals = grams.where("at >= 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    sizes = written(totals, "sizes")
-    key, infos = ["lang", "word"], []
-    names = _named(grams, key, least)
-    infos.append(written(names.select("id", "lang", "a", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("a").alias("firsts"), F.array("a").alias("lasts")), "phrases"))
-    for _ in range(2, words + 1):
-        was, own = grams, names
-        grams = _paired(was, own, key)
+    blocks = written(words_of(docs), "blocks")
+    sizes = written(_listed(blocks, 1).groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
+    names = _named(blocks, 1, least)
+    infos = [written(names.select("id", "lang", "a", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("a").alias("firsts"), F.array("a").alias("lasts")), "phrases")]
+    for level in range(2, words + 1):
+        was, own = blocks, names
+        blocks = _paired(was, own, level - 1)
         discarded(was, own)
-        key = ["left", "right"]
-        names = _named(grams, key, least)
+        names = _named(blocks, level, least)
         infos.append(_described(names, infos[-1]))
-    discarded(grams, names)
+    discarded(blocks, names)
     out = None
     for k, info in enumerate(infos[1:], 2):
         kept = info
