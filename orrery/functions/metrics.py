@@ -12,6 +12,8 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 if TYPE_CHECKING:
     from ..operators.providers import TokenVectors
 
@@ -29,11 +31,6 @@ BITS = 62
 FULL = (1 << BITS) - 1
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _long(n: int) -> Column:
     return F.lit(n).cast("long")
 
@@ -63,19 +60,19 @@ def _runs(ordered: Column, value: Callable[[Column], Column]) -> Column:
     n = F.size(ordered)
     at = lambda i: value(F.get(ordered, i))
     starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (at(i) != at(i - 1)))
-    return _let(starts, lambda s: F.transform(s, lambda a, j: F.struct(a.alias("start"), (F.coalesce(F.get(s, j + 1), n) - a).alias("k"))))
+    return let(starts, lambda s: F.transform(s, lambda a, j: F.struct(a.alias("start"), (F.coalesce(F.get(s, j + 1), n) - a).alias("k"))))
 
 
 def _numbered(grams: Column) -> Column:
     """The n-grams, each with which of its equals it is."""
     each = lambda s: lambda run: F.transform(F.sequence(F.lit(1), run["k"]), lambda i: F.concat(F.get(s, run["start"]), F.lit(" "), i.cast("string")))
-    made = _let(F.sort_array(grams), lambda s: F.flatten(F.transform(_runs(s, lambda x: x), each(s))))
+    made = let(F.sort_array(grams), lambda s: F.flatten(F.transform(_runs(s, lambda x: x), each(s))))
     return F.when(F.size(grams) > 0, made).otherwise(grams)
 
 
 def _repeats(grams: Column) -> Column:
     """What is left of the n-grams when one of each is taken away."""
-    return _let(F.sort_array(grams), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))
+    return let(F.sort_array(grams), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))
 
 
 def _overlap(p: Column, r: Column, n: int) -> Column:
@@ -84,16 +81,16 @@ def _overlap(p: Column, r: Column, n: int) -> Column:
     def of(s: Column) -> Column:
         a, b = s["a"], s["b"]
         repeated = (F.size(F.array_distinct(a)) < F.size(a)) & (F.size(F.array_distinct(b)) < F.size(b))
-        more = F.size(F.array_intersect(*[_let(_repeats(x), _numbered) for x in (a, b)]))
+        more = F.size(F.array_intersect(*[let(_repeats(x), _numbered) for x in (a, b)]))
         return F.size(F.array_intersect(a, b)) + F.when(repeated, more).otherwise(0)
 
-    return _let(F.struct(_ngrams(p, n).alias("a"), _ngrams(r, n).alias("b")), of)
+    return let(F.struct(_ngrams(p, n).alias("a"), _ngrams(r, n).alias("b")), of)
 
 
 def _both(prediction: Column, reference: Column, tokens: Callable[[Column], Column], body: Callable[[Column, Column], Column]) -> Column:
     """``body`` of both sides' tokens; null counts as empty."""
     own = [tokens(F.coalesce(x, F.lit(""))) for x in (prediction, reference)]
-    return _let(F.struct(own[0].alias("p"), own[1].alias("r")), lambda s: body(s["p"], s["r"]))
+    return let(F.struct(own[0].alias("p"), own[1].alias("r")), lambda s: body(s["p"], s["r"]))
 
 
 def bleu(prediction: Column, reference: Column, order: int = 4) -> Column:
@@ -107,7 +104,7 @@ def bleu(prediction: Column, reference: Column, order: int = 4) -> Column:
             penalty = F.when(F.size(p) > F.size(r), 1.0).otherwise(F.exp(1 - F.size(r) / F.size(p)))
             return F.when(F.array_min(h) > 0, penalty * F.exp(logs / order)).otherwise(0.0)
 
-        return _let(hits, score)
+        return let(hits, score)
 
     return _both(prediction, reference, tokens_13a, of)
 
@@ -117,7 +114,7 @@ def _f1(hit: Column, predicted: Column, wanted: Column) -> Column:
 
 
 def rouge_2(prediction: Column, reference: Column) -> Column:
-    return _both(prediction, reference, rouge_tokens, lambda p, r: _let(_overlap(p, r, 2), lambda hit: _f1(hit, F.size(p) - 1, F.size(r) - 1)))
+    return _both(prediction, reference, rouge_tokens, lambda p, r: let(_overlap(p, r, 2), lambda hit: _f1(hit, F.size(p) - 1, F.size(r) - 1)))
 
 
 def _marks(tokens: Column, words: Column) -> Column:
@@ -126,7 +123,7 @@ def _marks(tokens: Column, words: Column) -> Column:
     bit = lambda i: F.call_function("shiftleft", _long(1), i % BITS)
     word = lambda own: lambda w: F.aggregate(own, _long(0), lambda a, x: a.bitwiseOR(F.when(F.floor(x["i"] / BITS) == w, bit(x["i"])).otherwise(_long(0))))
     one = lambda s: lambda run: F.struct(F.get(s, run["start"])["t"].alias("token"), F.transform(words, word(F.slice(s, run["start"] + 1, run["k"]))).alias("words"))
-    return _let(placed, lambda s: F.transform(_runs(s, lambda x: x["t"]), one(s)))
+    return let(placed, lambda s: F.transform(_runs(s, lambda x: x["t"]), one(s)))
 
 
 def _common(p: Column, r: Column) -> Column:
@@ -135,7 +132,7 @@ def _common(p: Column, r: Column) -> Column:
 
     def fold(marks: Column) -> Column:
         tokens = F.transform(marks, lambda m: m["token"])
-        places = _let(tokens, lambda known: F.filter(F.transform(r, lambda t: F.array_position(known, t).cast("int")), lambda k: k > 0))
+        places = let(tokens, lambda known: F.filter(F.transform(r, lambda t: F.array_position(known, t).cast("int")), lambda k: k > 0))
 
         def step(row: Column, k: Column) -> Column:
             own = F.get(marks, k - 1)["words"]
@@ -152,7 +149,7 @@ def _common(p: Column, r: Column) -> Column:
         row = F.aggregate(places, F.transform(words, lambda w: _long(FULL)), step)
         return F.aggregate(row, F.lit(0), lambda n, v: n + BITS - F.bit_count(v))
 
-    return _let(_marks(p, words), fold)
+    return let(_marks(p, words), fold)
 
 
 def rouge_l(prediction: Column, reference: Column) -> Column:
@@ -160,7 +157,7 @@ def rouge_l(prediction: Column, reference: Column) -> Column:
 
     def of(p: Column, r: Column) -> Column:
         hit = F.when((F.size(p) > 0) & (F.size(r) > 0), _common(p, r)).otherwise(0)
-        return _let(hit, lambda h: _f1(h, F.size(p), F.size(r)))
+        return let(hit, lambda h: _f1(h, F.size(p), F.size(r)))
 
     return _both(prediction, reference, rouge_tokens, of)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ LIGATURES = (("ﬂ", "fl"), ("ﬁ", "fi"))
 SPARSE_LINES = 12
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clean(text: Column) -> Column:
     """Join words cut at a line end, then make every run of white space one space."""
     return F.regexp_replace(F.regexp_replace(text, HYPHEN_BREAK, "$1$2"), WHITE_SPACE, " ")

@@ -74,28 +74,15 @@ def document_texts(pages: DataFrame, keep_prefix: bool = False) -> DataFrame:
 
     A document's pages are one group; they are bounded by the document.
     """
-
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"stem": [key[0]], "text": [P.document_text(pdf.sort_values("page_num")["text"].fillna("").tolist(), keep_prefix)]})
-
-    return pages.groupBy("stem").applyInPandas(one, "stem string, text string")
+    ordered = F.array_sort(F.collect_list(F.struct("page_num", "text")))
+    return pages.groupBy("stem").agg(F.transform(ordered, lambda p: p["text"]).alias("pages")).select("stem", P.document_text(F.col("pages"), keep_prefix).alias("text"))
 
 
 def with_document_text(df: DataFrame, pages: str, to: str = "text", keep_prefix: bool = False) -> DataFrame:
     """``df`` with the text of the document whose pages, in order, are in the array column; no shuffle."""
-
-    @F.pandas_udf("string")
-    def text(column: pd.Series) -> pd.Series:
-        return column.map(lambda p: P.document_text([x or "" for x in p], keep_prefix) if p is not None else "")
-
-    return df.withColumn(to, text(pages))
+    return df.withColumn(to, P.document_text(F.col(pages), keep_prefix))
 
 
 def without_tables(pages: DataFrame, keep_prefix: bool = False) -> DataFrame:
     """``pages`` with the tables removed from ``text``."""
-
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(text=[None if t is None else P.remove_tables(t, keep_prefix) for t in pdf["text"]])
-
-    return pages.mapInPandas(run, pages.schema)
+    return pages.withColumn("text", P.remove_tables(F.col("text"), keep_prefix))

@@ -5,10 +5,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orrery.functions import chunking, pages
+from orrery.functions import chunking
 from orrery.functions import text as T
 from orrery.operators import dataset, qa, report
 from orrery.sources import files, json_arrays, markup
+from tests import page_kernel as pages
 
 
 def column(spark, values, expression):

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery import __main__ as cli
-from orrery.functions import pages
 from orrery.operators import dataset, extract, fetch, links, qa, report, retrieve
 from orrery.operators.providers import StubChat, StubFetcher, StubPdfReader
 from orrery.sources import array_shards, files, markup
+from tests import page_kernel as pages
 
 
 class Failing:
