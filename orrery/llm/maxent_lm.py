@@ -11,9 +11,10 @@ Each factor is a softmax over sums of weight rows: a prior from exact counts (of
 and of the first two digits; deeper ones start even), and one row for each feature
 of the history: the last word and, for classes, the one before it (a skip) and both
 together (an n-gram); digits after the second have a row of their own, too.  Rows are found by hash, those of digits also by the node they belong to; words seen
-less than ``RARE`` times are features by their class.  A leaf's words share it by their counts.  A token
-never seen in training has the Good-Turing share (words seen once) whatever it is; the
-probabilities of all words and of the unknown one add up to 1 at most (empty leaves keep a little).
+less than ``RARE`` times are features by their class.  A leaf's words share it by their counts.  The
+Good-Turing share (of words seen once) belongs to the words never seen in training, whose number Chao's estimate
+tells (from the words seen once, and two or three times); each has an equal part of it, so an unknown word costs more than one
+seen once.  The probabilities of all words and of so many unknown ones add up to 1 at most (empty leaves keep a little).
 
 Training is distributed gradient descent.  Texts are dealt to shards by a hash, so a
 shard depends on the data and not on the cluster.  In every round each shard runs
@@ -186,6 +187,7 @@ class Model:
     class_prior: np.ndarray  # log share of each class
     digit_priors: tuple[np.ndarray, np.ndarray]  # log shares of the first digit by class, of the second by class and first
     unknown: float  # share of tokens never seen
+    unseen: float  # words never seen, estimated
     total: int
     types: int
     weights: np.ndarray  # hashed history rows by class
@@ -196,6 +198,11 @@ class Model:
         return np.concatenate([self.digit_priors[0], self.digit_priors[1].reshape(-1, WAYS), np.zeros((1, WAYS), np.float32)])
 
 
+def unseen_words(once: float, twice: float) -> float:
+    """Chao's estimate of the words there are besides those seen; no less than those seen once."""
+    return max(1.0, once, once * once / (2 * max(1.0, twice)))
+
+
 def start_model(stats: DataFrame, parts: int) -> Model:
     """Priors; ``CLASSES * 256`` sums at most reach the driver."""
     types, once, seen = (np.zeros((CLASSES, WAYS, WAYS)) for _ in range(3))
@@ -209,7 +216,7 @@ def start_model(stats: DataFrame, parts: int) -> Model:
     share = lambda x: np.log((x + 1e-3) / (x + 1e-3).sum(axis=-1, keepdims=True)).astype(np.float32)
     tokens = seen.sum(axis=(1, 2))[:width]
     return Model(
-        depths(of_class, parts)[:width], tokens, share(tokens), (share(seen.sum(axis=2)[:width]), share(seen[:width])), single / (total + single) if total else 1.0,
+        depths(of_class, parts)[:width], tokens, share(tokens), (share(seen.sum(axis=2)[:width]), share(seen[:width])), single / (total + single) if total else 1.0, unseen_words(single, float(of_class[1])),
         total, int(of_class.sum()), np.zeros((CLASS_ROWS * g, width), np.float32), np.zeros((DIGIT_ROWS * g, WAYS), np.float32),
     )
 
@@ -473,7 +480,7 @@ def log10_probabilities(m: Model, b: Block) -> np.ndarray:
     """Of every token of a block; in sparse batches."""
     starts = np.cumsum(b.sizes) - b.sizes
     last, skip, both = histories(b.feature[b.sequence], starts)
-    out = np.full(len(b.sequence), np.log(m.unknown))
+    out = np.full(len(b.sequence), np.log(m.unknown / m.unseen))
     known = np.flatnonzero(b.seen[b.sequence] > 0)
     for a in range(0, len(known), MINI_BATCH):
         i = known[a : a + MINI_BATCH]

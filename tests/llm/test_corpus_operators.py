@@ -305,7 +305,7 @@ def plain_log10(m, b, tokens):
                 y = (row(m.digits, node) if b.prior[e] == len(table) - 1 else 0) + row(m.digits, node ^ last) + table[b.prior[e]]
                 p += soft(y.tolist(), b.digit[e])
         else:
-            p = math.log(m.unknown)
+            p = math.log(m.unknown / m.unseen)
         out.append(p / math.log(10))
         history.append(b.feature[w])
     return out
@@ -339,6 +339,29 @@ def test_language_model_adds_up_and_is_the_same_on_any_partitioning(spark, docs)
     assert {(r.doc_id, round(r.score, 6)) for r in maxent_lm.score_texts(df.repartition(7)).collect()} == other
 
 
+def test_gibberish_scores_below_text_and_known_tokens_gain(spark, sf_dir):
+    rng = random.Random(7)
+    docs = keyed_text(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("learn", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0)
+    held = [(r.doc_id, r.text) for r in docs.where("not learn").collect() if len(r.text.split()) > 20]
+    mixed = [(-1 - i, " ".join("".join(rng.sample(w, len(w))) for w in t.split())) for i, t in held]
+    both = docs.union(spark.createDataFrame([(i, t, False) for i, t in mixed], docs.schema))
+    found = {r.doc_id: r for r in maxent_lm.score_texts(both).collect()}
+    mean = lambda ids, c: sum(found[i][c] for i in ids) / sum(found[i].n_tokens for i in ids)
+    real, shuffled = [i for i, _ in held], [i for i, _ in mixed]
+    assert mean(shuffled, "score") < mean(real, "score") - 0.5
+    # tokens that are all known, by the model trained on these texts
+    df = both.where("doc_id >= 0")
+    model, opened = trained(df)
+    gain = n = 0.0
+    for b in opened:
+        own = np.repeat(~b.learns, b.sizes) & (b.seen[b.sequence] > 0)
+        base = np.log10((b.seen[b.sequence] + maxent_lm.SMOOTH) / (model.total + maxent_lm.SMOOTH * (model.types + 1)))
+        gain, n = gain + (maxent_lm.log10_probabilities(model, b) - base)[own].sum(), n + own.sum()
+    assert n > 500 and gain / n > 0
+    rare = math.log10((1 - model.unknown) / model.total)
+    assert math.log10(model.unknown / model.unseen) < rare
+
+
 def test_language_model_predicts_rare_words(spark):
     rng = random.Random(5)
     a, b = ([f"{k}{i:03}x" for i in range(100)] for k in "ab")
