@@ -109,12 +109,24 @@ def infer(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return qa.model_answers(_articles(spark, a).where("qa is not null").select("qa.question", "qa.answer"), _provider(a, P.StubChat), a.model, a.most, a.batch)
 
 
+def evaluate(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """The scores of two models' answers, those under --input and the tuned model's under --other, side by side."""
+    answers = lambda path: (json_arrays.read_json_array(spark, path, files.ANSWERS) if path.endswith(".json") else spark.read.parquet(path)).withColumn("pos", F.monotonically_increasing_id())
+    learned = {"learned": _provider(a, P.StubScorer).score} if a.provider or a.stand_in else None
+    return report.compared(answers(a.input), answers(a.other), "pos", learned)
+
+
+def rank(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """The best and worst --amount rows of evaluate's result by the tuned model's mean."""
+    return report.top_bottom(spark.read.parquet(a.input), "mean_finetuned", "pos", a.amount)
+
+
 def describe(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """Statistics of every numeric column."""
     return report.described_frame(_articles(spark, a))
 
 
-STAGES: dict[str, Stage] = {f.__name__: f for f in (gather, pages, articles, ingest, merge, questions, contexts, answers, split, tokenise, infer, describe)}
+STAGES: dict[str, Stage] = {f.__name__: f for f in (gather, pages, articles, ingest, merge, questions, contexts, answers, split, tokenise, infer, evaluate, rank, describe)}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -130,6 +142,7 @@ def parser() -> argparse.ArgumentParser:
         own.add_argument("--schema", default=files.ARTICLES_QA, help="columns of a JSON input")
         own.add_argument("--existing", help="CSV of links that are known")
         own.add_argument("--index", help="folder of the index")
+        own.add_argument("--other", help="the tuned model's answers")
         own.add_argument("--model", default="model")
         for option, value in (("--chunk-size", 4096), ("--overlap", 500), ("--amount", 6), ("--batch", 16), ("--most", 1024)):
             own.add_argument(option, type=int, default=value)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import metrics
 from .quantiles import exact_quantiles
 
 QUARTILES = ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
@@ -91,6 +92,27 @@ def scored(df: DataFrame, prediction: str, reference: str, score: Callable[[Sequ
     return df.withColumn(to, column(prediction, reference))
 
 
+def compared(base: DataFrame, tuned: DataFrame, position: str, learned: dict[str, Callable[[Sequence[str], Sequence[str]], Sequence[float]]] | None = None) -> DataFrame:
+    """Two models' answers to the same questions with all their scores, one row a question.
+
+    Either side has ``question, reference_answer, model_answer`` and a position; of a repeated question the last answer counts, at the first position of the base
+    model's.  Questions that neither answered are left out.  ``BLEU``, ``ROUGE_2``, ``ROUGE_L`` and the ``learned`` metrics follow as
+    ``<metric>_base`` and ``<metric>_finetuned``, those scaled together as ``..._norm``, the differences of scaled scores as ``<metric>_diff``
+    and the means of each model's scaled scores as ``mean_base`` and ``mean_finetuned``.
+    """
+    one = lambda df, to, *more: last_per_key(df.select("question", position, *more, F.col("model_answer").alias(to)), "question", position)
+    both = one(base, "base_answer", "reference_answer").join(one(tuned, "finetuned_answer").drop(position), "question").where("base_answer is not null or finetuned_answer is not null")
+    sides, names = ("base", "finetuned"), ["BLEU", "ROUGE_2", "ROUGE_L", *(learned or {})]
+    for side in sides:
+        answer, reference = f"{side}_answer", "reference_answer"
+        both = both.withColumns({f"{n}_{side}": f(F.col(answer), F.col(reference)) for n, f in zip(names, (metrics.bleu, metrics.rouge_2, metrics.rouge_l))})
+        for name, score in (learned or {}).items():
+            both = scored(both, answer, reference, score, f"{name}_{side}")
+    scaled = pooled_minmax(both, [(f"{n}_base", f"{n}_finetuned") for n in names])
+    differences = {f"{n}_diff": F.col(f"{n}_finetuned_norm") - F.col(f"{n}_base_norm") for n in names}
+    return scaled.withColumns(differences | {f"mean_{side}": row_mean([f"{n}_{side}_norm" for n in names]) for side in sides})
+
+
 def pooled_minmax(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``df`` with ``<column>_norm`` scaled by the range of both columns of a pair together; a constant pair becomes 0."""
     ranges = df.agg(*[f(F.col(a), F.col(b)).alias(f"_{n}_{a}") for a, b in pairs for n, f in (("lo", lambda x, y: F.min(F.least(x, y))), ("hi", lambda x, y: F.max(F.greatest(x, y))))])
@@ -122,11 +144,11 @@ def model_type(column: Column) -> Column:
     return F.when(column.contains("base"), "Base").otherwise("Finetuned")
 
 
-def long_scores(df: DataFrame, shared: Sequence[str], metrics: Sequence[str], types: Sequence[str] = ("base", "finetuned")) -> DataFrame:
+def long_scores(df: DataFrame, shared: Sequence[str], names: Sequence[str], types: Sequence[str] = ("base", "finetuned")) -> DataFrame:
     """Both models' scores under common names, one row per model, with ``Type``."""
     out = None
     for own, other in (types, types[::-1]):
-        part = df.select(*shared, *[F.col(f"{m}_{own}").alias(m) for m in metrics], *[F.col(f"{m}_{other}").alias(f"{m}_other") for m in metrics], F.lit(own.capitalize()).alias("Type"))
+        part = df.select(*shared, *[F.col(f"{m}_{own}").alias(m) for m in names], *[F.col(f"{m}_{other}").alias(f"{m}_other") for m in names], F.lit(own.capitalize()).alias("Type"))
         out = part if out is None else out.unionByName(part)
     return out
 

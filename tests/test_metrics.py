@@ -83,3 +83,32 @@ def test_a_tie_in_the_seventh_place_goes_up(spark):
     df = spark.createDataFrame([(" ".join("ab" for _ in range(5)), " ".join(["ab"] * 5 + [f"w{i}" for i in range(246)]))], "p string, r string")
     (r,) = df.select(F.round(metrics.rouge_l(F.col("p"), F.col("r")), 6).alias("s")).collect()
     assert r.s == 0.039063  # 10 / 256
+
+
+def test_two_models_are_compared(spark, tmp_path):
+    from orrery import __main__ as cli
+    from orrery.operators import report
+
+    answers = "question string, reference_answer string, model_answer string, model string"
+    base = [("q0", "the cat sat on the mat today", "the cat sat on the mat today", "b"), ("q1", "a b c d e", "x", "b"), ("q2", "r", None, "b"), ("q1", "a b c d e", "a b c d", "b"), ("q3", "one two three", None, "b")]
+    tuned = [("q0", "the cat sat on the mat today", "the cat", "t"), ("q1", "a b c d e", "a b c d e", "t"), ("q2", "r", None, "t"), ("q3", "one two three", "one two", "t")]
+    for name, rows in (("base", base), ("tuned", tuned)):
+        spark.createDataFrame(rows, answers).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    cli.main(["evaluate", "--input", f"{tmp_path}/base", "--other", f"{tmp_path}/tuned", "--output", f"{tmp_path}/scores"], spark)
+    found = {r.question: r for r in spark.read.parquet(f"{tmp_path}/scores").collect()}
+    assert sorted(found) == ["q0", "q1", "q3"] and [found[q].pos for q in ("q0", "q1", "q3")] == [0, 1, 4]
+    assert found["q1"].base_answer == "a b c d" and found["q3"].base_answer is None
+    for q, ref, b, t in (("q0", *base[0][1:3], "the cat"), ("q1", "a b c d e", "a b c d", "a b c d e"), ("q3", "one two three", None, "one two")):
+        for name, f in (("BLEU", bleu), ("ROUGE_2", rouge_2), ("ROUGE_L", rouge_l)):
+            assert (found[q][f"{name}_base"], found[q][f"{name}_finetuned"]) == pytest.approx((f(b, ref), f(t, ref)))
+    values = [r[f"ROUGE_L_{s}"] for r in found.values() for s in ("base", "finetuned")]
+    low, high = min(values), max(values)
+    for r in found.values():
+        norm = [(r[f"ROUGE_L_{s}"] - low) / (high - low) for s in ("base", "finetuned")]
+        assert [r.ROUGE_L_base_norm, r.ROUGE_L_finetuned_norm, r.ROUGE_L_diff] == pytest.approx([*norm, norm[1] - norm[0]])
+        assert r.mean_finetuned == pytest.approx((r.BLEU_finetuned_norm + r.ROUGE_2_finetuned_norm + r.ROUGE_L_finetuned_norm) / 3)
+    cli.main(["rank", "--input", f"{tmp_path}/scores", "--output", f"{tmp_path}/ranked", "--amount", "2"], spark)
+    ranked = spark.read.parquet(f"{tmp_path}/ranked").orderBy("rank").collect()
+    assert [r.question for r in ranked][0] == "q1" and len(ranked) == 4
+    more = report.compared(*[spark.read.parquet(f"{tmp_path}/{n}").withColumn("pos", F.monotonically_increasing_id()) for n in ("base", "tuned")], "pos", {"own": lambda p, r: [float(len(x)) for x in p]})
+    assert {r.question: r.own_finetuned for r in more.collect()} == {"q0": 7.0, "q1": 9.0, "q3": 7.0}
