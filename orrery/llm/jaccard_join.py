@@ -463,3 +463,18 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+#: The same rows in SQL: all pairs that share a shingle, and what links reach.
+ORACLE = r"""
+with recursive t as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) g from t),
+n as (select doc_id, count(*) n from s group by doc_id),
+pairs as (select a.doc_id x, b.doc_id y, count(*) k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (select x, y from pairs join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 75 * (a.n + b.n - k)),
+ways as (select x, y from links union all select y, x from links),
+reached as (select doc_id x, doc_id y from documents union select r.x, b.y from reached r join ways b on b.x = r.y)
+select d.doc_id, coalesce(n, 0) n_shingles, component_id from documents d left join n using (doc_id) join (select x, min(y) component_id from reached group by x) on x = d.doc_id
+"""

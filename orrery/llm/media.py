@@ -178,9 +178,8 @@ class ArchiveReader(DataSourceReader):
         columns: list[list] = [[], [], []]
         size = 0
         for name, low, high in partition.stretches if partition else []:  # no partition: an empty folder
-            members = retried(lambda: directory(self.folder, name))
-            with zipfile.ZipFile(opened(self.folder, name)) as archive:
-                for info in members:
+            with retried(lambda: directory(self.folder, name)) as archive:
+                for info in archive.infolist():
                     if not low <= info.header_offset < high:
                         continue
                     doc_id, n_bytes = json.loads(info.comment)
@@ -204,9 +203,9 @@ def opened(folder: str, name: str):
     return store.open_input_file(f"{root}/{name}")
 
 
-def directory(folder: str, name: str) -> list[zipfile.ZipInfo]:
-    with zipfile.ZipFile(opened(folder, name)) as archive:
-        return archive.infolist()
+def directory(folder: str, name: str) -> zipfile.ZipFile:
+    """An archive with its directory, which opening it reads."""
+    return zipfile.ZipFile(opened(folder, name))
 
 
 def retried(attempt, tries: int = TRIES, wait: float = 0.2):

@@ -8,6 +8,7 @@ from .collocations import op12_phrases
 from .conversation_trie import ORACLE as TRIE_ORACLE
 from .conversation_trie import op11_conversation_trie
 from .iblt import op4_fingerprints
+from .jaccard_join import ORACLE as JACCARD_ORACLE
 from .jaccard_join import op7_jaccard_join
 from .line_dedup import ORACLE as LINE_ORACLE
 from .line_dedup import op8_line_dedup
@@ -18,6 +19,7 @@ from .media import op5_media_archives
 from .packing import op10_packing
 from .pii import op3_pii_anchors
 from .quality_gam import op9_quality_gam
+from .suffix_dedup import ORACLE as SUFFIX_ORACLE
 from .suffix_dedup import op6_suffix_dedup
 
 QUERIES = {
@@ -37,4 +39,4 @@ QUERIES = {
 }
 
 #: SQL that returns the same rows, for the operators that SQL can express.
-ORACLES: dict[str, str] = {"op8_line_dedup": LINE_ORACLE, "op11_conversation_trie": TRIE_ORACLE, "op12_phrases": PHRASE_ORACLE, "op13_link_trust": TRUST_ORACLE}
+ORACLES: dict[str, str] = {"op6_suffix_dedup": SUFFIX_ORACLE, "op7_jaccard_join": JACCARD_ORACLE, "op8_line_dedup": LINE_ORACLE, "op11_conversation_trie": TRIE_ORACLE, "op12_phrases": PHRASE_ORACLE, "op13_link_trust": TRUST_ORACLE}

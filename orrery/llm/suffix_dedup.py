@@ -542,3 +542,19 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(documents(spark, sf_dir))
+
+
+#: The same rows in SQL, over all 100-byte strings as hexadecimal digits.
+ORACLE = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) hx, octet_length(encode(coalesce(text, ''))) n from documents),
+p as (select doc_id, i, substr(hx, 2 * i + 1, 200) s from (select doc_id, hx, unnest(range(0, n - 99)) i from d where n >= 100)),
+late as (select doc_id, i from (select doc_id, i, row_number() over (partition by s order by doc_id, i) r from p) where r > 1),
+marked as (select *, case when i > lag(i) over (partition by doc_id order by i) + 100 or lag(i) over (partition by doc_id order by i) is null then 1 else 0 end begins from late),
+runs as (select doc_id, min(i) a, max(i) + 100 b from (select *, sum(begins) over (partition by doc_id order by i) run from marked) group by doc_id, run),
+gaps as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) low, a high from runs union all
+  select d.doc_id, coalesce(max(b), 0), max(n) from d left join runs using (doc_id) group by d.doc_id),
+kept as (select doc_id, string_agg(substr(hx, 2 * low + 1, 2 * (high - low)), '' order by low) k from gaps join d using (doc_id) group by doc_id)
+select d.doc_id, n n_bytes, coalesce(r.removed, 0)::bigint n_removed, coalesce(r.spans, 0)::bigint n_spans, sha256(unhex(k)) kept_sha256
+from d join kept using (doc_id) left join (select doc_id, sum(b - a) removed, count(*) spans from runs group by doc_id) r using (doc_id)
+"""
