@@ -428,7 +428,8 @@ def descended(m: Model, payload: bytes, turn: int, rounds: int) -> tuple[np.ndar
         classes, digits, _ = forward(local, b, word[i], last[i], skip[i], both[i])
         classes.descend(local.weights, squares[0])
         digits.descend(local.digits, squares[1])
-    return local.weights - m.weights, local.digits - m.digits
+    del squares
+    return np.subtract(local.weights, m.weights, out=local.weights), np.subtract(local.digits, m.digits, out=local.digits)
 
 
 def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
@@ -437,7 +438,7 @@ def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     n = ready.count()
     source = ready.select("payload").coalesce(max(1, n // SHARDS_A_TASK))
     for turn in range(rounds):
-        held = spark.sparkContext.broadcast(model)  # the tables' size follows growth, 103 MB at most
+        held = spark.sparkContext.broadcast(model)  # the tables' size follows growth, 235 MB at most
 
         def descend(batches: Iterable[pa.RecordBatch], turn: int = turn) -> Iterator[pa.RecordBatch]:
             m: Model = held.value
@@ -446,8 +447,11 @@ def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             for batch in batches:
                 for payload in batch.column("payload"):
                     for s, t, change in zip(sums, touched, descended(m, payload.as_py(), turn, rounds) or ()):
-                        s += change
-                        t += change.any(axis=1)
+                        for a in range(0, len(s), MINI_BATCH):  # a part at a time: nothing else of a table's size is made
+                            part = change[a : a + MINI_BATCH]
+                            s[a : a + MINI_BATCH] += part
+                            t[a : a + MINI_BATCH] += part.any(axis=1)
+                pa.default_memory_pool().release_unused()
             for table, (s, t) in enumerate(zip(sums, touched)):
                 bounds = np.linspace(0, len(s), CHUNKS + 1).astype(int)
                 blobs = [framed(s[a:b].astype(np.float16), t[a:b]) for a, b in zip(bounds, bounds[1:])]
