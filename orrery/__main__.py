@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators import crawl as walks
 from .operators import dataset, extract, fetch, links, qa, report, retrieve
 from .operators import providers as P
 from .sources import array_shards, files, json_arrays, markup
@@ -36,6 +37,14 @@ def gather(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return links.new_links(found, files.read_links(spark, a.existing)) if a.existing else found
 
 
+def crawl(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Article links from the front pages in the CSV under --input, by journals and issues of --domain; the walk is kept under --walk and goes on there."""
+    roots = files.read_links(spark, a.input)
+    get = walks.by_network(_provider(a, P.StubFetcher), wait=(0.0, 0.0) if not a.provider else fetch.WAIT)
+    walks.walked(roots, get, walks.journal_levels(a.domain), a.walk)
+    return walks.article_links(spark, a.walk, roots, a.domain)
+
+
 def pages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """Pages of the links in the CSV under --input."""
     return fetch.fetched(files.read_links(spark, a.input), _provider(a, P.StubFetcher), wait=(0.0, 0.0) if not a.provider else fetch.WAIT)
@@ -126,7 +135,7 @@ def describe(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return report.described_frame(_articles(spark, a))
 
 
-STAGES: dict[str, Stage] = {f.__name__: f for f in (gather, pages, articles, ingest, merge, questions, contexts, answers, split, tokenise, infer, evaluate, rank, describe)}
+STAGES: dict[str, Stage] = {f.__name__: f for f in (gather, crawl, pages, articles, ingest, merge, questions, contexts, answers, split, tokenise, infer, evaluate, rank, describe)}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -141,6 +150,8 @@ def parser() -> argparse.ArgumentParser:
         own.add_argument("--json", action="store_true", help="write one JSON array")
         own.add_argument("--schema", default=files.ARTICLES_QA, help="columns of a JSON input")
         own.add_argument("--existing", help="CSV of links that are known")
+        own.add_argument("--walk", help="folder of the crawl")
+        own.add_argument("--domain", default="", help="end of the journals' hosts")
         own.add_argument("--index", help="folder of the index")
         own.add_argument("--other", help="the tuned model's answers")
         own.add_argument("--model", default="model")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..sources import files
+from .dataset import in_batches
 from .fetch import in_threads
 from .providers import ChatProvider
 
@@ -70,8 +72,6 @@ def replied(df: DataFrame, prompt: str, provider: ChatProvider, to: str = "reply
 
     Rows without a prompt aren't asked.  Batches of a task go ``width`` at a time; ``settings`` go to the provider.
     """
-    from pyspark.sql.types import StringType, StructField, StructType
-
     df = df.drop(to, f"{to}_error")
 
     def ask(conversations: list[list[dict[str, str]]]) -> list[tuple[str | None, str | None]]:
@@ -96,6 +96,29 @@ def replied(df: DataFrame, prompt: str, provider: ChatProvider, to: str = "reply
     return df.mapInPandas(run, StructType([*df.schema.fields, StructField(to, StringType()), StructField(f"{to}_error", StringType())]))
 
 
+def replied_in_batches(df: DataFrame, prompt: str, provider: ChatProvider, order: Sequence[str], size: int = 16, to: str = "reply", **settings: object) -> DataFrame:
+    """``df`` with the provider's replies and ``<to>_error``, asked in batches of ``size`` prompts in this order (but for the last), one call a batch.
+
+    Rows without a prompt aren't asked and aren't in a batch; a call that fails gives its error to the rows of its batch alone.
+    """
+    df = df.drop(to, f"{to}_error")
+    schema = StructType([*df.schema.fields, StructField(to, StringType()), StructField(f"{to}_error", StringType())])
+
+    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place").drop(columns=["batch", "place"])
+        try:
+            found, error = provider.reply([[dict(m) if isinstance(m, dict) else m.asDict() for m in p] for p in pdf[prompt]], **settings), None
+            if len(found) != len(pdf):
+                raise ValueError(f"{len(found)} replies to {len(pdf)} prompts")
+        except Exception as e:  # the provider's own errors are unknown here
+            found, error = [None] * len(pdf), f"{type(e).__name__}: {e}"
+        return pdf.assign(**{to: found, f"{to}_error": error})
+
+    asked = in_batches(df.where(F.col(prompt).isNotNull()), order, size).groupBy("batch").applyInPandas(ask, schema)
+    none = F.lit(None).cast("string")
+    return asked.unionByName(df.where(F.col(prompt).isNull()).withColumns({to: none, f"{to}_error": none}))
+
+
 LOG = "digest string, reply string, error string, run string"
 
 

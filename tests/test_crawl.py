@@ -77,3 +77,21 @@ def test_only_links_that_are_followed(spark, tmp_path, follow):
     level = crawl.Level(lambda u: u.contains("about") if follow else u.isNull())
     n = crawl.walked(roots(spark, "https://p.example.org/"), crawl.by_network(Counting(), wait=(0, 0)), [level], str(tmp_path))
     assert n == (2 if follow else 1)
+
+
+def test_the_command_walks_and_goes_on(spark, tmp_path):
+    from orrery import __main__ as cli
+
+    (tmp_path / "roots.csv").write_text("https://p.example.org/\n")
+    args = ["crawl", "--input", f"{tmp_path}/roots.csv", "--walk", f"{tmp_path}/walk", "--domain", ".example.org", "--provider", "tests.test_crawl:Quick"]
+    for out in ("one", "two"):
+        cli.main([*args, "--output", f"{tmp_path}/{out}"], spark)
+    one, two = ([tuple(r) for r in spark.read.parquet(f"{tmp_path}/{out}").collect()] for out in ("one", "two"))
+    assert sorted(one) == sorted(two) and len(one) == 11
+
+
+class Quick(Counting):
+    """Pages of SITE, issue 9 empty, so that nothing waits."""
+
+    def fetch(self, url):
+        return "" if "issue9" in url else super().fetch(url)

@@ -177,3 +177,23 @@ def test_commands_with_json_and_without_a_model(spark, tmp_path):
     found = json.loads((tmp_path / "q.json").read_text(encoding="utf-8"))
     assert {r["filename"]: (r["qa"] or {}).get("question") for r in found} == {"é": "About.?", "g": None}
     assert json_arrays.read_json_array(spark, f"{tmp_path}/q.json", files.ARTICLES_QA).count() == 2
+
+
+class Counted:
+    """Replies with the size of the call and the place in it; fails on a call that has q20."""
+
+    def reply(self, conversations, **settings):
+        asked = [c[-1]["content"] for c in conversations]
+        if "q20" in asked:
+            raise RuntimeError("down")
+        return [f"{len(asked)}:{i}:{x}" for i, x in enumerate(asked)]
+
+
+def test_calls_of_a_fixed_size_in_order(spark):
+    df = spark.createDataFrame([(i, f"q{i}") for i in range(40)] + [(100 + i, None) for i in range(5)], "i int, q string").repartition(6)
+    asked = df.withColumn("prompt", F.when(F.col("q").isNotNull(), qa.plain_prompt(F.col("q"))))
+    rows = {r.i: r for r in qa.replied_in_batches(asked, "prompt", Counted(), ["i"]).collect()}
+    assert len(rows) == 45 and all(rows[100 + i].reply is None and rows[100 + i].reply_error is None for i in range(5))
+    for i in range(40):
+        batch = i // 16
+        assert rows[i].reply == (None if batch == 1 else f"{(16, 16, 8)[batch]}:{i % 16}:q{i}") and rows[i].reply_error == ("RuntimeError: down" if batch == 1 else None)
