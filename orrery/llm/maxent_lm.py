@@ -432,9 +432,15 @@ def descended(m: Model, payload: bytes, turn: int, rounds: int) -> tuple[np.ndar
     return np.subtract(local.weights, m.weights, out=local.weights), np.subtract(local.digits, m.digits, out=local.digits)
 
 
+def bounds_of(rows: int) -> np.ndarray:
+    """Where a table's chunks begin and end."""
+    return np.linspace(0, rows, CHUNKS + 1).astype(int)
+
+
 def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     """Rounds of local descent and averaging over shards; a change of the tables' size reaches the driver from each."""
     spark = ready.sparkSession
+    model = replace(model, weights=model.weights.copy(), digits=model.digits.copy())
     n = ready.count()
     source = ready.select("payload").coalesce(max(1, n // SHARDS_A_TASK))
     for turn in range(rounds):
@@ -453,7 +459,7 @@ def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
                             t[a : a + MINI_BATCH] += part.any(axis=1)
                 pa.default_memory_pool().release_unused()
             for table, (s, t) in enumerate(zip(sums, touched)):
-                bounds = np.linspace(0, len(s), CHUNKS + 1).astype(int)
+                bounds = bounds_of(len(s))
                 blobs = [framed(s[a:b].astype(np.float16), t[a:b]) for a, b in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array([table * CHUNKS + i for i in range(CHUNKS)], pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "change"])
 
@@ -472,11 +478,12 @@ def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
 
         with freed_shuffles(spark):
             rows = source.mapInArrow(descend, "chunk int, change binary").repartition(CHUNKS, "chunk").mapInArrow(average, "chunk int, change binary").collect()
-        found = {r["chunk"]: np.frombuffer(frames_of(r["change"], 1)[0], np.float32) for r in rows}
         held.unpersist()
-        if found:
-            changes = [np.concatenate([found[table * CHUNKS + i] for i in range(CHUNKS)]) for table in (0, 1)]
-            model = replace(model, weights=model.weights + changes[0].reshape(model.weights.shape), digits=model.digits + changes[1].reshape(model.digits.shape))
+        while rows:  # a chunk at a time, in place
+            r = rows.pop()
+            table, i = (model.weights, model.digits)[r["chunk"] // CHUNKS], r["chunk"] % CHUNKS
+            a, b = bounds_of(len(table))[i : i + 2]
+            table[a:b] += np.frombuffer(frames_of(r["change"], 1)[0], np.float32).reshape(b - a, -1)
     return model
 
 
