@@ -421,4 +421,4 @@ def test_line_dedup_odd_tables(spark):
 
 def test_names():
     numbers = sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
