@@ -5,6 +5,7 @@ A ``Stub*`` class is no model: it only has the right shape of input and output.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from typing import Protocol
 
@@ -119,17 +120,22 @@ class StubScorer:
 
 
 class StubFetcher:
-    """Fails as many times as the URL's length modulo seven, then has a page; a stand-in for the network."""
+    """Fails as many times as the URL's length modulo seven, then has a page; a stand-in for the network.
 
-    def __init__(self) -> None:
-        self.failed: dict[str, int] = {}
+    Each thread counts for itself, since rows of one URL may be tried side by side; after ``tries`` failures the next is a first try again.
+    """
+
+    def __init__(self, tries: int = 6) -> None:
+        self.tries = tries
+        self.failed: dict[tuple[int, str], int] = {}
 
     def fetch(self, url: str) -> str:
-        seen = self.failed.get(url, 0)
+        own = threading.get_ident(), url
+        seen = self.failed.pop(own, 0)
         if seen < len(url) % 7:
-            self.failed[url] = seen + 1
+            if seen + 1 < self.tries:
+                self.failed[own] = seen + 1
             raise OSError("no answer")
-        self.failed.pop(url, None)
         return f"<html>{url}</html>"
 
     def content(self, url: str) -> bytes:

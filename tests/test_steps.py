@@ -34,6 +34,16 @@ def test_fetch_tries_and_gives_up(spark):
     assert (counts.total, counts.skipped, counts.managed) == (14, 2, 12)
 
 
+@pytest.mark.parametrize("width", [1, 8])
+def test_rows_of_one_url_are_tried_apart(spark, width):
+    urls = [u for n in (3, 5, 6) for u in ["a" * n] * 40]
+    df = spark.createDataFrame([(u,) for u in urls], "url string").coalesce(1)
+    rows = fetch.fetched(df, StubFetcher(), wait=(0, 0), width=width).collect()
+    assert len(rows) == 120
+    for r in rows:
+        assert (r.html, r.attempts) == ((None, 6) if len(r.url) == 6 else (f"<html>{r.url}</html>", len(r.url) + 1))
+
+
 def test_waits_between_tries(monkeypatch):
     waited = []
     monkeypatch.setattr(fetch.time, "sleep", waited.append)
