@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from .providers import Tokenizer
 from .report import numbered
 
 IGNORED = -100
+#: Rows whose ids a task holds at once; an Arrow batch has more.
+TOKENISED_ROWS = 256
 
 
 def split_sizes(n: int, share: float = 0.1) -> tuple[int, int, int]:
@@ -52,10 +55,15 @@ def tokenised(df: DataFrame, full: str, prompt: str, tokenizer: Tokenizer, most:
 
     df = df.drop("input_ids", "attention_mask", "prompt_length")
 
+    def ids_of(text: str | None) -> np.ndarray:
+        return np.array(tokenizer.encode(text or "")[:most], np.int32)
+
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids = [tokenizer.encode(t or "")[:most] for t in pdf[full]]
-            yield pdf.assign(input_ids=ids, attention_mask=[[1] * len(x) for x in ids], prompt_length=[min(most, len(tokenizer.encode(t or ""))) for t in pdf[prompt]])
+            for a in range(0, len(pdf), TOKENISED_ROWS):
+                part = pdf.iloc[a : a + TOKENISED_ROWS]
+                ids = [ids_of(t) for t in part[full]]
+                yield part.assign(input_ids=ids, attention_mask=[np.ones(len(x), np.int32) for x in ids], prompt_length=[len(ids_of(t)) for t in part[prompt]])
 
     ints = ArrayType(IntegerType())
     return df.mapInPandas(run, StructType([*df.schema.fields, StructField("input_ids", ints), StructField("attention_mask", ints), StructField("prompt_length", IntegerType())]))

@@ -4,6 +4,7 @@ import json
 import threading
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,26 @@ def test_truncation_cuts_the_prompt_too(spark):
     assert spark.createDataFrame([(long,)], "t string").select(F.size(dataset.truncated(F.split("t", " ")))).first()[0] == 4096
 
 
+def test_ids_are_handed_on_in_small_parts(spark):
+    from orrery.operators.providers import StubTokenizer
+
+    parts = []
+
+    class Counted:
+        schema = spark.createDataFrame([("", "")], "full string, prompt string").schema
+
+        def drop(self, *names):
+            return self
+
+        def mapInPandas(self, run, schema):
+            parts.extend(run([pd.DataFrame({"full": ["abcd"] * 1000 + [None], "prompt": ["ab"] * 1001})]))
+
+    dataset.tokenised(Counted(), "full", "prompt", StubTokenizer())
+    assert sum(map(len, parts)) == 1001 and max(map(len, parts)) <= 256
+    rows = dataset.tokenised(spark.range(1000).selectExpr("concat('é', id) full", "cast(id as string) prompt").coalesce(1), "full", "prompt", StubTokenizer(), 3).collect()
+    assert len(rows) == 1000 and all(r.input_ids == [ord(c) for c in r.full][:3] and r.attention_mask == [1] * len(r.input_ids) and r.prompt_length == len(r.prompt) for r in rows)
+
+
 def test_shards_and_index(spark, tmp_path):
     rng = np.random.default_rng(1)
     shards = [rng.random((n, 3)).astype("float32") for n in (4, 2, 3)]
