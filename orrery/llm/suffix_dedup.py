@@ -17,8 +17,9 @@ region.  Three passes keep what is moved small:
    earliest are removed, at its whole length.
 
 Keys with very many stretches (boundaries of a passage that a large share
-of the texts hold) go by the hash of each whole string instead, dealt and
-pre-aggregated like the rest, so no region grows without bound.
+of the texts hold) or strings (of periodic texts) go by the hash of each whole string instead, dealt and
+pre-aggregated like the rest, so no region grows without bound.  Stretches that no other
+one of their key differs from, and that can't repeat themselves, aren't sorted.
 
 Equal texts are one class: only its first document is searched, and every
 later copy is removed whole.  Matches never cross documents.  Null texts count as
@@ -42,17 +43,20 @@ from .common import bounded_batches, checkpointed, documents, framed, frames_of,
 WIDTH, GRAM = 100, 16
 #: Strings of one stretch at most, so that periodic texts are cut too.
 STRETCH = 4096
-#: Keys that a task gathers before it hands them on; and the same in bytes of stretches.
-FLUSH_KEYS, FLUSH_BYTES = 1 << 20, 24 << 20
-PART_KEYS, PART_BYTES, SORT_STRINGS = 1 << 21, 24 << 20, 1 << 18
-#: A key with more stretches than this goes string by string.
-HOT = 4096
+#: Keys that a task gathers before it hands them on; the same in bytes of stretches, as they lie in memory, and in strings of hot keys.
+FLUSH_KEYS, FLUSH_BYTES, FLUSH_STRINGS = 1 << 20, 48 << 20, 1 << 19
+PART_KEYS, PART_BYTES, SORT_STRINGS = 1 << 21, 24 << 20, 1 << 17
+#: Bytes of texts whose strings are told apart at once (some ten times eight bytes for each), bytes of a stretch's entry besides its own, and of a hot string.
+CHUNK, ENTRY, HOT_ENTRY = 1 << 20, 400, 40
+#: A key with more stretches than this, or with more strings in them, goes string by string.
+HOT, HOT_STRINGS = 4096, 1 << 18
 #: At most this many hot keys are broadcast; beyond, they are joined.
 BROADCAST_KEYS = 1 << 16
 NULL_ID = (1 << 63) - 1
 
 _BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_HALVES = [(np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64), np.uint64(a), np.uint64(b)) for seed, a, b in ((7, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9), (11, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))]
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -75,6 +79,23 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[: len(h) - width + 1], m[width - span : width - span + len(h) - width + 1])
 
 
+def string_hashes(data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every ``width`` neighbouring bytes, by doubling."""
+    out = []
+    for table, a, b in _HALVES:
+
+        def both(x: np.ndarray, y: np.ndarray, a: np.uint64 = a, b: np.uint64 = b) -> np.ndarray:
+            return (x ^ (x >> np.uint64(32))) * a + (y ^ (y >> np.uint64(29))) * b
+
+        span, h = 1, table[data]
+        while span * 2 <= width:
+            h = both(h[:-span], h[span:])
+            span *= 2
+        n = len(data) - width + 1
+        out.append(both(h[:n], h[width - span : width - span + n]))
+    return out[0], out[1]
+
+
 def _inner(h: np.ndarray, key: np.ndarray, span: int) -> np.ndarray:
     """Keys of which one stretch may hold two grams, so that a string may repeat inside it."""
     widest = ~sliding_min(np.pad(~key, span - 1, constant_values=~np.uint64(0)), span)  # largest key of the strings with each gram
@@ -85,11 +106,25 @@ def _inner(h: np.ndarray, key: np.ndarray, span: int) -> np.ndarray:
 
 def stretches(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Key, text, start and number of strings of each stretch of the texts, and whether it may repeat itself."""
-    kept = [(i, t) for i, t in enumerate(texts) if len(t) >= width]
-    if not kept:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    data = np.frombuffer(b"".join(t for _, t in kept), np.uint8)
-    lengths = np.array([len(t) for _, t in kept])
+    found = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
+    held, size = [], 0
+    for i, t in enumerate(texts):
+        for a in range(0, len(t) - width + 1, CHUNK):  # a long text in parts; each string lies in one
+            held.append((i, a, t[a : a + CHUNK + width - 1]))
+            size += len(held[-1][2])
+            if size >= CHUNK:
+                found.append(_stretches(held, width))
+                held, size = [], 0
+    if held:
+        found.append(_stretches(held, width))
+    key, owner, start, count, inner = (np.concatenate(x) for x in zip(*found))
+    return key, owner, start, count, inner
+
+
+def _stretches(kept: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Those of parts of texts: number of the text, where the part begins, and its bytes."""
+    data = np.frombuffer(b"".join(t for _, _, t in kept), np.uint8)
+    lengths = np.array([len(t) for _, _, t in kept])
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     h = grams(data)
     key = sliding_min(h, width - GRAM + 1)  # of each string, also of those that cross texts
@@ -110,8 +145,8 @@ def stretches(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.nd
         pieces = -(-count // STRETCH)
         step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         at, owner, count = np.repeat(at, pieces) + step * STRETCH, np.repeat(owner, pieces), np.minimum(np.repeat(count, pieces) - step * STRETCH, STRETCH)
-    index = np.array([i for i, _ in kept])
-    return key[at], index[owner], at - begins[owner], count, np.isin(key[at], _inner(h, key, width - GRAM + 1))
+    index, offset = np.array([i for i, _, _ in kept]), np.array([a for _, a, _ in kept])
+    return key[at], index[owner], at - begins[owner] + offset[owner], count, np.isin(key[at], _inner(h, key, width - GRAM + 1))
 
 
 def class_of(data: bytes) -> int:
@@ -121,7 +156,7 @@ def class_of(data: bytes) -> int:
 
 
 def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
-    """``class, key, start, strings`` of the stretches whose key repeats; and, with a null class, ``key`` and its number of stretches where that is over ``HOT``."""
+    """``class, key, start, strings`` of the stretches whose key repeats; and, with a null class, ``key`` and its number of stretches where that or its strings are too many for one sort."""
     bounded_batches(docs.sparkSession)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +171,7 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
             first[1:] = key[1:] != key[:-1]
             run = np.cumsum(first) - 1
             many = np.bincount(run, 1.0 + inner).astype(np.int64)
+            more = np.bincount(run, count).astype(np.int64)[run] - count  # strings of the stretches that a key's first stands for
             twice = many[run] > 1  # known to repeat already: only a marker of these goes to the key's task
             sent = first
             part = (key % np.uint64(parts)).astype(np.int64)
@@ -151,7 +187,7 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
                 a, b = by[edges[p] : edges[p + 1]], back[back_edges[p] : back_edges[p + 1]]
                 if len(a) or len(b):
                     names, who = np.unique(owner[a], return_inverse=True)
-                    rows.append((p, framed(np.diff(key[a], prepend=np.uint64(0)), names, who.astype(np.uint32), start[a].astype(np.uint32), count[a].astype(np.uint16), np.minimum(many[run[a]], 65535).astype(np.uint16), key[b], owner[b], start[b].astype(np.uint32), count[b].astype(np.uint16))))
+                    rows.append((p, framed(np.diff(key[a], prepend=np.uint64(0)), names, who.astype(np.uint32), start[a].astype(np.uint32), count[a].astype(np.uint16), np.minimum(many[run[a]], 65535).astype(np.uint16), more[a].astype(np.uint32), key[b], owner[b], start[b].astype(np.uint32), count[b].astype(np.uint16))))
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "keys"])
 
         for batch in batches:
@@ -163,7 +199,7 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
                     texts.append(data)
                     classes.append(c)
             key, owner, start, count, inner = stretches(texts, width)
-            held.append((key, np.array(classes, np.int64)[owner], start, count, inner))
+            held.append((key, np.array(classes, np.int64)[owner], start.astype(np.uint32), count.astype(np.uint16), inner))
             size += len(key)
             if size >= FLUSH_KEYS:
                 yield flush()
@@ -173,26 +209,28 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
             yield flush()
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, starts, counts, manys = [], [], [], [], []
+        keys, owners, starts, counts, manys, mores = [], [], [], [], [], []
         for batch in batches:
             for blob in batch.column("keys"):
-                f = frames_of(blob.as_py(), 10)
+                f = frames_of(blob.as_py(), 11)
                 key = np.cumsum(np.frombuffer(f[0], np.uint64), dtype=np.uint64)
                 keys.append(key)
                 owners.append(np.frombuffer(f[1], np.int64)[np.frombuffer(f[2], np.uint32)])
                 starts.append(np.frombuffer(f[3], np.uint32))
                 counts.append(np.frombuffer(f[4], np.uint16))
                 manys.append(np.frombuffer(f[5], np.uint16))
-                if len(f[6]):
-                    yield _stretch_rows(np.frombuffer(f[6], np.uint64), np.frombuffer(f[7], np.int64), np.frombuffer(f[8], np.uint32), np.frombuffer(f[9], np.uint16))
+                mores.append(np.frombuffer(f[6], np.uint32))
+                if len(f[7]):
+                    yield _stretch_rows(np.frombuffer(f[7], np.uint64), np.frombuffer(f[8], np.int64), np.frombuffer(f[9], np.uint32), np.frombuffer(f[10], np.uint16))
         if not keys:
             return
-        key, owner, start, count, many = (np.concatenate(x) for x in (keys, owners, starts, counts, manys))
+        key, owner, start, count, many, more = (np.concatenate(x) for x in (keys, owners, starts, counts, manys, mores))
+        del keys, owners, starts, counts, manys, mores
         order = np.lexsort((start, owner, key))
-        key, owner, start, count, many = key[order], owner[order], start[order], count[order], many[order].astype(np.int64)
+        key, owner, start, count, many, more = key[order], owner[order], start[order], count[order], many[order].astype(np.int64), more[order]
         again = np.zeros(len(key), bool)  # the same stretch from several copies of its text
         again[1:] = (key[1:] == key[:-1]) & (owner[1:] == owner[:-1]) & (start[1:] == start[:-1]) & (many[1:] == 1) & (many[:-1] == 1)
-        key, owner, start, count, many = (x[~again] for x in (key, owner, start, count, many))
+        key, owner, start, count, many, more = (x[~again] for x in (key, owner, start, count, many, more))
         first = np.ones(len(key), bool)
         first[1:] = key[1:] != key[:-1]
         run = np.cumsum(first) - 1
@@ -201,9 +239,10 @@ def repeated(docs: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
         for a in range(0, len(key), 1 << 16):
             o = out[a : a + (1 << 16)]
             yield _stretch_rows(*(x[a : a + (1 << 16)][o] for x in (key, owner, start, count)))
-        hot = np.flatnonzero(first)[total > HOT]
+        is_hot = (total > HOT) | (np.bincount(run, count.astype(float) + more) > HOT_STRINGS)
+        hot = np.flatnonzero(first)[is_hot]
         n = len(hot)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(key[hot].view(np.int64)), pa.nulls(n, pa.int64()), pa.array(total[total > HOT])], names=["class", "key", "start", "strings"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(key[hot].view(np.int64)), pa.nulls(n, pa.int64()), pa.array(total[is_hot])], names=["class", "key", "start", "strings"])
 
     sent = docs.select("text").mapInArrow(send, "part int, keys binary")
     return sent.repartition(parts, "part").mapInArrow(meet, "class long, key long, start long, strings long")
@@ -325,6 +364,32 @@ def _covered(owner: np.ndarray, start: np.ndarray, length: np.ndarray | int) ->
     return owner[a], start[a], (reach - base)[b]
 
 
+def _strings_of(pieces: list[tuple[bytes, int, int, int]], width: int) -> tuple[np.ndarray, ...]:
+    """Both hashes, first id, class and start of every string of the stretches."""
+    data = np.frombuffer(b"".join(s for s, *_ in pieces), np.uint8)
+    lengths = np.array([len(s) for s, *_ in pieces])
+    begins, count = np.cumsum(lengths) - lengths, lengths - width + 1
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(begins, count) + step
+    lo, hi = string_hashes(data, width)
+    place = np.array([p for _, *p in pieces], np.int64)
+    return lo[at], hi[at], np.repeat(place[:, 0], count), np.repeat(place[:, 1], count), np.repeat(place[:, 2], count) + step
+
+
+def _repeats(lo: np.ndarray, hi: np.ndarray, first: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each string, in the order that comes with it, equals the one before: the earliest of equals comes first."""
+    order = np.lexsort((start, owner, first, hi, lo))
+    again = np.zeros(len(lo), bool)
+    again[1:] = (lo[order[1:]] == lo[order[:-1]]) & (hi[order[1:]] == hi[order[:-1]])
+    return again, order
+
+
+def _may_repeat(s: bytes, width: int) -> bool:
+    """Whether a stretch may hold a string twice: then what all its strings share is there twice, too."""
+    n = len(s) - width + 1
+    return n > 1 and (n > width - GRAM + 1 or s.find(s[n - 1 : width], n) >= 0)
+
+
 _RUNS = ["class", "start", "end"]
 
 
@@ -341,75 +406,90 @@ def removed_runs(texts: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings: dict[bytes, tuple[int, int, int, int]] = {}  # stretch: first id, class, start, key
-        whole: dict[int, tuple[int, int, int]] = {}  # hash of a string: first id, class, start
         known: list[tuple[int, int, int]] = []  # runs that repeat an earlier stretch of this task
-        size = 0
+        hot: list[tuple[bytes, int, int, int]] = []  # stretches of hot keys: bytes, first id, class, start
+        whole: list[tuple[np.ndarray, ...]] = []  # their strings: hashes, first id, class, start
+        size, hot_bytes, n_whole = 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             bins: dict[int, list] = {}
             for s, place in strings.items():
-                bins.setdefault(place[3] % parts, [[], [], [], []])[0].append((s, place))
-            for h, place in whole.items():
-                bins.setdefault(h % parts, [[], [], [], []])[1].append((h, place))
-            for i, run in enumerate(known):
-                bins.setdefault((run[0] + i) % parts, [[], [], [], []])[2].append(run)
+                bins.setdefault(place[3] % parts, [[], None, []])[0].append((place[3] & ((1 << 64) - 1), s, place))
+            runs = [np.array(known, np.int64).reshape(-1, 3)]
+            if whole:
+                lo, hi, first, owner, start = (np.concatenate(x) for x in zip(*whole))
+                again, order = _repeats(lo, hi, first, owner, start)
+                runs.append(np.stack(_covered(owner[order[again]], start[order[again]], width), axis=1))
+                once = order[~again]
+                part = (lo[once] % np.uint64(parts)).astype(np.int64)
+                by = np.argsort(part, kind="stable")
+                once, edges = once[by], np.searchsorted(part[by], np.arange(parts + 1))
+                for p in np.flatnonzero(np.diff(edges)).tolist():
+                    i = once[edges[p] : edges[p + 1]]
+                    bins.setdefault(p, [[], None, []])[1] = lo[i], hi[i], np.stack((first[i], owner[i], start[i]), axis=1)
+            every = np.concatenate(runs)
+            to = (every[:, 0].view(np.uint64) + np.arange(len(every), dtype=np.uint64)) % np.uint64(parts)
+            by = np.argsort(to, kind="stable")
+            edges = np.searchsorted(to[by], np.arange(parts + 1, dtype=np.uint64))
+            for p in np.flatnonzero(np.diff(edges)).tolist():
+                bins.setdefault(p, [[], None, []])[2] = every[by[edges[p] : edges[p + 1]]]
             rows = []
-            for p, (a, b, c, _) in bins.items():
+            nothing = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+            for p, (a, b, c) in bins.items():
+                a.sort(key=lambda x: x[0])
                 rows.append((p, framed(
-                    b"".join(s for s, _ in a), np.array([len(s) for s, _ in a], np.int64), np.array([q[:3] for _, q in a], np.int64),
-                    np.array([h & ((1 << 64) - 1) for h, _ in b], np.uint64), np.array([h >> 64 for h, _ in b], np.uint64), np.array([q for _, q in b], np.int64),
-                    np.array(c, np.int64),
+                    b"".join(s for _, s, _ in a), np.array([len(s) for _, s, _ in a], np.int64), np.array([q[:3] for _, _, q in a], np.int64), np.diff(np.array([k for k, _, _ in a], np.uint64), prepend=np.uint64(0)),
+                    *(b or nothing), np.asarray(c, np.int64),
                 )))
+                a.clear()
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["part", "bytes"])
 
         for batch in batches:
-            for c, first, text, found in zip(batch.column("class").to_pylist(), batch.column("first").to_pylist(), batch.column("text"), batch.column("found").to_pylist()):
-                data = text.as_buffer().to_pybytes()
-                for x in found:
+            for c, first, text, found in zip(batch.column("class"), batch.column("first"), batch.column("text"), batch.column("found")):
+                data, c, first = text.as_buffer().to_pybytes(), c.as_py(), first.as_py()
+                for x in found.as_py():
                     start, n = x["start"], x["strings"]
+                    s = data[start : start + n + width - 1]
                     if x["hot"]:
-                        for at in range(start, start + n):
-                            h = xxhash.xxh3_128_intdigest(data[at : at + width])
-                            place = (first, c, at)
-                            other = whole.get(h)
-                            if other is None:
-                                whole[h] = place
-                                size += 60
-                            else:
-                                whole[h] = min(place, other)
-                                late = max(place, other)
-                                known.append((late[1], late[2], late[2] + width))
-                                size += 24
+                        hot.append((s, first, c, start))
+                        hot_bytes += len(s)
+                        if hot_bytes >= CHUNK >> 2:
+                            whole.append(_strings_of(hot, width))
+                            n_whole += len(whole[-1][0])
+                            hot, hot_bytes = [], 0
                         continue
-                    s = data[start : start + n + width - 1]
                     place = (first, c, start, x["key"])
                     other = strings.get(s)
                     if other is None:
                         strings[s] = place
-                        size += len(s) + 100
+                        size += len(s) + ENTRY
                     else:
                         strings[s] = min(place, other)
                         late = max(place, other)
                         known.append((late[1], late[2], late[2] + len(s)))
-                        size += 24
-                if size >= FLUSH_BYTES:
+                        size += ENTRY >> 1
+                if size >= FLUSH_BYTES or n_whole >= FLUSH_STRINGS:
                     yield flush()
-                    strings, whole, known, size = {}, {}, [], 0
-        if size:
+                    strings, known, whole, size, n_whole = {}, [], [], 0, 0
+        if hot:
+            whole.append(_strings_of(hot, width))
+        if strings or known or whole:
             yield flush()
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings: dict[bytes, tuple[int, int, int]] = {}
+        strings: dict[bytes, tuple[int, int, int, int]] = {}
         low, high, places = [], [], []
         for batch in batches:
             for blob in batch.column("bytes"):
-                f = frames_of(blob.as_py(), 7)
+                f = frames_of(blob.as_py(), 8)
                 ends = np.cumsum(np.frombuffer(f[1], np.int64)).tolist()
+                keys = np.cumsum(np.frombuffer(f[3], np.uint64), dtype=np.uint64).tolist()
                 a = 0
                 late = []
-                for b, place in zip(ends, map(tuple, np.frombuffer(f[2], np.int64).reshape(-1, 3).tolist())):
+                for b, (first, owner, start), key in zip(ends, np.frombuffer(f[2], np.int64).reshape(-1, 3).tolist(), keys):
                     s = bytes(f[0][a:b])
                     a = b
+                    place = (first, owner, start, key)
                     other = strings.get(s)
                     if other is None:
                         strings[s] = place
@@ -417,27 +497,31 @@ def removed_runs(texts: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
                         strings[s] = min(place, other)
                         x = max(place, other)
                         late.append((x[1], x[2], x[2] + len(s)))
-                runs = np.concatenate([np.array(late, np.int64).reshape(-1, 3), np.frombuffer(f[6], np.int64).reshape(-1, 3)])
+                runs = np.concatenate([np.array(late, np.int64).reshape(-1, 3), np.frombuffer(f[7], np.int64).reshape(-1, 3)])
                 if len(runs):
                     yield _runs(runs[:, 0], runs[:, 1], runs[:, 2])
-                low.append(np.frombuffer(f[3], np.uint64))
-                high.append(np.frombuffer(f[4], np.uint64))
-                places.append(np.frombuffer(f[5], np.int64).reshape(-1, 3))
-        if low and sum(map(len, low)):
+                if len(f[4]):
+                    low.append(np.frombuffer(f[4], np.uint64))
+                    high.append(np.frombuffer(f[5], np.uint64))
+                    places.append(np.frombuffer(f[6], np.int64).reshape(-1, 3))
+        if low:
             lo, hi, at = np.concatenate(low), np.concatenate(high), np.concatenate(places)
-            order = np.lexsort((at[:, 2], at[:, 1], at[:, 0], lo, hi))
-            lo, hi, at = lo[order], hi[order], at[order]
-            again = np.zeros(len(lo), bool)
-            again[1:] = (lo[1:] == lo[:-1]) & (hi[1:] == hi[:-1])
-            if again.any():
-                yield _runs(*_covered(at[again, 1], at[again, 2], width))
+            del low, high, places
+            again, order = _repeats(lo, hi, at[:, 0], at[:, 1], at[:, 2])
+            late = order[again]
+            if len(late):
+                yield _runs(*_covered(at[late, 1], at[late, 2], width))
+            del lo, hi, at, again, order, late
         # strings of one key stay in one sort
-        items = sorted(((int(stretch_key(s, width)), s, place) for s, place in strings.items()), key=lambda x: x[0])
+        items = sorted(((place[3], s, place[:3]) for s, place in strings.items()), key=lambda x: x[0])
         del strings
         group: list = []
         n = 0
         for i, item in enumerate(items):
-            if n >= SORT_STRINGS and item[0] != items[i - 1][0]:
+            same = i > 0 and item[0] == items[i - 1][0]
+            if not same and not (i + 1 < len(items) and items[i + 1][0] == item[0]) and not _may_repeat(item[1], width):
+                continue
+            if n >= SORT_STRINGS and not same:
                 yield from sort(group)
                 group, n = [], 0
             group.append(item)
@@ -467,11 +551,6 @@ def removed_runs(texts: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
     return sent.repartition(parts, "part").mapInArrow(search, "class long, start long, end long")
 
 
-def stretch_key(s: bytes, width: int) -> np.uint64:
-    """The key of a stretch from its own bytes (that of its first string)."""
-    return grams(np.frombuffer(s[:width], np.uint8)).min()
-
-
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(runs):
@@ -500,7 +579,7 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     few = hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
     entries = found.where("class is not null").join(F.broadcast(hot) if few else hot, "key", "left")
     per_class = entries.groupBy("class").agg(F.collect_set(F.struct("key", "start", "strings", F.coalesce("is_hot", F.lit(False)).alias("hot"))).alias("found"))
-    moved = found.where("class is not null").agg(F.sum(F.col("strings") + width).alias("n")).first()["n"] or 0
+    moved = entries.agg(F.sum(F.when(F.col("is_hot"), F.col("strings") * HOT_ENTRY).otherwise(F.col("strings") + width)).alias("n")).first()["n"] or 0
 
     def tag(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,6 +7,7 @@ import math
 import operator
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -161,6 +162,43 @@ def test_suffix_dedup(spark, docs, hot, monkeypatch):
     assert got == brute_removed(docs, 100)
 
 
+@pytest.mark.parametrize("limit", [{}, {"HOT_STRINGS": 50}, {"FLUSH_STRINGS": 100, "FLUSH_BYTES": 1000, "CHUNK": 300}])
+def test_suffix_dedup_of_periodic_texts(spark, monkeypatch, limit):
+    """Texts of few keys with very long stretches: no sort holds more strings than a bounded number, and parts of long texts keep all their strings."""
+    rng = random.Random(17)
+    line = "".join(rng.choice("abcdefgh") for _ in range(90))
+    rows = [(i, f"{i} " + line * rng.randrange(3, 9) + "".join(rng.choice("xyz ") for _ in range(rng.randrange(150)))) for i in range(60)] + [(60, "ab" * 900), (61, "ba" * 700)]
+    for name, value in limit.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    if "HOT_STRINGS" in limit:
+        found = suffix_dedup.repeated(keyed_text(frame(spark, rows)), 3).where("class is null").collect()
+        assert found and all(r.strings <= suffix_dedup.HOT for r in found)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.dedup(keyed_text(frame(spark, rows))).collect()}
+    assert got == brute_removed(rows, 100)
+
+
+def test_stretches_of_long_texts_in_bounded_memory():
+    data = random.Random(3).randbytes(6 << 20)
+    tracemalloc.start()
+    key, owner, start, count, _ = suffix_dedup.stretches([b"short", data])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20 and set(owner.tolist()) == {1}
+    assert start[0] == 0 and (start[1:] == start[:-1] + count[:-1]).all() and start[-1] + count[-1] == len(data) - 99
+
+
+def test_single_stretches_are_told_apart_from_those_that_repeat_themselves():
+    rng = random.Random(5)
+    for n in range(400):
+        piece = bytes(rng.choice(b"abcdef") for _ in range(rng.randrange(1, 70)))
+        s = (piece * 200)[: 100 + rng.randrange(120)] if n % 2 else bytes(rng.choice(b"abcdef") for _ in range(150))
+        strings = [s[i : i + 100] for i in range(len(s) - 99)]
+        assert suffix_dedup._may_repeat(s, 100) or len(set(strings)) == len(strings)
+        lo, hi = suffix_dedup.string_hashes(np.frombuffer(s, np.uint8), 100)
+        assert len(set(zip(lo.tolist(), hi.tolist()))) == len(set(strings)) and len(lo) == len(strings)
+    assert not suffix_dedup._may_repeat(bytes(range(150)), 100)
+
+
 def brute_repeats(texts, width):
     """Length and places of every string of at least ``width`` that repeats and whose occurrences differ on both sides."""
     places = collections.defaultdict(list)
