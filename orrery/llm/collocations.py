@@ -131,6 +131,12 @@ def _block(block: int, lang: str, seq: np.ndarray, *keys_and_counts: np.ndarray
     return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([lang], pa.string()), pa.array([data], pa.binary())], names=["block", "lang", "data"])
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[tuple[int, str, pa.Buffer]]:
+    """The blocks of a batch; their data isn't copied."""
+    for block, lang, data in zip(*batch.columns):
+        yield block.as_py(), lang.as_py(), data.as_buffer()
+
+
 def _words_in(data: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """A block's sequence, words and counts."""
     seq, words, counts = frames_of(data, 3)
@@ -149,7 +155,7 @@ def _listed(blocks: DataFrame, level: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, lang, data in zip(*[c.to_pylist() for c in batch.columns]):
+            for block, lang, data in _each(batch):
                 _, keys, counts = _words_in(data) if level == 1 else _pairs_in(data)
                 for a in range(0, len(counts), ROWS):
                     k = len(counts[a : a + ROWS])
@@ -173,13 +179,25 @@ def _key(level: int) -> list[str]:
 def _longer(block: int, lang: str, seq: np.ndarray, name: np.ndarray) -> pa.RecordBatch | None:
     """The block one level up, from its sequence and the names of what is frequent (by number; -1 for others)."""
     name = np.append(name, -1)  # the last entry is that of -1
-    known = name[seq] >= 0
-    both = np.flatnonzero(known[:-1] & known[1:])
+    known = (name >= 0)[seq]
+    both = np.flatnonzero(known[:-1] & known[1:]).astype(np.int32)
+    del known
     if not len(both):
         return None
-    pairs, own, counts = np.unique(seq[both].astype(np.int64) * len(name) + seq[both + 1], return_inverse=True, return_counts=True)
+    pair = seq[both].astype(np.int64)
+    pair *= len(name)
+    pair += seq[both + 1]
+    order = np.argsort(pair)
+    pair, both = pair[order], both[order]
+    del order
+    fresh = np.ones(len(pair), bool)
+    np.not_equal(pair[1:], pair[:-1], out=fresh[1:])
     new = np.full(len(seq), -1, np.int32)
-    new[both] = own
+    new[both] = np.cumsum(fresh, dtype=np.int32) - 1
+    del both
+    begins = np.flatnonzero(fresh)
+    pairs, counts = pair[begins], np.diff(begins, append=len(pair))
+    del pair, fresh, begins
     return _block(block, lang, new, name[pairs // len(name)], name[pairs % len(name)], counts)
 
 
@@ -201,14 +219,15 @@ def _named(blocks: DataFrame, level: int, least: int) -> DataFrame:
 
 def _lookup(names: pa.Table, level: int) -> Callable[[str, object], np.ndarray]:
     """The names of a block's keys, from a table of ``FEW`` at most."""
-    rows = names.to_pandas()
     if level == 1:
         by_lang: dict[str, dict[bytes, int]] = {}
-        for i, lang, word in zip(rows["id"], rows["lang"], rows["word"]):
-            by_lang.setdefault(lang, {})[word.encode()] = i
+        for rows in names.to_batches(ROWS):
+            for i, lang, word in zip(rows.column("id").to_pylist(), rows.column("lang").to_pylist(), rows.column("word").cast(pa.binary()).to_pylist()):
+                by_lang.setdefault(lang, {})[word] = i
         return lambda lang, words: np.fromiter((by_lang.get(lang, {}).get(w, -1) for w in words), np.int64, len(words))
-    order = np.lexsort((rows["right"], rows["left"]))
-    left, right, ids = (rows[c].to_numpy(np.int64)[order] for c in ("left", "right", "id"))
+    left, right, ids = (names.column(c).to_numpy() for c in ("left", "right", "id"))
+    order = np.lexsort((right, left))
+    left, right, ids = left[order], right[order], ids[order]
     firsts, begins = np.unique(left, return_index=True)
     right_of, own = np.unique(right, return_inverse=True)
     packed = np.repeat(np.arange(len(firsts)), np.diff([*begins, len(left)])) * (len(right_of) + 1) + own  # ascending, as left and right are
@@ -234,7 +253,7 @@ def _paired(blocks: DataFrame, names: DataFrame, level: int) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             find = _lookup(held.value, level)
             for batch in batches:
-                for block, lang, data in zip(*[c.to_pylist() for c in batch.columns]):
+                for block, lang, data in _each(batch):
                     seq, keys, _ = read(data)
                     if (up := _longer(block, lang, seq, find(lang, keys))) is not None:
                         yield up

@@ -106,9 +106,11 @@ def discarded(*tables: DataFrame) -> None:
 
 
 def framed(*arrays: np.ndarray | bytes) -> bytes:
-    """Arrays as one compressed blob."""
-    raw = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
-    return zlib.compress(struct.pack(f"<{len(raw)}Q", *map(len, raw)) + b"".join(raw), 1)
+    """Arrays as one compressed blob; they are taken as they lie in memory, not copied together first."""
+    raw = [memoryview(a if isinstance(a, bytes) else np.ascontiguousarray(a).reshape(-1).view(np.uint8)) for a in arrays]
+    pressed = zlib.compressobj(1)
+    out = [pressed.compress(struct.pack(f"<{len(raw)}Q", *map(len, raw))), *map(pressed.compress, raw)]
+    return b"".join([*out, pressed.flush()])
 
 
 def frames_of(blob: bytes, n: int) -> list[memoryview]:

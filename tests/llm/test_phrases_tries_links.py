@@ -3,9 +3,11 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 
 from orrery.llm import collocations, conversation_trie, link_trust
@@ -238,3 +240,22 @@ def test_trust_spreads_along_links_and_distrust_against_them(spark):
 
 def test_no_pages_no_verdicts(spark):
     assert link_trust.with_verdicts(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_a_block_goes_up_in_bounded_memory():
+    """A block's pairs are counted, and the block is packed, in little more than a few arrays of its size."""
+    rng = np.random.default_rng(3)
+    seq = rng.integers(-1, 1500, 1 << 20).astype(np.int32)
+    name = np.where(rng.random(1500) < 0.9, np.arange(1500) + 7, -1)
+    tracemalloc.start()
+    up = collocations._longer(5, "en", seq, name)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70 << 20
+    new, (left, right), counts = collocations._pairs_in(up.column("data")[0].as_py())
+    known = np.append(name, -1)[seq]
+    both = np.flatnonzero((known[:-1] >= 0) & (known[1:] >= 0))
+    pairs, many = np.unique(known[both] << 32 | known[both + 1], return_counts=True)
+    order = np.argsort(left << 32 | right)
+    assert (pairs == (left << 32 | right)[order]).all() and (many == counts[order]).all()
+    assert (np.flatnonzero(new >= 0) == both).all() and (left[new[both]] == known[both]).all() and (right[new[both]] == known[both + 1]).all()
