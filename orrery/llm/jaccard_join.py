@@ -57,6 +57,8 @@ FILTER_BITS, FILTER_BLOCKS = 26, 64
 PARITY_WORDS = 16
 #: Entries that a task gathers before it hands them on, and that a region task holds (one of these is 24 bytes).
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
+#: Shares of the shingles' range in which a region task works.
+RANGES = 16
 #: Regions draw another pivot while a round leaves at most this share of the entries open.
 WORTH = 0.9
 
@@ -94,6 +96,14 @@ def window(n: int, per_cent: int = PER_CENT) -> int:
     return min(n, n - (per_cent * n + 99) // 100 + least_shared(per_cent, SHARED))
 
 
+def in_ranges(blocks: list[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks of columns, the first of which ascends, put together a share of its range at a time: what is made of them is a share, too."""
+    bounds = np.arange(1, RANGES, dtype=np.uint64) * np.uint64((1 << 64) // RANGES)
+    cuts = [[0, *np.searchsorted(b[0], bounds).tolist(), len(b[0])] for b in blocks]
+    for k in range(RANGES):
+        yield tuple(np.concatenate([x[c[k] : c[k + 1]] for x, c in zip(column, cuts)]) for column in zip(*blocks))
+
+
 def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     """One pass over the texts: ``doc_id, n, class`` (null where the set is empty), and ``key, seen`` of the shingles that are frequent.
 
@@ -136,9 +146,9 @@ def described(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             yield flush()
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [np.cumsum(np.frombuffer(zlib.decompress(blob.as_py()), np.uint64), dtype=np.uint64) for batch in batches for blob in batch.column("seeds")]
-        if blobs:
-            seed, count = np.unique(np.concatenate(blobs), return_counts=True)
+        blobs = [(np.cumsum(np.frombuffer(zlib.decompress(blob.as_buffer()), np.uint64), dtype=np.uint64),) for batch in batches for blob in batch.column("seeds")]
+        for (seeds,) in in_ranges(blobs) if blobs else ():
+            seed, count = np.unique(seeds, return_counts=True)
             many = count >= FREQUENT
             yield pa.RecordBatch.from_arrays([pa.array(seed[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["key", "seen"])
 
@@ -259,22 +269,20 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
             yield from flush()
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns: list[list[np.ndarray]] = [[], [], [], []]
+        blocks: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             passed = batch.filter(pc.is_null(batch.column("entries")))
             if passed.num_rows:
                 yield passed.select(["seed", "class", "n", "pos"])
             for blob in batch.column("entries").drop_null():
-                data = zlib.decompress(blob.as_py())
+                data = zlib.decompress(blob.as_buffer())
                 k = len(data) // 24
-                columns[0].append(np.cumsum(np.frombuffer(data, np.uint64, k), dtype=np.uint64))
-                columns[1].append(np.frombuffer(data, np.int64, k, 8 * k))
-                columns[2].append(np.frombuffer(data, np.int32, k, 16 * k))
-                columns[3].append(np.frombuffer(data, np.int32, k, 20 * k))
-        if not columns[0]:
-            return
-        seed, owner, n, pos = (np.concatenate(x) for x in columns)
-        del columns
+                blocks.append((np.cumsum(np.frombuffer(data, np.uint64, k), dtype=np.uint64), np.frombuffer(data, np.int64, k, 8 * k), np.frombuffer(data, np.int32, k, 16 * k), np.frombuffer(data, np.int32, k, 20 * k)))
+        for entries in in_ranges(blocks) if blocks else ():
+            yield from shared(*entries)
+
+    def shared(seed: np.ndarray, owner: np.ndarray, n: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """What several classes have, once for each."""
         order = np.lexsort((owner, seed))
         seed, owner, n, pos = seed[order], owner[order], n[order], pos[order]
         fresh = np.ones(len(seed), bool)
@@ -282,8 +290,8 @@ def regions(docs: DataFrame, frequent: np.ndarray, parts: int, per_cent: int = P
         seed, owner, n, pos = seed[fresh], owner[fresh], n[fresh], pos[fresh]
         same = np.zeros(len(seed) + 1, bool)
         same[1:-1] = seed[1:] == seed[:-1]
-        shared = same[:-1] | same[1:]
-        seed, owner, n, pos = seed[shared].view(np.int64), owner[shared], n[shared].astype(np.int64), pos[shared].astype(np.int64)
+        met = same[:-1] | same[1:]
+        seed, owner, n, pos = seed[met].view(np.int64), owner[met], n[met].astype(np.int64), pos[met].astype(np.int64)
         for a in range(0, len(seed), 65536):
             yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 65536]) for x in (seed, owner, n, pos)], names=["seed", "class", "n", "pos"])
 

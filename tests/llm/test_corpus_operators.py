@@ -138,6 +138,18 @@ def test_jaccard_join(spark, docs):
     assert got == want and 30 < len({c for _, c in want.values()}) < len(docs) - 15
 
 
+def test_region_tasks_work_in_shares_of_the_shingles_range():
+    rng = np.random.default_rng(4)
+    blocks = [(np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64)), rng.integers(0, 9, n)) for n in (5000, 0, 1, 7000)]
+    blocks[0][0][:2] = 0
+    blocks[3][0][-3:] = (1 << 64) - 1
+    shares = list(jaccard_join.in_ranges(blocks))
+    assert max(len(k) for k, _ in shares) < 1200
+    assert all(a.max() < b.min() for (a, _), (b, _) in zip(shares, shares[1:]))
+    every = sorted((int(k), int(v)) for b in blocks for k, v in zip(*b))
+    assert sorted((int(k), int(v)) for share in shares for k, v in zip(*share)) == every
+
+
 def brute_removed(rows, width):
     seen, out = set(), {}
     for i, t in sorted(rows):
