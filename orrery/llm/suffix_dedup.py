@@ -349,6 +349,8 @@ def _later(order_keys: tuple[np.ndarray, ...], groups: list[tuple[np.ndarray, in
 
 def _covered(owner: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes from ``start`` on as merged runs: owner, start, end."""
+    if not len(start):  # no string repeats
+        return owner, start, start
     order = np.lexsort((start, owner))
     owner, start = owner[order], start[order]
     end = start + (length[order] if isinstance(length, np.ndarray) else length)

@@ -189,6 +189,18 @@ def test_suffix_dedup_of_periodic_texts(spark, monkeypatch, limit):
     assert got == brute_removed(rows, 100)
 
 
+def test_suffix_dedup_where_no_string_of_a_hot_key_repeats_in_its_task(spark, monkeypatch):
+    """Every repeating key is hot and every text is handed on by itself, so its strings are all different."""
+    for name, value in {"HOT": 1, "FLUSH_STRINGS": 1, "CHUNK": 300}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(23)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = word(400)
+    rows = [(i, word(rng.randrange(1, 200)) + passage + word(rng.randrange(1, 200))) for i in range(12)]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.dedup(keyed_text(frame(spark, rows))).collect()}
+    assert got == brute_removed(rows, 100)
+
+
 def test_stretches_of_long_texts_in_bounded_memory():
     data = random.Random(3).randbytes(6 << 20)
     tracemalloc.start()
