@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +32,23 @@ MEMO = 250_000
 _BEYOND = re.compile(r"[^\x00-\x1b\x20-\u024f]")
 #: The normaliser and the split that word by word encoding holds for.
 _NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
+class _Letters(dict):
+    """The byte level form of each character that was met."""
+
+    def __init__(self, byte_level):
+        self.byte_level = byte_level
+
+    def __missing__(self, c: int) -> str:
+        self[c] = self.byte_level.pre_tokenize_str(chr(c))[0][0]
+        return self[c]
+
+
 class WordTokenizer:
-    """A tokenizer whose pieces never cross white space, with words memoised.
+    """A tokenizer whose pieces never cross white space, with words memoised as the bytes of their ids.
 
     Texts outside the range that was checked against the library, or with a
     special token's string, go to the library whole; so does every text where the file's
@@ -47,11 +59,15 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.letters = _Letters(self.byte_level)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.pieces = self._split(json.loads(self.tokenizer.to_str()))
+        self.letters_stay = self.pieces is not None and self.pieces.pattern == _PIECES
+        self.single: dict[str, list[int]] = {}
 
     @staticmethod
     def _split(settings: dict) -> regex.Pattern | None:
@@ -66,17 +82,23 @@ class WordTokenizer:
         pattern = regex.compile(split["pattern"]["Regex"])
         return None if any(pattern.search(f"a{s}b") and pattern.search(f"a{s}b").group() != "a" for s in " \n\t") else pattern
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
+        pieces = (word,) if self.letters_stay and word.isalpha() else self.pieces.findall(word)
+        plain = word.isascii() and word.isprintable()
         ids: list[int] = []
-        for piece in self.pieces.findall(word):
-            if not (piece.isascii() and piece.isprintable()):
-                piece = self.byte_level.pre_tokenize_str(piece)[0][0]
-            ids += [t.id for t in self.tokenizer.model.tokenize(piece)]
-        return tuple(ids)
-
-    def encode(self, text: str) -> list[int]:
+        for piece in pieces:
+            found = self.single.get(piece)
+            if found is None:
+                found = [t.id for t in self.model.tokenize(piece if plain else piece.translate(self.letters))]
+                if len(piece) == 1:  # marks and digits mostly; the range bounds their number
+                    self.single[piece] = found
+            ids += found
+        return _packed(ids)
+
+    def packed(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
         if self.pieces is None or _BEYOND.search(text) or any(s in text for s in self.specials):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         words = text.lower().split()
         parts = list(map(self.young.get, words))
         if None in parts:
@@ -93,7 +115,14 @@ class WordTokenizer:
                                 self.old, self.young = self.young, {}
                             self.young[word] = ids
                     parts[i] = ids
-        return list(chain.from_iterable(parts))
+        return b"".join(parts)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack("<%dI" % len(ids), *ids)
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -135,14 +164,14 @@ def pack(df: DataFrame, path: str, most: int = MAX_LENGTH, end_id: int = END_ID,
         out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "batch_id", "ids")}
         part = TaskContext.get().partitionId()
         for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids = np.array([*t.encode(value.as_py()), end_id], dtype="<u4")
+            ids = np.frombuffer(t.packed(value.as_py()) + _packed([end_id]), "<u4")
             lengths = cuts(len(ids), most)
             at = 0
             for n in lengths:
                 out["start"].append(at)
                 out["batch_id"].append(f"{n}:{part}:{filled[n] // max(1, batch_tokens // n)}")
                 filled[n] += 1
-                out["ids_crc32"].append(zlib.crc32(ids[at : at + n].tobytes()))
+                out["ids_crc32"].append(zlib.crc32(ids[at : at + n]))
                 if with_ids:
                     out["ids"].append(ids[at : at + n].astype("i4"))
                 at += n

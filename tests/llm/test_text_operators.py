@@ -94,6 +94,13 @@ def test_word_tokenizer_equals_the_library():
         assert t.encode(s) == t.tokenizer.encode(s, add_special_tokens=False).ids, s
 
 
+def test_word_tokenizer_holds_words_as_bytes_of_ids():
+    t = packing.WordTokenizer(packing.public_vocabulary())
+    for s in ["stch. keitä, İA ȺȾ b\x85c\x1b'S 12", "漢字 <|endoftext|>", ""]:
+        assert t.packed(s) == np.array(t.encode(s), "<u4").tobytes() and t.encode(s) == t.tokenizer.encode(s, add_special_tokens=False).ids
+    assert t.young and all(type(ids) is bytes for ids in t.young.values())
+
+
 def test_word_tokenizer_with_another_split_goes_to_the_library(tmp_path):
     import json
 
