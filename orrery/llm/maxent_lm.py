@@ -310,13 +310,18 @@ def opened(m: Model, payload: bytes) -> Block:
     depth = np.where(cls >= 0, m.depth[cls], 0)
     feature = _mixed(np.where(seen >= RARE, h, (cls + 2).astype(np.uint64)), _MIX[0])
     first = np.cumsum(depth) - depth
-    owner = np.repeat(np.arange(len(h)), depth)
-    level = np.arange(len(owner)) - first[owner]
-    own, k = h[owner], cls[owner]
-    digit = (own >> (64 - BITS * (level + 1)).astype(np.uint64)).astype(np.int64) & (WAYS - 1)
-    before = np.where(level > 0, own >> (64 - BITS * np.maximum(level, 1)).astype(np.uint64), np.uint64(0))
-    node = _mixed(before + ((k * 8 + level).astype(np.uint64) << np.uint64(40)), _MIX[1])
-    prior = np.where(level == 0, k, np.where(level == 1, len(m.depth) + k * WAYS + before.astype(np.int64), len(m.depth) * (1 + WAYS)))
+    entries = int(depth.sum())
+    node, digit, prior = np.empty(entries, np.uint64), np.empty(entries, np.int8), np.empty(entries, np.int32)
+    for a in range(0, len(h), MINI_BATCH):  # of some words at a time: a block has several entries for each
+        own_depth = depth[a : a + MINI_BATCH]
+        owner = np.repeat(np.arange(a, a + len(own_depth)), own_depth)
+        i = slice(first[a], first[a] + len(owner))
+        level = np.arange(i.start, i.stop) - first[owner]
+        own, k = h[owner], cls[owner]
+        digit[i] = (own >> (64 - BITS * (level + 1)).astype(np.uint64)).astype(np.int64) & (WAYS - 1)
+        before = np.where(level > 0, own >> (64 - BITS * np.maximum(level, 1)).astype(np.uint64), np.uint64(0))
+        node[i] = _mixed(before + ((k * 8 + level).astype(np.uint64) << np.uint64(40)), _MIX[1])
+        prior[i] = np.where(level == 0, k, np.where(level == 1, len(m.depth) + k * WAYS + before.astype(np.int64), len(m.depth) * (1 + WAYS)))
     return Block(ids, none, learns, sizes, sequence, seen, share, cls, feature, first, depth, node, digit, prior)
 
 
@@ -371,13 +376,17 @@ class Factor:
                 _descend(table, squares, rows, g if places is None else np.take(g, places, axis=0))
 
 
-def forward(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.ndarray, both: np.ndarray) -> tuple[Factor, Factor, np.ndarray]:
-    """The model's factors for known words and their histories: classes, digits, and the token of each digit."""
+def class_factor(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.ndarray, both: np.ndarray) -> Factor:
+    """The model's factor of known words' classes, by their histories."""
     k = len(m.weights)
     rows = [_rows(last, k), _rows(skip ^ _MIX[0], k), _rows(both ^ _MIX[1], k)]
     z = _sum_of(m.weights, rows)
     z += m.class_prior
-    classes = Factor.of(z, [(x, None) for x in rows], b.cls[word])
+    return Factor.of(z, [(x, None) for x in rows], b.cls[word])
+
+
+def digit_factor(m: Model, b: Block, word: np.ndarray, last: np.ndarray) -> tuple[Factor, np.ndarray]:
+    """That of their digits, and the token of each digit."""
     depth = b.depth[word]
     token = np.repeat(np.arange(len(word)), depth)
     entry = np.repeat(b.first[word] - np.cumsum(depth) + depth, depth) + np.arange(len(token))
@@ -388,7 +397,12 @@ def forward(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.nda
     y = np.take(m.digits, from_last, axis=0)
     y += np.take(m.priors(), prior, axis=0)
     y[deep] += np.take(m.digits, own, axis=0)
-    return classes, Factor.of(y, [(from_last, None), (own, deep)], b.digit[entry]), token
+    return Factor.of(y, [(from_last, None), (own, deep)], b.digit[entry]), token
+
+
+def forward(m: Model, b: Block, word: np.ndarray, last: np.ndarray, skip: np.ndarray, both: np.ndarray) -> tuple[Factor, Factor, np.ndarray]:
+    """The model's factors for known words and their histories: classes, digits, and the token of each digit."""
+    return class_factor(m, b, word, last, skip, both), *digit_factor(m, b, word, last)
 
 
 def log_probability(classes: Factor, digits: Factor, token: np.ndarray) -> np.ndarray:
@@ -412,24 +426,29 @@ def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient:
     table[at] = g
 
 
-def descended(m: Model, payload: bytes, turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """What one shard's mini-batches of a round change in the weights."""
+def descended(m: Model, payload: bytes, turn: int, rounds: int) -> Iterator[np.ndarray]:
+    """What one shard's mini-batches of a round change in the weights: the classes' table, then the digits', as neither needs the other."""
     b = opened(m, payload)
     mine = b.learns & (np.arange(len(b.sizes)) % rounds == turn)
     if not mine.any():
-        return None
+        return
     word = b.sequence[np.repeat(mine, b.sizes)]
     own = b.sizes[mine]
     last, skip, both = histories(b.feature[word], np.cumsum(own) - own)
-    local = replace(m, weights=m.weights.copy(), digits=m.digits.copy())
-    squares = np.full_like(m.weights, 1e-2), np.full_like(m.digits, 1e-2)
-    for a in range(0, len(word), MINI_BATCH):
-        i = slice(a, a + MINI_BATCH)
-        classes, digits, _ = forward(local, b, word[i], last[i], skip[i], both[i])
-        classes.descend(local.weights, squares[0])
-        digits.descend(local.digits, squares[1])
+    parts = [slice(a, a + MINI_BATCH) for a in range(0, len(word), MINI_BATCH)]
+    local = replace(m, weights=m.weights.copy())
+    squares = np.full_like(m.weights, 1e-2)
+    for i in parts:
+        class_factor(local, b, word[i], last[i], skip[i], both[i]).descend(local.weights, squares)
+    del squares
+    yield np.subtract(local.weights, m.weights, out=local.weights)
+    del local, skip, both
+    local = replace(m, digits=m.digits.copy())
+    squares = np.full_like(m.digits, 1e-2)
+    for i in parts:
+        digit_factor(local, b, word[i], last[i])[0].descend(local.digits, squares)
     del squares
-    return np.subtract(local.weights, m.weights, out=local.weights), np.subtract(local.digits, m.digits, out=local.digits)
+    yield np.subtract(local.digits, m.digits, out=local.digits)
 
 
 def bounds_of(rows: int) -> np.ndarray:
@@ -452,11 +471,13 @@ def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             touched = [np.zeros(len(x), np.uint16) for x in sums]
             for batch in batches:
                 for payload in batch.column("payload"):
-                    for s, t, change in zip(sums, touched, descended(m, payload.as_py(), turn, rounds) or ()):
+                    for table, change in enumerate(descended(m, payload.as_py(), turn, rounds)):
+                        s, t = sums[table], touched[table]
                         for a in range(0, len(s), MINI_BATCH):  # a part at a time: nothing else of a table's size is made
                             part = change[a : a + MINI_BATCH]
                             s[a : a + MINI_BATCH] += part
                             t[a : a + MINI_BATCH] += part.any(axis=1)
+                        del change, part
                 pa.default_memory_pool().release_unused()
             for table, (s, t) in enumerate(zip(sums, touched)):
                 bounds = bounds_of(len(s))

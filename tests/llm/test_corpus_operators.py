@@ -349,6 +349,24 @@ def trained(docs):
     return model, [maxent_lm.opened(model, r.payload) for r in ready.select("payload").collect()]
 
 
+def test_maxent_training_holds_a_copy_of_one_table_at_a_time():
+    """A block of 3000 words, and two tables of 16 MB: a shard copies one of them and keeps its squares, but not both at once."""
+    rng = np.random.default_rng(3)
+    n, width, rows = 3000, 16, 1 << 18
+    tables = [np.zeros((rows, width), np.float32) for _ in range(2)]
+    depth = np.full(width, 2)
+    prior = np.zeros(width, np.float32)
+    model = maxent_lm.Model(depth, np.ones(width), prior, (np.zeros((width, 16), np.float32), np.zeros((width, 16, 16), np.float32)), 0.1, 10.0, n, n, *tables)
+    h = np.sort(rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+    seen = rng.integers(1, 1000, n)
+    payload = maxent_lm.framed(np.arange(3), np.zeros(3, bool), np.ones(3, bool), np.array([4000, 1, 2999]), h, rng.integers(0, n, 7000).astype(np.uint32), seen, np.zeros(n, np.float32))
+    tracemalloc.start()
+    changed = [bool(change.any()) for change in maxent_lm.descended(model, payload, 0, 1)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert changed == [True, True] and peak < 3.5 * tables[0].nbytes
+
+
 def plain_log10(m, b, tokens):
     """Token by token and factor by factor, with Python's own sums."""
     soft = lambda z, i: z[i] - math.log(sum(math.exp(x) for x in z))
