@@ -12,7 +12,8 @@ that meets others in fewer links with nothing.  The triangle inequality through
 empty set gives the length filter; with the places of a shingle in both windows it
 tells which region of a pair can be the first that it shares, and only that joins it.
 
-Regions join recursively, with documents as pivots.  Every open region draws one, the
+A region of two or three classes is joined at once: it has no more pairs than classes.  Larger
+regions join recursively, with documents as pivots.  Every open region draws one, the
 member that meets most others and hasn't been drawn before;
 each member is assigned to the pivot that it shares most regions with and held
 against it.  Links merge components, regions whose members are in one component are
@@ -59,6 +60,10 @@ PARITY_WORDS = 16
 FLUSH, REGION_ENTRIES = 1 << 20, 1 << 21
 #: Shares of the shingles' range in which a region task works.
 RANGES = 16
+#: Classes of a region whose pairs are all held against each other: no more pairs than classes.
+SMALL = 3
+#: Pairs that are broadcast at once (16 bytes each), so that of all sets only theirs are shuffled; more go one share after the other.
+PAIRS = 1 << 20
 #: Regions draw another pivot while a round leaves at most this share of the entries open.
 WORTH = 0.9
 
@@ -328,9 +333,14 @@ def members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def measured(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are near enough."""
-    left = known.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
-    right = known.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
+    """The pairs ``a, b`` (each of them once, in a written table) whose whole sets are near enough."""
+    shares = pairs.count() // PAIRS + 1
+
+    def with_sets(k: int) -> DataFrame:
+        own = F.broadcast(pairs if shares == 1 else pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(shares)) == k))
+        left = known.select(F.col("class").alias("a"), F.col("shingles").alias("sa")).join(own, "a")
+        right = known.select(F.col("class").alias("b"), F.col("shingles").alias("sb")).join(own, "b")
+        return left.join(right, ["a", "b"]).select("a", "b", "sa", "sb")
 
     def intersect(batch: pa.RecordBatch) -> dict[str, list]:
         near = []
@@ -344,7 +354,7 @@ def measured(pairs: DataFrame, known: DataFrame, per_cent: int) -> DataFrame:
             near.append(100 * shared >= per_cent * (len(s) + len(t) - shared))
         return {"a": batch.column("a"), "b": batch.column("b"), "near": near}
 
-    held = map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), "a long, b long, near boolean", intersect)
+    held = map_arrow(reduce(DataFrame.union, map(with_sets, range(shares))), "a long, b long, near boolean", intersect)
     return held.where("near").select("a", "b")
 
 
@@ -384,13 +394,10 @@ def _few_differ(per_cent: int) -> Column:
     return (100 + per_cent) * (F.col("na") + F.col("nb") - differ) >= 2 * per_cent * (F.col("na") + F.col("nb"))
 
 
-def _open(entries: DataFrame, found: DataFrame | None) -> DataFrame:
+def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
     """``entries`` with their components by the links found, of the regions that hold several."""
-    if found is None:
-        placed = entries.select("seed", "class", "n", "pos", F.col("class").alias("component"))
-    else:
-        labels = components(found).select(F.col("node").alias("class"), F.col("component").alias("label"))
-        placed = entries.join(labels, "class", "left").select("seed", "class", "n", "pos", F.coalesce("label", "class").alias("component"))
+    labels = components(found).select(F.col("node").alias("class"), F.col("component").alias("label"))
+    placed = entries.join(labels, "class", "left").select("seed", "class", "n", "pos", F.coalesce("label", "class").alias("component"))
     several = placed.groupBy("seed").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("seed")
     return written(placed.join(several, "seed", "left_semi"))
 
@@ -403,7 +410,9 @@ def _assigned(entries: DataFrame, drawn: DataFrame | None, per_cent: int) -> Dat
     sizes = entries.groupBy("seed").agg(F.count(F.lit(1)).alias("size"))
     weights = entries.join(sizes, "seed").groupBy("class", "n", "component").agg(F.sum("size").alias("weight"))
     if drawn is not None:
-        weights = weights.join(drawn, F.col("class") == F.col("b"), "left_anti")
+        # not an anti-join, which would be done before the sums, on all entries
+        before = drawn.select(F.col("b").alias("class"), F.lit(True).alias("drawn")).distinct()
+        weights = weights.join(before, "class", "left").where("drawn is null").drop("drawn")
     state = F.struct("class", "n", "component")
     pivots = entries.select("seed", "class").join(weights, "class").groupBy("seed").agg(F.max_by(state, F.struct("weight", "class")).alias("p"))
     pivots = pivots.select("seed", F.col("p.class").alias("b"), F.col("p.n").alias("nb"), F.col("p.component").alias("cb"))
@@ -413,15 +422,24 @@ def _assigned(entries: DataFrame, drawn: DataFrame | None, per_cent: int) -> Dat
     return written(nearest.select("a", F.col("nearest.b").alias("b")))
 
 
-def links(entries: DataFrame, known: DataFrame, per_cent: int = PER_CENT) -> DataFrame | None:
-    """``a, b``: links between classes, enough of them to connect whatever the join connects."""
-    found = drawn = None
+def by_size(entries: DataFrame, per_cent: int = PER_CENT) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: the pairs that meet in a small region that can be the first they share; and the entries of the larger regions."""
+    sizes = entries.groupBy("seed").count()
+    few = entries.join(sizes.where(F.col("count").between(2, SMALL)), "seed", "left_semi")
+    x, y = (few.select("seed", *[F.col(c).alias(k + side) for c, k in (("class", ""), ("n", "n"), ("pos", "i"))]) for side in "ab")
+    met = x.join(y, "seed").where((F.col("a") < F.col("b")) & _alike(per_cent) & _may_be_first(per_cent))
+    return written(met.select("a", "b").distinct()), written(entries.join(sizes.where(F.col("count") > SMALL), "seed", "left_semi"))
+
+
+def links(entries: DataFrame, known: DataFrame, found: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
+    """``a, b``: the links ``found`` and more, enough of them to connect whatever the join of these regions connects."""
+    drawn = None
     open_ = _open(entries, found)
     left = open_.count()
     while left:
         pairs = _assigned(open_, drawn, per_cent)
         new = written(measured(pairs, known, per_cent))
-        found = new if found is None else found.union(new)
+        found = found.union(new)
         was, open_ = open_, _open(open_.drop("component"), found)
         drawn = pairs.select("b") if drawn is None else drawn.union(pairs.select("b"))
         discarded(was)
@@ -455,15 +473,17 @@ def near_duplicates(docs: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     wanted = written(meeting.groupBy("class").count().where(F.col("count") >= least_shared(per_cent, SHARED)).select("class"))
     entries = written(meeting.join(wanted, "class", "left_semi"))
     discarded(meeting)
-    known = members(docs, wanted)
-    found = links(entries, known, per_cent)
-    discarded(known, entries, wanted)
+    discarded(wanted)
+    pairs, large = by_size(entries, per_cent)
+    discarded(entries)
+    asked = written(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(large.select("class")).distinct())
+    known = members(docs, asked)
+    discarded(asked)
+    found = links(large, known, written(measured(pairs, known, per_cent)), per_cent)
+    discarded(pairs, large, known)
     classes = every.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
-    if found is None:
-        of_class = classes.select("class", "first", F.col("class").alias("component"))
-    else:
-        joined = components(found).select(F.col("node").alias("class"), "component")
-        of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
+    joined = components(found).select(F.col("node").alias("class"), "component")
+    of_class = classes.join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
     lowest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     final = of_class.join(lowest, "component").select("class", "component_id")
     return every.join(final, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -138,6 +138,28 @@ def test_jaccard_join(spark, docs):
     assert got == want and 30 < len({c for _, c in want.values()}) < len(docs) - 15
 
 
+def test_small_regions_are_joined_before_the_rounds(spark, monkeypatch):
+    """Rounds shuffle all open entries, again and again: what only two or three texts share isn't among those, and sets are fetched by pair."""
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    twins = [words(60) for _ in range(12)]
+    rows = [(2 * i + j, " ".join(w + ["end"] * j)) for i, w in enumerate(twins) for j in (0, 1)]
+    rows += [(100 + i, " ".join(words(40) + twins[i][:20])) for i in range(12)]  # share a passage with two, linked with none
+    many = words(60)
+    rows += [(200 + i, " ".join(many[:i] + many[i + 1 :])) for i in range(0, 60, 6)]
+    sizes, assigned = [], jaccard_join._assigned
+
+    def spied(entries, *rest):
+        sizes.extend(r["count"] for r in entries.groupBy("seed").count().collect())
+        return assigned(entries, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_assigned", spied)
+    monkeypatch.setattr(jaccard_join, "PAIRS", 5)
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows).items()}
+    assert sizes and min(sizes) > jaccard_join.SMALL
+
+
 def test_region_tasks_work_in_shares_of_the_shingles_range():
     rng = np.random.default_rng(4)
     blocks = [(np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64)), rng.integers(0, 9, n)) for n in (5000, 0, 1, 7000)]
