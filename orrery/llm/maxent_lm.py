@@ -55,8 +55,8 @@ WAYS = 1 << BITS
 #: Hashed weight rows of classes and of digits, before growth.
 CLASS_ROWS, DIGIT_ROWS = 1 << 15, 1 << 17
 ROUNDS, RATE, MINI_BATCH = 3, 0.25, 16384
-#: Bytes of text in a shard, shards a training task takes, distinct words a counting task holds, fewest counting tasks (a power of two).
-SHARD_BYTES, SHARDS_A_TASK, PART_WORDS, LEAST_PARTS = 8 << 20, 4, 1 << 21, 16
+#: Bytes of text in a shard, shards a training task takes and fewest training tasks (each sends a change of the tables' size), distinct words a counting task holds, fewest counting tasks (a power of two).
+SHARD_BYTES, SHARDS_A_TASK, LEAST_TASKS, PART_WORDS, LEAST_PARTS = 8 << 20, 16, 12, 1 << 21, 16
 CHUNKS = 16
 END = b""
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -116,7 +116,7 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
             sizes = np.array(lengths, np.int64)
             counts = np.bincount(sequence[np.repeat(np.array(learn, bool), sizes)], minlength=len(h)).astype(np.uint32)
             none = np.array([i is None for i in ids])
-            rows = [(0, -1, framed(np.array([i or 0 for i in ids], np.int64), none, np.array(learn, bool), sizes, h, sequence))]
+            rows = [(0, -1, framed(np.array([i or 0 for i in ids], np.int64), none, np.array(learn, bool), sizes, np.diff(h, prepend=np.uint64(0)), sequence))]  # h ascends: gaps take less room
             part = (h >> shift).astype(np.int64)
             edges = np.searchsorted(part, np.arange(parts + 1))
             for p in np.flatnonzero(np.diff(edges)):
@@ -306,6 +306,7 @@ def opened(m: Model, payload: bytes) -> Block:
     f = frames_of(payload, 8)
     kinds = (np.int64, np.bool_, np.bool_, np.int64, np.uint64, np.uint32, np.int64, np.float32)
     ids, none, learns, sizes, h, sequence, seen, share = (np.frombuffer(x, k) for x, k in zip(f, kinds))
+    h = np.cumsum(h, dtype=np.uint64)
     cls = class_of(seen)
     depth = np.where(cls >= 0, m.depth[cls], 0)
     feature = _mixed(np.where(seen >= RARE, h, (cls + 2).astype(np.uint64)), _MIX[0])
@@ -456,12 +457,17 @@ def bounds_of(rows: int) -> np.ndarray:
     return np.linspace(0, rows, CHUNKS + 1).astype(int)
 
 
+def training_tasks(shards: int) -> int:
+    """How many tasks train: what they shuffle in a round is as many changes of the tables' size, and the tables grow with the input, too."""
+    return max(1, min(shards, LEAST_TASKS), shards // SHARDS_A_TASK)
+
+
 def train(ready: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     """Rounds of local descent and averaging over shards; a change of the tables' size reaches the driver from each."""
     spark = ready.sparkSession
     model = replace(model, weights=model.weights.copy(), digits=model.digits.copy())
     n = ready.count()
-    source = ready.select("payload").coalesce(max(1, n // SHARDS_A_TASK))
+    source = ready.select("payload").coalesce(training_tasks(n))
     for turn in range(rounds):
         held = spark.sparkContext.broadcast(model)  # the tables' size follows growth, 235 MB at most
 

@@ -361,6 +361,14 @@ def test_language_model(spark, docs):
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
 
 
+def test_language_model_shuffles_few_changes_and_gaps_of_hashes(spark, docs):
+    assert [maxent_lm.training_tasks(n) for n in (0, 1, 12, 101, 6000)] == [1, 1, 12, 12, 375]
+    sent = maxent_lm.blocks(maxent_lm.dealt(keyed_text(frame(spark, docs)).withColumn("learn", F.lit(True)), 1), 16)
+    gaps = np.frombuffer(maxent_lm.frames_of(sent.where("kind = 0").first()["payload"], 6)[4], np.uint64)
+    known = {w for _, t in docs for w in maxent_lm.words(t or "")} | {maxent_lm.END}
+    assert np.cumsum(gaps, dtype=np.uint64).tolist() == sorted(maxent_lm.xxhash.xxh3_64_intdigest(w) for w in known)
+
+
 def trained(docs):
     """The model of ``score_texts`` and its blocks, opened."""
     size, parts = 1, 16
